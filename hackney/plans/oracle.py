@@ -3,7 +3,8 @@
 The checker pre-registers only the raw driver tables, so each statement
 inlines the ``trips`` / ``zones`` fixture views as CTEs. Column names and
 types match the Spark side exactly (counts and sums cast to BIGINT; means
-and money computed as integer sums like ``hackney.functions.numeric``).
+and money computed as integer sums, ties rounded to even, as in
+``hackney.functions.numeric``).
 """
 
 from __future__ import annotations
@@ -36,12 +37,12 @@ def _with(body: str, keyed: bool = False) -> str:
 
 
 def _mean(col: str) -> str:
-    return (f"ROUND(SUM(CAST(ROUND({col} * CAST(1000000 AS DOUBLE)) AS BIGINT)) "
+    return (f"round_even(SUM(CAST(round_even({col} * CAST(1000000 AS DOUBLE), 0) AS BIGINT)) "
             f"/ COUNT({col}), 0) / CAST(1000000 AS DOUBLE)")
 
 
 def _cents(col: str) -> str:
-    return f"SUM(CAST(ROUND({col} * CAST(100 AS DOUBLE)) AS BIGINT)) / CAST(100 AS DOUBLE)"
+    return f"SUM(CAST(round_even({col} * CAST(100 AS DOUBLE), 0) AS BIGINT)) / CAST(100 AS DOUBLE)"
 
 
 _DISTANCE = """CAST(12742 AS DOUBLE) * asin(sqrt(least(CAST(1 AS DOUBLE),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.schemas import TIMESTAMP_FORMAT
@@ -23,20 +24,39 @@ _CSV_OPTIONS = {
 }
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line (Spark reads only the first line)."""
+    return spark.read.options(**_CSV_OPTIONS).csv(path).columns
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer_schema: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
     """Header-led, quote-aware CSV (S1). One header line per file is skipped.
 
-    With ``schema`` columns resolve by *name* against each file's header
-    (``enforceSchema=false``), so a file with reordered columns still reads
-    correctly. ``mode`` is Spark's malformed-record policy.
+    With ``schema``, columns resolve by *name* (case-insensitively) against
+    the header: the file's own column order is read with the declared types
+    (undeclared columns as strings), every file's header is validated against
+    it, and the result comes back in ``schema`` order. A declared column the
+    file lacks (e.g. an optional fee) comes back as NULL. ``mode`` is Spark's
+    malformed-record policy.
     """
     reader = spark.read.options(**_CSV_OPTIONS).option("mode", mode)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", "false")
-    elif infer_schema:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+    if schema is None:
+        if infer_schema:
+            reader = reader.option("inferSchema", "true")
+        return reader.csv(path)
+    declared = {f.name.lower(): f for f in schema.fields}
+    header = csv_header(spark, path)
+    in_file = T.StructType([
+        T.StructField(name, declared[name.lower()].dataType) if name.lower() in declared
+        else T.StructField(name, T.StringType())
+        for name in header])
+    df = reader.schema(in_file).option("enforceSchema", "false").csv(path)
+    present = {name.lower(): name for name in header}
+    return df.select(*[
+        F.col(present[f.name.lower()]).alias(f.name) if f.name.lower() in present
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -1,0 +1,128 @@
+"""Whole queries on literal trips: the edge cases where the variants disagree."""
+
+from __future__ import annotations
+
+import pytest
+
+from hackney.plans import queries as Q
+from tests.conftest import make_trips, make_zones
+
+
+@pytest.fixture
+def zones(spark):
+    # Ids 3 and 4 share one zone name; id 9 is used by trips but absent here.
+    return make_zones(spark, [(1, "Manhattan", "Midtown"), (2, "Queens", "JFK"),
+                              (3, "Queens", "Astoria"), (4, "Brooklyn", "Astoria"),
+                              (5, "Manhattan", "Harlem")])
+
+
+def coords(lon1, lat1, lon2=-73.9, lat2=40.7):
+    return dict(pickup_longitude=lon1, pickup_latitude=lat1,
+                dropoff_longitude=lon2, dropoff_latitude=lat2)
+
+
+def test_q1_zero_and_null_coordinates_dropped(spark):
+    trips = make_trips(spark, [
+        dict(tpep_pickup_datetime="2024-01-01 05:10:00", **coords(-73.9, 40.7)),
+        dict(tpep_pickup_datetime="2024-01-01 05:40:00", **coords(-74.1, 40.9)),
+        dict(tpep_pickup_datetime="2024-01-01 05:50:00", **coords(0.0, 40.9)),
+        dict(tpep_pickup_datetime="2024-01-01 05:55:00", **coords(-73.0, 0.0)),
+        dict(tpep_pickup_datetime="2024-01-01 06:00:00", **coords(None, 40.0)),
+        dict(tpep_pickup_datetime=None, **coords(-73.0, 40.0)),
+    ])
+    out = Q.hourly_mean_pickup(trips).collect()
+    assert [tuple(r) for r in out] == [(5, -74.0, 40.8)]
+    with_null = Q.hourly_mean_pickup(trips, keep_null_hour=True).collect()
+    assert [tuple(r) for r in with_null] == [(5, -74.0, 40.8), (None, -73.0, 40.0)]
+
+
+def test_q2_arg_max_keeps_the_winning_trips_duration(spark):
+    far = coords(-74.0, 40.6, -73.7, 40.9)
+    near = coords(-74.0, 40.6, -73.99, 40.61)
+    trips = make_trips(spark, [
+        dict(VendorID=1, tpep_pickup_datetime="2024-01-01 10:00:00",
+             tpep_dropoff_datetime="2024-01-01 10:10:00", **near),
+        dict(VendorID=1, tpep_pickup_datetime="2024-01-01 11:00:00",
+             tpep_dropoff_datetime="2024-01-01 11:45:00", **far),
+        dict(VendorID=1, tpep_pickup_datetime="2024-01-01 12:00:00",
+             tpep_dropoff_datetime="2024-01-01 12:30:00", **far),
+        dict(VendorID=2, tpep_pickup_datetime="2024-01-01 09:00:00",
+             tpep_dropoff_datetime="2024-01-01 09:03:00", **near),
+        dict(VendorID=2, tpep_pickup_datetime="2024-01-01 09:00:00",
+             tpep_dropoff_datetime="2024-01-01 10:00:00", **coords(0.0, 40.6, -73.0, 41.0)),
+    ])
+    out = {r.VendorID: (r.max_distance_km, r.trip_duration_min)
+           for r in Q.longest_trip_per_vendor(trips).collect()}
+    assert out[1][1] == 45.0            # equal distances: the longer trip wins
+    assert out[2][1] == 3.0             # the zero-coordinate trip is ignored
+    first = {r.VendorID: r.first_duration_min
+             for r in Q.max_and_first_per_vendor(trips).collect()}
+    assert first == {1: 10.0, 2: 3.0}   # earliest pick-up, not the longest trip
+
+
+def test_q3_counts_same_borough_only(spark, zones):
+    trips = make_trips(spark, [
+        dict(PULocationID=1, DOLocationID=5), dict(PULocationID=1, DOLocationID=1),
+        dict(PULocationID=2, DOLocationID=3), dict(PULocationID=2, DOLocationID=4),
+        dict(PULocationID=9, DOLocationID=9), dict(PULocationID=1, DOLocationID=None),
+    ])
+    out = [tuple(r) for r in Q.same_borough_trips(trips, zones).collect()]
+    assert out == [("Manhattan", 2), ("Queens", 1)]
+
+
+def test_q4_night_counts_and_order(spark):
+    rows = [dict(VendorID=1, tpep_pickup_datetime=f"2024-01-01 {h:02d}:15:00")
+            for h in (22, 23, 0, 6, 7)]
+    rows += [dict(VendorID=2, tpep_pickup_datetime=f"2024-01-01 {h:02d}:15:00")
+             for h in (1, 2, 3, 4)]
+    rows += [dict(VendorID=2, tpep_pickup_datetime=None)]
+    out = [tuple(r) for r in Q.night_trips_per_vendor(make_trips(spark, rows)).collect()]
+    assert out == [(2, 4), (1, 3)]
+
+
+def test_q5_by_name_sums_ids_sharing_a_name(spark, zones):
+    trips = make_trips(spark, [
+        dict(PULocationID=1, DOLocationID=3), dict(PULocationID=1, DOLocationID=4),
+        dict(PULocationID=1, DOLocationID=2),
+        dict(PULocationID=3, DOLocationID=4),           # ids differ, names equal: counted
+        dict(PULocationID=2, DOLocationID=2),           # same id: excluded
+        dict(PULocationID=1, DOLocationID=9),           # unknown id: dropped by name
+    ])
+    out = [tuple(r) for r in Q.top_zone_pairs(trips, zones).collect()]
+    assert out == [("Midtown", "Astoria", 2), ("Astoria", "Astoria", 1), ("Midtown", "JFK", 1)]
+    by_id = [tuple(r) for r in Q.top_zone_pairs_by_id(trips, zones).collect()]
+    assert by_id == [("Midtown", "JFK", 1), ("Midtown", "Astoria", 1), ("Midtown", "Astoria", 1),
+                     ("Midtown", "Unknown", 1), ("Astoria", "Astoria", 1)]
+
+
+def test_q5_top_k_cut_is_deterministic(spark, zones):
+    trips = make_trips(spark, [dict(PULocationID=p, DOLocationID=d)
+                               for p in (1, 2, 5) for d in (1, 2, 5) if p != d])
+    out = [tuple(r) for r in Q.top_zone_pairs(trips, zones, k=2).collect()]
+    assert out == [("Harlem", "JFK", 1), ("Harlem", "Midtown", 1)]
+
+
+def test_q6_null_group_and_strict_unknown(spark, zones):
+    money = dict(fare_amount=10.0, tip_amount=2.0, tolls_amount=0.0, extra=0.5, mta_tax=0.5,
+                 congestion_surcharge=2.5, total_amount=15.5)
+    trips = make_trips(spark, [
+        dict(PULocationID=1, airport_fee=1.25, **money),
+        dict(PULocationID=9, airport_fee=None, **money),
+        dict(PULocationID=None, airport_fee=0.0, **money),
+        dict(PULocationID=1, airport_fee=0.0, **{**money, "tip_amount": None}),
+    ])
+    out = {r.Borough: r for r in Q.revenue_by_borough(trips, zones).collect()}
+    assert set(out) == {"Manhattan", None}
+    assert out["Manhattan"].total_tip == 2.0 and out["Manhattan"].total_fare == 20.0
+    assert out[None].total_airport_fee == 0.0 and out[None].grand_total == 31.0
+    strict = {r.Borough: r for r in Q.revenue_by_borough_strict(trips, zones).collect()}
+    assert set(strict) == {"Manhattan", "Unknown"}
+    assert strict["Manhattan"].total_fare == 10.0          # row with NULL tip dropped
+    assert strict["Unknown"].total_airport_fee == 0.0      # NULL fee counted as 0
+
+
+def test_lookup_duplicate_zone_id_is_an_error(spark):
+    dup = make_zones(spark, [(1, "A", "a"), (1, "B", "b")])
+    trips = make_trips(spark, [dict(PULocationID=1, DOLocationID=1)])
+    with pytest.raises(ValueError):
+        Q.same_borough_trips(trips, dup)
