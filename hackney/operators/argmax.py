@@ -22,10 +22,15 @@ def arg_max(df: DataFrame, keys: list[str], order: list,
     ``order`` columns compare lexicographically (later ones break ties of
     earlier ones); a NULL order sorts below every value.
     """
+    # A payload that is itself an order column is read back from the order
+    # field, keeping the struct (and the sort buffer) narrow.
+    slots = {o: f"_o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+    extra = {name: v for name, v in payload.items() if not (isinstance(v, str) and v in slots)}
     best = F.struct(*[_c(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                    *[_c(v).alias(f"_p_{name}") for name, v in payload.items()])
+                    *[_c(v).alias(f"_p_{name}") for name, v in extra.items()])
     agg = df.groupBy(*keys).agg(F.max(best).alias("_best"))
-    return agg.select(*keys, *[F.col(f"_best._p_{name}").alias(name) for name in payload])
+    field = {name: slots[v] if name not in extra else f"_p_{name}" for name, v in payload.items()}
+    return agg.select(*keys, *[F.col(f"_best.{field[name]}").alias(name) for name in payload])
 
 
 def ordered_first(value, order: list) -> Column:

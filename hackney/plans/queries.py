@@ -29,7 +29,7 @@ from hackney.functions.timefn import elapsed_minutes, is_night, pickup_hour
 from hackney.operators.argmax import arg_max, ordered_first
 from hackney.operators.filters import DROPOFF_COORDS, PICKUP_COORDS, nonzero_coordinates
 from hackney.operators.lookup import DimensionCheck, check_dimension, lookup_join
-from hackney.operators.topk import sort_total, top_k
+from hackney.operators.topk import sort_small, top_k
 from hackney.schemas import REVENUE_COMPONENTS
 
 PU, DO = "PULocationID", "DOLocationID"
@@ -58,7 +58,7 @@ def hourly_mean_pickup(trips: DataFrame, keep_null_hour: bool = False) -> DataFr
     out = rows.groupBy("hour").agg(
         exact_mean("pickup_longitude").alias("avg_longitude"),
         exact_mean("pickup_latitude").alias("avg_latitude"))
-    return sort_total(out, "hour")
+    return sort_small(out, "hour")  # <= 25 rows: 24 hours (+ NULL)
 
 
 # -- Q2 ---------------------------------------------------------------------
@@ -82,7 +82,7 @@ def longest_trip_per_vendor(trips: DataFrame) -> DataFrame:
                    {"max_distance_km": "distance", "trip_duration_min": "duration"})
     out = best.select("VendorID", round_to("max_distance_km", 6).alias("max_distance_km"),
                       "trip_duration_min")
-    return sort_total(out, "VendorID")
+    return sort_small(out, "VendorID")  # one row per vendor
 
 
 def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
     out = legs.groupBy("VendorID").agg(
         round_to(F.max("distance"), 6).alias("max_distance_km"),
         ordered_first("duration", ["tpep_pickup_datetime", "duration"]).alias("first_duration_min"))
-    return sort_total(out, "VendorID")
+    return sort_small(out, "VendorID")  # one row per vendor
 
 
 # -- Q3 ---------------------------------------------------------------------
@@ -125,7 +125,7 @@ def same_borough_trips(trips: DataFrame, zones: DataFrame,
                         how="inner", check=check)
     out = (named.where(F.col("PickupBorough") == F.col("DropoffBorough"))
            .groupBy("PickupBorough").agg(F.sum("n").alias("TotalTrips")))
-    return sort_total(out, "-TotalTrips", "PickupBorough")
+    return sort_small(out, "-TotalTrips", "PickupBorough")  # one row per borough
 
 
 # -- Q4 ---------------------------------------------------------------------
@@ -137,7 +137,7 @@ def night_trips_per_vendor(trips: DataFrame) -> DataFrame:
     """
     out = (trips.where(is_night("tpep_pickup_datetime"))
            .groupBy("VendorID").agg(F.count(F.lit(1)).alias("NightTripsCount")))
-    return sort_total(out, "-NightTripsCount", "VendorID")
+    return sort_small(out, "-NightTripsCount", "VendorID")  # one row per vendor
 
 
 # -- Q5 ---------------------------------------------------------------------
@@ -176,7 +176,7 @@ def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
                         default=UNKNOWN, check=check)
     named = lookup_join(named, zones, DO, ZONE_KEY, {"Zone": "DropoffZone"},
                         default=UNKNOWN, check=check)
-    out = sort_total(named, "-TripCount", PU, DO)
+    out = sort_small(named, "-TripCount", PU, DO)  # k rows
     return out.select("PickupZone", "DropoffZone", "TripCount")
 
 
@@ -190,7 +190,7 @@ def _revenue(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
                         how="left", default=default, check=check)
     out = named.groupBy("Borough").agg(
         *[(F.sum(dst) / F.lit(100.0)).alias(dst) for _, dst in REVENUE_COMPONENTS])
-    return sort_total(out, "-grand_total", "Borough")
+    return sort_small(out, "-grand_total", "Borough")  # one row per borough (+ NULL)
 
 
 def revenue_by_borough(trips: DataFrame, zones: DataFrame,
