@@ -1,10 +1,11 @@
 """Column-expression building blocks (all JVM-side, inside whole-stage codegen)."""
 
+from hackney.functions.display import preview, report
 from hackney.functions.geo import haversine_km, register_sql_functions
 from hackney.functions.numeric import exact_mean, money_sum, round_to
 from hackney.functions.timefn import elapsed_minutes, in_hour_window, is_night, pickup_hour
 
 __all__ = [
     "haversine_km", "register_sql_functions", "exact_mean", "money_sum", "round_to",
-    "elapsed_minutes", "in_hour_window", "is_night", "pickup_hour",
+    "elapsed_minutes", "in_hour_window", "is_night", "pickup_hour", "preview", "report",
 ]

@@ -96,6 +96,14 @@ def q4_night_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.night_trips_per_vendor(trips)
 
 
+def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv(spark, trips_csv(spark, sf_dir), schema=TRIPS)
+
+
+def _csv_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv(spark, zones_csv(spark, sf_dir), schema=ZONES)
+
+
 QUERIES: dict[str, Query] = {
     "c0_csv_to_parquet": c0_csv_to_parquet,
     "q1_hourly_mean_pickup": lambda s, d: Q.hourly_mean_pickup(_trips(s, d)),
@@ -110,6 +118,19 @@ QUERIES: dict[str, Query] = {
         lambda s, d: Q.revenue_by_borough_strict(_trips(s, d), _zones(s, d)),
     "ingest_raw_trips": ingest_raw_trips,
     "q4_night_trips_raw": q4_night_trips_raw,
+    # The same queries over typed CSV folders (the reference's DataFrame/CSV
+    # scripts); results must equal the Parquet-sourced ones.
+    "q1_hourly_mean_pickup_csv": lambda s, d: Q.hourly_mean_pickup(_csv_trips(s, d)),
+    "q2_longest_trip_per_vendor_csv": lambda s, d: Q.longest_trip_per_vendor(_csv_trips(s, d)),
+    "q3_same_borough_trips_csv":
+        lambda s, d: Q.same_borough_trips(_csv_trips(s, d), _csv_zones(s, d)),
+    "q4_night_trips_per_vendor_csv": lambda s, d: Q.night_trips_per_vendor(_csv_trips(s, d)),
+    "q5_top_zone_pairs_csv": lambda s, d: Q.top_zone_pairs(_csv_trips(s, d), _csv_zones(s, d)),
+    "q6_revenue_by_borough_csv":
+        lambda s, d: Q.revenue_by_borough(_csv_trips(s, d), _csv_zones(s, d)),
 }
 
+# Source variants share the oracle of the query they re-run.
+SAME_RESULT_AS = {k: k[: -len("_csv")] for k in QUERIES if k.endswith("_csv")}
+
 FLAGSHIP = "q5_top_zone_pairs"
