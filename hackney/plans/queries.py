@@ -135,9 +135,13 @@ def night_trips_per_vendor(trips: DataFrame) -> DataFrame:
 
     A trip with no (or an unparseable) pick-up time is not a night trip.
     """
-    out = (trips.where(is_night("tpep_pickup_datetime"))
-           .groupBy("VendorID").agg(F.count(F.lit(1)).alias("NightTripsCount")))
-    return sort_small(out, "-NightTripsCount", "VendorID")  # one row per vendor
+    return sort_small(night_trip_counts(trips), "-NightTripsCount", "VendorID")  # per vendor
+
+
+def night_trip_counts(trips: DataFrame) -> DataFrame:
+    """Unordered Q4 aggregate (also valid on a streaming ``trips``)."""
+    return (trips.where(is_night("tpep_pickup_datetime"))
+            .groupBy("VendorID").agg(F.count(F.lit(1)).alias("NightTripsCount")))
 
 
 # -- Q5 ---------------------------------------------------------------------
