@@ -27,12 +27,16 @@ def elapsed_minutes(start, end) -> Column:
 def in_hour_window(ts, start_hour: int, end_hour: int) -> Column:
     """True when the hour of ``ts`` is in [start_hour, end_hour], wrapping midnight.
 
+    Written as one ``hour(ts) IN (...)`` test so ``ts`` is referenced once:
+    when the predicate is pushed below a projection that parses ``ts`` from
+    text, a two-sided range would inline (and run) that parse twice per row.
     A NULL (unparseable) time yields NULL, which a filter treats as false.
     """
-    h = F.hour(_c(ts))
     if start_hour <= end_hour:
-        return h.between(start_hour, end_hour)
-    return (h >= start_hour) | (h <= end_hour)
+        hours = list(range(start_hour, end_hour + 1))
+    else:
+        hours = list(range(start_hour, 24)) + list(range(0, end_hour + 1))
+    return F.hour(_c(ts)).isin(hours)
 
 
 # The night window is 23:00 through 06:59.
