@@ -1,0 +1,62 @@
+"""A third of all trips on one key: results stay exact, plans combine map-side."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from hackney.plans import queries as Q
+from hackney.sources import fixtures
+from tests.conftest import SF_ORACLE
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """sf0.01 trips where every third trip starts in zone 7 with vendor 1."""
+    trips = fixtures.trips(spark, SF_ORACLE).withColumn("_i", F.monotonically_increasing_id())
+    hot = F.col("_i") % 3 == 0
+    return (trips.withColumn("PULocationID", F.when(hot, F.lit(7)).otherwise(F.col("PULocationID")))
+            .withColumn("VendorID", F.when(hot, F.lit(1)).otherwise(F.col("VendorID")))
+            .drop("_i").repartition(32).cache())
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_hot_zone_revenue_is_exact(spark, skewed):
+    zones = fixtures.zones(spark, SF_ORACLE)
+    out = {r.Borough: r.total_fare for r in Q.revenue_by_borough(skewed, zones).collect()}
+    z = zones.select(F.col("LocationID").alias("PULocationID"), "Borough")
+    expected = {r.Borough: r.s for r in skewed.join(z, "PULocationID", "left").groupBy("Borough")
+                .agg(F.sum(F.rint(F.col("fare_amount") * 100).cast("long")).alias("c"))
+                .select("Borough", (F.col("c") / 100.0).alias("s")).collect()}
+    assert out == expected
+    assert "partial_sum" in _plan(Q.revenue_by_borough(skewed, zones))
+
+
+def test_hot_vendor_arg_max_and_counts(spark, skewed):
+    best = {r.VendorID: r.max_distance_km for r in Q.longest_trip_per_vendor(skewed).collect()}
+    legs = Q._trip_legs(skewed)
+    expected = {r.VendorID: round(r.m, 6) for r in legs.groupBy("VendorID").agg(
+        F.max("distance").alias("m")).collect()}
+    assert best == expected
+    night = {r.VendorID: r.NightTripsCount for r in Q.night_trips_per_vendor(skewed).collect()}
+    assert sum(night.values()) == skewed.where(
+        F.hour("tpep_pickup_datetime").isin(23, 0, 1, 2, 3, 4, 5, 6)).count()
+    assert "partial_max" in _plan(Q.longest_trip_per_vendor(skewed))
+
+
+def test_hot_pair_top_k(spark, skewed):
+    zones = fixtures.zones(spark, SF_ORACLE)
+    top = Q.top_zone_pairs_by_id(skewed, zones, k=1).first()
+    brute = (skewed.where(F.col("PULocationID") != F.col("DOLocationID"))
+             .groupBy("PULocationID", "DOLocationID").count()
+             .orderBy(F.desc("count"), "PULocationID", "DOLocationID").first())
+    assert top.TripCount == brute["count"]
