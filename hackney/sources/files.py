@@ -52,10 +52,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         else T.StructField(name, T.StringType())
         for name in header])
     df = reader.schema(in_file).option("enforceSchema", "false").csv(path)
-    present = {name.lower(): name for name in header}
+    return conform(df, schema)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly ``schema``'s columns, matched by name case-insensitively.
+
+    Columns are cast to the declared type (a file with INT64 vendor ids or a
+    zone-layout file without coordinates reads the same); declared columns
+    the input lacks come back as NULL, extra input columns are pruned.
+    """
+    present = {name.lower(): name for name in df.columns}
     return df.select(*[
-        F.col(present[f.name.lower()]).alias(f.name) if f.name.lower() in present
-        else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(present[f.name.lower()]).cast(f.dataType) if f.name.lower() in present
+         else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields])
 
 
@@ -65,9 +75,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan (S5): columnar, vectorised, filters and columns pushed down."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan (S5): columnar, vectorised, filters and columns pushed down.
+
+    With ``schema`` the table is conformed to it by name (see :func:`conform`);
+    the casts sit above the scan, so pruning and pushdown still apply.
+    """
+    df = spark.read.parquet(path)
+    return conform(df, schema) if schema is not None else df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

@@ -143,3 +143,21 @@ def test_csv_missing_optional_column_is_null(spark, tmp_dir):
     _write(tmp_dir, "zones.csv", ["locationid,BOROUGH", "2,Queens"])
     row = files.read_csv(spark, tmp_dir, schema=ZONES).first()
     assert (row.LocationID, row.Borough, row.Zone) == (2, "Queens", None)
+
+
+def test_parquet_conform_handles_both_layouts(spark, tmp_dir):
+    # A zone-id layout file (no coordinates, capitalised fee, bigint vendor)
+    # and a coordinate layout file read under one schema.
+    spark.createDataFrame([(2, ts("2024-01-01 01:00:00"), 132, 1.75)],
+                          "VendorID bigint, tpep_pickup_datetime timestamp_ntz, "
+                          "PULocationID int, Airport_fee double").write.parquet(f"{tmp_dir}/y2024")
+    spark.createDataFrame([(1, ts("2015-01-01 23:00:00"), -73.9, 40.7)],
+                          "VendorID int, tpep_pickup_datetime timestamp_ntz, "
+                          "pickup_longitude double, pickup_latitude double"
+                          ).write.parquet(f"{tmp_dir}/y2015")
+    a = files.read_parquet(spark, f"{tmp_dir}/y2024", schema=TRIPS).first()
+    b = files.read_parquet(spark, f"{tmp_dir}/y2015", schema=TRIPS).first()
+    assert (a.VendorID, a.airport_fee, a.pickup_longitude) == (2, 1.75, None)
+    assert (b.VendorID, b.pickup_longitude, b.PULocationID) == (1, -73.9, None)
+    night = Q.night_trips_per_vendor(files.read_parquet(spark, f"{tmp_dir}/y2024", schema=TRIPS))
+    assert [tuple(r) for r in night.collect()] == [(2, 1)]
