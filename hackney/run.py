@@ -1,6 +1,6 @@
 """Command-line runner: one query over trip files, like the reference's scripts.
 
-    spark-submit --py-files hackney.zip -m hackney.run q5_top_zone_pairs \\
+    spark-submit --py-files hackney.zip hackney/run.py q5_top_zone_pairs \\
         --trips hdfs:///data/yellow_tripdata_2024 --trips-format parquet \\
         --zones hdfs:///data/taxi_zone_lookup.csv
 
