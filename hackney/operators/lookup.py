@@ -6,8 +6,8 @@ only safe for a side whose size is *checked*: ``check_dimension`` reads at most
 ``max_rows + 1`` rows of the dimension (one small job) and only a dimension
 that fits is hinted for broadcast. Anything larger is joined without a hint,
 so the planner falls back to a shuffle join (AQE may still convert it at
-runtime from real statistics). Callers that aggregate the facts on the join
-key *before* the lookup keep even that fallback cheap.
+runtime from real statistics); ``reduce_for_lookup`` then aggregates the
+facts on the join key first, keeping that fallback cheap.
 
 The same check verifies the key is unique: a duplicated id would silently
 multiply fact rows in a join.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast bound for a lookup side, in rows. Zones are ~265 rows; 1M narrow
@@ -78,3 +78,25 @@ def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
         for dst in columns.values():
             joined = joined.withColumn(dst, F.coalesce(F.col(dst), F.lit(default)))
     return joined
+
+
+def reduce_for_lookup(facts: DataFrame, keys: list[str], measures: dict[str, Column],
+                      check: DimensionCheck) -> DataFrame:
+    """Fact rows shaped for a lookup on ``keys``, carrying additive ``measures``.
+
+    * Dimension proven small (broadcast): rows pass through one per fact. Each
+      task probes the broadcast map and the caller's aggregate on the coarse
+      output key (a borough, a zone name) combines map-side, so a task emits
+      a handful of rows — pre-aggregating on the fine ids first would make
+      every task emit one row per id (pair) it saw.
+    * Dimension not provably small: facts are summed per key *before* the
+      join (eager aggregation), so the shuffle join only meets one row per
+      distinct id — never raw facts, never a skewed hot id.
+
+    Either way the caller sums the measures after the lookup; counts are
+    measures of 1.
+    """
+    rows = facts.select(*keys, *[m.alias(name) for name, m in measures.items()])
+    if check.bounded:
+        return rows
+    return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])

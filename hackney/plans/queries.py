@@ -10,10 +10,10 @@ few hundred:
 * every aggregate has a partial (map-side) phase, so the shuffles carry one
   row per group per task, never raw trips, and a hot key (a third of all
   trips in one zone or vendor) is combined before it reaches any one task;
-* zone lookups aggregate the trips on the integer ids first (at most
-  zones x zones groups) and join names onto those aggregates: the per-row
-  work is an int-keyed hash aggregate, and even a dimension too big to
-  broadcast only meets the small aggregate in its shuffle join;
+* zone lookups broadcast the zone table once its size is proven small and
+  aggregate on the output key (borough, zone name) after the join, so each
+  task emits a handful of rows; a zone table too big to broadcast instead
+  meets trips already aggregated per zone id (``reduce_for_lookup``);
 * money and means are summed as integers (``hackney.functions.numeric``), so
   results do not depend on partitioning.
 """
@@ -28,7 +28,8 @@ from hackney.functions.numeric import exact_mean, round_to, scaled_long
 from hackney.functions.timefn import elapsed_minutes, is_night, pickup_hour
 from hackney.operators.argmax import arg_max, ordered_first
 from hackney.operators.filters import DROPOFF_COORDS, PICKUP_COORDS, nonzero_coordinates
-from hackney.operators.lookup import DimensionCheck, check_dimension, lookup_join
+from hackney.operators.lookup import (DimensionCheck, check_dimension, lookup_join,
+                                      reduce_for_lookup)
 from hackney.operators.topk import sort_small, top_k
 from hackney.schemas import REVENUE_COMPONENTS
 
@@ -104,10 +105,24 @@ def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
 
 def _pair_counts(trips: DataFrame, name: str, distinct_ids: bool = False) -> DataFrame:
     """Trip counts per (pick-up id, drop-off id), NULL ids dropped."""
-    cond = F.col(PU).isNotNull() & F.col(DO).isNotNull()
+    return trips.where(_pair_filter(distinct_ids)).groupBy(PU, DO).agg(
+        F.count(F.lit(1)).alias(name))
+
+
+def _pair_filter(distinct_ids: bool):
     if distinct_ids:
-        cond = F.col(PU) != F.col(DO)
-    return trips.where(cond).groupBy(PU, DO).agg(F.count(F.lit(1)).alias(name))
+        return F.col(PU) != F.col(DO)   # NULL-rejecting as well
+    return F.col(PU).isNotNull() & F.col(DO).isNotNull()
+
+
+def _named_pairs(trips: DataFrame, zones: DataFrame, check: DimensionCheck, attr: str,
+                 names: tuple[str, str], distinct_ids: bool) -> DataFrame:
+    """Trips (or per-id-pair trip counts, see ``reduce_for_lookup``) with the
+    zone attribute ``attr`` of both ends attached; unknown ids dropped."""
+    facts = reduce_for_lookup(trips.where(_pair_filter(distinct_ids)), [PU, DO],
+                              {"n": F.lit(1).cast("long")}, check)
+    named = lookup_join(facts, zones, PU, ZONE_KEY, {attr: names[0]}, how="inner", check=check)
+    return lookup_join(named, zones, DO, ZONE_KEY, {attr: names[1]}, how="inner", check=check)
 
 
 def same_borough_trips(trips: DataFrame, zones: DataFrame,
@@ -118,11 +133,8 @@ def same_borough_trips(trips: DataFrame, zones: DataFrame,
     PickupBorough, TotalTrips.
     """
     check = _zone_check(zones, check)
-    pairs = _pair_counts(trips, "n")
-    named = lookup_join(pairs, zones, PU, ZONE_KEY, {"Borough": "PickupBorough"},
-                        how="inner", check=check)
-    named = lookup_join(named, zones, DO, ZONE_KEY, {"Borough": "DropoffBorough"},
-                        how="inner", check=check)
+    named = _named_pairs(trips, zones, check, "Borough", ("PickupBorough", "DropoffBorough"),
+                         distinct_ids=False)
     out = (named.where(F.col("PickupBorough") == F.col("DropoffBorough"))
            .groupBy("PickupBorough").agg(F.sum("n").alias("TotalTrips")))
     return sort_small(out, "-TotalTrips", "PickupBorough")  # one row per borough
@@ -155,11 +167,8 @@ def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
     PickupZone, DropoffZone, TripCount.
     """
     check = _zone_check(zones, check)
-    pairs = _pair_counts(trips, "n", distinct_ids=True)
-    named = lookup_join(pairs, zones, PU, ZONE_KEY, {"Zone": "PickupZone"},
-                        how="inner", check=check)
-    named = lookup_join(named, zones, DO, ZONE_KEY, {"Zone": "DropoffZone"},
-                        how="inner", check=check)
+    named = _named_pairs(trips, zones, check, "Zone", ("PickupZone", "DropoffZone"),
+                         distinct_ids=True)
     out = named.groupBy("PickupZone", "DropoffZone").agg(F.sum("n").alias("TripCount"))
     return top_k(out, k, "-TripCount", "PickupZone", "DropoffZone")
 
@@ -188,9 +197,9 @@ def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
 
 def _revenue(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
              default: str | None) -> DataFrame:
-    cents = [F.sum(scaled_long(src, 2)).alias(dst) for src, dst in REVENUE_COMPONENTS]
-    per_zone = trips.groupBy(PU).agg(*cents)
-    named = lookup_join(per_zone, zones, PU, ZONE_KEY, {"Borough": "Borough"},
+    cents = {dst: scaled_long(src, 2) for src, dst in REVENUE_COMPONENTS}
+    facts = reduce_for_lookup(trips, [PU], cents, check)
+    named = lookup_join(facts, zones, PU, ZONE_KEY, {"Borough": "Borough"},
                         how="left", default=default, check=check)
     out = named.groupBy("Borough").agg(
         *[(F.sum(dst) / F.lit(100.0)).alias(dst) for _, dst in REVENUE_COMPONENTS])

@@ -85,3 +85,28 @@ def test_q6_reads_only_revenue_columns(spark, trips_parquet):
     plan = physical(Q.revenue_by_borough(trips, fixtures.zones(spark, SF_SMALL)))
     for unused in ("pickup_longitude", "tpep_pickup_datetime", "DOLocationID", "VendorID"):
         assert unused not in plan.split("ReadSchema: ")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("key", ["q3_same_borough_trips", "q5_top_zone_pairs",
+                                 "q6_revenue_by_borough"])
+def test_broadcast_lookup_needs_one_hash_shuffle(spark, key):
+    # Join per trip against the broadcast zones, then one shuffle on the
+    # output key: no per-zone-id pre-aggregation stage.
+    plan = physical(entry.queries()[key](spark, SF_SMALL))
+    assert plan.count("Arguments: hashpartitioning(") == 1, plan
+
+
+def test_unbounded_zone_table_aggregates_before_the_join(spark):
+    from hackney.operators import check_dimension
+    trips, zones = fixtures.trips(spark, SF_SMALL), fixtures.zones(spark, SF_SMALL)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check = check_dimension(zones, "LocationID", max_rows=10)
+        plan = physical(Q.revenue_by_borough(trips, zones, check=check))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    head, _, _ = plan.partition("\n\n")
+    assert "BroadcastHashJoin" not in head
+    # trips are summed per PULocationID before meeting the zone table
+    assert "Keys [1]: [PULocationID" in plan

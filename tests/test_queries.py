@@ -126,3 +126,16 @@ def test_lookup_duplicate_zone_id_is_an_error(spark):
     trips = make_trips(spark, [dict(PULocationID=1, DOLocationID=1)])
     with pytest.raises(ValueError):
         Q.same_borough_trips(trips, dup)
+
+
+@pytest.mark.parametrize("query", ["same_borough_trips", "top_zone_pairs", "top_zone_pairs_by_id",
+                                   "revenue_by_borough", "revenue_by_borough_strict"])
+def test_unbroadcastable_zone_table_gives_the_same_result(spark, query):
+    from hackney.operators import check_dimension
+    from hackney.sources import fixtures
+    from tests.conftest import SF_ORACLE
+    trips, zones = fixtures.trips(spark, SF_ORACLE), fixtures.zones(spark, SF_ORACLE)
+    small = check_dimension(zones, "LocationID", max_rows=10)
+    assert not small.bounded
+    fn = getattr(Q, query)
+    assert fn(trips, zones, check=small).collect() == fn(trips, zones).collect()
