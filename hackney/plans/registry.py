@@ -174,5 +174,3 @@ QUERIES: dict[str, Query] = {
 SAME_RESULT_AS = {k: k[: -len("_csv")] for k in QUERIES if k.endswith("_csv")}
 SAME_RESULT_AS.update({"q4_night_trips_stream": "q4_night_trips_per_vendor",
                        "q6_revenue_by_borough_stream": "q6_revenue_by_borough"})
-
-FLAGSHIP = "q5_top_zone_pairs"
