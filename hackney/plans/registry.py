@@ -113,6 +113,7 @@ def q4_night_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Micro-batch size for the streaming entries: the 8-file trips folder arrives
 # as 2 micro-batches, so state carries over between batches.
 STREAM_FILES_PER_TRIGGER = 4
+STREAM_STATE_PARTITIONS = 8  # state holds one row per vendor / borough
 
 
 def q4_night_trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +121,8 @@ def q4_night_trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = streaming.trip_stream(spark, trips_parquet(spark, sf_dir),
                                   max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     out = scratch_path(spark, "streams", "q4_out")
-    streaming.run_to_table(spark, streaming.night_trips_stream(trips), out)
+    streaming.run_to_table(spark, streaming.night_trips_stream(trips), out,
+                           state_partitions=STREAM_STATE_PARTITIONS)
     return sort_small(files.read_parquet(spark, out), "-NightTripsCount", "VendorID")
 
 
@@ -129,7 +131,8 @@ def q6_revenue_by_borough_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = streaming.trip_stream(spark, trips_parquet(spark, sf_dir),
                                   max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     out = scratch_path(spark, "streams", "q6_out")
-    streaming.run_to_table(spark, streaming.revenue_stream(trips, _zones(spark, sf_dir)), out)
+    streaming.run_to_table(spark, streaming.revenue_stream(trips, _zones(spark, sf_dir)), out,
+                           state_partitions=STREAM_STATE_PARTITIONS)
     return sort_small(files.read_parquet(spark, out), "-grand_total", "Borough")
 
 

@@ -59,12 +59,18 @@ def revenue_stream(trips: DataFrame, zones: DataFrame,
 
 
 def run_to_table(spark: SparkSession, result: DataFrame, table_path: str,
-                 checkpoint: str | None = None, available_now: bool = True):
+                 checkpoint: str | None = None, available_now: bool = True,
+                 state_partitions: int | None = None):
     """Run a streaming aggregate in complete mode into a Parquet table.
 
     With ``available_now`` the query processes every file present, in as many
     micro-batches as the source options allow, then stops; otherwise it keeps
     running and the caller owns the returned ``StreamingQuery``.
+
+    ``state_partitions`` sets the number of state-store partitions of the
+    aggregation (fixed in the checkpoint at the first start; AQE does not
+    resize stateful streams). Partial aggregates are combined before the
+    shuffle, so a state bounded by vendors/boroughs needs only a few.
     """
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(table_path)
@@ -72,7 +78,14 @@ def run_to_table(spark: SparkSession, result: DataFrame, table_path: str,
     writer = (result.writeStream.outputMode("complete").foreachBatch(write_epoch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "streams")))
     writer = writer.trigger(availableNow=True) if available_now else writer
-    query = writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions is not None:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        query = writer.start()  # the stream keeps a copy of the session conf
+    finally:
+        spark.conf.set(key, previous)
     if available_now:
         query.awaitTermination()
     return query
