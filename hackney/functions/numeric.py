@@ -3,9 +3,11 @@
 Double sums depend on the order rows meet in partial aggregates, so the same
 query can print different last digits on different cluster layouts. Money is
 summed as whole cents in a LONG and means as whole micro-units: integer sums
-are exact, associative and cheap (codegen'd, no BigDecimal), so results are
-identical on any partitioning and across engines. A LONG of cents overflows
-only past 9.2e16 currency units; ANSI mode raises instead of wrapping.
+are exact and associative, so results are identical on any partitioning and
+across engines. A LONG of cents overflows only past 9.2e16 currency units
+(ANSI mode raises instead of wrapping), far above any trip table's total, and
+stays codegen'd without BigDecimal; the micro-unit sums of means, which can
+pass 9.2e18 at 10^12 rows, use DECIMAL(38,0).
 """
 
 from __future__ import annotations
@@ -40,11 +42,21 @@ def money_sum(x, decimals: int = 2) -> Column:
 def exact_mean(x, decimals: int = 6) -> Column:
     """Mean of ``x`` rounded to ``decimals`` places, independent of row order.
 
-    Values are summed as integers of 10^-decimals; the quotient is correctly
-    rounded (IEEE division) and then rounded to the nearest unit, ties to even.
+    Each value becomes an integer count of 10^-decimals units, summed as
+    DECIMAL(38,0): a LONG sum of micro-degrees would overflow past ~10^11
+    rows per group, well within a 100 TB trip table. The quotient is rounded
+    exactly (integer remainder, ties to even on the magnitude), so the result
+    is the same on any partitioning and in any engine. NULL for no values.
     """
-    total = F.sum(scaled_long(x, decimals))
-    return F.rint(total / F.count(_c(x))) / F.lit(10.0 ** decimals)
+    units = F.rint(_c(x) * F.lit(10.0 ** decimals)).cast("decimal(38,0)")
+    total = F.sum(units)
+    n = F.count(_c(x))
+    magnitude = F.abs(total)
+    remainder = magnitude % n
+    quotient = (magnitude - remainder) / n          # exact: divisible
+    round_up = (remainder * 2 > n) | ((remainder * 2 == n) & (quotient % 2 == 1))
+    rounded = quotient + F.when(round_up, F.lit(1)).otherwise(F.lit(0))
+    return F.when(n > 0, F.signum(total) * rounded.cast("double") / F.lit(10.0 ** decimals))
 
 
 def round_to(x, decimals: int) -> Column:

@@ -36,9 +36,17 @@ def _with(body: str, keyed: bool = False) -> str:
             f"zones AS ({ZONES_SQL.format(nation='nation', region='region')})\n{body}")
 
 
-def _mean(col: str) -> str:
-    return (f"round_even(SUM(CAST(round_even({col} * CAST(1000000 AS DOUBLE), 0) AS BIGINT)) "
-            f"/ COUNT({col}), 0) / CAST(1000000 AS DOUBLE)")
+def _units_sum(col: str) -> str:
+    return f"CAST(SUM(CAST(round_even({col} * CAST(1000000 AS DOUBLE), 0) AS HUGEINT)) AS HUGEINT)"
+
+
+def _exact_mean(total: str, n: str) -> str:
+    """Integer quotient of micro-units, ties to even on the magnitude."""
+    r = f"(abs({total}) % {n})"
+    q = f"((abs({total}) - {r}) // {n})"
+    return (f"CASE WHEN {n} > 0 THEN sign({total}) * CAST({q} + CASE WHEN 2 * {r} > {n} "
+            f"OR (2 * {r} = {n} AND {q} % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) "
+            f"/ CAST(1000000 AS DOUBLE) END")
 
 
 def _cents(col: str) -> str:
@@ -82,12 +90,16 @@ ORACLE_SQL: dict[str, str] = {
     "c0_csv_to_parquet": _with("SELECT * FROM trips"),
 
     "q1_hourly_mean_pickup": _with(f"""
-SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
-  {_mean('pickup_longitude')} AS avg_longitude,
-  {_mean('pickup_latitude')} AS avg_latitude
-FROM trips
-WHERE pickup_longitude != 0 AND pickup_latitude != 0 AND tpep_pickup_datetime IS NOT NULL
-GROUP BY 1 ORDER BY 1"""),
+, sums AS (
+  SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
+    {_units_sum('pickup_longitude')} AS lon_units, COUNT(pickup_longitude) AS lon_n,
+    {_units_sum('pickup_latitude')} AS lat_units, COUNT(pickup_latitude) AS lat_n
+  FROM trips
+  WHERE pickup_longitude != 0 AND pickup_latitude != 0 AND tpep_pickup_datetime IS NOT NULL
+  GROUP BY 1)
+SELECT hour, {_exact_mean('lon_units', 'lon_n')} AS avg_longitude,
+  {_exact_mean('lat_units', 'lat_n')} AS avg_latitude
+FROM sums ORDER BY hour""".lstrip("\n")),
 
     "q2_longest_trip_per_vendor": _with(f""", {_LEGS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY VendorID
