@@ -37,15 +37,18 @@ def check_dimension(dim: DataFrame, key: str,
                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DimensionCheck:
     """Bound the row count of ``dim`` and test ``key`` for uniqueness in one job.
 
-    At most ``max_rows + 1`` keys reach the driver — the same bound a
-    broadcast of the dimension would ship anyway — so the check itself never
-    grows with a large table.
+    The job reads at most ``max_rows + 1`` rows of the dimension and returns
+    one row (total rows, largest multiplicity of a non-NULL key), so the check
+    never grows with a large table and nothing but that row reaches the driver.
     """
-    keys = [r[0] for r in dim.select(key).limit(max_rows + 1).collect()]
-    bounded = len(keys) <= max_rows
-    present = [k for k in keys if k is not None]
-    unique = (len(set(present)) == len(present)) if bounded else None
-    return DimensionCheck(bounded, len(keys), unique)
+    per_key = dim.select(key).limit(max_rows + 1).groupBy(key).count()
+    row = per_key.agg(
+        F.sum("count").alias("rows"),
+        F.max(F.when(F.col(key).isNotNull(), F.col("count"))).alias("max_dup")).first()
+    rows = row["rows"] or 0
+    bounded = rows <= max_rows
+    unique = (row["max_dup"] or 0) <= 1 if bounded else None
+    return DimensionCheck(bounded, rows, unique)
 
 
 def lookup_side(dim: DataFrame, check: DimensionCheck) -> DataFrame:
