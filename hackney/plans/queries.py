@@ -195,14 +195,24 @@ def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
 
 # -- Q6 ---------------------------------------------------------------------
 
-def _revenue(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
-             default: str | None) -> DataFrame:
+def revenue_sums(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
+                 default: str | None = None) -> DataFrame:
+    """Unordered Q6 aggregate: eight sums (whole cents, exact) per pick-up borough.
+
+    With a broadcastable zone table this is one aggregation after a
+    broadcast join, which is also valid on a streaming ``trips``.
+    """
     cents = {dst: scaled_long(src, 2) for src, dst in REVENUE_COMPONENTS}
     facts = reduce_for_lookup(trips, [PU], cents, check)
     named = lookup_join(facts, zones, PU, ZONE_KEY, {"Borough": "Borough"},
                         how="left", default=default, check=check)
-    out = named.groupBy("Borough").agg(
+    return named.groupBy("Borough").agg(
         *[(F.sum(dst) / F.lit(100.0)).alias(dst) for _, dst in REVENUE_COMPONENTS])
+
+
+def _revenue(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
+             default: str | None) -> DataFrame:
+    out = revenue_sums(trips, zones, check, default)
     return sort_small(out, "-grand_total", "Borough")  # one row per borough (+ NULL)
 
 

@@ -71,6 +71,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--zones-format", choices=["parquet", "csv"], default="csv")
     p.add_argument("--output", help="write the result here as Parquet instead of printing")
     p.add_argument("--show", type=int, default=50, help="rows to print")
+    p.add_argument("--explain", action="store_true",
+                   help="print the formatted physical plan before running")
     return p.parse_args(argv)
 
 
@@ -79,6 +81,8 @@ def main(argv: list[str] | None = None) -> DataFrame:
     spark = SparkSession.builder.appName(f"hackney-{args.query}").getOrCreate()
     start = time.perf_counter()
     result = build(spark, args)
+    if args.explain:
+        result.explain("formatted")
     if args.output:
         files.write_parquet(result, args.output)
     else:

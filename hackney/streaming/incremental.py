@@ -17,13 +17,11 @@ continues where it stopped and never counts a file twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hackney.functions.numeric import scaled_long
-from hackney.operators.lookup import DimensionCheck, check_dimension, lookup_join
-from hackney.plans.queries import PU, ZONE_KEY, night_trip_counts
-from hackney.schemas import REVENUE_COMPONENTS, TIMESTAMP_FORMAT, TRIPS
+from hackney.operators.lookup import DimensionCheck, check_dimension
+from hackney.plans.queries import ZONE_KEY, night_trip_counts, revenue_sums
+from hackney.schemas import TIMESTAMP_FORMAT, TRIPS
 from hackney.session import scratch_path
 
 
@@ -47,15 +45,14 @@ def revenue_stream(trips: DataFrame, zones: DataFrame,
                    check: DimensionCheck | None = None) -> DataFrame:
     """Q6's eight sums per pick-up borough as one streaming aggregation.
 
-    Sums are whole cents (LONG) in the state and divided on output; an
-    unmatched zone forms the NULL borough group, as in the batch query.
+    Needs a zone table proven small enough to broadcast: the stream-static
+    join then feeds a single aggregation (the eager per-id shape for a large
+    zone table would chain two aggregations, which complete mode forbids).
     """
     check = check if check is not None else check_dimension(zones, ZONE_KEY)
-    named = lookup_join(trips, zones, PU, ZONE_KEY, {"Borough": "Borough"}, how="left",
-                        check=check)
-    return named.groupBy("Borough").agg(
-        *[(F.sum(scaled_long(src, 2)) / F.lit(100.0)).alias(dst)
-          for src, dst in REVENUE_COMPONENTS])
+    if not check.bounded:
+        raise ValueError("streaming revenue needs a broadcastable zone table")
+    return revenue_sums(trips, zones, check)
 
 
 def run_to_table(spark: SparkSession, result: DataFrame, table_path: str,

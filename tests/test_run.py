@@ -41,3 +41,10 @@ def test_runner_requires_zones(spark, inputs):
     base, _, _ = inputs
     with pytest.raises(SystemExit):
         run.main(["q3_same_borough_trips", "--trips", f"{base}/pq"])
+
+
+def test_runner_explain(spark, inputs, capsys):
+    base, _, _ = inputs
+    run.main(["q1_hourly_mean_pickup", "--trips", f"{base}/pq", "--explain", "--show", "3"])
+    out = capsys.readouterr().out
+    assert "== Physical Plan ==" in out and "PushedFilters" in out
