@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from hackney.sources.fixtures import (RAW_BAD_TIME_RULE, RAW_SHORT_FIELDS, RAW_SHORT_RULE,
                                       TRIPS_SQL, ZONES_SQL)
+from hackney.plans.raw import RAW_VARIANTS
 from hackney.schemas import TRIPS
 
 _PICKUP_SECS = "(l_orderkey*7919 + l_linenumber*104729 + l_partkey*31) % 86400"
@@ -76,59 +77,70 @@ _REVENUE_SUMS = ",\n  ".join(f"{_cents(src)} AS {dst}" for src, dst in _REVENUE)
 _NIGHT = "(hour(tpep_pickup_datetime) = 23 OR hour(tpep_pickup_datetime) BETWEEN 0 AND 6)"
 
 
-def _ingested_trips() -> str:
-    cols = []
-    for name in TRIPS.fieldNames():
-        if name == "tpep_pickup_datetime":
-            cols.append(f"CASE WHEN {RAW_BAD_TIME_RULE} THEN NULL ELSE {name} END AS {name}")
-        else:
-            cols.append(name)
-    return f"SELECT {', '.join(cols)} FROM trips WHERE NOT ({RAW_SHORT_RULE})"
+def _raw_trips(columns: list[str]) -> str:
+    """The rows a raw-text query parsing ``columns`` sees: bad pick-up times are
+    NULL, and rows cut short are gone only if a needed field lies beyond the cut."""
+    names = TRIPS.fieldNames()
+    cols = [f"CASE WHEN {RAW_BAD_TIME_RULE} THEN NULL ELSE {n} END AS {n}"
+            if n == "tpep_pickup_datetime" else n for n in names]
+    arity = max(names.index(c) for c in columns) + 1
+    where = f"WHERE NOT ({RAW_SHORT_RULE})" if arity > RAW_SHORT_FIELDS else ""
+    return f"SELECT {', '.join(cols)} FROM trips {where}"
 
 
-ORACLE_SQL: dict[str, str] = {
-    "c0_csv_to_parquet": _with("SELECT * FROM trips"),
+def _with_raw(body: str, columns: list[str]) -> str:
+    """``body`` evaluated over the raw-text view of the trips."""
+    body = body.replace("FROM trips", "FROM raw_trips")
+    sep = "" if body.lstrip().startswith(",") else "\n"
+    return _with(f", raw_trips AS ({_raw_trips(columns)}){sep}{body}", keyed=True)
 
-    "q1_hourly_mean_pickup": _with(f"""
+
+_Q1 = f"""
 , sums AS (
   SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
     {_units_sum('pickup_longitude')} AS lon_units, COUNT(pickup_longitude) AS lon_n,
     {_units_sum('pickup_latitude')} AS lat_units, COUNT(pickup_latitude) AS lat_n
   FROM trips
-  WHERE pickup_longitude != 0 AND pickup_latitude != 0 AND tpep_pickup_datetime IS NOT NULL
+  WHERE pickup_longitude != 0 AND pickup_latitude != 0 __NULL_HOUR_RULE__
   GROUP BY 1)
 SELECT hour, {_exact_mean('lon_units', 'lon_n')} AS avg_longitude,
   {_exact_mean('lat_units', 'lat_n')} AS avg_latitude
-FROM sums ORDER BY hour""".lstrip("\n")),
+FROM sums ORDER BY hour""".lstrip("\n")
+
+_BODIES: dict[str, str] = {
+    "c0_csv_to_parquet": "SELECT * FROM trips",
+
+    "q1_hourly_mean_pickup": _Q1.replace("__NULL_HOUR_RULE__",
+                                         "AND tpep_pickup_datetime IS NOT NULL"),
 
-    "q2_longest_trip_per_vendor": _with(f""", {_LEGS},
+    "q2_longest_trip_per_vendor": f""", {_LEGS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY VendorID
                     ORDER BY distance DESC NULLS LAST, duration DESC NULLS LAST) AS rn FROM legs)
 SELECT VendorID, ROUND(distance, 6) AS max_distance_km, duration AS trip_duration_min
-FROM ranked WHERE rn = 1 ORDER BY VendorID"""),
+FROM ranked WHERE rn = 1 ORDER BY VendorID""",
 
-    "q2_max_and_first": _with(f""", {_LEGS},
+    "q2_max_and_first": f""", {_LEGS},
 firsts AS (SELECT VendorID, duration, row_number() OVER (PARTITION BY VendorID
                     ORDER BY pu ASC, duration ASC NULLS FIRST) AS rn FROM legs WHERE pu IS NOT NULL)
 SELECT l.VendorID, ROUND(MAX(l.distance), 6) AS max_distance_km,
        MAX(f.duration) AS first_duration_min
 FROM legs l LEFT JOIN firsts f ON l.VendorID = f.VendorID AND f.rn = 1
-GROUP BY l.VendorID ORDER BY l.VendorID"""),
+GROUP BY l.VendorID ORDER BY l.VendorID""",
 
-    "q3_same_borough_trips": _with("""
+    "q3_same_borough_trips": """
 SELECT pz.Borough AS PickupBorough, CAST(COUNT(*) AS BIGINT) AS TotalTrips
 FROM trips t
 LEFT JOIN zones pz ON t.PULocationID = pz.LocationID
 LEFT JOIN zones dz ON t.DOLocationID = dz.LocationID
 WHERE pz.Borough = dz.Borough
-GROUP BY 1 ORDER BY TotalTrips DESC, PickupBorough"""),
+GROUP BY 1 ORDER BY TotalTrips DESC, PickupBorough""",
 
-    "q4_night_trips_per_vendor": _with(f"""
+    "q4_night_trips_per_vendor": f"""
 SELECT VendorID, CAST(COUNT(*) AS BIGINT) AS NightTripsCount
 FROM trips WHERE {_NIGHT}
-GROUP BY 1 ORDER BY NightTripsCount DESC, VendorID"""),
+GROUP BY 1 ORDER BY NightTripsCount DESC, VendorID""",
 
-    "q5_top_zone_pairs": _with("""
+    "q5_top_zone_pairs": """
 SELECT pz.Zone AS PickupZone, dz.Zone AS DropoffZone, CAST(COUNT(*) AS BIGINT) AS TripCount
 FROM trips t
 LEFT JOIN zones pz ON t.PULocationID = pz.LocationID
@@ -136,9 +148,9 @@ LEFT JOIN zones dz ON t.DOLocationID = dz.LocationID
 WHERE pz.LocationID != dz.LocationID
 GROUP BY 1, 2
 ORDER BY TripCount DESC, PickupZone ASC NULLS LAST, DropoffZone ASC NULLS LAST
-LIMIT 20"""),
+LIMIT 20""",
 
-    "q5_top_zone_pairs_by_id": _with("""
+    "q5_top_zone_pairs_by_id": """
 , pairs AS (
   SELECT PULocationID, DOLocationID, CAST(COUNT(*) AS BIGINT) AS TripCount
   FROM trips WHERE PULocationID != DOLocationID
@@ -148,15 +160,15 @@ SELECT COALESCE(pz.Zone, 'Unknown') AS PickupZone, COALESCE(dz.Zone, 'Unknown')
 FROM pairs p
 LEFT JOIN zones pz ON p.PULocationID = pz.LocationID
 LEFT JOIN zones dz ON p.DOLocationID = dz.LocationID
-ORDER BY p.TripCount DESC, p.PULocationID, p.DOLocationID""".lstrip("\n")),
+ORDER BY p.TripCount DESC, p.PULocationID, p.DOLocationID""".lstrip("\n"),
 
-    "q6_revenue_by_borough": _with(f"""
+    "q6_revenue_by_borough": f"""
 SELECT z.Borough AS Borough,
   {_REVENUE_SUMS}
 FROM trips t LEFT JOIN zones z ON t.PULocationID = z.LocationID
-GROUP BY 1 ORDER BY grand_total DESC, Borough"""),
+GROUP BY 1 ORDER BY grand_total DESC, Borough""",
 
-    "q6_revenue_by_borough_unknown": _with(f"""
+    "q6_revenue_by_borough_unknown": f"""
 , strict AS (
   SELECT * REPLACE (COALESCE(airport_fee, 0) AS airport_fee) FROM trips
   WHERE PULocationID IS NOT NULL AND fare_amount IS NOT NULL AND tip_amount IS NOT NULL
@@ -165,20 +177,15 @@ GROUP BY 1 ORDER BY grand_total DESC, Borough"""),
 SELECT COALESCE(z.Borough, 'Unknown') AS Borough,
   {_REVENUE_SUMS}
 FROM strict t LEFT JOIN zones z ON t.PULocationID = z.LocationID
-GROUP BY 1 ORDER BY grand_total DESC, Borough""".lstrip("\n")),
+GROUP BY 1 ORDER BY grand_total DESC, Borough""".lstrip("\n"),
 
-    "ingest_raw_trips": _with(_ingested_trips(), keyed=True),
-
-    "q4_night_trips_raw": _with(f"""
-, raw AS (
-  SELECT VendorID,
-         CASE WHEN {RAW_BAD_TIME_RULE} THEN NULL ELSE tpep_pickup_datetime END AS tpep_pickup_datetime
-  FROM trips)
-SELECT VendorID, CAST(COUNT(*) AS BIGINT) AS NightTripsCount
-FROM raw WHERE {_NIGHT}
-GROUP BY 1 ORDER BY NightTripsCount DESC, VendorID""".lstrip("\n"), keyed=True),
 }
 
-# Raw rows cut short still carry their first RAW_SHORT_FIELDS fields, so a
-# query that reads only VendorID and the pick-up time keeps them.
-assert RAW_SHORT_FIELDS > TRIPS.fieldNames().index("tpep_pickup_datetime")
+ORACLE_SQL: dict[str, str] = {key: _with(sql) for key, sql in _BODIES.items()}
+ORACLE_SQL["ingest_raw_trips"] = _with(_raw_trips(TRIPS.fieldNames()), keyed=True)
+# Raw-text twins: the base query's body over the rows its parse keeps. Q1's
+# twin keeps the NULL-hour group (the DataFrame variant's behaviour).
+for _key, (_base, _columns) in RAW_VARIANTS.items():
+    _sql = (_Q1.replace("__NULL_HOUR_RULE__", "") if _key == "q1_hourly_mean_pickup_raw"
+            else _BODIES[_base])
+    ORACLE_SQL[_key] = _with_raw(_sql, _columns)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hackney import streaming
 from hackney.operators.topk import sort_small
 from hackney.plans import queries as Q
+from hackney.plans.raw import RAW_VARIANTS
 from hackney.schemas import TRIPS, ZONES
 from hackney.session import scratch_path
 from hackney.sources import fixtures, files, rawtext
@@ -102,12 +103,40 @@ def ingest_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS)
 
 
-def q4_night_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4 over raw text: only VendorID and the pick-up time are parsed, so rows
-    cut short further right still count; unparseable times are not night trips."""
-    trips = rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS,
-                           columns=["VendorID", "tpep_pickup_datetime"])
-    return Q.night_trips_per_vendor(trips)
+def _raw_trips(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    _, columns = RAW_VARIANTS[key]
+    return rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS, columns=columns,
+                          drop_malformed=key == "q6_revenue_by_borough_raw")
+
+
+def _raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones read the way the text scripts read them: split lines, header dropped."""
+    return rawtext.ingest(spark, zones_csv(spark, sf_dir), ZONES)
+
+
+_RAW_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "q1_hourly_mean_pickup_raw": lambda t, z: Q.hourly_mean_pickup(t, keep_null_hour=True),
+    "q2_longest_trip_per_vendor_raw": lambda t, z: Q.longest_trip_per_vendor(t),
+    "q3_same_borough_trips_raw": Q.same_borough_trips,
+    "q4_night_trips_raw": lambda t, z: Q.night_trips_per_vendor(t),
+    "q5_top_zone_pairs_by_id_raw": Q.top_zone_pairs_by_id,
+    "q6_revenue_by_borough_raw": Q.revenue_by_borough_strict,
+}
+
+
+def _raw_query(key: str) -> Query:
+    """Raw-text twin ``key``: parse the needed fields, run the base plan."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trips = _raw_trips(spark, sf_dir, key)
+        zones = _raw_zones(spark, sf_dir) if key in _NEEDS_ZONES else None
+        return _RAW_PLANS[key](trips, zones)
+    run.__name__ = key
+    run.__doc__ = f"{RAW_VARIANTS[key][0]} over raw trip text (fields {RAW_VARIANTS[key][1]})."
+    return run
+
+
+_NEEDS_ZONES = {"q3_same_borough_trips_raw", "q5_top_zone_pairs_by_id_raw",
+                "q6_revenue_by_borough_raw"}
 
 
 # Micro-batch size for the streaming entries: the 8-file trips folder arrives
@@ -157,7 +186,8 @@ QUERIES: dict[str, Query] = {
     "q6_revenue_by_borough_unknown":
         lambda s, d: Q.revenue_by_borough_strict(_trips(s, d), _zones(s, d)),
     "ingest_raw_trips": ingest_raw_trips,
-    "q4_night_trips_raw": q4_night_trips_raw,
+    # Raw-text twins (the reference's text-reading scripts), see plans/raw.py.
+    **{key: _raw_query(key) for key in RAW_VARIANTS},
     # The same queries over typed CSV folders (the reference's DataFrame/CSV
     # scripts); results must equal the Parquet-sourced ones.
     "q1_hourly_mean_pickup_csv": lambda s, d: Q.hourly_mean_pickup(_csv_trips(s, d)),
