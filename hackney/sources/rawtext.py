@@ -5,7 +5,8 @@ header lines inside files, rows cut short, unparseable fields. Everything is
 a JVM-side expression over ``spark.read.text`` lines (no Python per row):
 
 * every line equal to the header is dropped, wherever it appears (S3);
-* ``split(value, delimiter, -1)`` keeps trailing empty fields (S4);
+* ``split(value, delimiter, n + 1)`` cuts off the first ``n`` fields a
+  query needs, keeping empty ones (S4);
 * a row shorter than the last field a caller *needs* is dropped (F4), so a
   query that reads two columns keeps rows that are short further right;
 * fields parse with ``try_cast`` (empty text = NULL, bad text = NULL) (X6);
@@ -60,8 +61,10 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     missing = [c for c in columns if c not in position]
     if missing:
         raise ValueError(f"columns not in header: {missing}")
-    fields = F.split(F.col("value"), _regex_literal(delimiter), -1)
     arity = max(position[c] for c in columns) + 1
+    # Split off only the needed fields: with limit arity + 1 everything after
+    # them stays in one trailing element, so unused fields are never copied.
+    fields = F.split(F.col("value"), _regex_literal(delimiter), arity + 1)
     rows = (drop_header(lines, delimiter.join(header))
             .select(fields.alias("_f"))
             .where(F.size("_f") >= arity))
