@@ -94,12 +94,12 @@ def write_raw_trips(spark: SparkSession, sf_dir: str, path: str, files: int = 8)
     short = F.expr(RAW_SHORT_RULE)
     parts = []
     for name in TRIPS.fieldNames():
+        # A TIMESTAMP_NTZ cast to text is 'yyyy-MM-dd HH:mm:ss' whatever the
+        # session zone (date_format would pass through the session zone and
+        # move wall-clock times inside a DST gap).
         text = F.coalesce(F.col(name).cast("string"), F.lit(""))
         if name == "tpep_pickup_datetime":
-            text = F.when(bad, F.lit(RAW_BAD_TIME_TEXT)).otherwise(
-                F.coalesce(F.date_format(name, "yyyy-MM-dd HH:mm:ss"), F.lit("")))
-        elif name == "tpep_dropoff_datetime":
-            text = F.coalesce(F.date_format(name, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
+            text = F.when(bad, F.lit(RAW_BAD_TIME_TEXT)).otherwise(text)
         parts.append(text)
     line = F.when(short, F.concat_ws(",", *parts[:RAW_SHORT_FIELDS])).otherwise(
         F.concat_ws(",", *parts))

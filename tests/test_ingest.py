@@ -161,3 +161,19 @@ def test_parquet_conform_handles_both_layouts(spark, tmp_dir):
     assert (b.VendorID, b.pickup_longitude, b.PULocationID) == (1, -73.9, None)
     night = Q.night_trips_per_vendor(files.read_parquet(spark, f"{tmp_dir}/y2024", schema=TRIPS))
     assert [tuple(r) for r in night.collect()] == [(2, 1)]
+
+
+def test_raw_text_round_trip_ignores_session_time_zone(spark, tmp_dir):
+    """Wall-clock times inside a DST gap survive text and back in any zone."""
+    from hackney.plans.oracle import ORACLE_SQL
+    from tests.conftest import SF_ORACLE
+    from tools.oracle_check import compare, duck_connection
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = fixtures.write_raw_trips(spark, SF_ORACLE, f"{tmp_dir}/raw")
+        parsed = rawtext.ingest(spark, path, TRIPS)
+        res = compare(parsed, duck_connection(SF_ORACLE), ORACLE_SQL["ingest_raw_trips"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert res["ok"], res
