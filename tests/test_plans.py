@@ -29,9 +29,7 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", [k for k in entry.queries()
-                                 if k not in ("c0_csv_to_parquet", "ingest_raw_trips",
-                                              "q4_night_trips_raw")])
+@pytest.mark.parametrize("key", list(entry.queries()))
 def test_no_python_in_query_plans(spark, key):
     plan = physical(entry.queries()[key](spark, SF_SMALL))
     assert not any(node in plan for node in PYTHON_NODES), plan
