@@ -31,7 +31,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # sf_dir (the driver tables are read-only, so the copy never goes stale).
 _INPUTS: dict[tuple[str, str, str], str] = {}
 
-INPUT_FILES = 8  # part files per derived input folder
+def _per_file(spark: SparkSession, sf_dir: str) -> int:
+    """Rows per derived input file: about one file per core, never a shuffle."""
+    rows = fixtures.read_table(spark, sf_dir, "lineitem").count()  # Parquet footers
+    return files.records_per_file(spark, rows)
 
 
 def _derived_input(spark: SparkSession, sf_dir: str, kind: str,
@@ -55,7 +58,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def trips_parquet(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as a Parquet table (what C0 produces from CSV)."""
     return _derived_input(spark, sf_dir, "trips_parquet", lambda p: files.write_parquet(
-        fixtures.trips(spark, sf_dir).repartition(INPUT_FILES), p))
+        fixtures.trips(spark, sf_dir), p, max_records_per_file=_per_file(spark, sf_dir)))
 
 
 def zones_parquet(spark: SparkSession, sf_dir: str) -> str:
@@ -74,7 +77,7 @@ def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_csv(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as a folder of header-led CSV files."""
     return _derived_input(spark, sf_dir, "trips_csv", lambda p: files.write_csv(
-        fixtures.trips(spark, sf_dir).repartition(INPUT_FILES), p))
+        fixtures.trips(spark, sf_dir), p, max_records_per_file=_per_file(spark, sf_dir)))
 
 
 def zones_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -85,7 +88,7 @@ def zones_csv(spark: SparkSession, sf_dir: str) -> str:
 def raw_trips_text(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as raw text lines with bad times, short rows, repeated headers."""
     return _derived_input(spark, sf_dir, "raw_trips", lambda p: fixtures.write_raw_trips(
-        spark, sf_dir, p, files=INPUT_FILES))
+        spark, sf_dir, p, max_records_per_file=_per_file(spark, sf_dir)))
 
 
 def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,8 +142,8 @@ _NEEDS_ZONES = {"q3_same_borough_trips_raw", "q5_top_zone_pairs_by_id_raw",
                 "q6_revenue_by_borough_raw"}
 
 
-# Micro-batch size for the streaming entries: the 8-file trips folder arrives
-# as 2 micro-batches, so state carries over between batches.
+# Micro-batch size for the streaming entries: the trips folder (about one file
+# per core) arrives over several micro-batches, so state carries over.
 STREAM_FILES_PER_TRIGGER = 4
 STREAM_STATE_PARTITIONS = 8  # state holds one row per vendor / borough
 

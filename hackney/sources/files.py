@@ -69,9 +69,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema.fields])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Header-led CSV, one header per part file, NULL as an empty field."""
-    df.write.mode(mode).options(**_CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
+              max_records_per_file: int | None = None) -> str:
+    """Header-led CSV, one header per part file, NULL as an empty field.
+
+    ``max_records_per_file`` splits a task's output into several files (no
+    shuffle), so later scans get more splits.
+    """
+    writer = df.write.mode(mode).options(**_CSV_OPTIONS)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.csv(path)
     return path
 
 
@@ -87,9 +95,13 @@ def read_parquet(spark: SparkSession, path: str,
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Iterable[str] = ()) -> str:
-    """Parquet sink (S6). ``partition_by`` enables partition pruning on reads."""
+                  partition_by: Iterable[str] = (),
+                  max_records_per_file: int | None = None) -> str:
+    """Parquet sink (S6). ``partition_by`` enables partition pruning on reads;
+    ``max_records_per_file`` bounds file size without a shuffle."""
     writer = df.write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -112,3 +124,15 @@ def csv_to_parquet(spark: SparkSession, conversions: Iterable[tuple[str, str]],
         df = read_csv(spark, source, schema=schemas.get(target), infer_schema=infer_schema)
         written.append(write_parquet(df, target, partition_by=partition_by.get(target, ())))
     return written
+
+
+def records_per_file(spark: SparkSession, rows: int, min_records: int = 50_000,
+                     max_records: int = 4_000_000) -> int:
+    """A file size (in rows) that spreads ``rows`` over about one file per core.
+
+    Bounded below so small tables do not shatter into tiny files and above
+    (~150 MB of Parquet trips) so large ones stay splittable — with no
+    repartition, at any scale each input split writes its own files.
+    """
+    per_core = -(-rows // max(1, spark.sparkContext.defaultParallelism))
+    return max(min_records, min(max_records, per_core))

@@ -72,6 +72,7 @@ RAW_BAD_TIME_RULE = "(l_orderkey + l_linenumber) % 17 = 0"
 RAW_SHORT_RULE = "(l_orderkey * 3 + l_linenumber) % 29 = 0"
 RAW_SHORT_FIELDS = 8
 RAW_BAD_TIME_TEXT = "bad"
+RAW_REPEATED_HEADERS = 3  # extra header lines written as data
 
 
 def keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,14 +82,17 @@ def keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql, lineitem=lineitem)
 
 
-def write_raw_trips(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
-    """Render ``trips`` as header-led CSV text under ``path``.
+def write_raw_trips(spark: SparkSession, sf_dir: str, path: str,
+                    max_records_per_file: int | None = None) -> str:
+    """Render ``trips`` as header-led CSV text under ``path``, without a shuffle.
 
-    Rows are spread over ``2 * files`` groups, each led by its own header
-    line and written ``files`` per folder part, so most files hold a header in
-    mid-file too. The rules above inject bad times and short rows.
+    Every output file starts with the header line (as Spark's CSV writer does
+    for each part file); ``max_records_per_file`` cuts a task's output into
+    several such files. A few extra header lines are appended as data, so
+    one file repeats the header after its first line. The rules above inject
+    bad times and short rows.
     """
-    groups = 2 * files
+    header = ",".join(TRIPS.fieldNames())
     keyed = keyed_trips(spark, sf_dir)
     bad = F.expr(RAW_BAD_TIME_RULE)
     short = F.expr(RAW_SHORT_RULE)
@@ -103,14 +107,13 @@ def write_raw_trips(spark: SparkSession, sf_dir: str, path: str, files: int = 8)
         parts.append(text)
     line = F.when(short, F.concat_ws(",", *parts[:RAW_SHORT_FIELDS])).otherwise(
         F.concat_ws(",", *parts))
-    data = keyed.select(F.pmod(F.hash("l_orderkey", "l_linenumber"), F.lit(groups)).alias("group"),
-                        F.lit(0).alias("ord"), line.alias("value"))
-    headers = spark.range(groups).select(F.col("id").cast("int").alias("group"),
-                                         F.lit(-1).alias("ord"),
-                                         F.lit(",".join(TRIPS.fieldNames())).alias("value"))
-    (data.unionByName(headers)
-     .repartition(files, "group")
-     .sortWithinPartitions("group", "ord")
-     .select("value")
-     .write.mode("overwrite").text(path))
+    repeated = spark.range(RAW_REPEATED_HEADERS).select(F.lit(header).alias(header))
+    # A one-column CSV whose column is named after the header line: the writer
+    # puts that name atop every file. The separator never occurs in a line, so
+    # commas are written as-is, unquoted.
+    (keyed.select(line.alias(header)).unionByName(repeated)
+     .write.mode("overwrite")
+     .options(header="true", sep="\u0001", quote="", escapeQuotes="false",
+              maxRecordsPerFile=str(max_records_per_file or 0))
+     .csv(path))
     return path

@@ -18,8 +18,6 @@ Fields are located by name through the header, never by fixed position.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,14 +66,35 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     rows = (drop_header(lines, delimiter.join(header))
             .select(fields.alias("_f"))
             .where(F.size("_f") >= arity))
-    raw = {c: F.get(F.col("_f"), position[c]) for c in columns}
-    typed = {c: parse_field(raw[c], schema[c].dataType) for c in columns}
     if drop_malformed:
-        bad = [(raw[c] != F.lit("")) & typed[c].isNull() for c in columns]
-        rows = rows.where(~reduce(lambda a, b: a | b, bad))
+        rows = rows.where(~_any_malformed(F.col("_f"), arity,
+                                          {position[c]: schema[c].dataType for c in columns}))
+    typed = {c: parse_field(F.get(F.col("_f"), position[c]), schema[c].dataType)
+             for c in columns}
     return rows.select(*[typed[c].alias(c) for c in columns])
 
 
+def _any_malformed(fields: Column, arity: int, types: dict[int, T.DataType]) -> Column:
+    """True when a needed, non-empty field fails to parse as its type.
+
+    One ``zip_with`` over the field array pairs each field with its expected
+    type: the array is referenced once, so when the optimizer pushes this
+    filter below the projection that splits the line, the split still runs
+    once per row (a per-field test would inline one split per reference).
+    """
+    kinds = F.array(*[F.lit(types[i].simpleString() if i in types else "") for i in range(arity)])
+
+    def malformed(text: Column, kind: Column) -> Column:
+        test = F.lit(False)
+        for dtype in {t.simpleString(): t for t in types.values()}.values():
+            if not isinstance(dtype, T.StringType):
+                test = F.when(kind == F.lit(dtype.simpleString()),
+                              parse_field(text, dtype).isNull()).otherwise(test)
+        return (text != F.lit("")) & test
+
+    return F.exists(F.zip_with(F.slice(fields, 1, arity), kinds, malformed), lambda b: b)
+
+
 def ingest(spark: SparkSession, path: str, schema: T.StructType,
            header: list[str] | None = None, columns: list[str] | None = None,
            delimiter: str = ",", drop_malformed: bool = False) -> DataFrame:

@@ -123,12 +123,17 @@ def test_csv_source_equals_parquet_source_with_zones(spark, tmp_dir, query):
 
 
 def test_raw_fixture_has_headers_inside_files(spark, tmp_dir):
-    path = fixtures.write_raw_trips(spark, SF_SMALL, f"{tmp_dir}/raw", files=2)
-    lines = rawtext.read_lines(spark, path)
-    assert lines.where(F.col("value") == HEADER).count() == 4
+    path = fixtures.write_raw_trips(spark, SF_SMALL, f"{tmp_dir}/raw", max_records_per_file=2000)
+    lines = rawtext.read_lines(spark, path).withColumn("file", F.input_file_name())
+    n_files = lines.select("file").distinct().count()
+    assert n_files >= 4                                     # 6000 rows, 2000 per file + headers
+    headers = lines.where(F.col("value") == HEADER)
+    assert headers.count() == n_files + fixtures.RAW_REPEATED_HEADERS
+    assert headers.select("file").distinct().count() == n_files   # atop every file
     parsed = rawtext.ingest(spark, path, TRIPS)
     assert parsed.where(F.col("tpep_pickup_datetime").isNull()).count() > 0
     assert parsed.count() < fixtures.trips(spark, SF_SMALL).count()
+    assert lines.where(F.col("value").contains('"')).count() == 0   # nothing quoted
 
 
 def test_timestamps_parse_strictly(spark):
