@@ -108,3 +108,14 @@ def test_unbounded_zone_table_aggregates_before_the_join(spark):
     assert "BroadcastHashJoin" not in head
     # trips are summed per PULocationID before meeting the zone table
     assert "Keys [1]: [PULocationID" in plan
+
+
+def test_raw_parse_splits_each_line_a_bounded_number_of_times(spark, tmp_path):
+    from hackney.plans.raw import RAW_VARIANTS
+    from hackney.schemas import TRIPS
+    from hackney.sources import rawtext
+    path = fixtures.write_raw_trips(spark, SF_SMALL, str(tmp_path / "raw"))
+    columns = RAW_VARIANTS["q6_revenue_by_borough_raw"][1]
+    plan = physical(rawtext.ingest(spark, path, TRIPS, columns=columns, drop_malformed=True))
+    # header/arity filter, malformed check, projection: not one per field
+    assert plan.split("== Physical Plan ==")[1].count("split(") <= 3
