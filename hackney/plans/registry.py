@@ -31,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # sf_dir (the driver tables are read-only, so the copy never goes stale).
 _INPUTS: dict[tuple[str, str, str], str] = {}
 
+
 def _per_file(spark: SparkSession, sf_dir: str) -> int:
     """Rows per derived input file: about one file per core, never a shuffle."""
     rows = fixtures.read_table(spark, sf_dir, "lineitem").count()  # Parquet footers
