@@ -1,8 +1,8 @@
 """Command-line runner: one query over trip files, like the reference's scripts.
 
     spark-submit --py-files hackney.zip hackney/run.py q5_top_zone_pairs \\
-        --trips hdfs:///data/yellow_tripdata_2024 --trips-format parquet \\
-        --zones hdfs:///data/taxi_zone_lookup.csv
+        --trips hdfs:///data/trips/parquet --trips-format parquet \\
+        --zones hdfs:///data/zones.csv
 
 Prints the result (money/coordinates at fixed precision) and the elapsed
 wall-clock time, or writes it as Parquet with ``--output``. The session comes
