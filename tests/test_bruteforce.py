@@ -1,0 +1,118 @@
+"""Queries against plain-Python brute force on the sf0.001 fixture (6,000 trips).
+
+An oracle independent of both Spark and DuckDB; exact arithmetic
+(``fractions.Fraction``, integer cents) checks the exactness claims directly.
+"""
+
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+
+from hackney.plans import queries as Q
+from hackney.schemas import REVENUE_COMPONENTS
+from hackney.sources import fixtures
+from tests.conftest import SF_SMALL
+
+NIGHT = {23, 0, 1, 2, 3, 4, 5, 6}
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    trips = fixtures.trips(spark, SF_SMALL)
+    zones = fixtures.zones(spark, SF_SMALL)
+    return trips, zones, trips.collect(), {z.LocationID: z for z in zones.collect()}
+
+
+def _exact_mean(values: list[float]) -> float:
+    units = [round(v * 1e6) for v in values]          # rint: ties to even
+    return round(Fraction(sum(units), len(units))) / 1e6
+
+
+def test_q1_exact_means(data):
+    trips, _, rows, _ = data
+    groups = defaultdict(lambda: ([], []))
+    for r in rows:
+        lon, lat, t = r.pickup_longitude, r.pickup_latitude, r.tpep_pickup_datetime
+        if lon is None or lat is None or lon == 0 or lat == 0 or t is None:
+            continue
+        groups[t.hour][0].append(lon)
+        groups[t.hour][1].append(lat)
+    expected = [(h, _exact_mean(g[0]), _exact_mean(g[1])) for h, g in sorted(groups.items())]
+    assert [tuple(r) for r in Q.hourly_mean_pickup(trips).collect()] == expected
+
+
+def _haversine(lon1, lat1, lon2, lat2):
+    p1, p2 = math.radians(lat1), math.radians(lat2)
+    a = (math.sin(math.radians(lat2 - lat1) / 2) ** 2
+         + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lon2 - lon1) / 2) ** 2)
+    return 12742.0 * math.asin(math.sqrt(min(1.0, a)))
+
+
+def test_q2_arg_max(data):
+    trips, _, rows, _ = data
+    best = {}
+    for r in rows:
+        coords = (r.pickup_longitude, r.pickup_latitude, r.dropoff_longitude, r.dropoff_latitude)
+        if any(c is None or c == 0 for c in coords):
+            continue
+        d = _haversine(*coords)
+        dur = (r.tpep_dropoff_datetime - r.tpep_pickup_datetime).total_seconds() / 60.0
+        if r.VendorID not in best or (d, dur) > best[r.VendorID]:
+            best[r.VendorID] = (d, dur)
+    got = {r.VendorID: (r.max_distance_km, r.trip_duration_min)
+           for r in Q.longest_trip_per_vendor(trips).collect()}
+    assert set(got) == set(best)
+    for v, (d, dur) in best.items():
+        assert got[v][0] == pytest.approx(round(d, 6), abs=1e-9)
+        assert got[v][1] == dur
+
+
+def test_q3_q4(data):
+    trips, zones, rows, z = data
+    same = Counter(z[r.PULocationID].Borough for r in rows
+                   if r.PULocationID in z and r.DOLocationID in z
+                   and z[r.PULocationID].Borough == z[r.DOLocationID].Borough)
+    assert dict((r.PickupBorough, r.TotalTrips)
+                for r in Q.same_borough_trips(trips, zones).collect()) == dict(same)
+    night = Counter(r.VendorID for r in rows
+                    if r.tpep_pickup_datetime is not None and r.tpep_pickup_datetime.hour in NIGHT)
+    assert dict(tuple(r) for r in Q.night_trips_per_vendor(trips).collect()) == dict(night)
+
+
+def test_q5_top_pairs_by_name_and_id(data):
+    trips, zones, rows, z = data
+    by_name = Counter((z[r.PULocationID].Zone, z[r.DOLocationID].Zone) for r in rows
+                      if r.PULocationID in z and r.DOLocationID in z
+                      and r.PULocationID != r.DOLocationID)
+    top = sorted(by_name.items(), key=lambda kv: (-kv[1], kv[0]))[:20]
+    assert [tuple(r) for r in Q.top_zone_pairs(trips, zones).collect()] == \
+        [(a, b, n) for (a, b), n in top]
+    by_id = Counter((r.PULocationID, r.DOLocationID) for r in rows
+                    if r.PULocationID is not None and r.DOLocationID is not None
+                    and r.PULocationID != r.DOLocationID)
+    top_ids = sorted(by_id.items(), key=lambda kv: (-kv[1], kv[0]))[:20]
+    name = lambda i: z[i].Zone if i in z else "Unknown"
+    assert [tuple(r) for r in Q.top_zone_pairs_by_id(trips, zones).collect()] == \
+        [(name(a), name(b), n) for (a, b), n in top_ids]
+
+
+def test_q6_integer_cents(data):
+    trips, zones, rows, z = data
+    sums = defaultdict(lambda: defaultdict(int))
+    seen = defaultdict(lambda: defaultdict(bool))
+    for r in rows:
+        borough = z[r.PULocationID].Borough if r.PULocationID in z else None
+        for src, dst in REVENUE_COMPONENTS:
+            v = getattr(r, src)
+            if v is not None:
+                sums[borough][dst] += round(v * 100)       # rint: ties to even
+                seen[borough][dst] = True
+    expected = {b: {dst: (sums[b][dst] / 100.0 if seen[b][dst] else None)
+                    for _, dst in REVENUE_COMPONENTS} for b in sums}
+    got = {r.Borough: {dst: r[dst] for _, dst in REVENUE_COMPONENTS}
+           for r in Q.revenue_by_borough(trips, zones).collect()}
+    assert got == expected
