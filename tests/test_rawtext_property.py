@@ -1,0 +1,76 @@
+"""Raw-text parsing against a plain-Python reference parser (hypothesis)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import tempfile
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from hackney.schemas import TRIPS
+from hackney.sources import rawtext
+
+NAMES = TRIPS.fieldNames()
+HEADER = ",".join(NAMES)
+
+
+def _text(dtype, kind, n):
+    if kind == "empty":
+        return ""
+    if kind == "bad":
+        return "x9"
+    if isinstance(dtype, T.IntegerType):
+        return str(n)
+    if isinstance(dtype, T.DoubleType):
+        return repr(n / 8)
+    return (dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * abs(n))).strftime(
+        "%Y-%m-%d %H:%M:%S")
+
+
+def _py_value(dtype, text):
+    if text == "":
+        return None
+    try:
+        if isinstance(dtype, T.IntegerType):
+            return int(text)
+        if isinstance(dtype, T.DoubleType):
+            return float(text)
+        return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+    except ValueError:
+        return None
+
+
+field = st.tuples(st.sampled_from(["ok", "ok", "ok", "empty", "bad"]), st.integers(-500, 500))
+row = st.tuples(st.lists(field, min_size=len(NAMES), max_size=len(NAMES)),
+                st.integers(1, len(NAMES)),           # fields kept (short rows)
+                st.booleans())                          # header line before it
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=st.lists(row, min_size=1, max_size=25),
+       wanted=st.lists(st.sampled_from(NAMES), min_size=1, max_size=5, unique=True),
+       strict=st.booleans())
+def test_parse_matches_reference(spark, rows, wanted, strict):
+    lines, expected = [HEADER], []
+    for fields, keep, header_first in rows:
+        if header_first:
+            lines.append(HEADER)
+        texts = [_text(TRIPS[n].dataType, k, v) for n, (k, v) in zip(NAMES, fields)][:keep]
+        lines.append(",".join(texts))
+        positions = [NAMES.index(c) for c in wanted]
+        if len(texts) < max(positions) + 1:
+            continue                                   # arity guard
+        values = [_py_value(TRIPS[c].dataType, texts[NAMES.index(c)]) for c in wanted]
+        malformed = any(texts[NAMES.index(c)] != "" and v is None for c, v in zip(wanted, values))
+        if strict and malformed:
+            continue
+        expected.append(tuple(values))
+    folder = tempfile.mkdtemp(prefix="hackney-prop-")
+    with open(os.path.join(folder, "part-0.csv"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    got = rawtext.ingest(spark, folder, TRIPS, columns=wanted, drop_malformed=strict).collect()
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(expected, key=key)
