@@ -29,7 +29,7 @@ from hackney.functions.timefn import elapsed_minutes, is_night, pickup_hour
 from hackney.operators.argmax import arg_max, ordered_first
 from hackney.operators.filters import DROPOFF_COORDS, PICKUP_COORDS, nonzero_coordinates
 from hackney.operators.lookup import (DimensionCheck, check_dimension, lookup_join,
-                                      reduce_for_lookup)
+                                      lookup_side, reduce_for_lookup)
 from hackney.operators.topk import sort_small, top_k
 from hackney.schemas import REVENUE_COMPONENTS
 
@@ -167,12 +167,39 @@ def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
     PickupZone, DropoffZone, TripCount.
     """
     check = _zone_check(zones, check)
-    named = _named_pairs(trips, zones, check, "Zone", ("PickupZone", "DropoffZone"),
+    # Count per pair of zone-*name ids* (ints): shuffle rows stay small and the
+    # per-trip hash aggregate is int-keyed; names are attached to the counted
+    # pairs only (at most names x names rows), before the top-k.
+    ids, names = _zone_name_ids(zones, check)
+    named = _named_pairs(trips, ids, check, "name_id", ("pu_name", "do_name"),
                          distinct_ids=True)
-    out = named.groupBy("PickupZone", "DropoffZone").agg(F.sum("n").alias("TripCount"))
+    counts = named.groupBy("pu_name", "do_name").agg(F.sum("n").alias("TripCount"))
+    labelled = lookup_join(counts, names, "pu_name", "name_id", {"Zone": "PickupZone"},
+                           how="inner", check=check)
+    labelled = lookup_join(labelled, names, "do_name", "name_id", {"Zone": "DropoffZone"},
+                           how="inner", check=check)
+    out = labelled.select("PickupZone", "DropoffZone", "TripCount")
     return top_k(out, k, "-TripCount", "PickupZone", "DropoffZone")
 
 
+def _zone_name_ids(zones: DataFrame, check: DimensionCheck) -> tuple[DataFrame, DataFrame]:
+    """Integer ids for zone *names*: ids sharing a name get one id, the
+    smallest LocationID carrying it (NULL names form one name).
+
+    Returns (LocationID -> name_id, name_id -> Zone), each at most the size of
+    the zone table. A zone table proven small is handled in one partition
+    and broadcast (no shuffle stages); otherwise the planner distributes it.
+    """
+    dim = zones.select(ZONE_KEY, "Zone")
+    if check.bounded:
+        dim = dim.coalesce(1)
+    names = dim.groupBy("Zone").agg(F.min(ZONE_KEY).alias("name_id"))
+    ids = (dim.withColumnRenamed("Zone", "_zone")
+           .join(lookup_side(names, check), F.col("_zone").eqNullSafe(F.col("Zone")), "inner")
+           .select(ZONE_KEY, "name_id"))
+    return ids, names
+
+
 def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
                          check: DimensionCheck | None = None) -> DataFrame:
     """The ``k`` busiest (pick-up id, drop-off id) pairs, ids differing, then named.

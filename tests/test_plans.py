@@ -119,3 +119,9 @@ def test_raw_parse_splits_each_line_a_bounded_number_of_times(spark, tmp_path):
     plan = physical(rawtext.ingest(spark, path, TRIPS, columns=columns, drop_malformed=True))
     # header/arity filter, malformed check, projection: not one per field
     assert plan.split("== Physical Plan ==")[1].count("split(") <= 3
+
+
+def test_q5_counts_on_integer_name_ids(spark):
+    plan = physical(entry.queries()["q5_top_zone_pairs"](spark, SF_SMALL))
+    assert "Keys [2]: [pu_name" in plan            # int pair, names attached after
+    assert "Keys [2]: [PickupZone" not in plan
