@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hackney import streaming
 from hackney.operators.topk import sort_small
+from hackney.operators.lookup import DimensionCheck, check_dimension
 from hackney.plans import queries as Q
 from hackney.plans.raw import RAW_VARIANTS
 from hackney.schemas import TRIPS, ZONES
@@ -71,10 +72,6 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, trips_parquet(spark, sf_dir))
 
 
-def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_parquet(spark, zones_parquet(spark, sf_dir))
-
-
 def trips_csv(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as a folder of header-led CSV files."""
     return _derived_input(spark, sf_dir, "trips_csv", lambda p: files.write_csv(
@@ -113,18 +110,47 @@ def _raw_trips(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
                           drop_malformed=key == "q6_revenue_by_borough_raw")
 
 
-def _raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones read the way the text scripts read them: split lines, header dropped."""
-    return rawtext.ingest(spark, zones_csv(spark, sf_dir), ZONES)
+# Dimension checks of the derived zone files. Those folders are written once
+# per session and never modified, so a check of one path stays valid; a
+# caller-supplied table is always checked afresh by the query functions.
+_CHECKS: dict[tuple[str, str, str], DimensionCheck] = {}
+
+_ZONE_READERS: dict[str, tuple[Callable[[SparkSession, str], str],
+                               Callable[[SparkSession, str], DataFrame]]] = {
+    "parquet": (zones_parquet, lambda spark, path: files.read_parquet(spark, path)),
+    "csv": (zones_csv, lambda spark, path: files.read_csv(spark, path, schema=ZONES)),
+    "raw": (zones_csv, lambda spark, path: rawtext.ingest(spark, path, ZONES)),
+}
+
+
+def _zone_input(spark: SparkSession, sf_dir: str,
+                kind: str) -> tuple[DataFrame, DimensionCheck]:
+    """The derived zone table of ``kind`` and its (memoized) dimension check."""
+    locate, read = _ZONE_READERS[kind]
+    path = locate(spark, sf_dir)
+    zones = read(spark, path)
+    key = (spark.sparkContext.applicationId, path, kind)
+    if key not in _CHECKS:
+        _CHECKS[key] = check_dimension(zones, Q.ZONE_KEY)
+    return zones, _CHECKS[key]
 
 
-_RAW_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
-    "q1_hourly_mean_pickup_raw": lambda t, z: Q.hourly_mean_pickup(t, keep_null_hour=True),
-    "q2_longest_trip_per_vendor_raw": lambda t, z: Q.longest_trip_per_vendor(t),
-    "q3_same_borough_trips_raw": Q.same_borough_trips,
-    "q4_night_trips_raw": lambda t, z: Q.night_trips_per_vendor(t),
-    "q5_top_zone_pairs_by_id_raw": Q.top_zone_pairs_by_id,
-    "q6_revenue_by_borough_raw": Q.revenue_by_borough_strict,
+def _zone_query(plan: Callable[..., DataFrame],
+                trips_of: Callable[[SparkSession, str], DataFrame], kind: str) -> Query:
+    """Entry for ``plan(trips, zones, check=...)`` over the derived inputs."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zones, check = _zone_input(spark, sf_dir, kind)
+        return plan(trips_of(spark, sf_dir), zones, check=check)
+    return run
+
+
+_RAW_PLANS: dict[str, Callable[..., DataFrame]] = {
+    "q1_hourly_mean_pickup_raw": lambda t, z, c: Q.hourly_mean_pickup(t, keep_null_hour=True),
+    "q2_longest_trip_per_vendor_raw": lambda t, z, c: Q.longest_trip_per_vendor(t),
+    "q3_same_borough_trips_raw": lambda t, z, c: Q.same_borough_trips(t, z, check=c),
+    "q4_night_trips_raw": lambda t, z, c: Q.night_trips_per_vendor(t),
+    "q5_top_zone_pairs_by_id_raw": lambda t, z, c: Q.top_zone_pairs_by_id(t, z, check=c),
+    "q6_revenue_by_borough_raw": lambda t, z, c: Q.revenue_by_borough_strict(t, z, check=c),
 }
 
 
@@ -132,8 +158,8 @@ def _raw_query(key: str) -> Query:
     """Raw-text twin ``key``: parse the needed fields, run the base plan."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips = _raw_trips(spark, sf_dir, key)
-        zones = _raw_zones(spark, sf_dir) if key in _NEEDS_ZONES else None
-        return _RAW_PLANS[key](trips, zones)
+        zones, check = _zone_input(spark, sf_dir, "raw") if key in _NEEDS_ZONES else (None, None)
+        return _RAW_PLANS[key](trips, zones, check)
     run.__name__ = key
     run.__doc__ = f"{RAW_VARIANTS[key][0]} over raw trip text (fields {RAW_VARIANTS[key][1]})."
     return run
@@ -164,7 +190,8 @@ def q6_revenue_by_borough_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = streaming.trip_stream(spark, trips_parquet(spark, sf_dir),
                                   max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     out = scratch_path(spark, "streams", "q6_out")
-    streaming.run_to_table(spark, streaming.revenue_stream(trips, _zones(spark, sf_dir)), out,
+    zones, check = _zone_input(spark, sf_dir, "parquet")
+    streaming.run_to_table(spark, streaming.revenue_stream(trips, zones, check), out,
                            state_partitions=STREAM_STATE_PARTITIONS)
     return sort_small(files.read_parquet(spark, out), "-grand_total", "Borough")
 
@@ -173,22 +200,18 @@ def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, trips_csv(spark, sf_dir), schema=TRIPS)
 
 
-def _csv_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_csv(spark, zones_csv(spark, sf_dir), schema=ZONES)
-
-
 QUERIES: dict[str, Query] = {
     "c0_csv_to_parquet": c0_csv_to_parquet,
     "q1_hourly_mean_pickup": lambda s, d: Q.hourly_mean_pickup(_trips(s, d)),
     "q2_longest_trip_per_vendor": lambda s, d: Q.longest_trip_per_vendor(_trips(s, d)),
     "q2_max_and_first": lambda s, d: Q.max_and_first_per_vendor(_trips(s, d)),
-    "q3_same_borough_trips": lambda s, d: Q.same_borough_trips(_trips(s, d), _zones(s, d)),
+    "q3_same_borough_trips": _zone_query(Q.same_borough_trips, _trips, "parquet"),
     "q4_night_trips_per_vendor": lambda s, d: Q.night_trips_per_vendor(_trips(s, d)),
-    "q5_top_zone_pairs": lambda s, d: Q.top_zone_pairs(_trips(s, d), _zones(s, d)),
-    "q5_top_zone_pairs_by_id": lambda s, d: Q.top_zone_pairs_by_id(_trips(s, d), _zones(s, d)),
-    "q6_revenue_by_borough": lambda s, d: Q.revenue_by_borough(_trips(s, d), _zones(s, d)),
+    "q5_top_zone_pairs": _zone_query(Q.top_zone_pairs, _trips, "parquet"),
+    "q5_top_zone_pairs_by_id": _zone_query(Q.top_zone_pairs_by_id, _trips, "parquet"),
+    "q6_revenue_by_borough": _zone_query(Q.revenue_by_borough, _trips, "parquet"),
     "q6_revenue_by_borough_unknown":
-        lambda s, d: Q.revenue_by_borough_strict(_trips(s, d), _zones(s, d)),
+        _zone_query(Q.revenue_by_borough_strict, _trips, "parquet"),
     "ingest_raw_trips": ingest_raw_trips,
     # Raw-text twins (the reference's text-reading scripts), see plans/raw.py.
     **{key: _raw_query(key) for key in RAW_VARIANTS},
@@ -197,11 +220,11 @@ QUERIES: dict[str, Query] = {
     "q1_hourly_mean_pickup_csv": lambda s, d: Q.hourly_mean_pickup(_csv_trips(s, d)),
     "q2_longest_trip_per_vendor_csv": lambda s, d: Q.longest_trip_per_vendor(_csv_trips(s, d)),
     "q3_same_borough_trips_csv":
-        lambda s, d: Q.same_borough_trips(_csv_trips(s, d), _csv_zones(s, d)),
+        _zone_query(Q.same_borough_trips, _csv_trips, "csv"),
     "q4_night_trips_per_vendor_csv": lambda s, d: Q.night_trips_per_vendor(_csv_trips(s, d)),
-    "q5_top_zone_pairs_csv": lambda s, d: Q.top_zone_pairs(_csv_trips(s, d), _csv_zones(s, d)),
+    "q5_top_zone_pairs_csv": _zone_query(Q.top_zone_pairs, _csv_trips, "csv"),
     "q6_revenue_by_borough_csv":
-        lambda s, d: Q.revenue_by_borough(_csv_trips(s, d), _csv_zones(s, d)),
+        _zone_query(Q.revenue_by_borough, _csv_trips, "csv"),
     # Incrementally maintained by Structured Streaming; equal to Q4 / Q6.
     "q4_night_trips_stream": q4_night_trips_stream,
     "q6_revenue_by_borough_stream": q6_revenue_by_borough_stream,
