@@ -43,7 +43,8 @@ def read_trips(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "csv":
         return files.read_csv(spark, path, schema=TRIPS)
     if fmt == "text":
-        return rawtext.ingest(spark, path, TRIPS, header=files.csv_header(spark, path))
+        return rawtext.ingest(spark, path, TRIPS, header=files.csv_header(spark, path),
+                              absent_as_null=True)
     raise ValueError(f"unknown trips format {fmt!r}")
 
 

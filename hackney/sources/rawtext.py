@@ -48,18 +48,25 @@ def parse_field(text: Column, dtype: T.DataType) -> Column:
 
 def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
                 columns: list[str] | None = None, delimiter: str = ",",
-                drop_malformed: bool = False) -> DataFrame:
+                drop_malformed: bool = False, absent_as_null: bool = False) -> DataFrame:
     """Typed rows for ``columns`` (default: all of ``schema``) from raw lines.
 
-    ``header`` gives the field names in file order. Lines equal to the header
-    are removed; rows too short to hold every requested column are dropped.
+    ``header`` gives the field names in file order; ``columns`` resolve against
+    it case-insensitively (``Airport_fee`` is ``airport_fee``). Lines equal to
+    the header are removed; rows too short to hold every requested column are
+    dropped. A requested column the header lacks is an error, or a NULL column
+    with ``absent_as_null`` (a file of another layout).
     """
     columns = list(columns or schema.fieldNames())
-    position = {name: i for i, name in enumerate(header)}
-    missing = [c for c in columns if c not in position]
-    if missing:
-        raise ValueError(f"columns not in header: {missing}")
-    arity = max(position[c] for c in columns) + 1
+    position = {name.lower(): i for i, name in enumerate(header)}
+    present = [c for c in columns if c.lower() in position]
+    absent = [c for c in columns if c.lower() not in position]
+    if absent and not absent_as_null:
+        raise ValueError(f"columns not in header: {absent}")
+    if not present:
+        raise ValueError("none of the requested columns is in the header")
+    pos = {c: position[c.lower()] for c in present}
+    arity = max(pos.values()) + 1
     # Split off only the needed fields: with limit arity + 1 everything after
     # them stays in one trailing element, so unused fields are never copied.
     fields = F.split(F.col("value"), _regex_literal(delimiter), arity + 1)
@@ -68,9 +75,9 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
             .where(F.size("_f") >= arity))
     if drop_malformed:
         rows = rows.where(~_any_malformed(F.col("_f"), arity,
-                                          {position[c]: schema[c].dataType for c in columns}))
-    typed = {c: parse_field(F.get(F.col("_f"), position[c]), schema[c].dataType)
-             for c in columns}
+                                          {pos[c]: schema[c].dataType for c in present}))
+    typed = {c: parse_field(F.get(F.col("_f"), pos[c]), schema[c].dataType) for c in present}
+    typed.update({c: F.lit(None).cast(schema[c].dataType) for c in absent})
     return rows.select(*[typed[c].alias(c) for c in columns])
 
 
@@ -97,10 +104,12 @@ def _any_malformed(fields: Column, arity: int, types: dict[int, T.DataType]) ->
 
 def ingest(spark: SparkSession, path: str, schema: T.StructType,
            header: list[str] | None = None, columns: list[str] | None = None,
-           delimiter: str = ",", drop_malformed: bool = False) -> DataFrame:
+           delimiter: str = ",", drop_malformed: bool = False,
+           absent_as_null: bool = False) -> DataFrame:
     """Read and parse a folder of header-led delimited text files."""
     return parse_lines(read_lines(spark, path), header or schema.fieldNames(), schema,
-                       columns=columns, delimiter=delimiter, drop_malformed=drop_malformed)
+                       columns=columns, delimiter=delimiter, drop_malformed=drop_malformed,
+                       absent_as_null=absent_as_null)
 
 
 def _regex_literal(delimiter: str) -> str:

@@ -48,3 +48,22 @@ def test_runner_explain(spark, inputs, capsys):
     run.main(["q1_hourly_mean_pickup", "--trips", f"{base}/pq", "--explain", "--show", "3"])
     out = capsys.readouterr().out
     assert "== Physical Plan ==" in out and "PushedFilters" in out
+
+
+def test_runner_text_of_another_layout(spark, tmp_dir, capsys):
+    """A zone-layout text file: extra columns, 'Airport_fee', no coordinates."""
+    import os
+    os.makedirs(f"{tmp_dir}/t")
+    with open(f"{tmp_dir}/t/part-0.csv", "w") as fh:
+        fh.write("VendorID,tpep_pickup_datetime,passenger_count,PULocationID,fare_amount,"
+                 "Airport_fee\n")
+        fh.write("2,2024-01-01 23:30:00,1,132,70.0,1.75\n")
+        fh.write("1,2024-01-01 12:00:00,2,161,10.5,\n")
+        fh.write("2,2024-01-02 03:05:00,1,132,52.0,1.75\n")
+    night = run.main(["q4_night_trips_per_vendor", "--trips", f"{tmp_dir}/t",
+                      "--trips-format", "text"])
+    assert [tuple(r) for r in night.collect()] == [(2, 2)]
+    trips = run.read_trips(spark, f"{tmp_dir}/t", "text")
+    fees = sorted((r.airport_fee is None, r.airport_fee) for r in trips.collect())
+    assert fees == [(False, 1.75), (False, 1.75), (True, None)]
+    assert trips.where("pickup_longitude IS NOT NULL").count() == 0
