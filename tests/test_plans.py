@@ -125,3 +125,9 @@ def test_q5_counts_on_integer_name_ids(spark):
     plan = physical(entry.queries()["q5_top_zone_pairs"](spark, SF_SMALL))
     assert "Keys [2]: [pu_name" in plan            # int pair, names attached after
     assert "Keys [2]: [PickupZone" not in plan
+
+
+@pytest.mark.parametrize("key", list(entry.queries()))
+def test_no_query_shuffles_trips_into_a_join(spark, key):
+    plan = final_plan(entry.queries()[key](spark, SF_SMALL))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, plan
