@@ -1,8 +1,14 @@
 """hackney — taxi-trip analytics expressed as Spark DataFrame plans.
 
-Every public query is a pure ``DataFrame -> DataFrame`` function; the caller
-owns the session and the action. See ``hackney.plans.queries`` for the query
-catalogue and ``hackney.plans.registry`` for the (spark, sf_dir) entry points.
+* ``hackney.plans.queries``  — the query catalogue (pure DataFrame -> DataFrame)
+* ``hackney.plans.registry`` — ``(spark, sf_dir)`` entry points over the test tables
+* ``hackney.sources``        — CSV / Parquet / raw-text readers and writers
+* ``hackney.operators``      — checked lookups, arg-max, top-k
+* ``hackney.functions``      — Column expressions (haversine, time, exact sums)
+* ``hackney.streaming``      — the aggregates over a folder of arriving files
+* ``hackney.run``            — command-line runner
+
+The caller owns the session and the action; nothing here collects results.
 """
 
-__all__ = ["schemas", "session"]
+__version__ = "0.1.0"
