@@ -96,3 +96,23 @@ def test_top_k_total_order(spark):
     assert [(r.name, r.n) for r in out] == [("c", 7), ("a", 5)]
     plan = top_k(df, 2, "-n", "name")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_sort_small_orders_in_one_partition(spark):
+    from hackney.operators import sort_small
+    df = spark.createDataFrame([("b", 5), (None, 5), ("a", 5), ("c", 9)], "k string, n int")
+    out = sort_small(df.repartition(3), "-n", "k")
+    assert [tuple(r) for r in out.collect()] == [("c", 9), ("a", 5), ("b", 5), (None, 5)]
+    assert out.rdd.getNumPartitions() == 1
+
+
+def test_reduce_for_lookup_shapes(spark):
+    from pyspark.sql import functions as F
+
+    from hackney.operators.lookup import DimensionCheck, reduce_for_lookup
+    facts = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 4.0), (None, 1.0)], "id int, v double")
+    bounded = reduce_for_lookup(facts, ["id"], {"s": F.col("v")}, DimensionCheck(True, 2, True))
+    assert bounded.count() == 4                                  # rows pass through
+    eager = reduce_for_lookup(facts, ["id"], {"s": F.col("v")}, DimensionCheck(False, 3, None))
+    got = sorted((tuple(r) for r in eager.collect()), key=str)
+    assert got == sorted([(1, 5.0), (2, 4.0), (None, 1.0)], key=str)   # summed per id
