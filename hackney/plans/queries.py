@@ -35,6 +35,9 @@ from hackney.schemas import REVENUE_COMPONENTS
 
 PU, DO = "PULocationID", "DOLocationID"
 ZONE_KEY = "LocationID"
+
+# Fixed values (must equal the reference's): the label of zones missing from
+# the lookup, and the number of zone pairs reported.
 UNKNOWN = "Unknown"
 TOP_PAIRS = 20
 

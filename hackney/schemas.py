@@ -37,7 +37,8 @@ ZONES = T.StructType([
     T.StructField("Zone", T.StringType()),
 ])
 
-# Revenue components summed per borough, in report order, with output names.
+# Fixed values (must equal the reference's): the revenue components summed per
+# borough, in report order, with their output column names.
 REVENUE_COMPONENTS = [
     ("fare_amount", "total_fare"),
     ("tip_amount", "total_tip"),
