@@ -76,14 +76,25 @@ def _trip_legs(trips: DataFrame) -> DataFrame:
                                     "tpep_dropoff_datetime").alias("duration")))
 
 
-def longest_trip_per_vendor(trips: DataFrame) -> DataFrame:
+def longest_trip_per_vendor(trips: DataFrame, ties: str = "longer") -> DataFrame:
     """The longest trip per vendor and that same trip's duration (arg-max).
 
-    Equal distances are broken by the longer duration. Columns: VendorID,
-    max_distance_km (6 decimals), trip_duration_min.
+    ``ties="longer"`` (default): equal distances are broken by the longer
+    duration — exact, one scan, a per-task sort aggregate. ``ties="any"``:
+    any of the tied trips (the RDD variant's semantics) via ``max_by``, a
+    hash aggregate. Columns: VendorID, max_distance_km (6 decimals),
+    trip_duration_min.
     """
-    best = arg_max(_trip_legs(trips), ["VendorID"], ["distance", "duration"],
-                   {"max_distance_km": "distance", "trip_duration_min": "duration"})
+    legs = _trip_legs(trips)
+    if ties == "longer":
+        best = arg_max(legs, ["VendorID"], ["distance", "duration"],
+                       {"max_distance_km": "distance", "trip_duration_min": "duration"})
+    elif ties == "any":
+        best = legs.groupBy("VendorID").agg(
+            F.max("distance").alias("max_distance_km"),
+            F.max_by("duration", "distance").alias("trip_duration_min"))
+    else:
+        raise ValueError(f"ties must be 'longer' or 'any', not {ties!r}")
     out = best.select("VendorID", round_to("max_distance_km", 6).alias("max_distance_km"),
                       "trip_duration_min")
     return sort_small(out, "VendorID")  # one row per vendor

@@ -139,3 +139,26 @@ def test_unbroadcastable_zone_table_gives_the_same_result(spark, query):
     assert not small.bounded
     fn = getattr(Q, query)
     assert fn(trips, zones, check=small).collect() == fn(trips, zones).collect()
+
+
+def test_q2_any_tie_option_uses_a_hash_aggregate(spark):
+    import contextlib
+    import io
+
+    far = coords(-74.0, 40.6, -73.7, 40.9)
+    trips = make_trips(spark, [
+        dict(VendorID=1, tpep_pickup_datetime="2024-01-01 11:00:00",
+             tpep_dropoff_datetime="2024-01-01 11:45:00", **far),
+        dict(VendorID=1, tpep_pickup_datetime="2024-01-01 12:00:00",
+             tpep_dropoff_datetime="2024-01-01 12:30:00", **far),
+    ])
+    row = Q.longest_trip_per_vendor(trips, ties="any").first()
+    exact = Q.longest_trip_per_vendor(trips).first()
+    assert row.max_distance_km == exact.max_distance_km
+    assert row.trip_duration_min in (45.0, 30.0)            # one of the tied trips
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        Q.longest_trip_per_vendor(trips, ties="any").explain()
+    assert "SortAggregate" not in buf.getvalue()
+    with pytest.raises(ValueError):
+        Q.longest_trip_per_vendor(trips, ties="first")
