@@ -23,17 +23,31 @@ from hackney.operators.lookup import DimensionCheck, check_dimension
 from hackney.plans.queries import ZONE_KEY, night_trip_counts, revenue_sums
 from hackney.schemas import TIMESTAMP_FORMAT, TRIPS
 from hackney.session import scratch_path
+from hackney.sources import files
 
 
 def trip_stream(spark: SparkSession, path: str, schema: T.StructType = TRIPS,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over the files of ``path`` (Parquet or header-led CSV)."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    in_file = schema
     if fmt == "csv":
-        reader = reader.options(header="true", timestampNTZFormat=TIMESTAMP_FORMAT)
+        # Resolve columns by header name, as the batch reader does; an empty
+        # folder (files yet to arrive) falls back to the declared order.
+        try:
+            header = files.csv_header(spark, path)
+        except Exception:  # noqa: BLE001 - nothing to read a header from yet
+            header = schema.fieldNames()
+        declared = {f.name.lower(): f for f in schema.fields}
+        in_file = T.StructType([
+            T.StructField(n, declared[n.lower()].dataType) if n.lower() in declared
+            else T.StructField(n, T.StringType()) for n in header])
+    reader = spark.readStream.schema(in_file).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(header="true", enforceSchema="false",
+                                timestampNTZFormat=TIMESTAMP_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    return files.conform(reader.load(path), schema)
 
 
 def night_trips_stream(trips: DataFrame) -> DataFrame:

@@ -49,3 +49,15 @@ def test_csv_stream_source(spark, tmp_dir):
                            f"{tmp_dir}/ck")
     assert _rows(files.read_parquet(spark, f"{tmp_dir}/out"), "VendorID") == \
         _rows(Q.night_trips_per_vendor(trips), "VendorID")
+
+
+def test_csv_stream_resolves_columns_by_header_name(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/src")
+    with open(f"{tmp_dir}/src/a.csv", "w") as fh:     # reordered, capitalised, extra column
+        fh.write("tpep_pickup_datetime,passenger_count,VENDORID\n"
+                 "2024-01-01 23:30:00,1,2\n2024-01-01 12:00:00,3,1\n2024-01-02 01:00:00,1,2\n")
+    stream = streaming.trip_stream(spark, f"{tmp_dir}/src", fmt="csv")
+    streaming.run_to_table(spark, streaming.night_trips_stream(stream), f"{tmp_dir}/out",
+                           f"{tmp_dir}/ck")
+    assert _rows(files.read_parquet(spark, f"{tmp_dir}/out"), "VendorID") == [(2, 2)]
