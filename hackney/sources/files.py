@@ -45,14 +45,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         if infer_schema:
             reader = reader.option("inferSchema", "true")
         return reader.csv(path)
+    in_file = file_schema(csv_header(spark, path), schema)
+    df = reader.schema(in_file).option("enforceSchema", "false").csv(path)
+    return conform(df, schema)
+
+
+def file_schema(header: list[str], schema: T.StructType) -> T.StructType:
+    """The schema of a file with columns ``header``: declared types matched by
+    name case-insensitively, undeclared columns as strings."""
     declared = {f.name.lower(): f for f in schema.fields}
-    header = csv_header(spark, path)
-    in_file = T.StructType([
+    return T.StructType([
         T.StructField(name, declared[name.lower()].dataType) if name.lower() in declared
         else T.StructField(name, T.StringType())
         for name in header])
-    df = reader.schema(in_file).option("enforceSchema", "false").csv(path)
-    return conform(df, schema)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

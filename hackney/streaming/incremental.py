@@ -37,10 +37,7 @@ def trip_stream(spark: SparkSession, path: str, schema: T.StructType = TRIPS,
             header = files.csv_header(spark, path)
         except Exception:  # noqa: BLE001 - nothing to read a header from yet
             header = schema.fieldNames()
-        declared = {f.name.lower(): f for f in schema.fields}
-        in_file = T.StructType([
-            T.StructField(n, declared[n.lower()].dataType) if n.lower() in declared
-            else T.StructField(n, T.StringType()) for n in header])
+        in_file = files.file_schema(header, schema)
     reader = spark.readStream.schema(in_file).format(fmt)
     if fmt == "csv":
         reader = reader.options(header="true", enforceSchema="false",
