@@ -7,27 +7,52 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import packing, sharding, tokencount
+from hackney.llm import htmltext, langid, minhash, packing, sharding, spcodec, tokencount
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spcodec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), with_ids=False)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.learn(pages))
+
+
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=2)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    profiles = langid.learn(docs.where(~langid.held_out("doc_id")))
+    return langid.identify(docs, profiles).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_html_extraction": op5_html_extraction,
+    "op7_superminhash": op7_superminhash,
+    "op8_language_id": op8_language_id,
     "op10_token_counts": op10_token_counts,
 }
 
