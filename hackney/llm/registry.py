@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import htmltext, langid, minhash, packing, sharding, spcodec, tokencount
+from hackney.llm import htmltext, langid, minhash, packing, sharding, spcodec, sphericalcaps, tokencount
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages, htmltext.learn(pages))
 
 
+def op6_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sphericalcaps.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=2)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_html_extraction": op5_html_extraction,
+    "op6_spherical_caps": op6_spherical_caps,
     "op7_superminhash": op7_superminhash,
     "op8_language_id": op8_language_id,
     "op10_token_counts": op10_token_counts,
