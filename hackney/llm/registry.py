@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import htmltext, langid, minhash, packing, sharding, spcodec, sphericalcaps, tokencount
+from hackney.llm import htmltext, langid, linededup, minhash, packing, sharding, spcodec, sphericalcaps, tokencount
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dropped_lines(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_spherical_caps": op6_spherical_caps,
     "op7_superminhash": op7_superminhash,
     "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
