@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hackney.llm import htmltext, langid, linededup, minhash, packing, sharding, spcodec, sphericalcaps, tokencount
+from hackney.llm import htmltext, langid, linededup, minhash, packing, sharding, spcodec, sphericalcaps, tokencount, topk
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +23,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spcodec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), with_ids=False)
 
 
+def op3_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", topk.fixed_point(F.col("embedding")).alias("v"))
+    return topk.top_k(rows.where(F.col("vec_id") % 50 == 0), rows, 5)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
@@ -57,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_no_random_access_topk": op3_no_random_access_topk,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_html_extraction": op5_html_extraction,
     "op6_spherical_caps": op6_spherical_caps,
