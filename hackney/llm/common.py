@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+import hackney
 from hackney.session import scratch_path, table_path
 
+_SHIPPED: set[str] = set()  # applications whose workers have the package
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver's, for a query that runs on Python workers too."""
+    ship_package(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -20,3 +32,26 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, "llm", label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of ``spark`` import this package.
+
+    A job submitted with ``--py-files``, a ``PYTHONPATH`` that names the
+    package's folder or a start from there needs nothing; else the package is
+    sent to the workers as a zip file, once a session.
+    """
+    root = Path(hackney.__file__).resolve().parent.parent
+    known = {Path(p).resolve() for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]}
+    context = spark.sparkContext
+    if not root.is_dir() or root in known or context.applicationId in _SHIPPED:
+        return
+    # The driver serves this file to the workers as long as the session lasts.
+    folder = tempfile.mkdtemp(prefix="hackney-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder, "hackney.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted((root / "hackney").rglob("*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
