@@ -1,0 +1,81 @@
+import struct
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+
+from hackney.llm import spcodec
+from tests.llm.helpers import documents, rng
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+TEXTS = ["", " ", "  a", "a ", "a  b", "<s> hi", "<unk>", "▁", "▁ ▁", "tab\tand\nline", "😀 中文 ñandú", "x" * 3000, " " * 70]
+
+
+def _texts():
+    r = rng(3)
+    letters = "aB'sS  tré ÉÀ1²½\x85\xa0\x1c\n\t.,!?$%<s></s>'ll_İſΣ́é中😀·ª▁"
+    return TEXTS + ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(1500)]
+
+
+def test_both_ways_equal_the_sentencepiece_library():
+    data = open(PATH, "rb").read()
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = _texts()
+    want = reference.encode(texts)
+    for verify in ("units", "texts"):
+        codec = spcodec.SentencePieces(data, verify, cache_units=200)
+        assert codec.by_unit
+        for at in range(0, len(texts), 100):
+            got = codec.encode(texts[at:at + 100])
+            assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in got] == want[at:at + 100]
+            assert all(agree for _, agree in got)
+            assert [codec.decode(ids) for ids, _ in got] == [reference.decode(w) for w in want[at:at + 100]]
+
+
+def _varint(n):
+    out = b""
+    while n > 127:
+        out += bytes([n & 127 | 128])
+        n >>= 7
+    return out + bytes([n])
+
+
+def _field(number, wire, value):
+    return _varint(number << 3 | wire) + (value if wire == 5 else _varint(value) if wire == 0 else _varint(len(value)) + value)
+
+
+def _unigram_model():
+    """A small hand-written unigram model with byte fallback, as its protobuf."""
+    pieces = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3), *[(f"<0x{b:02X}>", 0, 6) for b in range(256)]]
+    for rank, p in enumerate(["▁", "▁the", "▁t", "he", "h", "e", "t", "a", "▁a", "n", "an", "▁an", "d", "and", "▁and"]):
+        pieces.append((p, -1.0 - 0.3 * rank, 1))
+    body = b"".join(_field(1, 2, _field(1, 2, p.encode()) + _field(2, 5, struct.pack("<f", s)) + _field(3, 0, t))
+                    for p, s, t in pieces)
+    trainer = _field(3, 0, 1) + _field(4, 0, len(pieces)) + _field(35, 0, 1)
+    normaliser = _field(1, 2, b"identity") + _field(3, 0, 1) + _field(4, 0, 1) + _field(5, 0, 1)
+    return body + _field(2, 2, trainer) + _field(3, 2, normaliser)
+
+
+def test_unigram_scores_and_byte_fallback():
+    data = _unigram_model()
+    model = spcodec.parse(data)
+    assert model.kind == spcodec.UNIGRAM and model.byte_fallback and model.merge_blanks
+    assert abs(dict((p, s) for p, s, _ in model.pieces)["he"] + 1.9) < 1e-6
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    codec = spcodec.SentencePieces(data)
+    assert not codec.by_unit
+    texts = ["the and an a", "  the   hen ", "", "thean and", "a"]
+    got = codec.encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in got] == reference.encode(texts)
+    assert all(agree for _, agree in got)
+
+
+def test_encode_and_decode_cases(spark):
+    rows = [(1, None), (None, "no id"), (2, ""), (3, "same"), (3, "same"), *[(10 + i, t) for i, t in enumerate(TEXTS)]]
+    encoded = spcodec.encode(documents(spark, rows), PATH).cache()
+    assert encoded.columns == ["doc_id", "n_tokens", "ids_crc32", "round_trip", "parity", "ids"]
+    assert encoded.count() == len(rows) and encoded.where("not round_trip or not parity").count() == 0
+    texts = {r.doc_id: r.text for r in spcodec.decode(encoded, PATH).collect()}
+    for i, text in rows:
+        assert texts[i] == (text or "").replace("▁", " ")
+    assert spcodec.encode(documents(spark, []), PATH).count() == 0

@@ -1,0 +1,135 @@
+"""Token counts, packing and the word-level tokenizer under them."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from hackney.llm import packing, tokencount, wordtok
+from tests.llm.helpers import documents, prose, rng
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LETTERS = "aB'sS tré ÉÀ1²½\x85\xa0\x1c\n\t.,!?$%<|startoftext|>'ll_İſΣςßẞ́é中😀ǅ·ª"
+TEXTS = ["", " ", "it's we'LL", "a <|endoftext|> b", "<|STARTOFTEXT|>", "ΑΣ ΑΣΑ", "é", "word " * 3000, "x" * 5000]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_ids_and_lengths_equal_the_library(library):
+    spec = open(PATH, encoding="utf-8").read()
+    own = wordtok.WordTokenizer(spec, entries=50)  # small caches: they start anew often
+    counted = wordtok.WordTokenizer(spec, wordtok.frequent_lengths(spec), entries=50)
+    assert own.by_word
+    r = rng(1)
+    texts = TEXTS + ["".join(r.choice(LETTERS) for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == want, text
+        assert counted.length(text) == len(want), text
+
+
+def test_other_layouts_go_to_the_library():
+    spec = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    own = wordtok.WordTokenizer(spec)
+    assert not own.by_word and not wordtok.frequent_lengths(spec)
+    for text in TEXTS:
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == Tokenizer.from_str(spec).encode(text).ids
+
+
+def test_count_tokens_cases(spark, library):
+    rows = [(1, None), (None, "null id"), (2, ""), (3, "same"), (3, "same"), *[(10 + i, t) for i, t in enumerate(TEXTS)]]
+    got = tokencount.count_tokens(documents(spark, rows), PATH)
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    want = []
+    for i, text in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        want.append((i, len((text or "").encode()), n, n > 2048))
+    key = lambda t: (t[0] is None, t[0] or 0, t[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert tokencount.count_tokens(documents(spark, []), PATH).count() == 0
+
+
+def test_count_tokens_with_a_piece_model(spark):
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    processor = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = tokencount.count_tokens(documents(spark, [(1, "Some text."), (2, None)]), path).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {1: len(processor.encode("Some text.")), 2: 0}
+
+
+def _plain_best_fit(lengths, c):
+    """Best fit by looking at every bin ever opened."""
+    full = [c.tokens, c.documents, c.attention]
+    bins, out = [], []
+    for length in lengths:
+        need, best = [length, 1, length * length], None
+        for k, left in enumerate(bins):
+            room = [a - b for a, b in zip(left, need, strict=True)]
+            if min(room) < 0:
+                continue
+            if c.rule == "dot":
+                score = -sum(w * a * b / f / f for w, a, b, f in zip(c.weights, left, need, full, strict=True))
+            else:
+                score = sum(w * (a / f) ** 2 for w, a, f in zip(c.weights, room, full, strict=True))
+            if best is None or score < best[0] - 1e-15:
+                best = score, k, room
+        if best is None:
+            bins.append([a - b for a, b in zip(full, need, strict=True)])
+            out.append(len(bins) - 1)
+        else:
+            bins[best[1]] = best[2]
+            out.append(best[1])
+    return out, len(bins)
+
+
+@pytest.mark.parametrize("c", [packing.Capacity(tokens=100), packing.Capacity(tokens=100, documents=3),
+                               packing.Capacity(tokens=100, attention=4000), packing.Capacity(tokens=100, rule="dot"),
+                               packing.Capacity(100, 4, 5000, (1, .5, .5), "dot")])
+def test_best_fit_holds_every_capacity_and_opens_as_few(c):
+    r = rng(5)
+    lengths = sorted((r.randint(1, 60) for _ in range(300)), reverse=True)
+    bins = packing.best_fit(np.array(lengths), c)
+    for b in set(bins.tolist()):
+        held = [n for n, x in zip(lengths, bins, strict=True) if x == b]
+        assert sum(held) <= c.tokens and len(held) <= c.documents and sum(n * n for n in held) <= c.attention
+    assert abs(bins.max() + 1 - _plain_best_fit(lengths, c)[1]) <= 3  # ties may go to other bins
+
+
+def test_pack_documents_cases(spark, library):
+    r = rng(2)
+    rows = [(1, None), (None, "no id"), (2, ""), (3, "copy"), (3, "copy"), (4, prose(r, 9000))]
+    rows += [(10 + i, prose(r, r.randint(1, 400))) for i in range(60)]
+    got = packing.pack_documents(documents(spark, rows), PATH).toPandas()
+    assert list(got.columns) == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    total = 0
+    for i, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        total += len(ids)
+        own = got[got.doc_id.isna() if i is None else got.doc_id == i].drop_duplicates(["piece"]).sort_values("piece")
+        assert own.length.tolist() == [min(2048, len(ids) - s) for s in range(0, len(ids), 2048)]
+        assert own.start.tolist() == list(range(0, len(ids), 2048))
+        assert own.ids_crc32.tolist() == [zlib.crc32(np.array(ids[s:s + 2048], "<u4").tobytes())
+                                          for s in range(0, len(ids), 2048)]
+    assert got.length.sum() == total
+    for _, held in got.groupby("sequence_id"):
+        held = held.sort_values("offset")
+        assert held.offset.tolist() == [0, *held.length.cumsum().tolist()[:-1]] and held.length.sum() <= 2048
+    assert got.sequence_id.nunique() <= -(-total // 2048) + 1
+    assert packing.pack_documents(documents(spark, []), PATH).count() == 0
+
+
+def test_several_shards_and_sequences(spark):
+    docs = documents(spark, [(i, "word " * (i % 50 + 1)) for i in range(300)])
+    capacity = packing.Capacity(tokens=64)
+    parts = packing.pieces(docs, PATH, capacity, with_ids=True).cache()
+    packed = packing.pack(parts, capacity, shard_pieces=60).cache()
+    assert packed.groupBy((packed.sequence_id / 2 ** 32).cast("int")).count().count() > 2
+    made = packing.sequences(packed).toPandas()
+    held = packed.toPandas().sort_values("offset")
+    for s, ids in zip(made.sequence_id, made.ids, strict=True):
+        assert bytes(ids) == b"".join(bytes(x) for x in held[held.sequence_id == s].ids)
