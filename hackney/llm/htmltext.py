@@ -104,7 +104,7 @@ def _element_odds(tag: str, attrs: str, inside: bool) -> tuple[float, bool]:
     odds = TAG_ODDS.get(tag, 0.0)
     if tag == "header" and inside:
         odds = 0.0  # an article's own heading
-    if not attrs or tag in ("a", "b", "i", "em", "strong", "span", "p"):
+    if not attrs or tag in ("a", "b", "i", "em", "strong"):
         return odds, False
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     odds += ROLE_ODDS.get(given.get("role", "").lower(), 0.0)
