@@ -257,7 +257,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     per_class = (classes.join(counts, "rep", "left").join(named, F.col("rep") == F.col("node"), "left")
                  .select("key", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
                          F.coalesce("component", "rep").alias("component_id")))
-    every = units.select("id", "key").join(per_class, "key", "left")
+    every = units.select("id", F.when(F.col("id").isNotNull(), F.col("key")).alias("key")).join(per_class, "key", "left")
     every = every.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                          F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
     return every.select(F.col("id").alias(id_col), "n_links", "component_id",
