@@ -2,10 +2,10 @@
 
 from hackney.functions.display import preview, report
 from hackney.functions.geo import haversine_km, register_sql_functions
-from hackney.functions.numeric import exact_mean, money_sum, round_to
+from hackney.functions.numeric import mean_of, round_to, sum_parts, total_of, with_parts
 from hackney.functions.timefn import elapsed_minutes, in_hour_window, is_night, pickup_hour
 
 __all__ = [
-    "haversine_km", "register_sql_functions", "exact_mean", "money_sum", "round_to",
+    "haversine_km", "register_sql_functions", "mean_of", "round_to", "sum_parts", "total_of", "with_parts",
     "elapsed_minutes", "in_hour_window", "is_night", "pickup_hour", "preview", "report",
 ]

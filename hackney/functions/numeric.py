@@ -1,62 +1,99 @@
-"""Exact, order-independent aggregates.
+"""Exact, order-independent sums and means of doubles.
 
 Double sums depend on the order rows meet in partial aggregates, so the same
-query can print different last digits on different cluster layouts. Money is
-summed as whole cents in a LONG and means as whole micro-units: integer sums
-are exact and associative, so results are identical on any partitioning and
-across engines. A LONG of cents overflows only past 9.2e16 currency units
-(ANSI mode raises instead of wrapping), far above any trip table's total, and
-stays codegen'd without BigDecimal; the micro-unit sums of means, which can
-pass 9.2e18 at 10^12 rows, use DECIMAL(38,0).
+query can print different last digits on different cluster layouts. Here a
+value becomes an integer count of 10^-``decimals`` units, fine enough to hold
+every decimal the data has (12 for degrees, 6 for money: nothing is rounded
+to the precision of the report first), and the integers are summed as two LONG
+limbs, which stays in generated code. Only the result is rounded. Limbs of 22
+bits (24 for 12 decimals) cannot overflow below 2 * 10^12 (5 * 10^11) rows a
+group; ANSI mode would raise, not wrap.
+
+Values that are not finite, or too large for the limbs (beyond 1.7 * 10^7 of
+money, 280 degrees), are summed as doubles beside the limbs and added at the
+end, so NaN and infinities behave as in SQL ``sum`` and ``avg``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MONEY_DECIMALS, DEGREE_DECIMALS = 6, 12
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def scaled_long(x, decimals: int) -> Column:
-    """``x`` as an integer count of 10^-decimals units (NULL stays NULL).
+def _bits(decimals: int) -> int:
+    return 24 if decimals > MONEY_DECIMALS else 22
+
 
-    ``rint`` (nearest, ties to even) is a single machine instruction, where
-    ``round`` (ties away from zero) goes through BigDecimal per row and is
-    ~2x slower; a tie needs an exact half unit, which 2-decimal money and
-    3-decimal coordinates scaled by 100 / 10^6 never produce.
+def sum_parts(x, decimals: int, name: str) -> dict[str, Column]:
+    """Aggregate columns that hold a sum of ``x`` exactly; they add up over groups.
+
+    ``name`` prefixes them: count, high and low limb, sum of all other values.
     """
-    return F.rint(_c(x) * F.lit(10.0 ** decimals)).cast("long")
+    x, bits = _c(x), _bits(decimals)
+    exact = F.abs(x) < F.lit(2.0 ** (2 * bits) / 10.0 ** decimals)  # false for NaN and infinities
+    units = F.when(exact, F.rint(x * F.lit(10.0 ** decimals)).cast("long"))
+    return {
+        f"{name}_n": F.count(x),
+        f"{name}_high": F.sum(F.shiftright(units, bits)),
+        f"{name}_low": F.sum(units.bitwiseAND(F.lit((1 << bits) - 1))),
+        f"{name}_other": F.sum(F.when(exact, F.lit(None)).otherwise(x)),
+    }
 
 
-def money_sum(x, decimals: int = 2) -> Column:
-    """Exact sum of a currency column as a double with ``decimals`` places.
+def part_names(name: str) -> list[str]:
+    return [f"{name}_{p}" for p in ("n", "high", "low", "other")]
 
-    SQL ``sum`` semantics: NULLs skipped, NULL when every value is NULL.
-    """
-    return F.sum(scaled_long(x, decimals)) / F.lit(10.0 ** decimals)
+
+def _units(name: str, decimals: int) -> Column:
+    """The summed units of finished parts as DECIMAL(38,0); 0 for no values."""
+    whole = "decimal(38,0)"
+    high = F.coalesce(F.col(f"{name}_high"), F.lit(0)).cast("decimal(20,0)") * F.lit(1 << _bits(decimals))
+    return (high.cast(whole) + F.coalesce(F.col(f"{name}_low"), F.lit(0)).cast(whole)).cast(whole)
+
+
+def _as_double(units: Column, decimals: int) -> Column:
+    """units / 10^decimals: the whole part and the fraction, each exact, added."""
+    one = F.lit(10 ** decimals).cast("decimal(38,0)")
+    rest = units % one
+    return ((units - rest) / one).cast("double") + rest.cast("double") / F.lit(10.0 ** decimals)
+
+
+def total_of(name: str, decimals: int = MONEY_DECIMALS) -> Column:
+    """The sum that parts ``name`` hold, as a double; NULL for no values."""
+    total = _as_double(_units(name, decimals), decimals)
+    return F.when(F.col(f"{name}_n") > 0, total + F.coalesce(F.col(f"{name}_other"), F.lit(0.0)))
 
 
-def exact_mean(x, decimals: int = 6) -> Column:
-    """Mean of ``x`` rounded to ``decimals`` places, independent of row order.
+def mean_of(name: str, decimals: int = DEGREE_DECIMALS, places: int = 6) -> Column:
+    """The mean that parts ``name`` hold, rounded to ``places`` exactly (ties to even).
 
-    Each value becomes an integer count of 10^-decimals units, summed as
-    DECIMAL(38,0): a LONG sum of micro-degrees would overflow past ~10^11
-    rows per group, well within a 100 TB trip table. The quotient is rounded
-    exactly (integer remainder, ties to even on the magnitude), so the result
-    is the same on any partitioning and in any engine. NULL for no values.
+    With values beside the limbs, the rounded double quotient.
     """
-    units = F.rint(_c(x) * F.lit(10.0 ** decimals)).cast("decimal(38,0)")
-    total = F.sum(units)
-    n = F.count(_c(x))
-    magnitude = F.abs(total)
-    remainder = magnitude % n
-    quotient = (magnitude - remainder) / n          # exact: divisible
-    round_up = (remainder * 2 > n) | ((remainder * 2 == n) & (quotient % 2 == 1))
-    rounded = quotient + F.when(round_up, F.lit(1)).otherwise(F.lit(0))
-    return F.when(n > 0, F.signum(total) * rounded.cast("double") / F.lit(10.0 ** decimals))
+    whole = "decimal(38,0)"
+    n, units, other = F.col(f"{name}_n"), _units(name, decimals), F.col(f"{name}_other")
+    divisor = (n.cast("decimal(19,0)") * F.lit(10 ** (decimals - places)).cast("decimal(19,0)")).cast(whole)
+    size = F.abs(units)
+    rest = size % divisor
+    quotient = ((size - rest) / divisor).cast(whole)   # exact: divisible
+    twice = (rest * F.lit(2)).cast(whole)
+    up = (twice > divisor) | ((twice == divisor) & (quotient % 2 == 1))
+    rounded = F.signum(units.cast("double")) * (quotient + F.when(up, 1).otherwise(0)).cast("double")
+    plain = F.round((_as_double(units, decimals) + other) / n, places)
+    return F.when(n > 0, F.when(other.isNull(), rounded / F.lit(10.0 ** places)).otherwise(plain))
+
+
+def with_parts(grouped, measures: dict[str, Column | str], decimals: int):
+    """The parts of several sums (output name -> value) as one aggregate of grouped data."""
+    parts = reduce(lambda a, b: {**a, **b}, (sum_parts(x, decimals, name) for name, x in measures.items()))
+    return grouped.agg(*[column.alias(name) for name, column in parts.items()])
 
 
 def round_to(x, decimals: int) -> Column:

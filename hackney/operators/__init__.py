@@ -2,10 +2,10 @@
 
 from hackney.operators.argmax import arg_max, ordered_first
 from hackney.operators.filters import nonzero_coordinates
-from hackney.operators.lookup import DimensionCheck, check_dimension, lookup_join
+from hackney.operators.lookup import count_per, lookup_join, sum_again, unique_side
 from hackney.operators.topk import sort_small, sort_total, top_k
 
 __all__ = [
-    "arg_max", "ordered_first", "nonzero_coordinates", "DimensionCheck",
-    "check_dimension", "lookup_join", "sort_small", "sort_total", "top_k",
+    "arg_max", "ordered_first", "nonzero_coordinates", "count_per",
+    "lookup_join", "sum_again", "unique_side", "sort_small", "sort_total", "top_k",
 ]

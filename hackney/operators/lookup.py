@@ -1,66 +1,39 @@
-"""Dimension lookups (id -> attributes) joined onto large fact tables.
-
-The fact side is huge; the dimension (taxi zones: a few hundred rows) is tiny.
-A broadcast hash join avoids shuffling the facts at all, but broadcasting is
-only safe for a side whose size is *checked*: ``check_dimension`` reads at most
-``max_rows + 1`` rows of the dimension (one small job) and only a dimension
-that fits is hinted for broadcast. Anything larger is joined without a hint,
-so the planner falls back to a shuffle join (AQE may still convert it at
-runtime from real statistics); ``reduce_for_lookup`` then aggregates the
-facts on the join key first, keeping that fallback cheap.
-
-The same check verifies the key is unique: a duplicated id would silently
-multiply fact rows in a join.
+"""Dimension lookups (id -> attributes) joined onto fact tables.
+
+A lookup key must be unique: a duplicated id would silently multiply facts.
+``lookup_join`` therefore joins the dimension grouped by its key, and a key
+that occurs twice fails the job with the same error whatever the dimension's
+size. The check is part of the plan (a partial and a final aggregate of the
+dimension), so building a query runs nothing.
+
+How the join runs is left to the optimiser, which knows both sides' bytes: a
+small dimension is broadcast (``spark.sql.autoBroadcastJoinThreshold``, or at run
+time by adaptive execution), a large one is joined by shuffle. That choice
+never changes a result. Callers aggregate facts on the ids first
+(``hackney.plans.queries``), so even the shuffle join meets one row per id and
+task instead of raw facts.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast bound for a lookup side, in rows. Zones are ~265 rows; 1M narrow
-# rows (int + two short strings) stay well below the 8 GB broadcast limit and
-# the default executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-@dataclass(frozen=True)
-class DimensionCheck:
-    bounded: bool          # at most max_rows rows: safe to broadcast
-    rows: int              # rows seen (capped at max_rows + 1)
-    unique: bool | None    # key unique among non-NULL keys (None: not checked)
 
+def unique_side(dim: DataFrame, key: str, columns: dict[str, str], key_alias: str) -> DataFrame:
+    """``dim`` with one row per non-NULL key: the key and ``columns`` renamed.
 
-def check_dimension(dim: DataFrame, key: str,
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DimensionCheck:
-    """Bound the row count of ``dim`` and test ``key`` for uniqueness in one job.
-
-    The job reads at most ``max_rows + 1`` rows of the dimension and returns
-    one row (total rows, largest multiplicity of a non-NULL key), so the check
-    never grows with a large table and nothing but that row reaches the driver.
+    A key that occurs more than once raises an error when the rows are used.
     """
-    per_key = dim.select(key).limit(max_rows + 1).groupBy(key).count()
-    row = per_key.agg(
-        F.sum("count").alias("rows"),
-        F.max(F.when(F.col(key).isNotNull(), F.col("count"))).alias("max_dup")).first()
-    rows = row["rows"] or 0
-    bounded = rows <= max_rows
-    unique = (row["max_dup"] or 0) <= 1 if bounded else None
-    return DimensionCheck(bounded, rows, unique)
-
-
-def lookup_side(dim: DataFrame, check: DimensionCheck) -> DataFrame:
-    """Hint ``dim`` for broadcast only if its size was proven bounded."""
-    return F.broadcast(dim) if check.bounded else dim
+    twice = F.raise_error(F.concat(F.lit(f"lookup key {key!r} is not unique: "), F.col(key_alias).cast("string")))
+    grouped = (dim.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(key_alias))
+               .agg(F.count(F.lit(1)).alias("__n"), *[F.first(src).alias(dst) for src, dst in columns.items()]))
+    return grouped.select(F.when(F.col("__n") == 1, F.col(key_alias)).otherwise(twice).alias(key_alias),
+                          *columns.values())
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                columns: dict[str, str], how: str = "left",
-                default: str | None = None,
-                check: DimensionCheck | None = None,
-                require_unique: bool = True) -> DataFrame:
+                columns: dict[str, str], how: str = "left", default: str | None = None) -> DataFrame:
     """Attach dimension attributes to ``facts`` by ``fact_key == dim_key``.
 
     ``columns`` maps dimension column -> output name, so the same dimension
@@ -68,38 +41,20 @@ def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     ambiguous references. ``how`` is ``left`` (keep unmatched facts, J2),
     ``inner`` (drop them, J3) or ``left`` with ``default`` (label them, J4).
     """
-    if check is None:
-        check = check_dimension(dim, dim_key)
-    if require_unique and check.unique is False:
-        raise ValueError(f"lookup key {dim_key!r} is not unique in the dimension")
     key_alias = f"__lookup_{fact_key}"
-    side = dim.select(F.col(dim_key).alias(key_alias),
-                      *[F.col(src).alias(dst) for src, dst in columns.items()])
-    joined = facts.join(lookup_side(side, check),
-                        facts[fact_key] == side[key_alias], how).drop(key_alias)
+    side = unique_side(dim, dim_key, columns, key_alias)
+    joined = facts.join(side, facts[fact_key] == side[key_alias], how).drop(key_alias)
     if default is not None:
         for dst in columns.values():
             joined = joined.withColumn(dst, F.coalesce(F.col(dst), F.lit(default)))
     return joined
 
 
-def reduce_for_lookup(facts: DataFrame, keys: list[str], measures: dict[str, Column],
-                      check: DimensionCheck) -> DataFrame:
-    """Fact rows shaped for a lookup on ``keys``, carrying additive ``measures``.
+def count_per(facts: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Fact rows counted per ``keys`` (the eager aggregate before a lookup)."""
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
-    * Dimension proven small (broadcast): rows pass through one per fact. Each
-      task probes the broadcast map and the caller's aggregate on the coarse
-      output key (a borough, a zone name) combines map-side, so a task emits
-      a handful of rows — pre-aggregating on the fine ids first would make
-      every task emit one row per id (pair) it saw.
-    * Dimension not provably small: facts are summed per key *before* the
-      join (eager aggregation), so the shuffle join only meets one row per
-      distinct id — never raw facts, never a skewed hot id.
 
-    Either way the caller sums the measures after the lookup; counts are
-    measures of 1.
-    """
-    rows = facts.select(*keys, *[m.alias(name) for name, m in measures.items()])
-    if check.bounded:
-        return rows
-    return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+def sum_again(df: DataFrame, keys: list[str | Column], measures: list[str]) -> DataFrame:
+    """Additive ``measures`` summed over ``keys`` once more, after a lookup."""
+    return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

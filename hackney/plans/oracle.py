@@ -2,16 +2,17 @@
 
 The checker pre-registers only the raw driver tables, so each statement
 inlines the ``trips`` / ``zones`` fixture views as CTEs. Column names and
-types match the Spark side exactly (counts and sums cast to BIGINT; means
-and money computed as integer sums, ties rounded to even, as in
-``hackney.functions.numeric``).
+types match the Spark side exactly (counts cast to BIGINT). Money and means
+go through exact DECIMAL sums of the values as they are; only results are
+rounded.
 """
 
 from __future__ import annotations
 
-from hackney.sources.fixtures import (RAW_BAD_TIME_RULE, RAW_SHORT_FIELDS, RAW_SHORT_RULE,
+from hackney.sources.fixtures import (RAW_ABSENT_FEE_RULE, RAW_BAD, RAW_COLUMNS,
+                                      RAW_EMPTY_FEE_RULE, RAW_SHORT_FIELDS, RAW_SHORT_RULE,
                                       TRIPS_SQL, ZONES_SQL)
-from hackney.plans.raw import RAW_VARIANTS
+from hackney.plans.raw import OPTIONAL, RAW_VARIANTS
 from hackney.schemas import TRIPS
 
 _PICKUP_SECS = "(l_orderkey*7919 + l_linenumber*104729 + l_partkey*31) % 86400"
@@ -37,21 +38,16 @@ def _with(body: str, keyed: bool = False) -> str:
             f"zones AS ({ZONES_SQL.format(nation='nation', region='region')})\n{body}")
 
 
-def _units_sum(col: str) -> str:
-    return f"CAST(SUM(CAST(round_even({col} * CAST(1000000 AS DOUBLE), 0) AS HUGEINT)) AS HUGEINT)"
+def _mean(col: str) -> str:
+    """The exact mean rounded to 6 places; NaN if a value is."""
+    exact = f"AVG(CASE WHEN NOT isnan({col}) THEN CAST({col} AS DECIMAL(38,12)) END)"
+    return f"CASE WHEN bool_or(isnan({col})) THEN CAST('NaN' AS DOUBLE) ELSE ROUND({exact}, 6) END"
 
 
-def _exact_mean(total: str, n: str) -> str:
-    """Integer quotient of micro-units, ties to even on the magnitude."""
-    r = f"(abs({total}) % {n})"
-    q = f"((abs({total}) - {r}) // {n})"
-    return (f"CASE WHEN {n} > 0 THEN sign({total}) * CAST({q} + CASE WHEN 2 * {r} > {n} "
-            f"OR (2 * {r} = {n} AND {q} % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) "
-            f"/ CAST(1000000 AS DOUBLE) END")
-
-
-def _cents(col: str) -> str:
-    return f"SUM(CAST(round_even({col} * CAST(100 AS DOUBLE), 0) AS BIGINT)) / CAST(100 AS DOUBLE)"
+def _money(col: str) -> str:
+    """The exact sum as a double: whole part and fraction added."""
+    total = f"SUM(CAST({col} AS DECIMAL(38,6)))"
+    return f"(CAST(trunc({total}) AS DOUBLE) + CAST({total} - trunc({total}) AS DOUBLE))"
 
 
 _DISTANCE = """CAST(12742 AS DOUBLE) * asin(sqrt(least(CAST(1 AS DOUBLE),
@@ -72,40 +68,39 @@ _REVENUE = [
     ("mta_tax", "total_mta_tax"), ("congestion_surcharge", "total_congestion"),
     ("airport_fee", "total_airport_fee"), ("total_amount", "grand_total"),
 ]
-_REVENUE_SUMS = ",\n  ".join(f"{_cents(src)} AS {dst}" for src, dst in _REVENUE)
+_REVENUE_SUMS = ",\n  ".join(f"{_money(src)} AS {dst}" for src, dst in _REVENUE)
 
 _NIGHT = "(hour(tpep_pickup_datetime) = 23 OR hour(tpep_pickup_datetime) BETWEEN 0 AND 6)"
 
 
-def _raw_trips(columns: list[str]) -> str:
-    """The rows a raw-text query parsing ``columns`` sees: bad pick-up times are
-    NULL, and rows cut short are gone only if a needed field lies beyond the cut."""
-    names = TRIPS.fieldNames()
-    cols = [f"CASE WHEN {RAW_BAD_TIME_RULE} THEN NULL ELSE {n} END AS {n}"
-            if n == "tpep_pickup_datetime" else n for n in names]
-    arity = max(names.index(c) for c in columns) + 1
-    where = f"WHERE NOT ({RAW_SHORT_RULE})" if arity > RAW_SHORT_FIELDS else ""
-    return f"SELECT {', '.join(cols)} FROM trips {where}"
+def _raw_trips(columns: list[str], strict: bool = False) -> str:
+    """The rows a raw-text query parsing ``columns`` sees: bad fields are NULL, as
+    is an absent fee; rows cut short are gone only if a needed field lies beyond the
+    cut, and with ``strict`` rows with a bad fee."""
+    rules = {name: f"({rule})" for name, (rule, _) in RAW_BAD.items()}
+    rules["airport_fee"] += f" OR ({RAW_EMPTY_FEE_RULE}) OR ({RAW_ABSENT_FEE_RULE})"
+    cols = [f"CASE WHEN {rules[n]} THEN NULL ELSE {n} END AS {n}" if n in rules else n
+            for n in TRIPS.fieldNames()]
+    arity = max(RAW_COLUMNS.index(c) for c in columns if c not in OPTIONAL) + 1
+    where = [f"NOT ({RAW_SHORT_RULE})"] * (arity > RAW_SHORT_FIELDS)
+    if strict:
+        where.append(f"NOT ({RAW_BAD['airport_fee'][0]} AND NOT ({RAW_SHORT_RULE}))")
+    return f"SELECT {', '.join(cols)} FROM trips WHERE {' AND '.join(where) or 'TRUE'}"
 
 
-def _with_raw(body: str, columns: list[str]) -> str:
+def _with_raw(body: str, columns: list[str], strict: bool = False) -> str:
     """``body`` evaluated over the raw-text view of the trips."""
     body = body.replace("FROM trips", "FROM raw_trips")
     sep = "" if body.lstrip().startswith(",") else "\n"
-    return _with(f", raw_trips AS ({_raw_trips(columns)}){sep}{body}", keyed=True)
+    return _with(f", raw_trips AS ({_raw_trips(columns, strict)}){sep}{body}", keyed=True)
 
 
 _Q1 = f"""
-, sums AS (
-  SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
-    {_units_sum('pickup_longitude')} AS lon_units, COUNT(pickup_longitude) AS lon_n,
-    {_units_sum('pickup_latitude')} AS lat_units, COUNT(pickup_latitude) AS lat_n
-  FROM trips
-  WHERE pickup_longitude != 0 AND pickup_latitude != 0 __NULL_HOUR_RULE__
-  GROUP BY 1)
-SELECT hour, {_exact_mean('lon_units', 'lon_n')} AS avg_longitude,
-  {_exact_mean('lat_units', 'lat_n')} AS avg_latitude
-FROM sums ORDER BY hour""".lstrip("\n")
+SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
+  {_mean('pickup_longitude')} AS avg_longitude, {_mean('pickup_latitude')} AS avg_latitude
+FROM trips
+WHERE pickup_longitude != 0 AND pickup_latitude != 0 __NULL_HOUR_RULE__
+GROUP BY 1 ORDER BY 1""".lstrip("\n")
 
 _BODIES: dict[str, str] = {
     "c0_csv_to_parquet": "SELECT * FROM trips",
@@ -113,6 +108,12 @@ _BODIES: dict[str, str] = {
     "q1_hourly_mean_pickup": _Q1.replace("__NULL_HOUR_RULE__",
                                          "AND tpep_pickup_datetime IS NOT NULL"),
 
+    "q1_hourly_mean_pickup_null_hour": _Q1.replace("__NULL_HOUR_RULE__", ""),
+
+    "q2_distance_sql": f""", {_LEGS}
+SELECT VendorID, ROUND(MAX(distance), 6) AS max_distance_km, CAST(COUNT(*) AS BIGINT) AS n_trips
+FROM legs GROUP BY 1 ORDER BY 1""",
+
     "q2_longest_trip_per_vendor": f""", {_LEGS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY VendorID
                     ORDER BY distance DESC NULLS LAST, duration DESC NULLS LAST) AS rn FROM legs)
@@ -183,9 +184,6 @@ GROUP BY 1 ORDER BY grand_total DESC, Borough""".lstrip("\n"),
 
 ORACLE_SQL: dict[str, str] = {key: _with(sql) for key, sql in _BODIES.items()}
 ORACLE_SQL["ingest_raw_trips"] = _with(_raw_trips(TRIPS.fieldNames()), keyed=True)
-# Raw-text twins: the base query's body over the rows its parse keeps. Q1's
-# twin keeps the NULL-hour group (the DataFrame variant's behaviour).
+# Raw-text twins: the base query's body over the rows its parse keeps.
 for _key, (_base, _columns) in RAW_VARIANTS.items():
-    _sql = (_Q1.replace("__NULL_HOUR_RULE__", "") if _key == "q1_hourly_mean_pickup_raw"
-            else _BODIES[_base])
-    ORACLE_SQL[_key] = _with_raw(_sql, _columns)
+    ORACLE_SQL[_key] = _with_raw(_BODIES[_base], _columns, strict=_base == "q6_revenue_by_borough_unknown")

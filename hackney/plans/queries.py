@@ -5,16 +5,15 @@ the action. Sources are irrelevant here: the same function runs over the
 Parquet tables, a typed CSV read, or rows parsed from raw text.
 
 Plan shape, chosen for a fact table of trillions of rows and a dimension of a
-few hundred:
+few hundred, and the same at every size of either:
 
 * every aggregate has a partial (map-side) phase, so the shuffles carry one
   row per group per task, never raw trips, and a hot key (a third of all
   trips in one zone or vendor) is combined before it reaches any one task;
-* zone lookups broadcast the zone table once its size is proven small and
-  aggregate on the output key (borough, zone name) after the join, so each
-  task emits a handful of rows; a zone table too big to broadcast instead
-  meets trips already aggregated per zone id (``reduce_for_lookup``);
-* money and means are summed as integers (``hackney.functions.numeric``), so
+* trips are counted or summed per zone id (pair) first, the finished sums meet
+  the zone table, and are summed again per borough or zone name: a lookup joins
+  a row per id, whether the optimiser broadcasts the zones or not;
+* money and means are summed exactly (``hackney.functions.numeric``), so
   results do not depend on partitioning.
 """
 
@@ -24,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hackney.functions.geo import haversine_km
-from hackney.functions.numeric import exact_mean, round_to, scaled_long
+from hackney.functions.numeric import (DEGREE_DECIMALS, MONEY_DECIMALS, mean_of, part_names,
+                                       round_to, total_of, with_parts)
 from hackney.functions.timefn import elapsed_minutes, is_night, pickup_hour
 from hackney.operators.argmax import arg_max, ordered_first
 from hackney.operators.filters import DROPOFF_COORDS, PICKUP_COORDS, nonzero_coordinates
-from hackney.operators.lookup import (DimensionCheck, check_dimension, lookup_join,
-                                      lookup_side, reduce_for_lookup)
-from hackney.operators.topk import sort_small, top_k
+from hackney.operators.lookup import count_per, lookup_join, sum_again
+from hackney.operators.topk import sort_small, sort_total, top_k
 from hackney.schemas import REVENUE_COMPONENTS
 
 PU, DO = "PULocationID", "DOLocationID"
@@ -42,10 +41,6 @@ UNKNOWN = "Unknown"
 TOP_PAIRS = 20
 
 
-def _zone_check(zones: DataFrame, check: DimensionCheck | None) -> DimensionCheck:
-    return check if check is not None else check_dimension(zones, ZONE_KEY)
-
-
 # -- Q1 ---------------------------------------------------------------------
 
 def hourly_mean_pickup(trips: DataFrame, keep_null_hour: bool = False) -> DataFrame:
@@ -59,9 +54,9 @@ def hourly_mean_pickup(trips: DataFrame, keep_null_hour: bool = False) -> DataFr
             .select(pickup_hour().alias("hour"), *PICKUP_COORDS))
     if not keep_null_hour:
         rows = rows.where(F.col("hour").isNotNull())
-    out = rows.groupBy("hour").agg(
-        exact_mean("pickup_longitude").alias("avg_longitude"),
-        exact_mean("pickup_latitude").alias("avg_latitude"))
+    sums = with_parts(rows.groupBy("hour"), {"lon": "pickup_longitude", "lat": "pickup_latitude"},
+                      DEGREE_DECIMALS)
+    out = sums.select("hour", mean_of("lon").alias("avg_longitude"), mean_of("lat").alias("avg_latitude"))
     return sort_small(out, "hour")  # <= 25 rows: 24 hours (+ NULL)
 
 
@@ -97,7 +92,7 @@ def longest_trip_per_vendor(trips: DataFrame, ties: str = "longer") -> DataFrame
         raise ValueError(f"ties must be 'longer' or 'any', not {ties!r}")
     out = best.select("VendorID", round_to("max_distance_km", 6).alias("max_distance_km"),
                       "trip_duration_min")
-    return sort_small(out, "VendorID")  # one row per vendor
+    return sort_total(out, "VendorID")
 
 
 def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
@@ -112,46 +107,40 @@ def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
     out = legs.groupBy("VendorID").agg(
         round_to(F.max("distance"), 6).alias("max_distance_km"),
         ordered_first("duration", ["tpep_pickup_datetime", "duration"]).alias("first_duration_min"))
-    return sort_small(out, "VendorID")  # one row per vendor
+    return sort_total(out, "VendorID")
 
 
 # -- Q3 ---------------------------------------------------------------------
 
-def _pair_counts(trips: DataFrame, name: str, distinct_ids: bool = False) -> DataFrame:
-    """Trip counts per (pick-up id, drop-off id), NULL ids dropped."""
-    return trips.where(_pair_filter(distinct_ids)).groupBy(PU, DO).agg(
-        F.count(F.lit(1)).alias(name))
-
-
 def _pair_filter(distinct_ids: bool):
     if distinct_ids:
         return F.col(PU) != F.col(DO)   # NULL-rejecting as well
     return F.col(PU).isNotNull() & F.col(DO).isNotNull()
 
 
-def _named_pairs(trips: DataFrame, zones: DataFrame, check: DimensionCheck, attr: str,
-                 names: tuple[str, str], distinct_ids: bool) -> DataFrame:
-    """Trips (or per-id-pair trip counts, see ``reduce_for_lookup``) with the
-    zone attribute ``attr`` of both ends attached; unknown ids dropped."""
-    facts = reduce_for_lookup(trips.where(_pair_filter(distinct_ids)), [PU, DO],
-                              {"n": F.lit(1).cast("long")}, check)
-    named = lookup_join(facts, zones, PU, ZONE_KEY, {attr: names[0]}, how="inner", check=check)
-    return lookup_join(named, zones, DO, ZONE_KEY, {attr: names[1]}, how="inner", check=check)
+def _pair_counts(trips: DataFrame, name: str, distinct_ids: bool = False) -> DataFrame:
+    """Trip counts per (pick-up id, drop-off id), NULL ids dropped."""
+    return count_per(trips.where(_pair_filter(distinct_ids)), [PU, DO], name)
+
+
+def _named_pairs(trips: DataFrame, zones: DataFrame, attr: str, names: tuple[str, str],
+                 measure: str, distinct_ids: bool) -> DataFrame:
+    """Trip counts per id pair with the zone attribute ``attr`` of both ends; unknown ids dropped."""
+    counts = _pair_counts(trips, measure, distinct_ids)
+    named = lookup_join(counts, zones, PU, ZONE_KEY, {attr: names[0]}, how="inner")
+    return lookup_join(named, zones, DO, ZONE_KEY, {attr: names[1]}, how="inner")
 
 
-def same_borough_trips(trips: DataFrame, zones: DataFrame,
-                       check: DimensionCheck | None = None) -> DataFrame:
+def same_borough_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips that start and end in the same borough, per borough.
 
     Trips whose zone is unknown at either end are not counted. Columns:
     PickupBorough, TotalTrips.
     """
-    check = _zone_check(zones, check)
-    named = _named_pairs(trips, zones, check, "Borough", ("PickupBorough", "DropoffBorough"),
+    named = _named_pairs(trips, zones, "Borough", ("PickupBorough", "DropoffBorough"), "TotalTrips",
                          distinct_ids=False)
-    out = (named.where(F.col("PickupBorough") == F.col("DropoffBorough"))
-           .groupBy("PickupBorough").agg(F.sum("n").alias("TotalTrips")))
-    return sort_small(out, "-TotalTrips", "PickupBorough")  # one row per borough
+    same = named.where(F.col("PickupBorough") == F.col("DropoffBorough"))
+    return sort_total(sum_again(same, ["PickupBorough"], ["TotalTrips"]), "-TotalTrips", "PickupBorough")
 
 
 # -- Q4 ---------------------------------------------------------------------
@@ -161,7 +150,7 @@ def night_trips_per_vendor(trips: DataFrame) -> DataFrame:
 
     A trip with no (or an unparseable) pick-up time is not a night trip.
     """
-    return sort_small(night_trip_counts(trips), "-NightTripsCount", "VendorID")  # per vendor
+    return sort_total(night_trip_counts(trips), "-NightTripsCount", "VendorID")
 
 
 def night_trip_counts(trips: DataFrame) -> DataFrame:
@@ -172,108 +161,74 @@ def night_trip_counts(trips: DataFrame) -> DataFrame:
 
 # -- Q5 ---------------------------------------------------------------------
 
-def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
-                   check: DimensionCheck | None = None) -> DataFrame:
+def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS) -> DataFrame:
     """The ``k`` busiest (pick-up zone, drop-off zone) name pairs, ids differing.
 
-    Trips are counted per zone *name* pair (two ids sharing a name add up);
-    trips with an unknown zone at either end are dropped. Columns:
-    PickupZone, DropoffZone, TripCount.
-    """
-    check = _zone_check(zones, check)
-    # Count per pair of zone-*name ids* (ints): shuffle rows stay small and the
-    # per-trip hash aggregate is int-keyed; names are attached to the counted
-    # pairs only (at most names x names rows), before the top-k.
-    ids, names = _zone_name_ids(zones, check)
-    named = _named_pairs(trips, ids, check, "name_id", ("pu_name", "do_name"),
-                         distinct_ids=True)
-    counts = named.groupBy("pu_name", "do_name").agg(F.sum("n").alias("TripCount"))
-    labelled = lookup_join(counts, names, "pu_name", "name_id", {"Zone": "PickupZone"},
-                           how="inner", check=check)
-    labelled = lookup_join(labelled, names, "do_name", "name_id", {"Zone": "DropoffZone"},
-                           how="inner", check=check)
-    out = labelled.select("PickupZone", "DropoffZone", "TripCount")
-    return top_k(out, k, "-TripCount", "PickupZone", "DropoffZone")
-
-
-def _zone_name_ids(zones: DataFrame, check: DimensionCheck) -> tuple[DataFrame, DataFrame]:
-    """Integer ids for zone *names*: ids sharing a name get one id, the
-    smallest LocationID carrying it (NULL names form one name).
-
-    Returns (LocationID -> name_id, name_id -> Zone), each at most the size of
-    the zone table. A zone table proven small is handled in one partition
-    and broadcast (no shuffle stages); otherwise the planner distributes it.
+    Trips are counted per id pair, named, and summed per zone *name* pair (two
+    ids sharing a name add up); trips with an unknown zone at either end are
+    dropped. Columns: PickupZone, DropoffZone, TripCount.
     """
-    dim = zones.select(ZONE_KEY, "Zone")
-    if check.bounded:
-        dim = dim.coalesce(1)
-    names = dim.groupBy("Zone").agg(F.min(ZONE_KEY).alias("name_id"))
-    ids = (dim.withColumnRenamed("Zone", "_zone")
-           .join(lookup_side(names, check), F.col("_zone").eqNullSafe(F.col("Zone")), "inner")
-           .select(ZONE_KEY, "name_id"))
-    return ids, names
-
-
-def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS,
-                         check: DimensionCheck | None = None) -> DataFrame:
+    named = _named_pairs(trips, zones, "Zone", ("PickupZone", "DropoffZone"), "TripCount", distinct_ids=True)
+    counts = sum_again(named, ["PickupZone", "DropoffZone"], ["TripCount"])
+    return top_k(counts, k, "-TripCount", "PickupZone", "DropoffZone")
+
+
+def top_zone_pairs_by_id(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS) -> DataFrame:
     """The ``k`` busiest (pick-up id, drop-off id) pairs, ids differing, then named.
 
-    Counting happens per id pair *before* the lookup (the RDD variant), so
-    only ``k`` rows are joined; an id missing from the lookup is labelled
-    ``Unknown``. Ties in count are broken by the ids. Columns: PickupZone,
-    DropoffZone, TripCount.
+    Counting and cutting happen per id pair *before* the lookup (the RDD
+    variant), so only ``k`` rows are joined; an id missing from the lookup is
+    labelled ``Unknown``. Ties in count are broken by the ids. Columns:
+    PickupZone, DropoffZone, TripCount.
     """
-    check = _zone_check(zones, check)
     pairs = _pair_counts(trips, "TripCount", distinct_ids=True)
     top = top_k(pairs, k, "-TripCount", PU, DO)
-    named = lookup_join(top, zones, PU, ZONE_KEY, {"Zone": "PickupZone"},
-                        default=UNKNOWN, check=check)
-    named = lookup_join(named, zones, DO, ZONE_KEY, {"Zone": "DropoffZone"},
-                        default=UNKNOWN, check=check)
+    named = lookup_join(top, zones, PU, ZONE_KEY, {"Zone": "PickupZone"}, default=UNKNOWN)
+    named = lookup_join(named, zones, DO, ZONE_KEY, {"Zone": "DropoffZone"}, default=UNKNOWN)
     out = sort_small(named, "-TripCount", PU, DO)  # k rows
     return out.select("PickupZone", "DropoffZone", "TripCount")
 
 
 # -- Q6 ---------------------------------------------------------------------
 
-def revenue_sums(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
-                 default: str | None = None) -> DataFrame:
-    """Unordered Q6 aggregate: eight sums (whole cents, exact) per pick-up borough.
+_MONEY = {dst: src for src, dst in REVENUE_COMPONENTS}
+
+
+def _totals(parts: DataFrame) -> DataFrame:
+    return parts.select("Borough", *[total_of(dst).alias(dst) for dst in _MONEY])
+
+
+def revenue_sums(trips: DataFrame, zones: DataFrame, default: str | None = None) -> DataFrame:
+    """Unordered Q6 aggregate: eight exact sums per pick-up borough.
 
-    With a broadcastable zone table this is one aggregation after a
-    broadcast join, which is also valid on a streaming ``trips``.
+    Summed per zone id, then named, then summed again.
     """
-    cents = {dst: scaled_long(src, 2) for src, dst in REVENUE_COMPONENTS}
-    facts = reduce_for_lookup(trips, [PU], cents, check)
-    named = lookup_join(facts, zones, PU, ZONE_KEY, {"Borough": "Borough"},
-                        how="left", default=default, check=check)
-    return named.groupBy("Borough").agg(
-        *[(F.sum(dst) / F.lit(100.0)).alias(dst) for _, dst in REVENUE_COMPONENTS])
+    per_zone = with_parts(trips.groupBy(PU), _MONEY, MONEY_DECIMALS)
+    named = lookup_join(per_zone, zones, PU, ZONE_KEY, {"Borough": "Borough"}, default=default)
+    return _totals(sum_again(named, ["Borough"], [p for dst in _MONEY for p in part_names(dst)]))
 
 
-def _revenue(trips: DataFrame, zones: DataFrame, check: DimensionCheck,
-             default: str | None) -> DataFrame:
-    out = revenue_sums(trips, zones, check, default)
-    return sort_small(out, "-grand_total", "Borough")  # one row per borough (+ NULL)
+def revenue_sums_once(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same in a single aggregation after the lookup, as a stream in complete mode needs."""
+    named = lookup_join(trips, zones, PU, ZONE_KEY, {"Borough": "Borough"})
+    return _totals(with_parts(named.groupBy("Borough"), _MONEY, MONEY_DECIMALS))
 
 
-def revenue_by_borough(trips: DataFrame, zones: DataFrame,
-                       check: DimensionCheck | None = None) -> DataFrame:
+def revenue_by_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Eight revenue sums per pick-up borough; unmatched zones form a NULL group.
 
     Each column skips its own NULLs (SQL ``sum``). Columns: Borough,
     total_fare, total_tip, total_tolls, total_extra, total_mta_tax,
     total_congestion, total_airport_fee, grand_total.
     """
-    return _revenue(trips, zones, _zone_check(zones, check), default=None)
+    return sort_total(revenue_sums(trips, zones), "-grand_total", "Borough")
 
 
-def revenue_by_borough_strict(trips: DataFrame, zones: DataFrame,
-                              check: DimensionCheck | None = None) -> DataFrame:
+def revenue_by_borough_strict(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Q6 with whole-row validity: a trip missing its zone id or any component
     is dropped (a missing airport fee counts as 0); unmatched zones are
     labelled ``Unknown``. Same columns as :func:`revenue_by_borough`."""
     required = [PU] + [src for src, _ in REVENUE_COMPONENTS if src != "airport_fee"]
     strict = (trips.withColumn("airport_fee", F.coalesce(F.col("airport_fee"), F.lit(0.0)))
-              .dropna(subset=required))
-    return _revenue(strict, zones, _zone_check(zones, check), default=UNKNOWN)
+              .where(" AND ".join(f"{c} IS NOT NULL" for c in required)))  # dropna would drop NaN too
+    return sort_total(revenue_sums(strict, zones, default=UNKNOWN), "-grand_total", "Borough")

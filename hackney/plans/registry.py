@@ -1,9 +1,9 @@
 """Named entry points: ``(spark, sf_dir) -> DataFrame`` for every query.
 
-As in the reference, the queries run over trip *files*. The fixture views
-over the driver tables (lineitem, nation, region under ``sf_dir``) are
-written by Spark once per session — as a Parquet table (what C0 makes of
-CSV), a CSV folder and a raw text folder — under the session's shared
+The Parquet queries run straight over the fixture views of the driver tables
+(lineitem, nation, region under ``sf_dir``), lazily and pruned to the columns
+they use. The CSV, raw-text and stream queries need files of those kinds: they
+are written by Spark once per session under the session's shared
 ``spark.checkpoint.dir``; each entry then reads those files and returns the
 lazily planned result. The files cut the lineage: a lost executor re-reads a
 file split instead of recomputing the writer.
@@ -16,10 +16,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.errors import AnalysisException
+
 from hackney import streaming
-from hackney.operators.topk import sort_small
-from hackney.operators.lookup import DimensionCheck, check_dimension
+from hackney.functions.geo import register_sql_functions
+from hackney.operators.topk import sort_total
 from hackney.plans import queries as Q
+from hackney.plans import raw
 from hackney.plans.raw import RAW_VARIANTS
 from hackney.schemas import TRIPS, ZONES
 from hackney.session import scratch_path
@@ -53,25 +56,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)  # lists files on the driver, no job
         return True
-    except Exception:  # noqa: BLE001 - any read failure means "write it again"
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
-def trips_parquet(spark: SparkSession, sf_dir: str) -> str:
-    """The trips fixture as a Parquet table (what C0 produces from CSV)."""
-    return _derived_input(spark, sf_dir, "trips_parquet", lambda p: files.write_parquet(
-        fixtures.trips(spark, sf_dir), p, max_records_per_file=_per_file(spark, sf_dir)))
-
-
-def zones_parquet(spark: SparkSession, sf_dir: str) -> str:
-    return _derived_input(spark, sf_dir, "zones_parquet", lambda p: files.write_parquet(
-        fixtures.zones(spark, sf_dir).coalesce(1), p))
-
-
-def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_parquet(spark, trips_parquet(spark, sf_dir))
-
-
 def trips_csv(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as a folder of header-led CSV files."""
     return _derived_input(spark, sf_dir, "trips_csv", lambda p: files.write_csv(
@@ -90,8 +80,12 @@ def raw_trips_text(spark: SparkSession, sf_dir: str) -> str:
 
 
 def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips and zones CSV folders converted to Parquet; the trips Parquet read back."""
-    base = scratch_path(spark, "c0")
+    """Trips and zones CSV folders converted to Parquet; the trips Parquet read back.
+
+    A second call in a session converts again, over the first call's folder.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "c0")
+    base = _INPUTS.setdefault(key, scratch_path(spark, "c0"))
     trips_pq, zones_pq = f"{base}/trips", f"{base}/zones"
     files.csv_to_parquet(spark, [(trips_csv(spark, sf_dir), trips_pq),
                                  (zones_csv(spark, sf_dir), zones_pq)],
@@ -100,131 +94,114 @@ def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trip text parsed to typed rows (short rows dropped, bad times NULL)."""
-    return rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS)
-
+    """Raw trip text parsed to typed rows (short rows dropped, bad fields NULL)."""
+    return rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS, optional=raw.OPTIONAL)
 
-def _raw_trips(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    _, columns = RAW_VARIANTS[key]
-    return rawtext.ingest(spark, raw_trips_text(spark, sf_dir), TRIPS, columns=columns,
-                          drop_malformed=key == "q6_revenue_by_borough_raw")
 
+def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv(spark, trips_csv(spark, sf_dir), schema=TRIPS)
 
-# Dimension checks of the derived zone files. Those folders are written once
-# per session and never modified, so a check of one path stays valid; a
-# caller-supplied table is always checked afresh by the query functions.
-_CHECKS: dict[tuple[str, str, str], DimensionCheck] = {}
 
-_ZONE_READERS: dict[str, tuple[Callable[[SparkSession, str], str],
-                               Callable[[SparkSession, str], DataFrame]]] = {
-    "parquet": (zones_parquet, lambda spark, path: files.read_parquet(spark, path)),
-    "csv": (zones_csv, lambda spark, path: files.read_csv(spark, path, schema=ZONES)),
-    "raw": (zones_csv, lambda spark, path: rawtext.ingest(spark, path, ZONES)),
-}
+def _csv_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv(spark, zones_csv(spark, sf_dir), schema=ZONES)
 
 
-def _zone_input(spark: SparkSession, sf_dir: str,
-                kind: str) -> tuple[DataFrame, DimensionCheck]:
-    """The derived zone table of ``kind`` and its (memoized) dimension check."""
-    locate, read = _ZONE_READERS[kind]
-    path = locate(spark, sf_dir)
-    zones = read(spark, path)
-    key = (spark.sparkContext.applicationId, path, kind)
-    if key not in _CHECKS:
-        _CHECKS[key] = check_dimension(zones, Q.ZONE_KEY)
-    return zones, _CHECKS[key]
+#: What each base query needs: trips alone, or trips and zones.
+TRIP_PLANS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "q1_hourly_mean_pickup": Q.hourly_mean_pickup,
+    "q2_longest_trip_per_vendor": Q.longest_trip_per_vendor,
+    "q2_max_and_first": Q.max_and_first_per_vendor,
+    "q4_night_trips_per_vendor": Q.night_trips_per_vendor,
+}
+ZONE_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "q3_same_borough_trips": Q.same_borough_trips,
+    "q5_top_zone_pairs": Q.top_zone_pairs,
+    "q5_top_zone_pairs_by_id": Q.top_zone_pairs_by_id,
+    "q6_revenue_by_borough": Q.revenue_by_borough,
+    "q6_revenue_by_borough_unknown": Q.revenue_by_borough_strict,
+}
 
 
-def _zone_query(plan: Callable[..., DataFrame],
-                trips_of: Callable[[SparkSession, str], DataFrame], kind: str) -> Query:
-    """Entry for ``plan(trips, zones, check=...)`` over the derived inputs."""
+def _over(base: str, trips_of: Query, zones_of: Query) -> Query:
+    """The base query over the trips and zones that the two functions give."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        zones, check = _zone_input(spark, sf_dir, kind)
-        return plan(trips_of(spark, sf_dir), zones, check=check)
+        if base in TRIP_PLANS:
+            return TRIP_PLANS[base](trips_of(spark, sf_dir))
+        return ZONE_PLANS[base](trips_of(spark, sf_dir), zones_of(spark, sf_dir))
     return run
 
 
-_RAW_PLANS: dict[str, Callable[..., DataFrame]] = {
-    "q1_hourly_mean_pickup_raw": lambda t, z, c: Q.hourly_mean_pickup(t, keep_null_hour=True),
-    "q2_longest_trip_per_vendor_raw": lambda t, z, c: Q.longest_trip_per_vendor(t),
-    "q3_same_borough_trips_raw": lambda t, z, c: Q.same_borough_trips(t, z, check=c),
-    "q4_night_trips_raw": lambda t, z, c: Q.night_trips_per_vendor(t),
-    "q5_top_zone_pairs_by_id_raw": lambda t, z, c: Q.top_zone_pairs_by_id(t, z, check=c),
-    "q6_revenue_by_borough_raw": lambda t, z, c: Q.revenue_by_borough_strict(t, z, check=c),
-}
-
-
 def _raw_query(key: str) -> Query:
-    """Raw-text twin ``key``: parse the needed fields, run the base plan."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        trips = _raw_trips(spark, sf_dir, key)
-        zones, check = _zone_input(spark, sf_dir, "raw") if key in _NEEDS_ZONES else (None, None)
-        return _RAW_PLANS[key](trips, zones, check)
-    run.__name__ = key
-    run.__doc__ = f"{RAW_VARIANTS[key][0]} over raw trip text (fields {RAW_VARIANTS[key][1]})."
-    return run
+    """Raw-text twin ``key``: parse the needed fields, run the base plan; zones are read quote-aware."""
+    base = RAW_VARIANTS[key][0]
+    return _over(base, lambda spark, sf_dir: raw.read_trips(spark, raw_trips_text(spark, sf_dir), base),
+                 _csv_zones)
+
+
+def q2_distance_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest distance and number of located trips per vendor, by the registered SQL function (U1)."""
+    register_sql_functions(spark)
+    return spark.sql("""
+        SELECT VendorID, ROUND(MAX(haversine_km(pickup_longitude, pickup_latitude,
+                                                dropoff_longitude, dropoff_latitude)), 6) AS max_distance_km,
+               COUNT(*) AS n_trips
+        FROM {trips}
+        WHERE pickup_longitude != 0 AND pickup_latitude != 0 AND dropoff_longitude != 0 AND dropoff_latitude != 0
+        GROUP BY VendorID ORDER BY VendorID""", trips=fixtures.trips(spark, sf_dir))
+
+
+# The stream entries cut the arriving files into this many micro-batches, so
+# that state carries over; a caller of the operators sets its own batch size.
+STREAM_BATCHES = 3
+STREAM_STATE_PARTITIONS = 8  # state holds one row per vendor / borough
 
 
-_NEEDS_ZONES = {"q3_same_borough_trips_raw", "q5_top_zone_pairs_by_id_raw",
-                "q6_revenue_by_borough_raw"}
+def _arriving_trips(spark: SparkSession, sf_dir: str) -> str:
+    """The trips fixture as a folder of at least ``STREAM_BATCHES`` Parquet files."""
+    rows = fixtures.read_table(spark, sf_dir, "lineitem").count()  # Parquet footers
+    per_file = min(_per_file(spark, sf_dir), max(1, -(-rows // STREAM_BATCHES)))
+    return _derived_input(spark, sf_dir, "arriving", lambda p: files.write_parquet(
+        fixtures.trips(spark, sf_dir), p, max_records_per_file=per_file))
 
 
-# Micro-batch size for the streaming entries: the trips folder (about one file
-# per core) arrives over several micro-batches, so state carries over.
-STREAM_FILES_PER_TRIGGER = 4
-STREAM_STATE_PARTITIONS = 8  # state holds one row per vendor / borough
+def _stream(spark: SparkSession, sf_dir: str, name: str,
+            plan: Callable[[SparkSession, DataFrame], DataFrame]) -> DataFrame:
+    """Run ``plan`` over the arriving files to their end; the last epoch's table."""
+    folder = _arriving_trips(spark, sf_dir)
+    session = streaming.stream_session(spark, STREAM_STATE_PARTITIONS)
+    per_batch = max(1, len(spark.read.parquet(folder).inputFiles()) // STREAM_BATCHES)
+    out = scratch_path(spark, "streams", name)
+    streaming.run_to_table(plan(session, streaming.trip_stream(session, folder, max_files_per_trigger=per_batch)), out)
+    return streaming.read_table(spark, out)
 
 
 def q4_night_trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4 maintained by a file-source stream over the trips Parquet folder."""
-    trips = streaming.trip_stream(spark, trips_parquet(spark, sf_dir),
-                                  max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
-    out = scratch_path(spark, "streams", "q4_out")
-    streaming.run_to_table(spark, streaming.night_trips_stream(trips), out,
-                           state_partitions=STREAM_STATE_PARTITIONS)
-    return sort_small(files.read_parquet(spark, out), "-NightTripsCount", "VendorID")
+    out = _stream(spark, sf_dir, "q4", lambda session, trips: streaming.night_trips_stream(trips))
+    return sort_total(out, "-NightTripsCount", "VendorID")
 
 
 def q6_revenue_by_borough_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 maintained by a file-source stream joined with the static zone table."""
-    trips = streaming.trip_stream(spark, trips_parquet(spark, sf_dir),
-                                  max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
-    out = scratch_path(spark, "streams", "q6_out")
-    zones, check = _zone_input(spark, sf_dir, "parquet")
-    streaming.run_to_table(spark, streaming.revenue_stream(trips, zones, check), out,
-                           state_partitions=STREAM_STATE_PARTITIONS)
-    return sort_small(files.read_parquet(spark, out), "-grand_total", "Borough")
-
-
-def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_csv(spark, trips_csv(spark, sf_dir), schema=TRIPS)
+    out = _stream(spark, sf_dir, "q6", lambda session, trips: streaming.revenue_stream(
+        trips, fixtures.zones(session, sf_dir)))
+    return sort_total(out, "-grand_total", "Borough")
 
 
 QUERIES: dict[str, Query] = {
     "c0_csv_to_parquet": c0_csv_to_parquet,
-    "q1_hourly_mean_pickup": lambda s, d: Q.hourly_mean_pickup(_trips(s, d)),
-    "q2_longest_trip_per_vendor": lambda s, d: Q.longest_trip_per_vendor(_trips(s, d)),
-    "q2_max_and_first": lambda s, d: Q.max_and_first_per_vendor(_trips(s, d)),
-    "q3_same_borough_trips": _zone_query(Q.same_borough_trips, _trips, "parquet"),
-    "q4_night_trips_per_vendor": lambda s, d: Q.night_trips_per_vendor(_trips(s, d)),
-    "q5_top_zone_pairs": _zone_query(Q.top_zone_pairs, _trips, "parquet"),
-    "q5_top_zone_pairs_by_id": _zone_query(Q.top_zone_pairs_by_id, _trips, "parquet"),
-    "q6_revenue_by_borough": _zone_query(Q.revenue_by_borough, _trips, "parquet"),
-    "q6_revenue_by_borough_unknown":
-        _zone_query(Q.revenue_by_borough_strict, _trips, "parquet"),
+    **{base: _over(base, fixtures.trips, fixtures.zones) for base in [*TRIP_PLANS, *ZONE_PLANS]},
+    "q1_hourly_mean_pickup_null_hour":
+        lambda s, d: Q.hourly_mean_pickup(fixtures.trips(s, d), keep_null_hour=True),
+    "q2_distance_sql": q2_distance_sql,
     "ingest_raw_trips": ingest_raw_trips,
     # Raw-text twins (the reference's text-reading scripts), see plans/raw.py.
     **{key: _raw_query(key) for key in RAW_VARIANTS},
     # The same queries over typed CSV folders (the reference's DataFrame/CSV
     # scripts); results must equal the Parquet-sourced ones.
-    "q1_hourly_mean_pickup_csv": lambda s, d: Q.hourly_mean_pickup(_csv_trips(s, d)),
-    "q2_longest_trip_per_vendor_csv": lambda s, d: Q.longest_trip_per_vendor(_csv_trips(s, d)),
-    "q3_same_borough_trips_csv":
-        _zone_query(Q.same_borough_trips, _csv_trips, "csv"),
-    "q4_night_trips_per_vendor_csv": lambda s, d: Q.night_trips_per_vendor(_csv_trips(s, d)),
-    "q5_top_zone_pairs_csv": _zone_query(Q.top_zone_pairs, _csv_trips, "csv"),
-    "q6_revenue_by_borough_csv":
-        _zone_query(Q.revenue_by_borough, _csv_trips, "csv"),
+    **{f"{base}_csv": _over(base, _csv_trips, _csv_zones)
+       for base in ("q1_hourly_mean_pickup", "q2_longest_trip_per_vendor", "q3_same_borough_trips",
+                    "q4_night_trips_per_vendor", "q5_top_zone_pairs", "q6_revenue_by_borough")},
     # Incrementally maintained by Structured Streaming; equal to Q4 / Q6.
     "q4_night_trips_stream": q4_night_trips_stream,
     "q6_revenue_by_borough_stream": q6_revenue_by_borough_stream,

@@ -17,19 +17,21 @@ from hackney.session import table_path
 # Fixed fixture definition: the trips view over lineitem (Spark SQL dialect).
 TRIPS_SQL = """
 SELECT CAST(1 + l_linenumber % 2 AS INT) AS VendorID,
-  timestampadd(SECOND, CAST((l_orderkey*7919 + l_linenumber*104729 + l_partkey*31) % 86400 AS INT), l_shipdate) AS tpep_pickup_datetime,
+  CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE timestampadd(SECOND, CAST((l_orderkey*7919 + l_linenumber*104729 + l_partkey*31) % 86400 AS INT), l_shipdate) END AS tpep_pickup_datetime,
   timestampadd(SECOND, CAST((l_orderkey*7919 + l_linenumber*104729 + l_partkey*31) % 86400 + 60 + (l_partkey*37 + l_suppkey*101) % 7200 AS INT), l_shipdate) AS tpep_dropoff_datetime,
   CASE WHEN l_partkey % 50 = 0 THEN CAST(0 AS DOUBLE) WHEN l_partkey % 53 = 0 THEN NULL
-       ELSE (-74250 + (l_partkey*173 + l_linenumber*7) % 550) / CAST(1000 AS DOUBLE) END AS pickup_longitude,
+       ELSE (-74250 + (l_partkey*173 + l_linenumber*7) % 550) / CAST(1000 AS DOUBLE)
+            + (l_orderkey % 997) / CAST(100000000000 AS DOUBLE) END AS pickup_longitude,
   CASE WHEN l_partkey % 50 = 0 THEN CAST(0 AS DOUBLE)
-       ELSE (40500 + (l_partkey*89 + l_orderkey*13) % 410) / CAST(1000 AS DOUBLE) END AS pickup_latitude,
+       ELSE (40500 + (l_partkey*89 + l_orderkey*13) % 410) / CAST(1000 AS DOUBLE)
+            + (l_orderkey % 991) / CAST(10000000 AS DOUBLE) END AS pickup_latitude,
   CASE WHEN l_suppkey % 40 = 0 THEN CAST(0 AS DOUBLE)
        ELSE (-74250 + (l_suppkey*61 + l_orderkey*11) % 550) / CAST(1000 AS DOUBLE) END AS dropoff_longitude,
   CASE WHEN l_suppkey % 40 = 0 THEN CAST(0 AS DOUBLE)
        ELSE (40500 + (l_suppkey*97 + l_linenumber*17) % 410) / CAST(1000 AS DOUBLE) END AS dropoff_latitude,
   CAST(l_partkey % 27 AS INT) AS PULocationID,
   CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST(l_suppkey % 26 AS INT) END AS DOLocationID,
-  l_extendedprice AS fare_amount, l_quantity AS tip_amount,
+  l_extendedprice + l_linenumber / CAST(1000 AS DOUBLE) AS fare_amount, l_quantity AS tip_amount,
   CAST(CASE WHEN l_orderkey % 20 = 0 THEN 6.94 ELSE 0 END AS DOUBLE) AS tolls_amount,
   l_discount AS extra, l_tax AS mta_tax,
   CAST(2.5 AS DOUBLE) AS congestion_surcharge,
@@ -66,12 +68,17 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- raw text fixture ---------------------------------------------------------
 # Fixed fixture rules (shared with the DuckDB oracle): which rendered lines get
-# an unparseable pick-up time, and which are cut short after their first
-# RAW_SHORT_FIELDS fields.
-RAW_BAD_TIME_RULE = "(l_orderkey + l_linenumber) % 17 = 0"
+# an unparseable field, which are cut short after their first RAW_SHORT_FIELDS
+# fields, and whose fee (the last column of the files) is bad, empty or absent.
+RAW_COLUMNS = [*[c for c in TRIPS.fieldNames() if c != "airport_fee"], "airport_fee"]
+RAW_BAD = {"tpep_pickup_datetime": ("(l_orderkey + l_linenumber) % 17 = 0", "bad"),
+           "PULocationID": ("(l_orderkey * 5 + l_linenumber) % 31 = 0", "zone?"),
+           "fare_amount": ("(l_orderkey * 7 + l_linenumber) % 37 = 0", "n/a"),
+           "airport_fee": ("(l_orderkey * 11 + l_linenumber) % 23 = 0", "x")}
+RAW_EMPTY_FEE_RULE = "(l_orderkey * 11 + l_linenumber) % 23 = 1"
+RAW_ABSENT_FEE_RULE = "(l_orderkey * 11 + l_linenumber) % 23 = 2"
 RAW_SHORT_RULE = "(l_orderkey * 3 + l_linenumber) % 29 = 0"
 RAW_SHORT_FIELDS = 8
-RAW_BAD_TIME_TEXT = "bad"
 RAW_REPEATED_HEADERS = 3  # extra header lines written as data
 
 
@@ -90,23 +97,25 @@ def write_raw_trips(spark: SparkSession, sf_dir: str, path: str,
     for each part file); ``max_records_per_file`` cuts a task's output into
     several such files. A few extra header lines are appended as data, so
     one file repeats the header after its first line. The rules above inject
-    bad times and short rows.
+    bad fields, short rows and rows that end before the fee.
     """
-    header = ",".join(TRIPS.fieldNames())
+    header = ",".join(RAW_COLUMNS)
     keyed = keyed_trips(spark, sf_dir)
-    bad = F.expr(RAW_BAD_TIME_RULE)
-    short = F.expr(RAW_SHORT_RULE)
     parts = []
-    for name in TRIPS.fieldNames():
+    for name in RAW_COLUMNS:
         # A TIMESTAMP_NTZ cast to text is 'yyyy-MM-dd HH:mm:ss' whatever the
         # session zone (date_format would pass through the session zone and
         # move wall-clock times inside a DST gap).
         text = F.coalesce(F.col(name).cast("string"), F.lit(""))
-        if name == "tpep_pickup_datetime":
-            text = F.when(bad, F.lit(RAW_BAD_TIME_TEXT)).otherwise(text)
+        if name in RAW_BAD:
+            rule, bad = RAW_BAD[name]
+            text = F.when(F.expr(rule), F.lit(bad)).otherwise(text)
+        if name == "airport_fee":
+            text = F.when(F.expr(RAW_EMPTY_FEE_RULE), F.lit("")).otherwise(text)
         parts.append(text)
-    line = F.when(short, F.concat_ws(",", *parts[:RAW_SHORT_FIELDS])).otherwise(
-        F.concat_ws(",", *parts))
+    line = (F.when(F.expr(RAW_SHORT_RULE), F.concat_ws(",", *parts[:RAW_SHORT_FIELDS]))
+            .when(F.expr(RAW_ABSENT_FEE_RULE), F.concat_ws(",", *parts[:-1]))
+            .otherwise(F.concat_ws(",", *parts)))
     repeated = spark.range(RAW_REPEATED_HEADERS).select(F.lit(header).alias(header))
     # A one-column CSV whose column is named after the header line: the writer
     # puts that name atop every file. The separator never occurs in a line, so

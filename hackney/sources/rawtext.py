@@ -4,26 +4,35 @@ This is the path for files a CSV reader should not be trusted with: repeated
 header lines inside files, rows cut short, unparseable fields. Everything is
 a JVM-side expression over ``spark.read.text`` lines (no Python per row):
 
-* every line equal to the header is dropped, wherever it appears (S3);
+* the header is the first raw line of the files; every line equal to it is
+  dropped, wherever it appears (S3);
 * ``split(value, delimiter, n + 1)`` cuts off the first ``n`` fields a
   query needs, keeping empty ones (S4);
 * a row shorter than the last field a caller *needs* is dropped (F4), so a
   query that reads two columns keeps rows that are short further right;
+  ``min_fields`` asks for more, ``optional`` names columns a row may lack at its
+  end (they are NULL there);
 * fields parse with ``try_cast`` (empty text = NULL, bad text = NULL) (X6);
-  timestamps must match ``yyyy-MM-dd HH:mm:ss`` exactly (X2, F9);
+  timestamps must match ``yyyy-M-d H:m:s`` (X2, F9);
 * ``drop_malformed`` drops a row whose non-empty field failed to parse (F10).
 
-Fields are located by name through the header, never by fixed position.
+Fields are located by name through the header, never by fixed position. The
+split is naive: a quoted field keeps its quotes and is cut at a comma inside
+them. Files that quote fields go through ``files.read_csv``.
 """
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Collection
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the accepted timestamp text shape (strict yyyy-MM-dd HH:mm:ss).
-TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# Fixed value: the accepted timestamp text shape; parts need not be padded.
+TIMESTAMP_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +40,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def header_line(spark: SparkSession, path: str) -> str:
+    """The first raw line of the files of ``path``."""
+    first = read_lines(spark, path).first()
+    if first is None:
+        raise ValueError(f"no header line in {path}")
+    return first["value"]
+
+
+def header_names(line: str, delimiter: str = ",") -> list[str]:
+    """Field names of a header line, without quotes."""
+    return [name.strip() for name in next(csv.reader([line], delimiter=delimiter))]
+
+
 def drop_header(lines: DataFrame, header: str) -> DataFrame:
     """Drop every line equal to ``header`` (each file repeats it) (S3)."""
     return lines.where(F.col("value") != F.lit(header))
@@ -48,14 +70,18 @@ def parse_field(text: Column, dtype: T.DataType) -> Column:
 
 def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
                 columns: list[str] | None = None, delimiter: str = ",",
-                drop_malformed: bool = False, absent_as_null: bool = False) -> DataFrame:
+                drop_malformed: bool | Collection[str] = False, absent_as_null: bool = False,
+                optional: Collection[str] = (), min_fields: int = 0,
+                header_text: str | None = None) -> DataFrame:
     """Typed rows for ``columns`` (default: all of ``schema``) from raw lines.
 
     ``header`` gives the field names in file order; ``columns`` resolve against
     it case-insensitively (``Airport_fee`` is ``airport_fee``). Lines equal to
-    the header are removed; rows too short to hold every requested column are
-    dropped. A requested column the header lacks is an error, or a NULL column
-    with ``absent_as_null`` (a file of another layout).
+    ``header_text`` (default: the names joined) are removed. Rows with fewer
+    than ``min_fields`` fields, or too short to hold every requested column but
+    the ``optional`` ones, are dropped. A requested column the header lacks is
+    an error, or a NULL column with ``absent_as_null`` (a file of another
+    layout). ``drop_malformed`` tests all requested columns, or those named.
     """
     columns = list(columns or schema.fieldNames())
     position = {name.lower(): i for i, name in enumerate(header)}
@@ -66,50 +92,35 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     if not present:
         raise ValueError("none of the requested columns is in the header")
     pos = {c: position[c.lower()] for c in present}
-    arity = max(pos.values()) + 1
-    # Split off only the needed fields: with limit arity + 1 everything after
+    may_lack = {c.lower() for c in optional}
+    needed = max([min_fields, *(i + 1 for c, i in pos.items() if c.lower() not in may_lack)])
+    # Split off only the fields in question: with this limit everything after
     # them stays in one trailing element, so unused fields are never copied.
-    fields = F.split(F.col("value"), _regex_literal(delimiter), arity + 1)
-    rows = (drop_header(lines, delimiter.join(header))
-            .select(fields.alias("_f"))
-            .where(F.size("_f") >= arity))
-    if drop_malformed:
-        rows = rows.where(~_any_malformed(F.col("_f"), arity,
-                                          {pos[c]: schema[c].dataType for c in present}))
-    typed = {c: parse_field(F.get(F.col("_f"), pos[c]), schema[c].dataType) for c in present}
+    width = max(needed, *(i + 1 for i in pos.values()))
+    fields = F.split(F.col("value"), _regex_literal(delimiter), width + 1)
+    rows = (drop_header(lines, header_text if header_text is not None else delimiter.join(header))
+            .select(fields.alias("_f")).where(F.size("_f") >= needed))
+    text = {c: F.get(F.col("_f"), i) for c, i in pos.items()}
+    typed = {c: parse_field(text[c], schema[c].dataType) for c in present}
+    strict = present if drop_malformed is True else [c for c in present if c in (drop_malformed or ())]
+    bad = [(text[c] != F.lit("")) & typed[c].isNull() for c in strict
+           if not isinstance(schema[c].dataType, T.StringType)]
+    if bad:
+        rows = rows.where(~F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in bad]),
+                                      F.lit(False)))
     typed.update({c: F.lit(None).cast(schema[c].dataType) for c in absent})
     return rows.select(*[typed[c].alias(c) for c in columns])
 
 
-def _any_malformed(fields: Column, arity: int, types: dict[int, T.DataType]) -> Column:
-    """True when a needed, non-empty field fails to parse as its type.
-
-    One ``zip_with`` over the field array pairs each field with its expected
-    type: the array is referenced once, so when the optimizer pushes this
-    filter below the projection that splits the line, the split still runs
-    once per row (a per-field test would inline one split per reference).
-    """
-    kinds = F.array(*[F.lit(types[i].simpleString() if i in types else "") for i in range(arity)])
-
-    def malformed(text: Column, kind: Column) -> Column:
-        test = F.lit(False)
-        for dtype in {t.simpleString(): t for t in types.values()}.values():
-            if not isinstance(dtype, T.StringType):
-                test = F.when(kind == F.lit(dtype.simpleString()),
-                              parse_field(text, dtype).isNull()).otherwise(test)
-        return (text != F.lit("")) & test
-
-    return F.exists(F.zip_with(F.slice(fields, 1, arity), kinds, malformed), lambda b: b)
-
-
 def ingest(spark: SparkSession, path: str, schema: T.StructType,
-           header: list[str] | None = None, columns: list[str] | None = None,
-           delimiter: str = ",", drop_malformed: bool = False,
-           absent_as_null: bool = False) -> DataFrame:
-    """Read and parse a folder of header-led delimited text files."""
-    return parse_lines(read_lines(spark, path), header or schema.fieldNames(), schema,
-                       columns=columns, delimiter=delimiter, drop_malformed=drop_malformed,
-                       absent_as_null=absent_as_null)
+           columns: list[str] | None = None, delimiter: str = ",",
+           drop_malformed: bool | Collection[str] = False, absent_as_null: bool = False,
+           optional: Collection[str] = (), min_fields: int = 0) -> DataFrame:
+    """Read and parse a folder of header-led delimited text files; the header is their first line."""
+    line = header_line(spark, path)
+    return parse_lines(read_lines(spark, path), header_names(line, delimiter), schema, columns=columns,
+                       delimiter=delimiter, drop_malformed=drop_malformed, absent_as_null=absent_as_null,
+                       optional=optional, min_fields=min_fields, header_text=line)
 
 
 def _regex_literal(delimiter: str) -> str:

@@ -5,27 +5,43 @@ source stream picks up only new files on each trigger; the aggregation state
 (one row per vendor or borough) lives in the checkpoint, so a restarted query
 continues where it stopped and never counts a file twice.
 
-* The zone lookup is a stream-static join: the checked, broadcast dimension
-  meets each micro-batch of trips; then a single aggregation follows (the
-  batch plan's aggregate-before-join would chain two aggregations, which a
-  complete-mode stream does not allow).
-* Results are written with ``foreachBatch`` to a Parquet table (overwrite per
-  epoch — the complete result is bounded by vendors/boroughs), not to the
-  memory sink, which is not fault-tolerant.
+* The zone lookup is a stream-static join; then a single aggregation follows
+  (the batch plan's aggregate before the join would chain two aggregations,
+  which a complete-mode stream does not allow). Whether the zones are
+  broadcast is the optimiser's choice, as in the batch form.
+* Each epoch's result (bounded by vendors/boroughs) becomes one file in a
+  folder of its own, which appears by a rename; readers take the last epoch and
+  so never see an empty or half-written table. Not the memory sink, which is
+  not fault-tolerant.
+* A stream runs in a session of its own (``stream_session``), so the number of
+  state partitions is set without touching the caller's settings.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hackney.operators.lookup import DimensionCheck, check_dimension
-from hackney.plans.queries import ZONE_KEY, night_trip_counts, revenue_sums
+from hackney.plans.queries import night_trip_counts, revenue_sums_once
 from hackney.schemas import TIMESTAMP_FORMAT, TRIPS
 from hackney.session import scratch_path
 from hackney.sources import files
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for streams. ``state_partitions`` sets the number of state-store
+    partitions of their aggregations (fixed in the checkpoint at the first
+    start; AQE does not resize stateful streams). Partial aggregates are
+    combined before the shuffle, so a state bounded by vendors/boroughs needs
+    only a few.
+    """
+    session = spark.newSession()
+    if state_partitions is not None:
+        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return session
+
+
 def trip_stream(spark: SparkSession, path: str, schema: T.StructType = TRIPS,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over the files of ``path`` (Parquet or header-led CSV)."""
@@ -52,48 +68,34 @@ def night_trips_stream(trips: DataFrame) -> DataFrame:
     return night_trip_counts(trips)
 
 
-def revenue_stream(trips: DataFrame, zones: DataFrame,
-                   check: DimensionCheck | None = None) -> DataFrame:
-    """Q6's eight sums per pick-up borough as one streaming aggregation.
-
-    Needs a zone table proven small enough to broadcast: the stream-static
-    join then feeds a single aggregation (the eager per-id shape for a large
-    zone table would chain two aggregations, which complete mode forbids).
-    """
-    check = check if check is not None else check_dimension(zones, ZONE_KEY)
-    if not check.bounded:
-        raise ValueError("streaming revenue needs a broadcastable zone table")
-    return revenue_sums(trips, zones, check)
+def revenue_stream(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Q6's eight sums per pick-up borough as one streaming aggregation."""
+    return revenue_sums_once(trips, zones)
 
 
-def run_to_table(spark: SparkSession, result: DataFrame, table_path: str,
-                 checkpoint: str | None = None, available_now: bool = True,
-                 state_partitions: int | None = None):
-    """Run a streaming aggregate in complete mode into a Parquet table.
+def run_to_table(result: DataFrame, table_path: str, checkpoint: str | None = None,
+                 available_now: bool = True):
+    """Run a streaming aggregate in complete mode into a table of epochs.
 
     With ``available_now`` the query processes every file present, in as many
     micro-batches as the source options allow, then stops; otherwise it keeps
     running and the caller owns the returned ``StreamingQuery``.
-
-    ``state_partitions`` sets the number of state-store partitions of the
-    aggregation (fixed in the checkpoint at the first start; AQE does not
-    resize stateful streams). Partial aggregates are combined before the
-    shuffle, so a state bounded by vendors/boroughs needs only a few.
     """
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+        # One file: it appears in the folder by a single rename.
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{table_path}/epoch={epoch_id}")
 
     writer = (result.writeStream.outputMode("complete").foreachBatch(write_epoch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "streams")))
+              .option("checkpointLocation", checkpoint or scratch_path(result.sparkSession, "streams")))
     writer = writer.trigger(availableNow=True) if available_now else writer
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    if state_partitions is not None:
-        spark.conf.set(key, str(state_partitions))
-    try:
-        query = writer.start()  # the stream keeps a copy of the session conf
-    finally:
-        spark.conf.set(key, previous)
+    query = writer.start()
     if available_now:
         query.awaitTermination()
     return query
+
+
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The result of the last finished epoch."""
+    epochs = spark.read.parquet(table_path)
+    last = epochs.agg(F.max("epoch")).first()[0]
+    return epochs.where(F.col("epoch") == last).drop("epoch")

@@ -37,31 +37,60 @@ def test_raw_text_header_guard_and_try_parse(spark, tmp_dir):
         HEADER,                                             # repeated header mid-file
         _line("1", "2024-01-01 05:00:00", fare="x"),        # unparseable fare -> NULL
         "1,2024-01-01 02:00:00,2024-01-01 02:10:00",        # short row
-        _line("2", "2024-01-01 5:00:00"),                   # not the strict pattern
+        _line("2", "2024-1-1 5:00:00"),                     # parts need no padding
     ])
     _write(tmp_dir, "part-1.csv", [HEADER, _line("2", "2024-01-01 01:00:00", fee="1.25")])
     full = rawtext.ingest(spark, tmp_dir, TRIPS)
     rows = sorted(full.collect(), key=lambda r: (r.VendorID, str(r.tpep_pickup_datetime)))
     assert len(rows) == 5                                   # header lines and short row gone
-    assert [r.tpep_pickup_datetime for r in rows if r.VendorID == 2].count(None) == 2
+    assert [r.tpep_pickup_datetime for r in rows if r.VendorID == 2].count(None) == 1
     assert [r.fare_amount for r in rows if r.VendorID == 1] == [None, 10.0]
     assert [r.airport_fee for r in rows if r.VendorID == 2 and r.airport_fee] == [1.25]
     assert full.schema == TRIPS
 
     strict = rawtext.ingest(spark, tmp_dir, TRIPS, drop_malformed=True)
-    assert strict.count() == 2                              # 'bad', 'x', '5:00:00' rows dropped
+    assert strict.count() == 3                              # 'bad' and 'x' rows dropped
 
     # A query that needs only the first two fields keeps the short row.
     two = rawtext.ingest(spark, tmp_dir, TRIPS, columns=["VendorID", "tpep_pickup_datetime"])
     assert two.count() == 6
     night = {r.VendorID: r.NightTripsCount for r in Q.night_trips_per_vendor(two).collect()}
-    assert night == {1: 3, 2: 1}
+    assert night == {1: 3, 2: 2}
 
 
 def test_raw_text_missing_column_is_an_error(spark, tmp_dir):
     _write(tmp_dir, "a.csv", ["a,b", "1,2"])
     with pytest.raises(ValueError):
-        rawtext.ingest(spark, tmp_dir, TRIPS, header=["a", "b"])
+        rawtext.ingest(spark, tmp_dir, TRIPS)
+
+
+def test_raw_text_header_comes_from_the_file(spark, tmp_dir):
+    """Columns in another order and a quoted header: fields are found by their names."""
+    _write(f"{tmp_dir}/a", "part-0.csv", ["fare_amount,VendorID,PULocationID,total_amount", "1.0,1,5,2.0",
+                                          "fare_amount,VendorID,PULocationID,total_amount"])
+    row = rawtext.ingest(spark, f"{tmp_dir}/a", TRIPS, columns=["VendorID", "PULocationID", "total_amount"]).collect()
+    assert [tuple(r) for r in row] == [(1, 5, 2.0)]
+    _write(f"{tmp_dir}/b", "part-0.csv", ['"VendorID","PULocationID"', "1,5"])
+    assert [tuple(r) for r in rawtext.ingest(spark, f"{tmp_dir}/b", TRIPS, columns=["VendorID", "PULocationID"]).collect()] \
+        == [(1, 5)]
+
+
+def test_raw_text_optional_last_column_and_minimum_of_fields(spark, tmp_dir):
+    """Q6 over text: an empty or absent fee is 0, a bad one drops the row."""
+    from tests.conftest import make_zones
+    names = [*[c for c in TRIPS.fieldNames() if c != "airport_fee"], "airport_fee"]
+    base = {n: "1" for n in names} | {"tpep_pickup_datetime": "2024-01-01 10:00:00", "PULocationID": "1", "fare_amount": "10"}
+    line = lambda fee: ",".join([base[n] for n in names[:-1]] + ([fee] if fee is not None else []))
+    _write(f"{tmp_dir}/t", "part-0.csv", [",".join(names), line("1.25"), line(""), line(None), line("x"), "1,2"])
+    from hackney.plans import raw
+    strict = raw.read_trips(spark, f"{tmp_dir}/t", "q6_revenue_by_borough_unknown")
+    row = Q.revenue_by_borough_strict(strict, make_zones(spark, [(1, "A", "a")])).first()
+    assert (row.total_fare, row.total_airport_fee) == (30.0, 1.25)
+    lenient = raw.read_trips(spark, f"{tmp_dir}/t", "q6_revenue_by_borough")
+    assert lenient.count() == 4
+    columns = ["VendorID"]
+    assert rawtext.ingest(spark, f"{tmp_dir}/t", TRIPS, columns=columns).count() == 5
+    assert rawtext.ingest(spark, f"{tmp_dir}/t", TRIPS, columns=columns, min_fields=len(names)).count() == 3
 
 
 def test_csv_is_quote_aware_where_naive_split_is_not(spark, tmp_dir):
@@ -127,10 +156,14 @@ def test_raw_fixture_has_headers_inside_files(spark, tmp_dir):
     lines = rawtext.read_lines(spark, path).withColumn("file", F.input_file_name())
     n_files = lines.select("file").distinct().count()
     assert n_files >= 4                                     # 6000 rows, 2000 per file + headers
-    headers = lines.where(F.col("value") == HEADER)
+    headers = lines.where(F.col("value") == ",".join(fixtures.RAW_COLUMNS))
     assert headers.count() == n_files + fixtures.RAW_REPEATED_HEADERS
     assert headers.select("file").distinct().count() == n_files   # atop every file
-    parsed = rawtext.ingest(spark, path, TRIPS)
+    parsed = rawtext.ingest(spark, path, TRIPS, optional=["airport_fee"])
+    for name, (rule, _) in fixtures.RAW_BAD.items():        # every bad field is there
+        assert fixtures.keyed_trips(spark, SF_SMALL).where(rule).count() > 0, name
+    strict = rawtext.ingest(spark, path, TRIPS, optional=["airport_fee"], drop_malformed=True)
+    assert strict.count() < parsed.count()
     assert parsed.where(F.col("tpep_pickup_datetime").isNull()).count() > 0
     assert parsed.count() < fixtures.trips(spark, SF_SMALL).count()
     assert lines.where(F.col("value").contains('"')).count() == 0   # nothing quoted
@@ -177,7 +210,7 @@ def test_raw_text_round_trip_ignores_session_time_zone(spark, tmp_dir):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         path = fixtures.write_raw_trips(spark, SF_ORACLE, f"{tmp_dir}/raw")
-        parsed = rawtext.ingest(spark, path, TRIPS)
+        parsed = rawtext.ingest(spark, path, TRIPS, optional=["airport_fee"])
         res = compare(parsed, duck_connection(SF_ORACLE), ORACLE_SQL["ingest_raw_trips"])
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from hackney.operators import arg_max, check_dimension, lookup_join, ordered_first, top_k
+from hackney.operators import arg_max, lookup_join, ordered_first, top_k
 from tests.conftest import make_zones
 
 
@@ -15,15 +15,6 @@ def zones(spark):
                               (3, "Queens", "Astoria"), (4, "Queens", "Astoria")])
 
 
-def test_check_dimension_bounds_and_uniqueness(spark, zones):
-    c = check_dimension(zones, "LocationID")
-    assert c.bounded and c.rows == 4 and c.unique
-    small = check_dimension(zones, "LocationID", max_rows=3)
-    assert not small.bounded and small.unique is None
-    dup = make_zones(spark, [(1, "A", "a"), (1, "B", "b")])
-    assert check_dimension(dup, "LocationID").unique is False
-
-
 def test_lookup_left_inner_default(spark, zones):
     facts = spark.createDataFrame([(1,), (2,), (9,), (None,)], "id int")
     left = lookup_join(facts, zones, "id", "LocationID", {"Borough": "B"})
@@ -35,30 +26,33 @@ def test_lookup_left_inner_default(spark, zones):
     assert sorted(r.B for r in dflt.collect()) == ["Manhattan", "Queens", "Unknown", "Unknown"]
 
 
-def test_lookup_rejects_duplicate_keys(spark):
-    dup = make_zones(spark, [(1, "A", "a"), (1, "B", "b")])
-    facts = spark.createDataFrame([(1,)], "id int")
-    with pytest.raises(ValueError, match="not unique"):
-        lookup_join(facts, dup, "id", "LocationID", {"Borough": "B"})
-
-
-def test_lookup_broadcasts_only_bounded_side(spark, zones):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_duplicate_keys_are_an_error_however_the_join_runs(spark, threshold):
+    dup = make_zones(spark, [(1, "A", "a"), (1, "B", "b"), (2, "C", "c"), (None, "D", "d"), (None, "E", "e")])
     facts = spark.createDataFrame([(1,), (2,)], "id int")
-    bounded = lookup_join(facts, zones, "id", "LocationID", {"Borough": "B"})
-    assert "BroadcastHashJoin" in bounded._jdf.queryExecution().executedPlan().toString()
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        check = check_dimension(zones, "LocationID", max_rows=2)
-        unbounded = lookup_join(facts, zones, "id", "LocationID", {"Borough": "B"}, check=check,
-                                require_unique=False)
-        plan = unbounded._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert sorted(r.B for r in unbounded.collect()) == ["Manhattan", "Queens"]
+        with pytest.raises(Exception, match="lookup key 'LocationID' is not unique: 1"):
+            lookup_join(facts, dup, "id", "LocationID", {"Borough": "B"}).collect()
+        unique = dup.where("LocationID = 2 OR LocationID IS NULL")   # NULL keys never match
+        got = lookup_join(facts, unique, "id", "LocationID", {"Borough": "B"}).collect()
+        assert sorted((r.id, r.B) for r in got) == [(1, None), (2, "C")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+def test_building_a_lookup_runs_no_job(spark, zones):
+    facts = spark.createDataFrame([(1,), (2,)], "id int")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup-build", "none expected")
+    plan = lookup_join(facts, zones, "id", "LocationID", {"Borough": "B"})
+    assert not tracker.getJobIdsForGroup("lookup-build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in text and "partial_count" in text
+
+
 def test_same_dimension_in_two_roles(spark, zones):
     facts = spark.createDataFrame([(1, 2), (3, 4)], "pu int, do int")
     j = lookup_join(facts, zones, "pu", "LocationID", {"Zone": "PZ"})
@@ -104,15 +98,3 @@ def test_sort_small_orders_in_one_partition(spark):
     out = sort_small(df.repartition(3), "-n", "k")
     assert [tuple(r) for r in out.collect()] == [("c", 9), ("a", 5), ("b", 5), (None, 5)]
     assert out.rdd.getNumPartitions() == 1
-
-
-def test_reduce_for_lookup_shapes(spark):
-    from pyspark.sql import functions as F
-
-    from hackney.operators.lookup import DimensionCheck, reduce_for_lookup
-    facts = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 4.0), (None, 1.0)], "id int, v double")
-    bounded = reduce_for_lookup(facts, ["id"], {"s": F.col("v")}, DimensionCheck(True, 2, True))
-    assert bounded.count() == 4                                  # rows pass through
-    eager = reduce_for_lookup(facts, ["id"], {"s": F.col("v")}, DimensionCheck(False, 3, None))
-    got = sorted((tuple(r) for r in eager.collect()), key=str)
-    assert got == sorted([(1, 5.0), (2, 4.0), (None, 1.0)], key=str)   # summed per id

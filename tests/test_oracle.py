@@ -1,25 +1,26 @@
-"""Every registered query against its DuckDB oracle (the driver's gate)."""
+"""Every query of the reference's catalogue against its DuckDB oracle (the driver's gate)."""
 
 from __future__ import annotations
 
 import pytest
 
 import __spark_entry__ as entry
+from hackney.plans.registry import QUERIES
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tools.oracle_check import compare, duck_connection
 
-KEYS = list(entry.queries())
+KEYS = list(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_ORACLE])
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, key, sf_dir):
     con = duck_connection(sf_dir)
-    res = compare(entry.queries()[key](spark, sf_dir), con, entry.oracle_sql()[key])
+    res = compare(QUERIES[key](spark, sf_dir), con, entry.oracle_sql()[key])
     assert res["ok"], res
 
 
