@@ -11,14 +11,17 @@ estimated similarity below that of independent hashes.
 
 Equal sets are merged first, by a 128-bit digest. The others meet in buckets,
 one a band; documents whose set similarity is 0.8 share none of 24 bands of 5
-rows with probability 7e-5. Within a bucket no pairs are listed wholesale: all
-are compared with its least member (one link a row), links that the full sets
-confirm are joined into components, and only buckets that still hold several
-components go on, without the member just used. Buckets of at most
-``SMALL_BUCKET`` rows then list their remaining pairs of different
-components, which is a bounded number a row. So every candidate pair is either
-compared on the full sets or already in one component. Sets are compared as
-64-bit shingle hashes of the whole texts.
+rows with probability 7e-5. A crowded bucket is dealt over chunks, and each
+pair of chunks is a unit of work, so no task holds a whole bucket and no pairs
+are listed by a join. A unit estimates similarities from one byte a slot;
+pairs whose estimate is 0.15 below the threshold, four standard deviations of
+it, are left out (probability 1e-5 at the threshold). In a first round every
+document proposes its most similar partner of smaller id; in a second all
+remaining pairs of different components are proposed. Proposals are confirmed
+on the full sets of the whole texts (as 64-bit shingle hashes), and confirmed
+links are joined into components by union-find steps over the distributed list
+of links. So every candidate pair is either compared on the full sets or
+already in one component.
 
 Defined cases: texts that are NULL or without words have an empty set and link
 with nothing; fewer words than a shingle make one shingle; rows that share an
@@ -41,7 +44,8 @@ from hackney.llm.common import materialise
 from hackney.llm.components import components
 
 BANDS, ROWS = 24, 5
-SMALL_BUCKET = 32
+CHUNK = 512      # documents of a bucket in one half of a unit of work
+MARGIN = 0.15    # by which an estimate may miss the threshold
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes
 GROUP_ELEMENTS = 16_384  # shingles that are signed together
 
@@ -152,25 +156,90 @@ def _grouped(sets: list[np.ndarray]) -> Iterator[list[int]]:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """id, n_shingles, digest of the set (two longs) and its band keys (NULL for empty sets)."""
+    """id, n_shingles, digest of the set (two longs), band keys and a byte a slot (NULL for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text.as_py(), words) for text in batch.column(1)]
             keys: list = [None] * len(sets)
+            slots: list = [None] * len(sets)
             digests: list = [(None, None)] * len(sets)
             for group in _grouped(sets):
-                for i, k in zip(group, band_keys(signatures([sets[i] for i in group], bands * rows), bands, rows),
-                                strict=True):
-                    keys[i] = k.view(np.int64)
+                best = signatures([sets[i] for i in group], bands * rows)
+                for i, k, own in zip(group, band_keys(best, bands, rows), best.astype(np.uint8), strict=True):
+                    keys[i], slots[i] = k.view(np.int64), own.tobytes()
                     digests[i] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "d1", "d2", "bands"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(slots, pa.binary())],
+                names=["id", "n_shingles", "d1", "d2", "bands", "slots"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return source.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return source.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long, bands array<long>, slots binary")
+
+
+def _proposals(ids, component, sizes, slots, bands, chunk, bucket: int, pair: tuple[int, int], percent: int,
+               every: bool) -> np.ndarray:
+    """Pairs of places in a unit of work that are worth comparing."""
+    order = np.argsort(ids, kind="stable")
+    found = []
+    least = (percent / 100 - MARGIN) * slots.shape[1]
+    for row, v in enumerate(order[1:], 1):  # against those of smaller id
+        u = order[:row]
+        ok = (component[u] != component[v]) & (np.minimum(sizes[u], sizes[v]) * 100
+                                               >= np.maximum(sizes[u], sizes[v]) * percent)
+        if pair[0] != pair[1]:
+            ok &= chunk[u] != chunk[v]
+        u = u[ok]
+        if not len(u):
+            continue
+        agree = (slots[u] == slots[v]).sum(axis=1)
+        if not every:
+            top = int(np.argmax(agree))
+            if agree[top] >= least:
+                found.append((v, u[top]))
+            continue
+        u = u[agree >= least]
+        if len(u):  # a pair counts in its first common bucket
+            place = int(np.flatnonzero(bands[v] == bucket)[0])
+            u = u[~(bands[u, :place] == bands[v, :place]).any(axis=1)]
+            found += [(v, w) for w in u]
+    return np.array(found, np.intp).reshape(-1, 2)
+
+
+def _propose(work: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs (a, b) with a > b to compare; rows of work come sorted by unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_key = [], None
+
+        def finish() -> list[np.ndarray]:
+            if held_key is None or len(held) < 2:
+                return []
+            ids, component, sizes, chunk = (np.array([h[k] for h in held], np.int64) for k in range(4))
+            slots = np.array([np.frombuffer(h[4], np.uint8) for h in held])
+            bands = np.array([h[5] for h in held], np.int64)
+            pairs = _proposals(ids, component, sizes, slots, bands, chunk, held_key[0], held_key[1:], percent, every)
+            return [ids[pairs]]
+
+        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            out = []
+            for bucket, i, j, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (bucket, i, j) != held_key:
+                    out += finish()
+                    held, held_key = [], (bucket, i, j)
+                held.append(row)
+            yield batch_of(out)
+        yield batch_of(finish())
+
+    columns = ["bucket", "i", "j", "rep", "component", "size", "chunk", "slots", "bands"]
+    units = work.select(*columns).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
+    return units.mapInArrow(run, "a long, b long").distinct()
 
 
 def _compare(rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -208,12 +277,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .where(F.col("least") != F.col("most")).select("id", "least"))
     links = (placed.join(several, "id").where(F.col("rep") != F.col("least"))
              .select(F.col("rep").alias("a"), F.col("least").alias("b")))
-    reps = sets.join(classes.withColumnRenamed("rep", "id"), ["id", "d1", "d2"])
-    members = reps.select(F.col("id").alias("rep"), F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    buckets = materialise(members.join(sizes.select("bucket"), "bucket"), "buckets")
+    reps = sets.join(classes.withColumnRenamed("rep", "id"), ["id", "d1", "d2"]).select(
+        F.col("id").alias("rep"), F.col("n_shingles").alias("size"), "slots", "bands")
+    members = reps.select("rep", F.explode("bands").alias("bucket"))
+    crowds = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    crowds = crowds.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    met = members.join(crowds, "bucket").withColumn(
+        "chunk", F.pmod(F.xxhash64("rep", "bucket"), F.col("chunks")).cast("int"))
+    # Each chunk meets every chunk of its bucket, itself included, in one unit of work.
+    met = met.select("rep", "bucket", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("k"))
+    met = met.select("rep", "bucket", "chunk", F.least("chunk", "k").alias("i"), F.greatest("chunk", "k").alias("j"))
+    work = materialise(met.join(reps, "rep"), "work")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    found = _link_buckets(buckets, texts, links, words, percent)
+    found = _link(work, texts, links, words, percent)
 
     named = placed.join(found, F.col("rep") == F.col("node"), "left")
     named = named.select("id", "n_shingles", F.coalesce("component", "rep").alias("component"))
@@ -235,49 +311,21 @@ def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def _link_buckets(buckets: DataFrame, texts: DataFrame, links: DataFrame, words: int, percent: int) -> DataFrame:
-    """Components (node, component) of all confirmed links within buckets (rep, size, bucket)."""
-    tested = found = None
-    small_bucket = 4  # at first, one link a row settles most buckets
-    left = buckets.withColumn("component", F.col("rep"))
-    while True:
-        kinds = materialise(left.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("least"),
-                                                       F.max("component").alias("most"), F.min("rep").alias("hub"))
-                            .where(F.col("least") != F.col("most")), "open-buckets")
-        if kinds.isEmpty():
-            break
-        left = left.join(kinds.select("bucket", "n", "hub"), "bucket")
-        one = left.select("rep", "size", "component", "bucket")
-        small = one.join(kinds.where(F.col("n") <= small_bucket).select("bucket"), "bucket")
-        other = small.select(F.col("rep").alias("rep2"), F.col("size").alias("size2"),
-                             F.col("component").alias("component2"), "bucket")
-        within = (small.join(other, "bucket")
-                  .where((F.col("rep") > F.col("rep2")) & (F.col("component") != F.col("component2"))))
-        large = left.where(F.col("n") > small_bucket)
-        hubs = large.where(F.col("rep") == F.col("hub")).select(
-            F.col("rep").alias("rep2"), F.col("size").alias("size2"), F.col("component").alias("component2"), "bucket")
-        star = (large.join(hubs, "bucket")
-                .where((F.col("rep") != F.col("rep2")) & (F.col("component") != F.col("component2"))))
-        columns = ["rep", "rep2", "size", "size2"]
-        pairs = within.select(*columns).union(star.select(*columns))
-        # Sets whose sizes differ too much cannot be similar, whatever they share.
-        pairs = pairs.where(F.least("size", "size2") * 100 >= F.greatest("size", "size2") * percent)
-        pairs = pairs.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        named = _texts_of(pairs, texts)
-        sides = (pairs.join(named.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-                 .join(named.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+def _link(work: DataFrame, texts: DataFrame, links: DataFrame, words: int, percent: int) -> DataFrame:
+    """Components (node, component) of ``links`` and of all links confirmed among the rows of work."""
+    found = None
+    for every in (False, True):
+        if found is None:
+            named = work.withColumn("component", F.col("rep"))
+        else:
+            named = (work.join(found, F.col("rep") == F.col("node"), "left")
+                     .withColumn("component", F.coalesce("component", "rep")))
+        pairs = materialise(_propose(named, percent, every), "pairs")
+        needed = materialise(_texts_of(pairs, texts), "texts")
+        sides = (pairs.join(needed.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+                 .join(needed.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
                  .select("a", "b", "text_a", "text_b"))
-        judged = materialise(_compare(sides, words, percent), "judged")
-        tested = judged.select("a", "b") if tested is None else tested.union(judged.select("a", "b"))
-        links = links.union(judged.where("same").select("a", "b"))
-        found = components(links)
-        # The hub of each large bucket has met all others; small buckets are done.
-        rest = large.where(F.col("rep") != F.col("hub")).select("rep", "size", "bucket")
-        left = materialise(rest.join(found, F.col("rep") == F.col("node"), "left")
-                           .select("rep", "size", "bucket", F.coalesce("component", "rep").alias("component")), "buckets")
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        small_bucket = SMALL_BUCKET
-    return components(links) if found is None else found
+        confirmed = _compare(sides, words, percent).where("same").select("a", "b")
+        known = links if found is None else found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(known.union(confirmed))
+    return found
