@@ -42,8 +42,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Units a worker's cache holds before it starts anew, and the longest it stores.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 400_000
 CACHED_CHARS = 48
+#: Characters of the texts that are split into units at once.
+SPLIT_CHARS = 1_000_000
 
 _UNIT = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
@@ -182,6 +184,17 @@ class SentencePieces:
             agree = ([a == b for a, b in zip(found, self.reference.encode(texts, num_threads=1), strict=True)]
                      if self.verify else [None] * len(texts))
             return [(np.array(ids, "<u4").tobytes(), same) for ids, same in zip(found, agree, strict=True)]
+        out, at = [], 0
+        while at < len(texts):  # a few texts at a time: their units are small strings
+            to, chars = at, 0
+            while to < len(texts) and (to == at or chars + len(texts[to]) <= SPLIT_CHARS):
+                chars += len(texts[to])
+                to += 1
+            out += self._encode_units(texts[at:to])
+            at = to
+        return out
+
+    def _encode_units(self, texts: list[str]) -> list[tuple[bytes, bool | None]]:
         split = [self._split(self.normalise(t)) for t in texts]
         known = self._ids
         missing = sorted({u for units in split for u in units if u not in known})
