@@ -4,13 +4,15 @@ The rows are dealt into blocks by a hash of their id and the queries into
 groups; a unit of work is one group against one block, and its size is bounded
 whatever the table's. A block keeps, for each vector component, the list of
 its rows sorted by that component. A query reads all lists in step, from the
-end that favours the sign of its own component. What has been read of a row
-adds up to its known part; the rest of its score is at most what the lists'
-current entries, and at least what their last entries, would add. Reading stops when
-at most ``SHORTLIST`` rows have an upper bound that reaches the k-th best lower
-bound (or the k-th best final score from blocks that this task has finished):
-no other row can qualify. The final scores of the rows left are then resolved,
-in integers. The best k of each unit are merged into the best k of a query.
+end that favours the sign of its own component; the queries of a group read
+together, so that what they have read adds up in matrix products. What has
+been read of a row is its known part; the rest of its score is at most what the
+lists' current entries, and at least what their last entries, would add. A
+query stops reading when at most ``SHORTLIST`` rows have an upper bound that
+reaches the k-th best lower bound (or the k-th best final score from blocks
+that this task has finished): no other row can qualify. The final scores of the
+rows left are then resolved, in integers. The best k of each unit are merged
+into the best k of a query.
 
 Defined cases: vectors that are NULL, empty or hold NULL or non-finite components
 take no part, nor do NULL ids; vectors of different lengths do not meet; of
@@ -33,7 +35,7 @@ BLOCK_ROWS = 4096
 GROUP_QUERIES = 256
 SHORTLIST = 64
 #: Shares of the lists after which bounds are compared.
-DEPTHS = (0.25, 0.375, 0.5, 0.625, 0.75, 0.875)
+DEPTHS = (0.3, 0.45, 0.6, 0.75, 0.9)
 
 _LEAST = -(2 ** 63)
 
@@ -59,47 +61,51 @@ class Block:
         self.rank = np.empty(self.rows.shape, np.int32)
         np.put_along_axis(self.rank, self.order.T, np.arange(len(self.ids), dtype=np.int32)[:, None], axis=0)
 
-    def _left(self, query: np.ndarray, k: int, floor: float, own: int) -> np.ndarray:
-        """Places of the rows that may be among the best k, found by reading the lists."""
-        n = len(self.ids)
-        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+    def shortlists(self, queries: np.ndarray, own: np.ndarray, floors: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each query (a row), places of the rows that may be among its best k."""
+        n, out = len(self.ids), [None] * len(queries)
+        reading = np.arange(len(queries))
         if n <= max(SHORTLIST, 4 * k):
-            return np.arange(n)
-        known, left, at = np.zeros(n), np.arange(n), 0
+            return [np.arange(n)] * len(queries)
+        falling, rising = np.maximum(queries, 0.0).T, np.minimum(queries, 0.0).T  # components a list is read from
+        others = self.ids[:, None] != own  # its top or its bottom for
+        rows = self.rows.astype(float)
         for share in DEPTHS:
-            to = int(n * share)
-            for dims, part in ((up, slice(n - to, n - at)), (down, slice(at, to))):
-                if len(dims):
-                    read = self.values[dims, part] * query[dims, None]
-                    known += np.bincount(self.order[dims, part].ravel(), read.ravel(), n)
-            at = to
-            most = np.concatenate([self.values[up, n - at] * query[up], self.values[down, at - 1] * query[down]])
-            least = np.concatenate([self.values[up, 0] * query[up], self.values[down, -1] * query[down]])
-            rank = self.rank[left]
-            unread = np.concatenate([rank[:, up] < n - at, rank[:, down] >= at], axis=1)
-            sure = known[left] + unread @ least
-            others = self.ids[left] != own
-            if others.sum() > k:
-                floor = max(floor, np.partition(sure[others], -k)[-k])
-            left = left[known[left] + unread @ most >= floor]
-            if len(left) <= SHORTLIST:
+            read = int(n * share)
+            top, bottom = self.rank >= n - read, self.rank < read
+            up, down = falling[:, reading], rising[:, reading]
+            known = np.where(top, rows, 0.0) @ up + np.where(bottom, rows, 0.0) @ down
+            # What is unread is at most the entry the list has come to, at least the list's last.
+            most = known + (~top).astype(float) @ (self.values[:, n - read, None] * up)
+            most += (~bottom).astype(float) @ (self.values[:, read - 1, None] * down)
+            least = known + (~top).astype(float) @ (self.values[:, 0, None] * up)
+            least += (~bottom).astype(float) @ (self.values[:, -1, None] * down)
+            least[~others[:, reading]] = -np.inf  # a query's own row bounds nothing
+            bound = np.maximum(floors[reading], np.partition(least, n - k, axis=0)[n - k])
+            may = most >= bound
+            done = (may.sum(axis=0) <= SHORTLIST) | (share == DEPTHS[-1])
+            for column in np.flatnonzero(done):
+                out[reading[column]] = np.flatnonzero(may[:, column])
+            reading = reading[~done]
+            if not len(reading):
                 break
-        return left
+        return out
 
-    def best(self, query: np.ndarray, own: int, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best k rows but ``own`` that reach ``floor``, in order."""
-        left = self._left(query.astype(float), k, floor, own)
-        left = left[self.ids[left] != own]
-        scores = self.rows[left] @ query
-        top = np.lexsort((self.ids[left], -scores))[:k]
-        return self.ids[left][top], scores[top]
+    def best(self, queries: np.ndarray, own: np.ndarray, floors: np.ndarray,
+             k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and scores of its best k rows but itself that reach its floor, in order."""
+        for query, me, left in zip(queries, own, self.shortlists(queries, own, floors, k), strict=True):
+            left = left[self.ids[left] != me]
+            scores = self.rows[left] @ query
+            top = np.lexsort((self.ids[left], -scores))[:k]
+            yield self.ids[left][top], scores[top]
 
 
 def _search(units: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score) of the best k of each unit; rows come sorted by unit, queries first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[tuple[int, int], list[int]] = {}
+        floors: dict[int, list[int]] = {}  # the best scores each query of the group has so far
         group, held, held_key = None, [], None
 
         def finish() -> Iterator[tuple[int, int, int]]:
@@ -118,11 +124,13 @@ def _search(units: DataFrame, k: int) -> DataFrame:
             for _, own, vector in queries:
                 if own not in asked or tuple(vector) < tuple(asked[own]):
                     asked[own] = vector
-            for own, vector in asked.items():
-                best = floors.setdefault((own, 0), [])
-                ids, scores = block.best(vector, own, k, best[-1] if len(best) == k else -np.inf)
-                yield from zip([own] * len(ids), ids.tolist(), scores.tolist(), strict=True)
-                floors[own, 0] = sorted([*best, *scores.tolist()], reverse=True)[:k]
+            own = np.array(list(asked), np.int64)
+            best = [floors.setdefault(i, []) for i in asked]
+            start = np.array([b[-1] if len(b) == k else -np.inf for b in best])
+            found = block.best(np.array(list(asked.values()), np.int64), own, start, k)
+            for i, (ids, scores) in zip(own.tolist(), found, strict=True):
+                yield from zip([i] * len(ids), ids.tolist(), scores.tolist(), strict=True)
+                floors[i] = sorted([*floors[i], *scores.tolist()], reverse=True)[:k]
 
         def batch_of(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
             columns = list(zip(*found, strict=True)) or [(), (), ()]

@@ -45,12 +45,14 @@ def test_a_block_stops_early_and_finds_all():
     r = np.random.default_rng(1)
     rows = np.floor(256 * r.standard_normal((3000, 16))).astype(np.int64)
     block = topk.Block(np.arange(3000), rows)
-    for i in range(0, 3000, 300):
-        scores = rows @ rows[i]
-        want = [j for j in np.lexsort((np.arange(3000), -scores)) if j != i][:5]
-        floor = scores[want[-1]]
-        ids, got = block.best(rows[i], i, 5, -np.inf)
-        assert ids.tolist() == want and got.tolist() == scores[want].tolist()
-        assert block.best(rows[i], i, 5, floor)[0].tolist() == want  # a tie with the floor still counts
-    left = [len(block._left(rows[i].astype(float), 5, np.sort(rows @ rows[i])[-6], i)) for i in range(100)]
-    assert np.median(left) < 1500  # outsiders were ruled out
+    own = np.arange(0, 3000, 300)
+    scores = rows[own] @ rows.T
+    want = [[j for j in np.lexsort((np.arange(3000), -s)) if j != i][:5] for i, s in zip(own, scores, strict=True)]
+    cold = np.full(len(own), -np.inf)
+    floors = np.array([s[w[-1]] for s, w in zip(scores, want, strict=True)], float)
+    for start in (cold, floors):  # a tie with the floor still counts
+        got = list(block.best(rows[own], own, start, 5))
+        assert [ids.tolist() for ids, _ in got] == want
+        assert [s.tolist() for _, s in got] == [s[w].tolist() for s, w in zip(scores, want, strict=True)]
+    left = block.shortlists(rows[own], own, floors, 5)
+    assert np.median([len(x) for x in left]) <= topk.SHORTLIST  # outsiders were ruled out by bounds
