@@ -76,12 +76,13 @@ def probe_keys(line: Column, chars: Column, edits: int, min_chars: int) -> Colum
                 at = start + shift
                 inside = (length >= min_chars) & (at >= 0) & (at + size <= chars)
                 found.append(F.when(inside, _key(length, k, line, at, size)))
-    return F.filter(F.array(*found), lambda key: key.isNotNull())
+    return F.array(*found)  # NULL where a place is outside the line
 
 
 def letter_counts(line: Column) -> Column:
     """Counts of ten letters, modulo 64, packed in a long."""
-    bare = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+    # Bytes tell as much as characters, the letters being ASCII, and need no pass over the line.
+    bare = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
     return reduce(add, [F.shiftleft((n % 64).cast("long"), 6 * i) for i, n in enumerate(bare)])
 
 
@@ -146,6 +147,7 @@ def _near_lines(lines: DataFrame, firsts: DataFrame, edits: int) -> DataFrame:
     """lid1, lid2 of the distinct lines that an earlier line is within ``edits`` edits of."""
     index = firsts.select(F.explode("index_keys").alias("key"), F.col("lid1").alias("a"), F.col("letters").alias("la"))
     probe = firsts.select(F.explode("probe_keys").alias("key"), F.col("lid1").alias("b"), F.col("letters").alias("lb"))
+    probe = probe.where(F.col("key").isNotNull())
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b"))
                      & (counts_apart(F.col("la"), F.col("lb")) <= 2 * edits))
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
@@ -170,10 +172,10 @@ def _flags(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: i
     every = _lines(_documents(docs, id_col, text_col), id_col, text_col)
     blank = F.trim(F.translate("line", "\t\r\f\v", "    ")) == ""
     lines = every.where(~blank)
-    chars = F.length("line")
     fuzzy = F.col("chars") >= min_chars
     none = F.array().cast("array<bigint>")
-    firsts = lines.groupBy("line").agg(F.min("place").alias("first")).withColumn("chars", chars).select(
+    # The length comes out of the aggregate, so that no key counts the characters again.
+    firsts = lines.groupBy("line").agg(F.min("place").alias("first"), F.max(F.length("line")).alias("chars")).select(
         F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first",
         F.when(fuzzy, letter_counts(F.col("line"))).alias("letters"),
         F.when(fuzzy, index_keys(F.col("line"), F.col("chars"), edits)).otherwise(none).alias("index_keys"),
