@@ -15,7 +15,9 @@ rows with probability 7e-5. A crowded bucket is dealt over chunks, and each
 pair of chunks is a unit of work, so no task holds a whole bucket and no pairs
 are listed by a join. A unit estimates similarities from one byte a slot;
 pairs whose estimate is 0.15 below the threshold, four standard deviations of
-it, are left out (probability 1e-5 at the threshold). In a first round every
+it, are left out (probability 1e-5 at the threshold). So are pairs that a bound
+rules out: histograms of the shingle hashes, about a bucket a shingle, bound
+the intersection by the sum of their least counts. In a first round every
 document proposes its most similar partner of smaller id; in a second all
 remaining pairs of different components are proposed. Proposals are confirmed
 on the full sets of the whole texts (as 64-bit shingle hashes), and confirmed
@@ -47,6 +49,7 @@ BANDS, ROWS = 24, 5
 CHUNK = 512      # documents of a bucket in one half of a unit of work
 MARGIN = 0.15    # by which an estimate may miss the threshold
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes
+FIRST_LOOK = 8   # partners of the best estimates that a first proposal is chosen from
 GROUP_ELEMENTS = 16_384  # shingles that are signed together
 
 _U = np.uint64
@@ -155,14 +158,38 @@ def _grouped(sets: list[np.ndarray]) -> Iterator[list[int]]:
         yield group
 
 
+def histogram(shingles: np.ndarray) -> np.ndarray:
+    """Counts of a set's hashes by their low bits, in the least power of two of buckets that is its size."""
+    buckets = 1 << max(0, len(shingles) - 1).bit_length()
+    counts = np.bincount((shingles & _U(buckets - 1)).astype(np.intp), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def fold(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """The histogram of the same hashes in fewer buckets."""
+    return counts if len(counts) == buckets else counts.reshape(-1, buckets).sum(axis=0, dtype=np.uint16)
+
+
+def intersection_bounds(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Upper bounds of the intersections of a set with others, from their histograms."""
+    out = np.empty(len(others), np.int64)
+    levels = np.array([min(len(own), len(o)) for o in others], np.int64)
+    for buckets in np.unique(levels).tolist():
+        at = np.flatnonzero(levels == buckets)
+        stacked = np.stack([fold(others[i], buckets) for i in at])
+        out[at] = np.minimum(stacked, fold(own, buckets)).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """id, n_shingles, digest of the set (two longs), band keys and a byte a slot (NULL for empty sets)."""
+    """id, n_shingles, digest of the set (two longs), band keys, a byte a slot, histogram (NULL for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text.as_py(), words) for text in batch.column(1)]
             keys: list = [None] * len(sets)
             slots: list = [None] * len(sets)
+            counts = [histogram(s).tobytes() if len(s) else None for s in sets]
             digests: list = [(None, None)] * len(sets)
             for group in _grouped(sets):
                 best = signatures([sets[i] for i in group], bands * rows)
@@ -172,16 +199,29 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(slots, pa.binary())],
-                names=["id", "n_shingles", "d1", "d2", "bands", "slots"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
+                names=["id", "n_shingles", "d1", "d2", "bands", "slots", "counts"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return source.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long, bands array<long>, slots binary")
+    return source.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long, bands array<long>, slots binary, "
+                                  "counts binary")
 
 
-def _proposals(ids, component, sizes, slots, bands, chunk, bucket: int, pair: tuple[int, int], percent: int,
+def _proposals(ids, component, sizes, slots, counts, bands, chunk, bucket: int, pair: tuple[int, int], percent: int,
                every: bool) -> np.ndarray:
     """Pairs of places in a unit of work that are worth comparing."""
+    def possible(v: int, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``u`` that the bound allows as partners of v, and the similarities it allows."""
+        both = intersection_bounds(counts[v], [counts[i] for i in u])
+        either = sizes[u] + sizes[v] - both
+        ok = 100 * both >= percent * either
+        return u[ok], (both / either)[ok]
+
+    def first_common(v: int, u: np.ndarray) -> np.ndarray:
+        """Those of ``u`` that v meets in no bucket before this one: a pair counts once."""
+        place = int(np.flatnonzero(bands[v] == bucket)[0])
+        return u[~(bands[u, :place] == bands[v, :place]).any(axis=1)]
+
     order = np.argsort(ids, kind="stable")
     found = []
     least = (percent / 100 - MARGIN) * slots.shape[1]
@@ -195,16 +235,17 @@ def _proposals(ids, component, sizes, slots, bands, chunk, bucket: int, pair: tu
         if not len(u):
             continue
         agree = (slots[u] == slots[v]).sum(axis=1)
-        if not every:
-            top = int(np.argmax(agree))
-            if agree[top] >= least:
-                found.append((v, u[top]))
-            continue
-        u = u[agree >= least]
-        if len(u):  # a pair counts in its first common bucket
-            place = int(np.flatnonzero(bands[v] == bucket)[0])
-            u = u[~(bands[u, :place] == bands[v, :place]).any(axis=1)]
-            found += [(v, w) for w in u]
+        u, agree = u[agree >= least], agree[agree >= least]
+        if every:
+            u = first_common(v, u)
+        else:
+            u = u[np.argsort(-agree, kind="stable")[:FIRST_LOOK]]
+        if len(u):
+            u, similar = possible(v, u)
+        if len(u) and not every:
+            # The best of all its buckets comes through: it is the best of the first it is met in.
+            u = first_common(v, u[[np.argmax(similar)]])
+        found += [(v, w) for w in u]
     return np.array(found, np.intp).reshape(-1, 2)
 
 
@@ -219,8 +260,9 @@ def _propose(work: DataFrame, percent: int, every: bool) -> DataFrame:
                 return []
             ids, component, sizes, chunk = (np.array([h[k] for h in held], np.int64) for k in range(4))
             slots = np.array([np.frombuffer(h[4], np.uint8) for h in held])
-            bands = np.array([h[5] for h in held], np.int64)
-            pairs = _proposals(ids, component, sizes, slots, bands, chunk, held_key[0], held_key[1:], percent, every)
+            counts = [np.frombuffer(h[5], np.uint8) for h in held]
+            bands = np.array([h[6] for h in held], np.int64)
+            pairs = _proposals(ids, component, sizes, slots, counts, bands, chunk, held_key[0], held_key[1:], percent, every)
             return [ids[pairs]]
 
         def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
@@ -237,7 +279,7 @@ def _propose(work: DataFrame, percent: int, every: bool) -> DataFrame:
             yield batch_of(out)
         yield batch_of(finish())
 
-    columns = ["bucket", "i", "j", "rep", "component", "size", "chunk", "slots", "bands"]
+    columns = ["bucket", "i", "j", "rep", "component", "size", "chunk", "slots", "counts", "bands"]
     units = work.select(*columns).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
     return units.mapInArrow(run, "a long, b long").distinct()
 
@@ -278,7 +320,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = (placed.join(several, "id").where(F.col("rep") != F.col("least"))
              .select(F.col("rep").alias("a"), F.col("least").alias("b")))
     reps = sets.join(classes.withColumnRenamed("rep", "id"), ["id", "d1", "d2"]).select(
-        F.col("id").alias("rep"), F.col("n_shingles").alias("size"), "slots", "bands")
+        F.col("id").alias("rep"), F.col("n_shingles").alias("size"), "slots", "counts", "bands")
     members = reps.select("rep", F.explode("bands").alias("bucket"))
     crowds = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     crowds = crowds.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))

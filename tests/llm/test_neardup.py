@@ -119,6 +119,21 @@ def test_signature_of_one_element_is_its_permutation():
     assert (union == together[1]).all()
 
 
+def test_histograms_bound_intersections():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        u = np.unique(r.integers(0, 2 ** 63, r.integers(1, 900)).astype(np.uint64))
+        a, others = u[r.random(len(u)) < 0.8], [u[r.random(len(u)) < p] for p in (0.3, 0.8, 0.95)]
+        others = [o for o in others if len(o)]
+        if not len(a) or not others:
+            continue
+        bounds = minhash.intersection_bounds(minhash.histogram(a), [minhash.histogram(o) for o in others])
+        both = [len(np.intersect1d(a, o)) for o in others]
+        assert all(b <= x <= min(len(a), len(o)) for b, x, o in zip(both, bounds, others, strict=True))
+    same = minhash.histogram(u)
+    assert minhash.intersection_bounds(same, [same])[0] == len(u)
+
+
 @pytest.mark.parametrize("words", [1, 2, 5])
 def test_shingle_sets(words):
     from tests.llm.helpers import shingles
