@@ -50,6 +50,7 @@ CHUNK = 512      # documents of a bucket in one half of a unit of work
 MARGIN = 0.15    # by which an estimate may miss the threshold
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes
 FIRST_LOOK = 8   # partners of the best estimates that a first proposal is chosen from
+SKETCH_ROWS = 512  # documents whose sets a task holds at once
 GROUP_ELEMENTS = 16_384  # shingles that are signed together
 
 _U = np.uint64
@@ -185,7 +186,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
     """id, n_shingles, digest of the set (two longs), band keys, a byte a slot, histogram (NULL for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SKETCH_ROWS) for b in batches for at in range(0, b.num_rows, SKETCH_ROWS)):
             sets = [shingle_set(text.as_py(), words) for text in batch.column(1)]
             keys: list = [None] * len(sets)
             slots: list = [None] * len(sets)
@@ -311,9 +312,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialise(sketch(docs, id_col, text_col, words, bands, rows), "signatures")
     sets = signed.where(F.col("bands").isNotNull() & F.col("id").isNotNull())
     # Equal sets: one representative each, so copies never reach the buckets.
-    classes = sets.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    # Written, so that the join below is one that adaptive execution can split at a hot digest.
+    classes = materialise(sets.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
     placed = materialise(sets.select("id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"])
-                         .select("id", "n_shingles", "rep"), "classes")
+                         .select("id", "n_shingles", "rep"), "placed")
     # Rows of one id with different sets are one document: link their classes.
     several = (placed.groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
                .where(F.col("least") != F.col("most")).select("id", "least"))
