@@ -167,11 +167,10 @@ def _near_lines(lines: DataFrame, firsts: DataFrame, edits: int) -> DataFrame:
                         F.when(later, F.col("lid2_a")).otherwise(F.col("lid2_b")).alias("lid2")).distinct()
 
 
-def _flags(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
-    """k1, k2 and, for each document with text, an array that says of each line whether it goes."""
-    every = _lines(_documents(docs, id_col, text_col), id_col, text_col)
-    blank = F.trim(F.translate("line", "\t\r\f\v", "    ")) == ""
-    lines = every.where(~blank)
+def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
+    """k1, k2 and the line numbers that go, in order, of each document that loses lines."""
+    lines = _lines(_documents(docs, id_col, text_col), id_col, text_col)
+    lines = lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
     fuzzy = F.col("chars") >= min_chars
     none = F.array().cast("array<bigint>")
     # The length comes out of the aggregate, so that no key counts the characters again.
@@ -183,25 +182,23 @@ def _flags(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: i
     firsts = materialise(firsts, "lines")
     near = materialise(_near_lines(lines, firsts, edits).withColumn("near", F.lit(True)), "near")
     known = firsts.select("lid1", "lid2", "first").join(near, ["lid1", "lid2"], "left")
-    decided = (lines.select("k1", "k2", "line_no", "place", "lid1", "lid2").join(known, ["lid1", "lid2"])
-               .select("k1", "k2", "line_no",
-                       (F.col("near").isNotNull() | (F.col("place") > F.col("first"))).alias("goes")))
-    rows = decided.union(every.where(blank).select("k1", "k2", "line_no", F.lit(False).alias("goes")))
-    ordered = F.array_sort(F.collect_set(F.struct("line_no", "goes")))
-    return rows.groupBy("k1", "k2").agg(F.transform(ordered, lambda x: x["goes"]).alias("goes"))
+    gone = (lines.select("k1", "k2", "line_no", "place", "lid1", "lid2").join(known, ["lid1", "lid2"])
+            .where(F.col("near").isNotNull() | (F.col("place") > F.col("first"))))
+    return gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
                   min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: id, n_lines, n_dropped, dropped (line numbers from 0, in order)."""
-    flags = _flags(docs, id_col, text_col, edits, min_chars)
+    dropped = _dropped(docs, id_col, text_col, edits, min_chars)
+    text = F.col(text_col)
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     keyed = _documents(docs, id_col, text_col).select(
-        id_col, F.col("__k1").alias("k1"), F.col("__k2").alias("k2"))
-    gone = F.filter(F.transform("goes", lambda goes, i: F.when(goes, i)), lambda i: i.isNotNull())
-    return keyed.join(flags, ["k1", "k2"], "left").select(
-        id_col, F.coalesce(F.size("goes"), F.lit(0)).alias("n_lines"),
-        F.coalesce(gone, F.array().cast("array<int>")).alias("dropped")).select(
-        id_col, F.greatest("n_lines", F.lit(0)).alias("n_lines"), F.size("dropped").alias("n_dropped"), "dropped")
+        id_col, F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.coalesce(feeds + 1, F.lit(0)).alias("n_lines"))
+    none = F.array().cast("array<int>")
+    return keyed.join(dropped, ["k1", "k2"], "left").select(
+        id_col, "n_lines", F.greatest(F.size("dropped"), F.lit(0)).alias("n_dropped"),
+        F.coalesce("dropped", none).alias("dropped"))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
@@ -211,14 +208,16 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits
     ``drop_emptied`` leaves out documents of which no line but blank ones stays
     though some went: all they say stands elsewhere.
     """
-    flags = _flags(docs, id_col, text_col, edits, min_chars).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("goes").alias("__goes"))
-    joined = _documents(docs, id_col, text_col).join(flags, ["__k1", "__k2"], "left")
-    any_goes = F.exists("__goes", lambda goes: goes)
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.get("__goes", i)), "\n")
-    text = F.when(any_goes, kept).otherwise(F.col(text_col))
-    out = joined.withColumn("__text", text)
+    # An array that says of each line, up to the last that goes, whether it does.
+    gaps = F.transform("dropped", lambda n, i: n - F.when(i > 0, F.get("dropped", i - 1)).otherwise(-1))
+    flags = F.flatten(F.transform(gaps, lambda gap: F.concat(F.array_repeat(F.lit(False), gap - 1), F.array(F.lit(True)))))
+    dropped = _dropped(docs, id_col, text_col, edits, min_chars).select(
+        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), flags.alias("__goes"))
+    joined = _documents(docs, id_col, text_col).join(dropped, ["__k1", "__k2"], "left")
+    some_go = F.col("__goes").isNotNull()
+    stays = lambda line, i: ~F.coalesce(F.get("__goes", i), F.lit(False))
+    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), stays), "\n")
+    out = joined.withColumn("__text", F.when(some_go, kept).otherwise(F.col(text_col)))
     if drop_emptied:
-        emptied = F.coalesce(any_goes, F.lit(False)) & (F.trim(F.translate("__text", "\t\r\n\f\v", "     ")) == "")
-        out = out.where(~emptied)
+        out = out.where(~(some_go & (F.trim(F.translate("__text", "\t\r\n\f\v", "     ")) == "")))
     return out.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
