@@ -69,7 +69,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity()
                     starts.append(at // 4)
                     lengths.append(len(part) // 4)
                     crcs.append(zlib.crc32(part))
-                    raw.append(part)
+                    if with_ids:
+                        raw.append(part)
             columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()),
                        pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())]
             names = ["id", "piece", "start", "length", "ids_crc32"]

@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Entries each cache of a worker holds before it starts anew, and the longest key it stores.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 CACHED_CHARS = 48
 
 _UNPROVEN = re.compile("[^\x00-ɏ]|[\x1c-\x1f]|İ")
