@@ -1,22 +1,35 @@
 """Line deduplication by a segment-partition edit join, in DataFrame functions only.
 
-Lines that occur again, exactly or with at most ``edits`` edits, are dropped:
-of equal lines the first occurrence (by document id, then line number) stays,
-and a line goes altogether if a line that first occurs earlier is within
-``edits`` edits of it. A line is compared with every earlier one, whether or
-not that one stays, so the result does not depend on an order of work.
+Lines that occur again, exactly or with few edits, are dropped: of equal lines
+the first occurrence (by document id, then line number) stays, and a line goes
+altogether if a line that first occurs earlier is near it. Two lines are near if
+they are at most one edit per 64 characters of the shorter apart, or one edit if
+that has fewer than 128; ``edits`` puts one number in place of this for lines of
+any length. A line is compared with every earlier one, whether or not that one
+stays, so the result does not depend on an order of work.
 
 Equal lines are merged first, with map-side combine, so a line that stands in a
-third of all documents is one row of the join. The join splits a line into
+third of all documents is one row of the join. For one number of edits (lines
+of fewer than 128 characters, or any with ``edits``) the join splits a line into
 ``edits + 1`` segments: of two lines within ``edits`` edits, one segment of the
 shorter (or either, if equally long) stands unchanged in the longer, at a
 place that the edits before and after it allow. So lines are indexed by the hash
 of length, segment number and segment, and probe with the substrings at those
-places. The join's condition also compares the lines' counts of ten letters,
-which ``edits`` edits change by at most twice as much in sum; so variants of a
-line that share a segment but differ more are not listed as pairs. Pairs are
-verified by a banded bit-parallel automaton: register e holds, a bit for each
-diagonal of the band, what e edits reach.
+places. For E >= 2 edits blocks of 32 characters take the place of the segments,
+h + 1 from the start of the line and as many from its end, where h is half of E:
+one half of the shorter line has at most h edits, and so a block k unchanged of
+which k edits are on the way to that half's end. From 1024
+characters on, where those places grow with the square of the length, lines meet
+by the least hash in each window of 32 successive 28-grams instead: E edits leave
+a run of 59 characters unchanged, and with it a whole window. No pair is missed by
+either. Keys of lines of 128 characters and more hold the line's length class too.
+
+The join's condition also compares the lines' lengths and their counts of ten
+letters, which E edits change by at most 2 E in sum; so variants of a line that
+share a key but differ more are not listed as pairs. Pairs for one number of edits
+are verified by a banded bit-parallel automaton: register e holds, a bit for each
+diagonal of the band, what e edits reach. Its band is fixed in the plan, so pairs
+whose edits follow their length go through Spark's own banded ``levenshtein``.
 
 Defined cases: NULL texts have no lines and stay NULL; blank lines are never
 compared and stay; lines shorter than ``min_chars`` are compared exactly only;
@@ -36,13 +49,21 @@ from pyspark.sql import functions as F
 
 from hackney.llm.common import materialise
 
-EDITS = 1
 MIN_CHARS = 16
+PER_EDIT = 64  # characters for which one edit is allowed
 BROADCAST_LINES = 1_000_000  # hashes of 8 bytes
 
 # Fixed value: the letters whose counts are compared, six bits each.
 LETTERS = "etaionrshd"
 
+# Follow from PER_EDIT: from SEVERAL characters on 2 edits are allowed and more, and BLOCK * (E // 2 + 1) <= 32 E;
+# from LONG on 16 and more, which leave a run of GRAM + WINDOW - 1 <= 63 E / (E + 1) characters.
+SEVERAL = 2 * PER_EDIT
+BLOCK = 32
+LONG = 1024
+GRAM, WINDOW = 28, 32
+PART = 256  # positions that are cut out of a long line at once
+
 _LAST_ID = 2 ** 63 - 1
 
 
@@ -58,13 +79,84 @@ def _key(length: Column, k: int, line: Column, start: Column, size: Column) -> C
     return F.xxhash64(F.lit(k), length.cast("int"), F.substring(line, start + 1, size))
 
 
+def allowed(chars: Column) -> Column:
+    """The edits that are allowed where the shorter line has so many characters."""
+    return F.greatest(F.lit(1), F.floor(chars / PER_EDIT).cast("int"))
+
+
+def length_class(chars: Column) -> Column:
+    """The leading three bits of a length and how many follow; 0 below SEVERAL.
+
+    A class is at least an eighth of its lengths wide, so the lengths from
+    ``chars - allowed(chars)`` to ``chars`` are of two classes at most.
+    """
+    bits = F.length(F.bin(chars.cast("long")))
+    lead = F.floor(chars / F.pow(F.lit(2.0), bits - 3)).cast("int")
+    return F.when(chars < SEVERAL, 0).otherwise(bits * 8 + lead)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, not at each use in a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _blocks(line: Column, chars: Column, k: Column, shift: Column) -> Column:
+    """Block ``k`` from the start and from the end, ``shift`` characters off."""
+    return F.array(F.xxhash64(k, F.substring(line, k * BLOCK + shift + 1, F.lit(BLOCK))),
+                   F.xxhash64(-1 - k, F.substring(line, chars - (k + 1) * BLOCK - shift + 1, F.lit(BLOCK))))
+
+
+def _half(chars: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor(allowed(chars) / 2).cast("int"))
+
+
+def block_keys(line: Column, chars: Column) -> Column:
+    """The keys of a line's own blocks."""
+    return F.flatten(F.transform(_half(chars), lambda k: _blocks(line, chars, k, F.lit(0))))
+
+
+def block_probes(line: Column, chars: Column) -> Column:
+    """The keys of the places at which a block of a line of the same or a lesser length can stand."""
+    return F.array_distinct(F.flatten(F.transform(_half(chars), lambda k: F.flatten(
+        F.transform(F.sequence(-k, k), lambda s: _blocks(line, chars, k, s))))))
+
+
+def gram_keys(line: Column, chars: Column) -> Column:
+    """The least hash in each window of grams, a handful a hundred characters."""
+    last = chars - GRAM  # the place of the last gram, from 0
+
+    def part(at: Column) -> Column:
+        # A substring is found from the start of its text, so grams are cut out of short ones.
+        return _let(F.substring(line, at + 1, F.lit(PART + GRAM - 1)), lambda text: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(PART), last - at + 1)), lambda i: F.xxhash64(F.substring(text, i, F.lit(GRAM)))))
+
+    def least(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(hashes, i, F.lit(WINDOW)))))
+
+    return _let(F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(PART)), part)), least)
+
+
+def line_keys(line: Column, chars: Column, edits: int | None, min_chars: int) -> tuple[Column, Column, Column]:
+    """The keys a line is indexed under, those it probes with (NULLs among them), and those it does both with."""
+    none = F.array().cast("array<bigint>")
+    when = lambda on, keys: F.when((chars >= min_chars) & on, keys).otherwise(none)
+    if edits is not None:
+        every = F.lit(True)
+        return when(every, index_keys(line, chars, edits)), when(every, probe_keys(line, chars, edits, min_chars)), none
+    own = F.when(chars < SEVERAL, index_keys(line, chars, 1)).otherwise(block_keys(line, chars))
+    met = [when(chars <= SEVERAL, probe_keys(line, chars, 1, min_chars, SEVERAL)),
+           when((chars >= SEVERAL) & (chars - allowed(chars) < LONG), block_probes(line, chars))]
+    return when(chars < LONG, own), F.concat(*met), when(chars >= LONG, gram_keys(line, chars))
+
+
 def index_keys(line: Column, chars: Column, edits: int) -> Column:
     """The keys of a line's own segments."""
     return F.array(*[_key(chars, k, line, *segment(chars, edits + 1, k)) for k in range(edits + 1)])
 
 
-def probe_keys(line: Column, chars: Column, edits: int, min_chars: int) -> Column:
-    """The keys under which lines of the same or a lesser length can find this one."""
+def probe_keys(line: Column, chars: Column, edits: int, min_chars: int, below: int | None = None) -> Column:
+    """The keys under which lines of the same or a lesser length (less than ``below``) can find this one."""
     found = []
     for less in range(edits + 1):
         length = chars - less
@@ -75,6 +167,8 @@ def probe_keys(line: Column, chars: Column, edits: int, min_chars: int) -> Colum
             for shift in range(first, last + 1):
                 at = start + shift
                 inside = (length >= min_chars) & (at >= 0) & (at + size <= chars)
+                if below is not None:
+                    inside = inside & (length < below)
                 found.append(F.when(inside, _key(length, k, line, at, size)))
     return F.array(*found)  # NULL where a place is outside the line
 
@@ -143,42 +237,55 @@ def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"))
 
 
-def _near_lines(lines: DataFrame, firsts: DataFrame, edits: int) -> DataFrame:
-    """lid1, lid2 of the distinct lines that an earlier line is within ``edits`` edits of."""
-    index = firsts.select(F.explode("index_keys").alias("key"), F.col("lid1").alias("a"), F.col("letters").alias("la"))
-    probe = firsts.select(F.explode("probe_keys").alias("key"), F.col("lid1").alias("b"), F.col("letters").alias("lb"))
-    probe = probe.where(F.col("key").isNotNull())
+def _near_lines(lines: DataFrame, firsts: DataFrame, edits: int | None) -> DataFrame:
+    """lid1, lid2 of the distinct lines that an earlier line is near."""
+    least = lambda a, b: F.lit(edits) if edits is not None else allowed(F.least(a, b))
+    # A key and a length class are one hash; a line probes with its own class and that of the shortest line near it.
+    classed = lambda key, kind: F.xxhash64(key, kind).alias("key")
+    own = F.lit(0) if edits is not None else length_class(F.col("chars"))
+    low = F.lit(0) if edits is not None else length_class(F.col("chars") - allowed(F.col("chars")))
+    index = firsts.select(F.explode(F.concat("index_keys", "both_keys")).alias("key"), own.alias("kind"), F.col("lid1").alias("a"),
+                          F.col("letters").alias("la"), F.col("chars").alias("na"))
+    index = index.select(classed("key", "kind"), "a", "la", "na")
+    probe = firsts.select(F.explode(F.concat("probe_keys", "both_keys")).alias("key"), F.array_distinct(F.array(own, low)).alias("kinds"),
+                          F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"))
+    probe = probe.where(F.col("key").isNotNull()).select("key", F.explode("kinds").alias("kind"), "b", "lb", "nb")
+    probe = probe.select(classed("key", "kind"), "b", "lb", "nb")
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b"))
-                     & (counts_apart(F.col("la"), F.col("lb")) <= 2 * edits))
+                     & (F.abs(F.col("na") - F.col("nb")) <= least(F.col("na"), F.col("nb")))
+                     & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least(F.col("na"), F.col("nb"))))
     pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     named = pairs.select(F.col("a").alias("lid1")).union(pairs.select(F.col("b").alias("lid1"))).distinct()
     named = materialise(named, "ids")
     if named.count() <= BROADCAST_LINES:  # a checked size; else by shuffle, with the same result
         named = F.broadcast(named)
+    by_letter = F.lit(True) if edits is not None else F.length("line") <= SEVERAL
     texts = (lines.join(named, "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
-             .select("place", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
-                     F.split("line", "").alias("chars")))
+             .select("place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
+                     F.when(by_letter, F.split("line", "")).alias("chars")))
     texts = materialise(texts, "texts")
-    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "chars")])
+    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line", "chars")])
              for s in ("a", "b")]
-    close = pairs.join(sides[0], "a").join(sides[1], "b").where(within(F.col("chars_a"), F.col("chars_b"), edits))
+    near = within(F.col("chars_a"), F.col("chars_b"), 1 if edits is None else edits)
+    if edits is None:
+        most = allowed(F.least(F.length("line_a"), F.length("line_b")))
+        near = F.when(most == 1, near).otherwise(F.call_function("levenshtein", "line_a", "line_b", most) >= 0)
+    close = pairs.join(sides[0], "a").join(sides[1], "b").where(near)
     later = F.col("place_a") > F.col("place_b")
     return close.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("lid1"),
                         F.when(later, F.col("lid2_a")).otherwise(F.col("lid2_b")).alias("lid2")).distinct()
 
 
-def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
+def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min_chars: int) -> DataFrame:
     """k1, k2 and the line numbers that go, in order, of each document that loses lines."""
     lines = _lines(_documents(docs, id_col, text_col), id_col, text_col)
     lines = lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
-    fuzzy = F.col("chars") >= min_chars
-    none = F.array().cast("array<bigint>")
+    own, met, both = line_keys(F.col("line"), F.col("chars"), edits, min_chars)
     # The length comes out of the aggregate, so that no key counts the characters again.
     firsts = lines.groupBy("line").agg(F.min("place").alias("first"), F.max(F.length("line")).alias("chars")).select(
-        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first",
-        F.when(fuzzy, letter_counts(F.col("line"))).alias("letters"),
-        F.when(fuzzy, index_keys(F.col("line"), F.col("chars"), edits)).otherwise(none).alias("index_keys"),
-        F.when(fuzzy, probe_keys(F.col("line"), F.col("chars"), edits, min_chars)).otherwise(none).alias("probe_keys"))
+        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first", "chars",
+        F.when(F.col("chars") >= min_chars, letter_counts(F.col("line"))).alias("letters"),
+        own.alias("index_keys"), met.alias("probe_keys"), both.alias("both_keys"))
     firsts = materialise(firsts, "lines")
     near = materialise(_near_lines(lines, firsts, edits).withColumn("near", F.lit(True)), "near")
     known = firsts.select("lid1", "lid2", "first").join(near, ["lid1", "lid2"], "left")
@@ -187,7 +294,7 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
     return gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = None,
                   min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: id, n_lines, n_dropped, dropped (line numbers from 0, in order)."""
     dropped = _dropped(docs, id_col, text_col, edits, min_chars)
@@ -201,7 +308,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce("dropped", none).alias("dropped"))
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = None,
           min_chars: int = MIN_CHARS, drop_emptied: bool = False) -> DataFrame:
     """``docs`` with the text less the lines that go.
 

@@ -82,3 +82,53 @@ def test_no_python_on_the_way(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = L.dropped_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+def _allowed(a, b):
+    return max(1, min(len(a), len(b)) // 64)
+
+
+def _variants():
+    """Lines of each way to find them and at its borders, with variants at and beyond what is allowed."""
+    r = rng(8)
+    lines = []
+    for n in [20, 64, 126, 127, 128, 129, 130, 191, 192, 200, 256, 300, 319, 400, 640, 1000, 1010, 1023, 1024, 1025, 1039, 1040,
+              1041, 1100, 2000]:
+        for _ in range(2):
+            line = prose(r, n)[:n]
+            most = max(1, n // 64)
+            lines += [line, *[mutate(line, e, r) for e in (most, most, most + 1, r.randint(1, most))]]
+            drop = sorted(r.sample(range(n), most))  # as many edits of one kind, spread and in a row
+            lines += ["".join(c for i, c in enumerate(line) if i not in drop), line[most:], "é" * most + line]
+    lines += ["ab" * 60, "ab" * 61, "a" * 5000, "a" * 5060, "a" * 5150]
+    r.shuffle(lines)
+    return lines
+
+
+def test_edits_follow_the_length(spark):
+    lines = _variants()
+    first = list(dict.fromkeys(lines))
+    near = {b for j, b in enumerate(first) for a in first[:j]
+            if abs(len(a) - len(b)) <= _allowed(a, b) and len(min(a, b, key=len)) >= L.MIN_CHARS
+            and _close(a, b, _allowed(a, b))}
+    want = [n for n, x in enumerate(lines) if x in near or lines.index(x) != n]
+    assert len(near) > 100
+    got = L.dropped_lines(documents(spark, [(1, "\n".join(lines))])).first()
+    assert got.dropped == want
+    line = prose(rng(9), 100)[:300]
+    rows = [(1, line), (2, f"X{line[1:150]}X{line[151:]}")]  # two changed characters in 300
+    assert [r.n_dropped for r in L.dropped_lines(documents(spark, rows)).orderBy("doc_id").collect()] == [0, 1]
+
+
+def _close(a, b, most):
+    """Whether a band of the distance table ends within ``most``."""
+    far = most + 1
+    row = {j: j for j in range(most + 1)}
+    for i, x in enumerate(a):
+        new = {}
+        for j in range(max(0, i + 1 - most), min(len(b), i + 1 + most) + 1):
+            new[j] = i + 1 if j == 0 else min(row.get(j, far) + 1, new.get(j - 1, far) + 1, row.get(j - 1, far) + (x != b[j - 1]))
+        if min(new.values()) > most:
+            return False
+        row = new
+    return row.get(len(b), far) <= most
