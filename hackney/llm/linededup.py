@@ -34,7 +34,8 @@ whose edits follow their length go through Spark's own banded ``levenshtein``.
 Defined cases: NULL texts have no lines and stay NULL; blank lines are never
 compared and stay; lines shorter than ``min_chars`` are compared exactly only;
 rows that repeat an id and its text are one document and get the same result;
-NULL ids come last in the order; other columns are kept by ``clean``, with
+NULL ids come last in the order; documents that share an id or have none come, line
+number by line number, in the order of a hash of id and text, so one occurrence stays; other columns are kept by ``clean``, with
 their names (``clean`` refuses no name but the text's own); an empty table
 gives no rows. Very long lines and texts are processed whole.
 """
@@ -227,12 +228,17 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k1, k2, line_no, line, place (an order of all lines), lid1, lid2 (hashes of the line)."""
+    """k1, k2, line_no, line, place (an order of all lines), lid1, lid2 (hashes of the line).
+
+    A place is id, line number and 32 bits of k2 in one number, which a hash aggregate can hold.
+    """
     rows = keyed.where(F.col(text_col).isNotNull()).select(
         F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col(id_col).cast("long").alias("id"),
         F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     place = (F.coalesce("id", F.lit(_LAST_ID)).cast("decimal(19,0)") * F.lit(2 ** 31).cast("decimal(10,0)")
-             + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)")
+             + F.col("line_no").cast("decimal(10,0)")).cast("decimal(30,0)")
+    place = (place * F.lit(2 ** 32).cast("decimal(10,0)")
+             + F.pmod("k2", F.lit(2 ** 32)).cast("decimal(10,0)")).cast("decimal(38,0)")
     return rows.select("k1", "k2", "line_no", "line", place.alias("place"),
                        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"))
 
@@ -282,15 +288,17 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min
     lines = lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
     own, met, both = line_keys(F.col("line"), F.col("chars"), edits, min_chars)
     # The length comes out of the aggregate, so that no key counts the characters again.
-    firsts = lines.groupBy("line").agg(F.min("place").alias("first"), F.max(F.length("line")).alias("chars")).select(
-        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first", "chars",
+    # The owner settles which document's line stays should places be the same.
+    firsts = lines.groupBy("line").agg(F.min("place").alias("first"), F.min_by("k1", "place").alias("owner"),
+                                       F.max(F.length("line")).alias("chars")).select(
+        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first", "owner", "chars",
         F.when(F.col("chars") >= min_chars, letter_counts(F.col("line"))).alias("letters"),
         own.alias("index_keys"), met.alias("probe_keys"), both.alias("both_keys"))
     firsts = materialise(firsts, "lines")
     near = materialise(_near_lines(lines, firsts, edits).withColumn("near", F.lit(True)), "near")
-    known = firsts.select("lid1", "lid2", "first").join(near, ["lid1", "lid2"], "left")
+    known = firsts.select("lid1", "lid2", "first", "owner").join(near, ["lid1", "lid2"], "left")
     gone = (lines.select("k1", "k2", "line_no", "place", "lid1", "lid2").join(known, ["lid1", "lid2"])
-            .where(F.col("near").isNotNull() | (F.col("place") > F.col("first"))))
+            .where(F.col("near").isNotNull() | (F.col("place") > F.col("first")) | (F.col("k1") != F.col("owner"))))
     return gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 

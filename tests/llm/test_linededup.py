@@ -132,3 +132,19 @@ def _close(a, b, most):
             return False
         row = new
     return row.get(len(b), far) <= most
+
+
+def test_one_occurrence_stays_where_ids_tie(spark):
+    header = "the same header on line 0"
+    rows = [(None, f"{header}\nfirst text without an id"), (None, f"{header}\nanother, quite different"),
+            (7, "a shared line of number seven\nwith this"), (7, "a shared line of number seven\nor that below it"),
+            (-2 ** 63, "least id there is\nand its text"), (2 ** 63 - 1, "greatest id there is\nwith a text"),
+            (2 ** 63 - 1, "greatest id there is\nwith other words")]
+    got = L.dropped_lines(documents(spark, rows)).collect()
+    gone = {}
+    for r in got:
+        gone.setdefault(r.doc_id, []).append(r.dropped)
+    assert {i: sorted(x) for i, x in gone.items()} == {
+        None: [[], [0]], 7: [[], [0]], -2 ** 63: [[]], 2 ** 63 - 1: [[], [0]]}
+    kept = "\n".join(r.text for r in L.clean(documents(spark, rows)).collect()).split("\n")
+    assert kept.count(header) == kept.count("a shared line of number seven") == 1
