@@ -76,3 +76,10 @@ def test_articles_of_the_pages_table(spark):
         body = pages[row.page_id].split("<article>")[1].split("</article>")[0]
         parts = [" ".join(html.unescape(re.sub("<[^>]+>", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", body)]
         assert row.text == "\n".join(p for p in parts if p) and row.n_chars == len(row.text)
+
+
+def test_letters_are_counted_over_the_whole_block():
+    numbers, prose = "12 " * 200, "Words of the rest. " * 200
+    for text in (numbers + prose, prose + numbers):
+        letters = H.features(H.Block(text, 0.0, 0, 0, 0.0, -1))[-1]
+        assert letters == sum(c.isalpha() for c in text) / len(text)
