@@ -1,9 +1,9 @@
 """Best-fit packing of tokenised documents into fixed-size training sequences.
 
 Documents become pieces of at most ``tokens`` ids; pieces are dealt by a hash
-of their identity over shards of a few thousand pieces (a count of shards in
-proportion to the data, so no task grows with it and no key can be hot) and
-each shard is packed by vector best-fit in order of decreasing length. A bin
+of the row's number, stored when it is cut, over shards of a few thousand pieces
+(a count of shards in proportion to the data, so no task grows with it; rows
+never share a number, whatever their ids, so no key can be hot) and each shard is packed by vector best-fit in order of decreasing length. A bin
 has three residual capacities: tokens, documents and attention cost (the sum
 of squared lengths). Of the bins in which a piece fits under all three, the
 one is taken that minimises the weighted norm of what would remain
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ class Capacity:
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity(),
            id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Pieces of every document: id, piece, start, length, ids_crc32 (and ids as binary)."""
+    """Pieces of every document: id, piece, start, length, ids_crc32 (and ids as binary), __row (its own number)."""
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
     width = 4 * capacity.tokens
@@ -58,6 +59,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = wordtok.of_worker(spec.value).ids
+        following = TaskContext.get().partitionId() << 40
         for batch in batches:
             owner, number, starts, lengths, crcs, raw = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
@@ -77,10 +79,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity()
             if with_ids:
                 columns.append(pa.array(raw, pa.binary()))
                 names.append("ids")
+            columns.append(pa.array(range(following, following + len(owner)), pa.int64()))
+            names.append("__row")
+            following += len(owner)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", __row long"
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(cut, schema).withColumnRenamed("id", id_col)
 
@@ -121,24 +126,25 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> np.ndarray:
 
 def pack(parts: DataFrame, capacity: Capacity = Capacity(), id_col: str = "doc_id",
          shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``parts`` (stored rows with piece and length) with sequence_id and offset.
+    """``parts`` (stored rows of ``pieces``) with sequence_id and offset, without __row.
 
-    ``parts`` is read twice (a count and the packing): pass a written table.
+    ``parts`` is read twice (a count and the packing): pass a written table,
+    so that a row's number is the same each time.
     """
     count = parts.count()
     shards = max(1, -(-count // shard_pieces))
-    shard = F.pmod(F.xxhash64(id_col, "piece", "start", F.lit("shard")), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("__row", F.lit("shard")), F.lit(shards)).cast("int")
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", id_col, "piece"], ascending=[False, True, True], kind="stable")
+        frame = frame.sort_values(["length", id_col, "piece", "__row"], ascending=[False, True, True, True], kind="stable")
         bins = best_fit(frame["length"].to_numpy(), capacity)
         base = np.int64(frame["__shard"].iat[0]) << 32
         frame["sequence_id"] = base + bins
         order = frame.groupby("sequence_id", sort=False)["length"]
         frame["offset"] = (order.cumsum() - frame["length"]).astype("int64")
-        return frame.drop(columns="__shard")
+        return frame.drop(columns=["__shard", "__row"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields if f.name != "__row")
     return (parts.withColumn("__shard", shard).groupBy("__shard")
             .applyInPandas(fill, f"{fields}, sequence_id long, offset long"))
 

@@ -133,3 +133,12 @@ def test_several_shards_and_sequences(spark):
     held = packed.toPandas().sort_values("offset")
     for s, ids in zip(made.sequence_id, made.ids, strict=True):
         assert bytes(ids) == b"".join(bytes(x) for x in held[held.sequence_id == s].ids)
+
+
+@pytest.mark.parametrize("i", [None, 7])
+def test_repeated_ids_share_no_shard(spark, i):
+    capacity = packing.Capacity(tokens=64)
+    parts = packing.pieces(documents(spark, [(i, "word " * (k % 50 + 1)) for k in range(600)]), PATH, capacity).cache()
+    packed = packing.pack(parts, capacity, shard_pieces=60).toPandas()
+    held = (packed.sequence_id // 2 ** 32).value_counts()
+    assert len(packed) == 600 and len(held) == 10 and held.max() < 120
