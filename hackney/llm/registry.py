@@ -20,7 +20,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spcodec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), with_ids=False)
+    return spcodec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
 def op3_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

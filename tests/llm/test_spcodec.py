@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 
-from hackney.llm import spcodec
+from hackney.llm import registry, spcodec
 from tests.llm.helpers import documents, rng
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,3 +79,14 @@ def test_encode_and_decode_cases(spark):
     for i, text in rows:
         assert texts[i] == (text or "").replace("▁", " ")
     assert spcodec.encode(documents(spark, []), PATH).count() == 0
+
+
+def test_registered_query_returns_the_ids(spark):
+    sf = "/root/testdata/sf0.001"
+    encoded = registry.op2_sentencepiece(spark, sf).cache()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for r in encoded.collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(texts[r.doc_id])
+    assert {r.doc_id: r.text for r in spcodec.decode(encoded, PATH).collect()} == {
+        i: t.replace("▁", " ") for i, t in texts.items()}
