@@ -12,13 +12,14 @@ group; ANSI mode would raise, not wrap.
 Values that are not finite, or too large for the limbs (beyond 1.7 * 10^7 of
 money, 280 degrees), are summed as doubles beside the limbs and added at the
 end, so NaN and infinities behave as in SQL ``sum`` and ``avg``.
+
+Expressions are SQL text: eight sums need hundreds of nodes, and building each
+by its own call took longer than the query at small sizes.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY_DECIMALS, DEGREE_DECIMALS = 6, 12
@@ -32,68 +33,81 @@ def _bits(decimals: int) -> int:
     return 24 if decimals > MONEY_DECIMALS else 22
 
 
-def sum_parts(x, decimals: int, name: str) -> dict[str, Column]:
-    """Aggregate columns that hold a sum of ``x`` exactly; they add up over groups.
+def to_units(rows: DataFrame, keys: list[str], measures: dict[str, str], decimals: int) -> DataFrame:
+    """``keys`` and, for each measure (output name -> column), its units and what has none.
+
+    This projection below the aggregate converts each value once; the
+    aggregate's buffers then read plain columns, and its generated code stays small.
+    """
+    limit, scale = 2.0 ** (2 * _bits(decimals)) / 10.0 ** decimals, 10.0 ** decimals
+    out = []
+    for name, x in measures.items():
+        exact = f"abs(`{x}`) < {limit!r}D"  # false for NaN and infinities
+        out += [f"CASE WHEN {exact} THEN CAST(rint(`{x}` * {scale!r}D) AS BIGINT) END AS `{name}_units`",
+                f"CASE WHEN {exact} THEN NULL ELSE CAST(`{x}` AS DOUBLE) END AS `{name}_rest`"]
+    return rows.selectExpr(*[f"`{k}`" for k in keys], *out)
+
+
+def sum_parts(name: str, decimals: int, count: bool = False) -> dict[str, Column]:
+    """Aggregates over the columns of :func:`to_units`; they hold a sum exactly and add up over groups.
 
-    ``name`` prefixes them: count, high and low limb, sum of all other values.
+    High and low limb, sum of all other values and, if asked for, the number of values.
     """
-    x, bits = _c(x), _bits(decimals)
-    exact = F.abs(x) < F.lit(2.0 ** (2 * bits) / 10.0 ** decimals)  # false for NaN and infinities
-    units = F.when(exact, F.rint(x * F.lit(10.0 ** decimals)).cast("long"))
-    return {
-        f"{name}_n": F.count(x),
-        f"{name}_high": F.sum(F.shiftright(units, bits)),
-        f"{name}_low": F.sum(units.bitwiseAND(F.lit((1 << bits) - 1))),
-        f"{name}_other": F.sum(F.when(exact, F.lit(None)).otherwise(x)),
-    }
+    bits = _bits(decimals)
+    parts = {f"{name}_high": F.expr(f"sum(shiftright(`{name}_units`, {bits}))"),
+             f"{name}_low": F.expr(f"sum(`{name}_units` & {(1 << bits) - 1}L)"),
+             f"{name}_other": F.expr(f"sum(`{name}_rest`)")}
+    n = {f"{name}_n": F.expr(f"count(coalesce(CAST(`{name}_units` AS DOUBLE), `{name}_rest`))")}
+    return {**n, **parts} if count else parts
 
 
 def part_names(name: str) -> list[str]:
-    return [f"{name}_{p}" for p in ("n", "high", "low", "other")]
+    return [f"{name}_{p}" for p in ("high", "low", "other")]
 
 
-def _units(name: str, decimals: int) -> Column:
+def _units(name: str, decimals: int) -> str:
     """The summed units of finished parts as DECIMAL(38,0); 0 for no values."""
-    whole = "decimal(38,0)"
-    high = F.coalesce(F.col(f"{name}_high"), F.lit(0)).cast("decimal(20,0)") * F.lit(1 << _bits(decimals))
-    return (high.cast(whole) + F.coalesce(F.col(f"{name}_low"), F.lit(0)).cast(whole)).cast(whole)
+    high = f"CAST(coalesce(`{name}_high`, 0) AS DECIMAL(20,0)) * {1 << _bits(decimals)}"
+    return f"CAST(CAST({high} AS DECIMAL(38,0)) + CAST(coalesce(`{name}_low`, 0) AS DECIMAL(38,0)) AS DECIMAL(38,0))"
 
 
-def _as_double(units: Column, decimals: int) -> Column:
+def _as_double(units: str, decimals: int) -> str:
     """units / 10^decimals: the whole part and the fraction, each exact, added."""
-    one = F.lit(10 ** decimals).cast("decimal(38,0)")
-    rest = units % one
-    return ((units - rest) / one).cast("double") + rest.cast("double") / F.lit(10.0 ** decimals)
+    one = f"CAST({10 ** decimals} AS DECIMAL(38,0))"
+    return (f"(CAST(({units} - {units} % {one}) / {one} AS DOUBLE)"
+            f" + CAST({units} % {one} AS DOUBLE) / {10.0 ** decimals!r}D)")
 
 
 def total_of(name: str, decimals: int = MONEY_DECIMALS) -> Column:
     """The sum that parts ``name`` hold, as a double; NULL for no values."""
-    total = _as_double(_units(name, decimals), decimals)
-    return F.when(F.col(f"{name}_n") > 0, total + F.coalesce(F.col(f"{name}_other"), F.lit(0.0)))
+    return F.expr(f"CASE WHEN `{name}_high` IS NOT NULL OR `{name}_other` IS NOT NULL THEN"
+                  f" {_as_double(_units(name, decimals), decimals)} + coalesce(`{name}_other`, 0D) END")
 
 
 def mean_of(name: str, decimals: int = DEGREE_DECIMALS, places: int = 6) -> Column:
-    """The mean that parts ``name`` hold, rounded to ``places`` exactly (ties to even).
+    """The mean that parts ``name`` (with their number) hold, rounded to ``places`` exactly (ties to even).
 
     With values beside the limbs, the rounded double quotient.
     """
-    whole = "decimal(38,0)"
-    n, units, other = F.col(f"{name}_n"), _units(name, decimals), F.col(f"{name}_other")
-    divisor = (n.cast("decimal(19,0)") * F.lit(10 ** (decimals - places)).cast("decimal(19,0)")).cast(whole)
-    size = F.abs(units)
-    rest = size % divisor
-    quotient = ((size - rest) / divisor).cast(whole)   # exact: divisible
-    twice = (rest * F.lit(2)).cast(whole)
-    up = (twice > divisor) | ((twice == divisor) & (quotient % 2 == 1))
-    rounded = F.signum(units.cast("double")) * (quotient + F.when(up, 1).otherwise(0)).cast("double")
-    plain = F.round((_as_double(units, decimals) + other) / n, places)
-    return F.when(n > 0, F.when(other.isNull(), rounded / F.lit(10.0 ** places)).otherwise(plain))
-
-
-def with_parts(grouped, measures: dict[str, Column | str], decimals: int):
-    """The parts of several sums (output name -> value) as one aggregate of grouped data."""
-    parts = reduce(lambda a, b: {**a, **b}, (sum_parts(x, decimals, name) for name, x in measures.items()))
-    return grouped.agg(*[column.alias(name) for name, column in parts.items()])
+    units = _units(name, decimals)
+    divisor = f"CAST(CAST(`{name}_n` AS DECIMAL(19,0)) * {10 ** (decimals - places)} AS DECIMAL(38,0))"
+    rest = f"(abs({units}) % {divisor})"
+    quotient = f"CAST((abs({units}) - {rest}) / {divisor} AS DECIMAL(38,0))"  # exact: divisible
+    twice = f"CAST({rest} * 2 AS DECIMAL(38,0))"
+    up = f"CASE WHEN {twice} > {divisor} OR ({twice} = {divisor} AND {quotient} % 2 = 1) THEN 1 ELSE 0 END"
+    rounded = f"signum(CAST({units} AS DOUBLE)) * CAST({quotient} + {up} AS DOUBLE) / {10.0 ** places!r}D"
+    plain = f"round(({_as_double(units, decimals)} + `{name}_other`) / `{name}_n`, {places})"
+    return F.expr(f"CASE WHEN `{name}_n` > 0 THEN CASE WHEN `{name}_other` IS NULL THEN {rounded} ELSE {plain} END END")
+
+
+def with_parts(rows: DataFrame, keys: list[str], measures: dict[str, str], decimals: int,
+               count: bool = False) -> DataFrame:
+    """The parts of several sums (output name -> column) per ``keys``, as one aggregate."""
+    parts: dict[str, Column] = {}
+    for name in measures:
+        parts |= sum_parts(name, decimals, count)
+    return (to_units(rows, keys, measures, decimals).groupBy(*keys)
+            .agg(*[column.alias(name) for name, column in parts.items()]))
 
 
 def round_to(x, decimals: int) -> Column:

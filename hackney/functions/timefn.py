@@ -15,13 +15,18 @@ def pickup_hour(ts="tpep_pickup_datetime") -> Column:
     return F.hour(_c(ts))
 
 
-def elapsed_minutes(start, end) -> Column:
-    """Minutes from ``start`` to ``end`` as a double (X3).
+def elapsed_seconds(start: str, end: str) -> Column:
+    """Whole seconds from ``start`` to ``end``, cut towards zero; whole seconds match the source's resolution.
 
-    ``timestamp_diff`` works on TIMESTAMP_NTZ, which cannot be cast to epoch
-    seconds; whole seconds / 60 matches the per-second source resolution.
+    TIMESTAMP_NTZ cannot be cast to epoch seconds; its difference is an
+    interval, which can (faster than ``timestampdiff``, with the same result).
     """
-    return F.timestamp_diff("SECOND", _c(start), _c(end)) / F.lit(60.0)
+    return F.expr(f"CAST(CAST(`{end}` - `{start}` AS INTERVAL SECOND) AS BIGINT)")
+
+
+def elapsed_minutes(start: str, end: str) -> Column:
+    """Minutes from ``start`` to ``end`` as a double (X3)."""
+    return elapsed_seconds(start, end) / F.lit(60.0)
 
 
 def in_hour_window(ts, start_hour: int, end_hour: int) -> Column:

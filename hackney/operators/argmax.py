@@ -2,7 +2,10 @@
 
 ``max(struct(v, tie...))`` picks the whole winning row in one aggregation
 with partial (map-side) combine, so a hot key never gathers its rows in one
-task; struct ordering is lexicographic, which gives an explicit tie rule.
+task; struct ordering is lexicographic, which gives an explicit tie rule. It
+takes any types, and plans a sort aggregate. Where the tie-breaker is a whole
+number, :func:`arg_max_packed` and :func:`first_packed` hold value and
+tie-breaker in one DECIMAL, which a hash aggregate updates in place.
 """
 
 from __future__ import annotations
@@ -10,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hackney.functions.ordering import pack, unpack_low, with_order_key
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -40,3 +45,23 @@ def ordered_first(value, order: list) -> Column:
     row = F.struct(*[_c(o).alias(f"_o{i}") for i, o in enumerate(order)],
                    _c(value).alias("_v"))
     return F.min(F.when(first.isNotNull(), row))["_v"]
+
+
+def arg_max_packed(df: DataFrame, keys: list[str], value: str, tie: str, extra: list[Column] = ()) -> DataFrame:
+    """One row per key: the largest double ``value`` and, of its rows, the largest whole number ``tie``.
+
+    NULL sorts below every value and NaN above, as in :func:`arg_max`. ``extra``
+    are further aggregates (over ``df``'s columns) of the same pass.
+    """
+    keyed = with_order_key(df, value, "__key")
+    agg = keyed.groupBy(*keys).agg(F.max(pack("__key", f"`{tie}`")).alias("__best"), F.max(value).alias(value), *extra)
+    return agg.withColumn(tie, unpack_low(F.col("__best"))).drop("__best")
+
+
+def first_packed(value: str, time: str) -> Column:
+    """The whole number ``value`` of the row with the earliest ``time``; the least of several, NULL first.
+
+    As :func:`ordered_first` by time and value; rows without a time are skipped.
+    """
+    micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)"
+    return unpack_low(F.min(F.when(F.col(time).isNotNull(), pack(micros, f"`{value}`"))))

@@ -19,14 +19,14 @@ few hundred, and the same at every size of either:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackney.functions.geo import haversine_km
 from hackney.functions.numeric import (DEGREE_DECIMALS, MONEY_DECIMALS, mean_of, part_names,
                                        round_to, total_of, with_parts)
-from hackney.functions.timefn import elapsed_minutes, is_night, pickup_hour
-from hackney.operators.argmax import arg_max, ordered_first
+from hackney.functions.timefn import elapsed_seconds, is_night, pickup_hour
+from hackney.operators.argmax import arg_max_packed, first_packed
 from hackney.operators.filters import DROPOFF_COORDS, PICKUP_COORDS, nonzero_coordinates
 from hackney.operators.lookup import count_per, lookup_join, sum_again
 from hackney.operators.topk import sort_small, sort_total, top_k
@@ -54,8 +54,8 @@ def hourly_mean_pickup(trips: DataFrame, keep_null_hour: bool = False) -> DataFr
             .select(pickup_hour().alias("hour"), *PICKUP_COORDS))
     if not keep_null_hour:
         rows = rows.where(F.col("hour").isNotNull())
-    sums = with_parts(rows.groupBy("hour"), {"lon": "pickup_longitude", "lat": "pickup_latitude"},
-                      DEGREE_DECIMALS)
+    sums = with_parts(rows, ["hour"], {"lon": "pickup_longitude", "lat": "pickup_latitude"},
+                      DEGREE_DECIMALS, count=True)
     out = sums.select("hour", mean_of("lon").alias("avg_longitude"), mean_of("lat").alias("avg_latitude"))
     return sort_small(out, "hour")  # <= 25 rows: 24 hours (+ NULL)
 
@@ -63,35 +63,36 @@ def hourly_mean_pickup(trips: DataFrame, keep_null_hour: bool = False) -> DataFr
 # -- Q2 ---------------------------------------------------------------------
 
 def _trip_legs(trips: DataFrame) -> DataFrame:
-    """Trips with both fixes known: vendor, distance (km), duration (min), pick-up time."""
+    """Trips with both fixes known: vendor, distance (km), duration (whole seconds), pick-up time."""
     return (trips.where(nonzero_coordinates(*PICKUP_COORDS, *DROPOFF_COORDS))
             .select("VendorID", "tpep_pickup_datetime",
                     haversine_km(*PICKUP_COORDS, *DROPOFF_COORDS).alias("distance"),
-                    elapsed_minutes("tpep_pickup_datetime",
-                                    "tpep_dropoff_datetime").alias("duration")))
+                    elapsed_seconds("tpep_pickup_datetime",
+                                    "tpep_dropoff_datetime").alias("seconds")))
+
+
+def _minutes(name: str) -> Column:
+    return (F.col("seconds") / F.lit(60.0)).alias(name)
 
 
 def longest_trip_per_vendor(trips: DataFrame, ties: str = "longer") -> DataFrame:
     """The longest trip per vendor and that same trip's duration (arg-max).
 
     ``ties="longer"`` (default): equal distances are broken by the longer
-    duration — exact, one scan, a per-task sort aggregate. ``ties="any"``:
-    any of the tied trips (the RDD variant's semantics) via ``max_by``, a
-    hash aggregate. Columns: VendorID, max_distance_km (6 decimals),
-    trip_duration_min.
+    duration, ``ties="any"`` gives any of the tied trips (the RDD variant's
+    semantics) via ``max_by``. Both are hash aggregates over one scan.
+    Columns: VendorID, max_distance_km (6 decimals), trip_duration_min.
     """
     legs = _trip_legs(trips)
     if ties == "longer":
-        best = arg_max(legs, ["VendorID"], ["distance", "duration"],
-                       {"max_distance_km": "distance", "trip_duration_min": "duration"})
+        best = arg_max_packed(legs, ["VendorID"], "distance", "seconds")
     elif ties == "any":
         best = legs.groupBy("VendorID").agg(
-            F.max("distance").alias("max_distance_km"),
-            F.max_by("duration", "distance").alias("trip_duration_min"))
+            F.max("distance").alias("distance"), F.max_by("seconds", "distance").alias("seconds"))
     else:
         raise ValueError(f"ties must be 'longer' or 'any', not {ties!r}")
-    out = best.select("VendorID", round_to("max_distance_km", 6).alias("max_distance_km"),
-                      "trip_duration_min")
+    out = best.select("VendorID", round_to("distance", 6).alias("max_distance_km"),
+                      _minutes("trip_duration_min"))
     return sort_total(out, "VendorID")
 
 
@@ -103,11 +104,10 @@ def max_and_first_per_vendor(trips: DataFrame) -> DataFrame:
     pick-up, then the shortest duration. Columns: VendorID, max_distance_km,
     first_duration_min.
     """
-    legs = _trip_legs(trips)
-    out = legs.groupBy("VendorID").agg(
+    best = _trip_legs(trips).groupBy("VendorID").agg(
         round_to(F.max("distance"), 6).alias("max_distance_km"),
-        ordered_first("duration", ["tpep_pickup_datetime", "duration"]).alias("first_duration_min"))
-    return sort_total(out, "VendorID")
+        first_packed("seconds", "tpep_pickup_datetime").alias("seconds"))
+    return sort_total(best.select("VendorID", "max_distance_km", _minutes("first_duration_min")), "VendorID")
 
 
 # -- Q3 ---------------------------------------------------------------------
@@ -203,7 +203,7 @@ def revenue_sums(trips: DataFrame, zones: DataFrame, default: str | None = None)
 
     Summed per zone id, then named, then summed again.
     """
-    per_zone = with_parts(trips.groupBy(PU), _MONEY, MONEY_DECIMALS)
+    per_zone = with_parts(trips, [PU], _MONEY, MONEY_DECIMALS)
     named = lookup_join(per_zone, zones, PU, ZONE_KEY, {"Borough": "Borough"}, default=default)
     return _totals(sum_again(named, ["Borough"], [p for dst in _MONEY for p in part_names(dst)]))
 
@@ -211,7 +211,7 @@ def revenue_sums(trips: DataFrame, zones: DataFrame, default: str | None = None)
 def revenue_sums_once(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """The same in a single aggregation after the lookup, as a stream in complete mode needs."""
     named = lookup_join(trips, zones, PU, ZONE_KEY, {"Borough": "Borough"})
-    return _totals(with_parts(named.groupBy("Borough"), _MONEY, MONEY_DECIMALS))
+    return _totals(with_parts(named, ["Borough"], _MONEY, MONEY_DECIMALS))
 
 
 def revenue_by_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:

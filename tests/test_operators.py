@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import random
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
-from hackney.operators import arg_max, lookup_join, ordered_first, top_k
+from hackney.functions import with_order_key
+from hackney.functions.ordering import LOW
+from hackney.operators import arg_max, arg_max_packed, first_packed, lookup_join, ordered_first, top_k
 from tests.conftest import make_zones
 
 
@@ -98,3 +104,48 @@ def test_sort_small_orders_in_one_partition(spark):
     out = sort_small(df.repartition(3), "-n", "k")
     assert [tuple(r) for r in out.collect()] == [("c", 9), ("a", 5), ("b", 5), (None, 5)]
     assert out.rdd.getNumPartitions() == 1
+
+
+def _doubles():
+    r = random.Random(4)
+    edges = [2.0 ** e for e in range(-1074, 1024, 7)] + [2.0 ** e for e in range(-5, 60)] + [5e-324, 2.0 ** -1022, 1.7976931348623157e308]
+    near = [math.nextafter(x, to) for x in edges for to in (0.0, math.inf)]
+    some = [struct.unpack("d", r.randbytes(8))[0] for _ in range(3000)] + [r.uniform(0, 20016) for _ in range(1000)]
+    values = [x for x in [*edges, *near, *some, 0.0, math.inf] if not math.isnan(x)]
+    return [*values, *[-x for x in values], math.nan]
+
+
+def test_order_keys_order_as_doubles_do(spark):
+    values = _doubles()
+    df = spark.createDataFrame([(None,), *[(x,) for x in values]], "x double")
+    rows = with_order_key(df, "x", "key").collect()
+    known = sorted((r.x, r.key) for r in rows if r.x is not None and not math.isnan(r.x))
+    assert all((a[0] == b[0]) == (a[1] == b[1]) and a[1] <= b[1] for a, b in zip(known, known[1:]))
+    null, nan = ({r.key for r in rows if r.x is None}, {r.key for r in rows if r.x is not None and math.isnan(r.x)})
+    assert null == {-(2 ** 63 - 1)} and nan == {2 ** 63 - 1}
+    assert -(2 ** 63 - 1) < known[0][1] and known[-1][1] < 2 ** 63 - 1
+    for x, key in known:  # the binary64 bits themselves
+        assert key == int(math.copysign(1, x)) * struct.unpack("q", struct.pack("d", abs(x)))[0]
+
+
+def test_packed_arg_max_equals_the_struct_form(spark):
+    r = random.Random(5)
+    values = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 1.5, math.nextafter(1.5, 2), 20000.25, -3.0]
+    rows = [(k, r.choice(values[:n]), r.choice([None, 0, -7, 5, 5, LOW - 1, 1 - LOW]))
+            for n in (1, 2, 3, 4, 6, 10) for k in range(100 * n, 100 * n + 30) for _ in range(r.randint(1, 6))]
+    df = spark.createDataFrame(rows, "k int, v double, s bigint")
+    show = lambda rows: sorted((x.k, repr(x.v if x.v is None else x.v + 0.0), x.s) for x in rows)
+    packed = arg_max_packed(df, ["k"], "v", "s").collect()
+    # 0.0 and -0.0 are one value; which of them is shown is left open.
+    assert show(packed) == show(arg_max(df, ["k"], ["v", "s"], {"v": "v", "s": "s"}).collect())
+    with pytest.raises(Exception, match="too large for a packed order"):
+        arg_max_packed(spark.createDataFrame([(1, 1.0, LOW)], "k int, v double, s bigint"), ["k"], "v", "s").collect()
+
+
+def test_packed_first_equals_the_ordered_first(spark):
+    r = random.Random(6)
+    times = [None, "0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "2024-01-01 10:00:00", "9999-12-31 23:59:59"]
+    rows = [(k, r.choice(times), r.choice([None, -5, 0, 60, 61])) for k in range(60) for _ in range(r.randint(1, 5))]
+    df = spark.createDataFrame(rows, "k int, t string, s bigint").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = df.groupBy("k").agg(first_packed("s", "t").alias("a"), ordered_first("s", ["t", "s"]).alias("b")).collect()
+    assert [x.a for x in got] == [x.b for x in got] and len({x.a for x in got}) > 3

@@ -158,7 +158,7 @@ def test_q1_and_q6_carry_not_a_number(spark):
     assert mean.avg_longitude != mean.avg_longitude and mean.avg_latitude == 40.0
 
 
-def test_q2_any_tie_option_uses_a_hash_aggregate(spark):
+def test_q2_uses_hash_aggregates(spark):
     import contextlib
     import io
 
@@ -173,9 +173,12 @@ def test_q2_any_tie_option_uses_a_hash_aggregate(spark):
     exact = Q.longest_trip_per_vendor(trips).first()
     assert row.max_distance_km == exact.max_distance_km
     assert row.trip_duration_min in (45.0, 30.0)            # one of the tied trips
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        Q.longest_trip_per_vendor(trips, ties="any").explain()
-    assert "SortAggregate" not in buf.getvalue()
+    assert exact.trip_duration_min == 45.0
+    for plan in (Q.longest_trip_per_vendor(trips, ties="any"), Q.longest_trip_per_vendor(trips),
+                 Q.max_and_first_per_vendor(trips)):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            plan.explain()
+        assert "HashAggregate" in buf.getvalue() and "SortAggregate" not in buf.getvalue()
     with pytest.raises(ValueError):
         Q.longest_trip_per_vendor(trips, ties="first")
