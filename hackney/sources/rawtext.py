@@ -99,17 +99,27 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     width = max(needed, *(i + 1 for i in pos.values()))
     fields = F.split(F.col("value"), _regex_literal(delimiter), width + 1)
     rows = (drop_header(lines, header_text if header_text is not None else delimiter.join(header))
-            .select(fields.alias("_f")).where(F.size("_f") >= needed))
+            .select(_once(fields, "_f")).where(F.size("_f") >= needed))
     text = {c: F.get(F.col("_f"), i) for c, i in pos.items()}
     typed = {c: parse_field(text[c], schema[c].dataType) for c in present}
     strict = present if drop_malformed is True else [c for c in present if c in (drop_malformed or ())]
     bad = [(text[c] != F.lit("")) & typed[c].isNull() for c in strict
            if not isinstance(schema[c].dataType, T.StringType)]
-    if bad:
-        rows = rows.where(~F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in bad]),
-                                      F.lit(False)))
     typed.update({c: F.lit(None).cast(schema[c].dataType) for c in absent})
-    return rows.select(*[typed[c].alias(c) for c in columns])
+    if not bad:
+        return rows.select(*[typed[c].alias(c) for c in columns])
+    malformed = reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in bad])
+    row = F.struct(*[typed[c].alias(c) for c in columns], malformed.alias("__malformed"))
+    return rows.select(F.inline(F.array(row))).where(~F.col("__malformed")).drop("__malformed")
+
+
+def _once(value: Column, name: str) -> Column:
+    """``value`` as the only row of a generator, through which no filter is pushed.
+
+    A filter above a projection takes the projection's expressions along: a
+    split used by ten conditions would run ten times a line.
+    """
+    return F.explode(F.array(value)).alias(name)
 
 
 def ingest(spark: SparkSession, path: str, schema: T.StructType,
