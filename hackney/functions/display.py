@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hackney.operators.topk import top_k
+
 
 def report(df: DataFrame, decimals: int = 2, label_width: int | None = None) -> DataFrame:
     """Round every floating column to ``decimals`` places (numeric type kept)
@@ -25,6 +27,8 @@ def report(df: DataFrame, decimals: int = 2, label_width: int | None = None) ->
     return df.select(*cols)
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """The first ``n`` rows of an ordered result (what ``show(n)`` prints)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 20, *order) -> DataFrame:
+    """The first ``n`` rows: of ``df`` as it is ordered (what ``show(n)`` prints), or
+    under ``order`` (as ``operators.top_k``; end it with key columns for a result
+    that depends on the data alone)."""
+    return top_k(df, n, *order) if order else df.limit(n)

@@ -9,7 +9,7 @@ rounded.
 
 from __future__ import annotations
 
-from hackney.sources.fixtures import (RAW_ABSENT_FEE_RULE, RAW_BAD, RAW_COLUMNS,
+from hackney.sources.fixtures import (NEW_COLUMNS, OLD_COLUMNS, OLD_RULE, QUOTED_REMARKS, RAW_ABSENT_FEE_RULE, RAW_BAD, RAW_COLUMNS,
                                       RAW_EMPTY_FEE_RULE, RAW_SHORT_FIELDS, RAW_SHORT_RULE,
                                       TRIPS_SQL, ZONES_SQL)
 from hackney.plans.raw import OPTIONAL, RAW_VARIANTS
@@ -187,3 +187,28 @@ ORACLE_SQL["ingest_raw_trips"] = _with(_raw_trips(TRIPS.fieldNames()), keyed=Tru
 # Raw-text twins: the base query's body over the rows its parse keeps.
 for _key, (_base, _columns) in RAW_VARIANTS.items():
     ORACLE_SQL[_key] = _with_raw(_BODIES[_base], _columns, strict=_base == "q6_revenue_by_borough_unknown")
+
+
+# A trip has the columns of its file's layout alone.
+ORACLE_SQL["trips_mixed_layouts"] = _with("SELECT " + ", ".join(
+    c if c in OLD_COLUMNS and c in NEW_COLUMNS else
+    f"CASE WHEN {OLD_RULE if c in OLD_COLUMNS else f'NOT ({OLD_RULE})'} THEN {c} END AS {c}"
+    for c in TRIPS.fieldNames()) + " FROM trips", keyed=True)
+
+_REMARK = " ".join(f"WHEN {rule} THEN {text}" for rule, text in QUOTED_REMARKS)
+ORACLE_SQL["ingest_quoted_trips"] = _with(
+    f"SELECT VendorID, CASE {_REMARK} END AS remark, " + ", ".join(
+        f"CASE WHEN {RAW_BAD[c][0]} THEN NULL ELSE {c} END AS {c}"
+        for c in ("tpep_pickup_datetime", "PULocationID", "fare_amount"))
+    + f" FROM trips WHERE NOT ({RAW_SHORT_RULE})", keyed=True)
+
+ORACLE_SQL["c0_zones_to_parquet"] = _with("SELECT LocationID, Borough, Zone FROM zones")
+
+_ORDER = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
+_ORDER += [c for c in TRIPS.fieldNames() if c not in _ORDER]
+ORACLE_SQL["trips_preview"] = _with(
+    f"SELECT * FROM trips ORDER BY {', '.join(f'{c} ASC NULLS LAST' for c in _ORDER)} LIMIT 20")
+
+ORACLE_SQL["q6_revenue_report"] = _with("SELECT substr(z.Borough, 1, 12) AS Borough, " + ", ".join(
+    f"CAST(ROUND(SUM(CAST({src} AS DECIMAL(38,6))), 2) AS DOUBLE) AS {dst}" for src, dst in _REVENUE)
+    + " FROM trips t LEFT JOIN zones z ON t.PULocationID = z.LocationID GROUP BY 1")

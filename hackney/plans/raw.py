@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hackney.schemas import REVENUE_COMPONENTS, TRIPS
-from hackney.sources import rawtext
+from hackney.sources import layouts, rawtext
 
 #: A row may end before this column: it is the last of the files that have it.
 OPTIONAL = ("airport_fee",)
@@ -42,12 +42,16 @@ _COLUMNS = {**{base: columns for base, columns in RAW_VARIANTS.values()},
 _STRICT = {"q6_revenue_by_borough_unknown": OPTIONAL}
 
 
-def read_trips(spark: SparkSession, path: str, query: str, strict: bool = False) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, query: str, strict: bool = False, mixed: bool = False,
+               quoted: bool = False) -> DataFrame:
     """Trips from raw text with the fields that ``query`` needs.
 
-    ``strict`` drops rows in which any of these fields is malformed.
+    ``strict`` drops rows in which any of these fields is malformed; with
+    ``mixed`` every file's own header counts; ``quoted`` reads quoted fields.
     """
     columns = _COLUMNS[query]
-    return rawtext.ingest(spark, path, TRIPS, columns=columns, absent_as_null=True,
-                          drop_malformed=strict or _STRICT.get(query, False),
-                          optional=[c for c in OPTIONAL if c in columns])
+    options = dict(columns=columns, drop_malformed=strict or _STRICT.get(query, False), quoted=quoted,
+                   optional=[c for c in OPTIONAL if c in columns])
+    if mixed:
+        return layouts.ingest(spark, path, TRIPS, **options)
+    return rawtext.ingest(spark, path, TRIPS, absent_as_null=True, **options)

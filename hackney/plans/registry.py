@@ -15,10 +15,12 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from pyspark.errors import AnalysisException
 
 from hackney import streaming
+from hackney.functions.display import preview, report
 from hackney.functions.geo import register_sql_functions
 from hackney.operators.topk import sort_total
 from hackney.plans import queries as Q
@@ -26,7 +28,7 @@ from hackney.plans import raw
 from hackney.plans.raw import RAW_VARIANTS
 from hackney.schemas import TRIPS, ZONES
 from hackney.session import scratch_path
-from hackney.sources import fixtures, files, rawtext
+from hackney.sources import fixtures, files, layouts, rawtext
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,8 +81,8 @@ def raw_trips_text(spark: SparkSession, sf_dir: str) -> str:
         spark, sf_dir, p, max_records_per_file=_per_file(spark, sf_dir)))
 
 
-def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips and zones CSV folders converted to Parquet; the trips Parquet read back.
+def _converted(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Trips and zones CSV folders converted to Parquet.
 
     A second call in a session converts again, over the first call's folder.
     """
@@ -90,7 +92,48 @@ def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.csv_to_parquet(spark, [(trips_csv(spark, sf_dir), trips_pq),
                                  (zones_csv(spark, sf_dir), zones_pq)],
                          schemas={trips_pq: TRIPS, zones_pq: ZONES})
-    return files.read_parquet(spark, trips_pq)
+    return trips_pq, zones_pq
+
+
+def c0_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and zones CSV folders converted to Parquet; the trips Parquet read back."""
+    return files.read_parquet(spark, _converted(spark, sf_dir)[0])
+
+
+def c0_zones_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same conversions; the zones Parquet read back."""
+    return files.read_parquet(spark, _converted(spark, sf_dir)[1])
+
+
+def _mixed(fmt: str) -> Query:
+    """Trips from one folder that holds files of two layouts (S1, S3, S5)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        kind = "parquet" if fmt == "parquet" else "csv"
+        folder = _derived_input(spark, sf_dir, f"mixed_{kind}", lambda p: fixtures.write_mixed_trips(
+            spark, sf_dir, p, kind, _per_file(spark, sf_dir)))
+        read = {"parquet": layouts.read_parquet, "csv": layouts.read_csv, "text": layouts.ingest}[fmt]
+        return read(spark, folder, schema=TRIPS)
+    return run
+
+
+def ingest_quoted_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines with quoted fields, short rows and bad fields parsed to typed rows (S4)."""
+    folder = _derived_input(spark, sf_dir, "quoted", lambda p: fixtures.write_quoted_trips(
+        spark, sf_dir, p, _per_file(spark, sf_dir)))
+    return rawtext.ingest(spark, folder, T.StructType.fromDDL(fixtures.QUOTED_SCHEMA), quoted=True)
+
+
+def trips_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 first trips by time, all columns deciding ties (S11)."""
+    times = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
+    trips = fixtures.trips(spark, sf_dir)
+    return preview(trips, 20, *times, *[c for c in trips.columns if c not in times])
+
+
+def q6_revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 as it is printed: sums with two decimals, labels of at most 12 characters (X12, X13)."""
+    return report(Q.revenue_by_borough(fixtures.trips(spark, sf_dir), fixtures.zones(spark, sf_dir)),
+                  decimals=2, label_width=12)
 
 
 def ingest_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +238,11 @@ QUERIES: dict[str, Query] = {
         lambda s, d: Q.hourly_mean_pickup(fixtures.trips(s, d), keep_null_hour=True),
     "q2_distance_sql": q2_distance_sql,
     "ingest_raw_trips": ingest_raw_trips,
+    "c0_zones_to_parquet": c0_zones_to_parquet,
+    **{f"trips_mixed_layouts_{fmt}": _mixed(fmt) for fmt in ("csv", "text", "parquet")},
+    "ingest_quoted_trips": ingest_quoted_trips,
+    "trips_preview": trips_preview,
+    "q6_revenue_report": q6_revenue_report,
     # Raw-text twins (the reference's text-reading scripts), see plans/raw.py.
     **{key: _raw_query(key) for key in RAW_VARIANTS},
     # The same queries over typed CSV folders (the reference's DataFrame/CSV
@@ -208,6 +256,7 @@ QUERIES: dict[str, Query] = {
 }
 
 # Source variants share the oracle of the query they re-run.
-SAME_RESULT_AS = {k: k[: -len("_csv")] for k in QUERIES if k.endswith("_csv")}
+SAME_RESULT_AS = {k: k[: -len("_csv")] for k in QUERIES if k.startswith("q") and k.endswith("_csv")}
 SAME_RESULT_AS.update({"q4_night_trips_stream": "q4_night_trips_per_vendor",
                        "q6_revenue_by_borough_stream": "q6_revenue_by_borough"})
+SAME_RESULT_AS.update({f"trips_mixed_layouts_{fmt}": "trips_mixed_layouts" for fmt in ("csv", "text", "parquet")})

@@ -21,18 +21,19 @@ from hackney.plans import queries as Q
 from hackney.plans import raw
 from hackney.plans.registry import TRIP_PLANS, ZONE_PLANS
 from hackney.schemas import TRIPS, ZONES
-from hackney.sources import files
+from hackney.sources import files, layouts
 
 QUERIES = sorted([*TRIP_PLANS, *ZONE_PLANS])
 
 
-def read_trips(spark: SparkSession, path: str, fmt: str, query: str, strict: bool = False) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, fmt: str, query: str, strict: bool = False,
+               mixed: bool = False, quoted: bool = False) -> DataFrame:
     if fmt == "parquet":
-        return files.read_parquet(spark, path, schema=TRIPS)
+        return (layouts if mixed else files).read_parquet(spark, path, schema=TRIPS)
     if fmt == "csv":
-        return files.read_csv(spark, path, schema=TRIPS)
+        return (layouts if mixed else files).read_csv(spark, path, schema=TRIPS)
     if fmt == "text":
-        return raw.read_trips(spark, path, query, strict)
+        return raw.read_trips(spark, path, query, strict, mixed, quoted)
     raise ValueError(f"unknown trips format {fmt!r}")
 
 
@@ -43,7 +44,7 @@ def read_zones(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    trips = read_trips(spark, args.trips, args.trips_format, args.query, args.strict)
+    trips = read_trips(spark, args.trips, args.trips_format, args.query, args.strict, args.mixed_layouts, args.quoted)
     if args.query == "q1_hourly_mean_pickup":
         return Q.hourly_mean_pickup(trips, keep_null_hour=args.keep_null_hour)
     if args.query == "q2_longest_trip_per_vendor":
@@ -79,6 +80,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--zones", help="zone lookup files")
     p.add_argument("--zones-format", choices=["parquet", "csv"], default="csv")
     p.add_argument("--strict", action="store_true", help="text: drop rows with any malformed needed field")
+    p.add_argument("--quoted", action="store_true", help="text: fields may stand in double quotes")
+    p.add_argument("--mixed-layouts", action="store_true", help="the trip files differ in columns or their order")
     p.add_argument("--keep-null-hour", action="store_true", help="Q1: keep trips without a time as a group")
     p.add_argument("--ties", choices=["longer", "any"], default="longer", help="Q2: which of equally long trips")
     p.add_argument("--output", help="write the result here as Parquet instead of printing")

@@ -24,12 +24,12 @@ _CSV_OPTIONS = {
 }
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
+def csv_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the header line (Spark reads only the first line)."""
     return spark.read.options(**_CSV_OPTIONS).csv(path).columns
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              infer_schema: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
     """Header-led, quote-aware CSV (S1). One header line per file is skipped.
 

@@ -126,3 +126,62 @@ def write_raw_trips(spark: SparkSession, sf_dir: str, path: str,
               maxRecordsPerFile=str(max_records_per_file or 0))
      .csv(path))
     return path
+
+
+# -- files of two layouts in one folder ------------------------------------------
+# Fixed fixture rules (shared with the DuckDB oracle): even orders are written in
+# the coordinate layout, odd ones in the zone-id layout, whose columns stand in
+# another order, with 64-bit ids and another spelling of the fee.
+OLD_RULE = "l_orderkey % 2 = 0"
+OLD_COLUMNS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_longitude", "pickup_latitude",
+               "dropoff_longitude", "dropoff_latitude", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+               "total_amount"]
+NEW_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID", "DOLocationID", "PULocationID", "total_amount",
+               "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "congestion_surcharge", "airport_fee"]
+
+
+def write_mixed_trips(spark: SparkSession, sf_dir: str, path: str, fmt: str, max_records_per_file: int) -> str:
+    """``trips`` in one folder: files of the coordinate layout and of the zone-id layout (CSV or Parquet)."""
+    keyed = keyed_trips(spark, sf_dir)
+    wide = {"VendorID": "bigint", "DOLocationID": "bigint", "PULocationID": "bigint"}
+    new = [F.col(c).cast(wide.get(c, TRIPS[c].dataType)).alias("Airport_fee" if c == "airport_fee" else c)
+           for c in NEW_COLUMNS]
+    halves = [keyed.where(OLD_RULE).select(*OLD_COLUMNS), keyed.where(f"NOT ({OLD_RULE})").select(*new)]
+    for mode, half in zip(("overwrite", "append"), halves, strict=True):
+        # A TIMESTAMP_NTZ as text has no zone; see write_raw_trips.
+        half = half if fmt == "parquet" else half.withColumns(
+            {c: F.col(c).cast("string") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+        options = {"maxRecordsPerFile": str(max_records_per_file)} | ({} if fmt == "parquet" else {"header": "true"})
+        half.write.mode(mode).options(**options).format(fmt).save(path)
+    return path
+
+
+# -- text with quoted fields -------------------------------------------------------
+# Fixed fixture rules (shared with the DuckDB oracle): lines with a remark, which
+# is quoted in some; bad fields and rows cut short by the rules above.
+QUOTED_COLUMNS = ["VendorID", "remark", "tpep_pickup_datetime", "PULocationID", "fare_amount", "total_amount"]
+QUOTED_SCHEMA = "VendorID INT, remark STRING, tpep_pickup_datetime TIMESTAMP_NTZ, PULocationID INT, fare_amount DOUBLE"
+QUOTED_REMARKS = [("l_orderkey % 5 = 0", """concat('zone ', PULocationID, ', "kerb" side, ', VendorID)"""),
+                  ("l_orderkey % 5 = 1", "concat('paid, twice ', l_linenumber)"),
+                  ("l_orderkey % 5 = 2", "concat('plain ', l_orderkey % 7)")]
+QUOTED_SHORT_FIELDS = 4
+
+
+def write_quoted_trips(spark: SparkSession, sf_dir: str, path: str, max_records_per_file: int) -> str:
+    """Header-led text lines whose remarks, and some fares, stand in double quotes."""
+    quote = lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))
+    remark = F.lit("")
+    for rule, text in QUOTED_REMARKS:
+        remark = F.when(F.expr(rule), quote(F.expr(text))).otherwise(remark)
+    parts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in QUOTED_COLUMNS if c != "remark"}
+    for name in ("tpep_pickup_datetime", "PULocationID", "fare_amount"):
+        rule, bad = RAW_BAD[name]
+        parts[name] = F.when(F.expr(rule), F.lit(bad)).otherwise(parts[name])
+    parts["fare_amount"] = F.when(F.expr("l_linenumber = 3"), quote(parts["fare_amount"])).otherwise(parts["fare_amount"])
+    fields = [remark if c == "remark" else parts[c] for c in QUOTED_COLUMNS]
+    line = (F.when(F.expr(RAW_SHORT_RULE), F.concat_ws(",", *fields[:QUOTED_SHORT_FIELDS]))
+            .otherwise(F.concat_ws(",", *fields)))
+    (keyed_trips(spark, sf_dir).select(line.alias(",".join(QUOTED_COLUMNS))).write.mode("overwrite")
+     .options(header="true", sep="\u0001", quote="", escapeQuotes="false", maxRecordsPerFile=str(max_records_per_file))
+     .csv(path))
+    return path

@@ -18,7 +18,10 @@ a JVM-side expression over ``spark.read.text`` lines (no Python per row):
 
 Fields are located by name through the header, never by fixed position. The
 split is naive: a quoted field keeps its quotes and is cut at a comma inside
-them. Files that quote fields go through ``files.read_csv``.
+them. ``quoted=True`` reads quoted fields with ``from_csv`` instead, under the
+same guard and field parsing; files without rows cut short or bad fields can
+go through ``files.read_csv`` as well. Files whose headers differ go through
+``hackney.sources.layouts``.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import types as T
 TIMESTAMP_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw text lines, one row per line, column ``value`` (S2)."""
     return spark.read.text(path)
 
@@ -72,7 +75,7 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
                 columns: list[str] | None = None, delimiter: str = ",",
                 drop_malformed: bool | Collection[str] = False, absent_as_null: bool = False,
                 optional: Collection[str] = (), min_fields: int = 0,
-                header_text: str | None = None) -> DataFrame:
+                header_text: str | None = None, quoted: bool = False) -> DataFrame:
     """Typed rows for ``columns`` (default: all of ``schema``) from raw lines.
 
     ``header`` gives the field names in file order; ``columns`` resolve against
@@ -82,6 +85,7 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     the ``optional`` ones, are dropped. A requested column the header lacks is
     an error, or a NULL column with ``absent_as_null`` (a file of another
     layout). ``drop_malformed`` tests all requested columns, or those named.
+    ``quoted`` reads fields in double quotes (see :func:`quoted_fields`).
     """
     columns = list(columns or schema.fieldNames())
     position = {name.lower(): i for i, name in enumerate(header)}
@@ -97,7 +101,8 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     # Split off only the fields in question: with this limit everything after
     # them stays in one trailing element, so unused fields are never copied.
     width = max(needed, *(i + 1 for i in pos.values()))
-    fields = F.split(F.col("value"), _regex_literal(delimiter), width + 1)
+    value = F.col("value")
+    fields = quoted_fields(value, delimiter, width) if quoted else F.split(value, _regex_literal(delimiter), width + 1)
     rows = (drop_header(lines, header_text if header_text is not None else delimiter.join(header))
             .select(_once(fields, "_f")).where(F.size("_f") >= needed))
     text = {c: F.get(F.col("_f"), i) for c, i in pos.items()}
@@ -113,6 +118,26 @@ def parse_lines(lines: DataFrame, header: list[str], schema: T.StructType,
     return rows.select(F.inline(F.array(row))).where(~F.col("__malformed")).drop("__malformed")
 
 
+def quoted_fields(line: Column, delimiter: str, width: int) -> Column:
+    """The first ``width`` fields of a line, unquoted; an array as long as the line has fields (at most ``width``).
+
+    A delimiter between double quotes belongs to its field, and two double
+    quotes there are one. ``from_csv`` does the reading; how many fields there
+    are (it gives NULL for an absent field as for an empty one) is the number of
+    delimiters outside quotes. Empty fields are empty, and a quote that is not
+    closed ends with its line: a field has no line feed.
+    """
+    schema = ", ".join(f"f{i} STRING" for i in range(width))
+    row = F.from_csv(line, schema, {"sep": delimiter, "escape": '"', "maxCharsPerColumn": "-1", "emptyValue": "",
+                                    "maxColumns": str(max(20480, width))})
+    # Quotes count at the start of a field; possessive, so that no long field costs stack.
+    sep = _regex_literal(delimiter)
+    outside = F.regexp_replace(line, f'(^|{sep})"[^"]*+(?:""[^"]*+)*+(?:"|$)', "$1")
+    count = F.octet_length(outside) - F.octet_length(F.replace(outside, F.lit(delimiter), F.lit(""))) + F.lit(len(delimiter))
+    texts = F.transform(F.array(*[row[f"f{i}"] for i in range(width)]), lambda x: F.coalesce(x, F.lit("")))
+    return F.slice(texts, F.lit(1), F.least(F.floor(count / len(delimiter)).cast("int"), F.lit(width)))
+
+
 def _once(value: Column, name: str) -> Column:
     """``value`` as the only row of a generator, through which no filter is pushed.
 
@@ -125,12 +150,12 @@ def _once(value: Column, name: str) -> Column:
 def ingest(spark: SparkSession, path: str, schema: T.StructType,
            columns: list[str] | None = None, delimiter: str = ",",
            drop_malformed: bool | Collection[str] = False, absent_as_null: bool = False,
-           optional: Collection[str] = (), min_fields: int = 0) -> DataFrame:
+           optional: Collection[str] = (), min_fields: int = 0, quoted: bool = False) -> DataFrame:
     """Read and parse a folder of header-led delimited text files; the header is their first line."""
     line = header_line(spark, path)
     return parse_lines(read_lines(spark, path), header_names(line, delimiter), schema, columns=columns,
                        delimiter=delimiter, drop_malformed=drop_malformed, absent_as_null=absent_as_null,
-                       optional=optional, min_fields=min_fields, header_text=line)
+                       optional=optional, min_fields=min_fields, header_text=line, quoted=quoted)
 
 
 def _regex_literal(delimiter: str) -> str:
