@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import htmltext, langid, linededup, minhash, packing, sharding, spcodec, sphericalcaps, tokencount, topk
+from hackney.llm import (alignment, htmltext, langid, linededup, minhash, packing, secrets, sharding, spcodec, sphericalcaps,
+                         tokencount, topk, wordruns)
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER),
+                             public_tokenizers.path(PIECE_MODEL))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordruns.collapse(read(spark, sf_dir, "documents"), prepare=wordruns.planted)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
@@ -71,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -32,14 +32,14 @@ CACHED_CHARS = 48
 _UNPROVEN = re.compile("[^\x00-ɏ]|[\x1c-\x1f]|İ")
 
 
-def _byte_chars() -> dict[int, str]:
+def byte_chars() -> dict[int, str]:
     """Byte value -> the printable character byte-level models use for it."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(shown)]
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_LATIN1 = {b: c for b, c in _byte_chars().items()}
+_LATIN1 = {b: c for b, c in byte_chars().items()}
 
 
 def byte_level(word: str) -> str:
