@@ -8,21 +8,29 @@ that has fewer than 128; ``edits`` puts one number in place of this for lines of
 any length. A line is compared with every earlier one, whether or not that one
 stays, so the result does not depend on an order of work.
 
-Equal lines are merged first, with map-side combine, so a line that stands in a
-third of all documents is one row of the join. For one number of edits (lines
-of fewer than 128 characters, or any with ``edits``) the join splits a line into
-``edits + 1`` segments: of two lines within ``edits`` edits, one segment of the
-shorter (or either, if equally long) stands unchanged in the longer, at a
-place that the edits before and after it allow. So lines are indexed by the hash
-of length, segment number and segment, and probe with the substrings at those
-places. For E >= 2 edits blocks of 32 characters take the place of the segments,
-h + 1 from the start of the line and as many from its end, where h is half of E:
-one half of the shorter line has at most h edits, and so a block k unchanged of
-which k edits are on the way to that half's end. From 1024
-characters on, where those places grow with the square of the length, lines meet
-by the least hash in each window of 32 successive 28-grams instead: E edits leave
-a run of 59 characters unchanged, and with it a whole window. No pair is missed by
-either. Keys of lines of 128 characters and more hold the line's length class too.
+Equal lines are merged first by a 128-bit hash, with map-side combine and without
+their texts, so a line that stands in a third of all documents is one row. For one
+number of edits (lines of fewer than 128 characters, or any with ``edits``) the join
+splits a line into ``edits + 1`` segments: of two lines within ``edits`` edits, one
+segment of the shorter (or either, if equally long) stands unchanged in the longer, at
+a place that the edits before and after it allow. So a line has as keys the hashes of
+length, segment number and segment, and of the substrings at those places. For E >= 2
+edits blocks of 32 characters take the place of the segments, h + 1 from the start of
+the line and as many from its end, where h is half of E: one half of the shorter line
+has at most h edits, and so a block k unchanged before which (from that end) at most k
+edits are. Such a block stands at most k characters off in the other line. Both lines
+take substrings of a block at the marks of a sparse ruler, of which two are any
+distance up to k apart, so that a pair of marks meets; each substring ends within its
+block. Blocks have 32 characters, and 56 from lines of 1024 on. From 4096 characters on
+lines meet by the least hash in each window of 32 successive 28-grams instead: E edits
+leave a run of 59 characters unchanged, and with it a whole window. No pair is missed by
+either.
+
+Keys are made where the texts are read, twice, and never stored. The first time only
+(key, line hash) is grouped by key, for the keys that two different lines hold; most
+keys end there. The second time the lines of those keys are listed. Keys of more than
+``CHUNK`` lines are dealt out: their lines fall in parts of about that size, and each
+pair of parts is a unit of its own in the join, so that no task has a whole key.
 
 The join's condition also compares the lines' lengths and their counts of ten
 letters, which E edits change by at most 2 E in sum; so variants of a line that
@@ -53,17 +61,22 @@ from hackney.llm.common import materialise
 MIN_CHARS = 16
 PER_EDIT = 64  # characters for which one edit is allowed
 BROADCAST_LINES = 1_000_000  # hashes of 8 bytes
+CHUNK = 512  # lines of a part of a crowded key
 
 # Fixed value: the letters whose counts are compared, six bits each.
 LETTERS = "etaionrshd"
 
-# Follow from PER_EDIT: from SEVERAL characters on 2 edits are allowed and more, and BLOCK * (E // 2 + 1) <= 32 E;
-# from LONG on 16 and more, which leave a run of GRAM + WINDOW - 1 <= 63 E / (E + 1) characters.
+# Follow from PER_EDIT: from SEVERAL characters on 2 edits are allowed and more. The h + 1 blocks from an end of a
+# line with E edits, h half of E, lie in its half: BLOCK * (h + 1) <= 32 E, from WIDE characters on WIDE_BLOCK * (h + 1) <= 32 E.
+# From LONG on E edits leave a run of GRAM + WINDOW - 1 <= 63 E / (E + 1) characters.
 SEVERAL = 2 * PER_EDIT
-BLOCK = 32
-LONG = 1024
+BLOCK, WIDE, WIDE_BLOCK = 32, 1024, 56
+LONG = 4096
+# Sparse rulers: any distance up to the last mark is one of two marks.
+RULERS = ((0,), (0, 1), (0, 1, 3), (0, 1, 4, 6), (0, 1, 2, 6, 9), (0, 1, 2, 6, 10, 13), (0, 1, 2, 3, 8, 13, 17),
+          (0, 1, 2, 11, 15, 18, 21, 23), (0, 1, 2, 14, 18, 21, 24, 27, 29), (0, 1, 3, 6, 13, 20, 27, 31, 35, 36))
 GRAM, WINDOW = 28, 32
-PART = 256  # positions that are cut out of a long line at once
+PART = 64  # positions that are cut out of a long line at once
 
 _LAST_ID = 2 ** 63 - 1
 
@@ -85,41 +98,40 @@ def allowed(chars: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(chars / PER_EDIT).cast("int"))
 
 
-def length_class(chars: Column) -> Column:
-    """The leading three bits of a length and how many follow; 0 below SEVERAL.
-
-    A class is at least an eighth of its lengths wide, so the lengths from
-    ``chars - allowed(chars)`` to ``chars`` are of two classes at most.
-    """
-    bits = F.length(F.bin(chars.cast("long")))
-    lead = F.floor(chars / F.pow(F.lit(2.0), bits - 3)).cast("int")
-    return F.when(chars < SEVERAL, 0).otherwise(bits * 8 + lead)
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once, not at each use in a lambda."""
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _blocks(line: Column, chars: Column, k: Column, shift: Column) -> Column:
-    """Block ``k`` from the start and from the end, ``shift`` characters off."""
-    return F.array(F.xxhash64(k, F.substring(line, k * BLOCK + shift + 1, F.lit(BLOCK))),
-                   F.xxhash64(-1 - k, F.substring(line, chars - (k + 1) * BLOCK - shift + 1, F.lit(BLOCK))))
+def ruler(k: int) -> tuple[int, ...]:
+    """The marks for distances up to ``k``."""
+    return next(marks for marks in RULERS if marks[-1] >= k)
 
 
-def _half(chars: Column) -> Column:
-    return F.sequence(F.lit(0), F.floor(allowed(chars) / 2).cast("int"))
+def _last(longest: int) -> int:
+    """The last block of lines that can be near one of fewer than ``longest`` characters."""
+    return (longest + longest // PER_EDIT) // PER_EDIT // 2
 
 
-def block_keys(line: Column, chars: Column) -> Column:
-    """The keys of a line's own blocks."""
-    return F.flatten(F.transform(_half(chars), lambda k: _blocks(line, chars, k, F.lit(0))))
+def block_keys(line: Column, chars: Column, size: int, longest: int) -> Column:
+    """The keys of the blocks of ``size`` characters from both ends of a line, where the shorter of two
+    lines that are near has fewer than ``longest``."""
+    last = _last(longest)
+    marks = F.array(*[F.array(*map(F.lit, ruler(k))) for k in range(last + 1)])
+    sizes = F.array(*[F.lit(size - ruler(k)[-1]) for k in range(last + 1)])
+    half = F.floor(allowed(chars) / 2).cast("int")
 
+    def of_end(blocks: Column, sign: int) -> Column:
+        # A block is cut out once, and its substrings out of it.
+        return F.flatten(F.transform(blocks, lambda block, k: F.transform(
+            F.get(marks, k), lambda mark: F.xxhash64(sign * (k + 1), F.substring(block, mark + 1, F.get(sizes, k))))))
 
-def block_probes(line: Column, chars: Column) -> Column:
-    """The keys of the places at which a block of a line of the same or a lesser length can stand."""
-    return F.array_distinct(F.flatten(F.transform(_half(chars), lambda k: F.flatten(
-        F.transform(F.sequence(-k, k), lambda s: _blocks(line, chars, k, s))))))
+    def cut(k: Column, at: Column) -> Column:
+        return F.substring(line, at, F.lit(size))
+
+    first = F.transform(F.sequence(F.lit(0), half), lambda k: cut(k, k * size + 1))
+    final = F.transform(F.sequence(F.lit(0), half), lambda k: cut(k, chars - (k + 1) * size + 1))
+    return F.concat(of_end(first, 1), of_end(final, -1))
 
 
 def gram_keys(line: Column, chars: Column) -> Column:
@@ -132,32 +144,19 @@ def gram_keys(line: Column, chars: Column) -> Column:
             F.sequence(F.lit(1), F.least(F.lit(PART), last - at + 1)), lambda i: F.xxhash64(F.substring(text, i, F.lit(GRAM)))))
 
     def least(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1))
-        return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(hashes, i, F.lit(WINDOW)))))
+        quarter = WINDOW // 4
+        quarters = F.transform(F.sequence(F.lit(1), F.size(hashes) - (quarter - 1)),
+                               lambda i: F.array_min(F.slice(hashes, i, F.lit(quarter))))
+        return _let(quarters, lambda m: F.array_distinct(F.transform(
+            F.sequence(F.lit(0), F.size(m) - 3 * quarter - 1),
+            lambda i: F.least(*[F.get(m, i + n * quarter) for n in range(4)]))))
 
     return _let(F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(PART)), part)), least)
 
 
-def line_keys(line: Column, chars: Column, edits: int | None, min_chars: int) -> tuple[Column, Column, Column]:
-    """The keys a line is indexed under, those it probes with (NULLs among them), and those it does both with."""
-    none = F.array().cast("array<bigint>")
-    when = lambda on, keys: F.when((chars >= min_chars) & on, keys).otherwise(none)
-    if edits is not None:
-        every = F.lit(True)
-        return when(every, index_keys(line, chars, edits)), when(every, probe_keys(line, chars, edits, min_chars)), none
-    own = F.when(chars < SEVERAL, index_keys(line, chars, 1)).otherwise(block_keys(line, chars))
-    met = [when(chars <= SEVERAL, probe_keys(line, chars, 1, min_chars, SEVERAL)),
-           when((chars >= SEVERAL) & (chars - allowed(chars) < LONG), block_probes(line, chars))]
-    return when(chars < LONG, own), F.concat(*met), when(chars >= LONG, gram_keys(line, chars))
-
-
-def index_keys(line: Column, chars: Column, edits: int) -> Column:
-    """The keys of a line's own segments."""
-    return F.array(*[_key(chars, k, line, *segment(chars, edits + 1, k)) for k in range(edits + 1)])
-
-
-def probe_keys(line: Column, chars: Column, edits: int, min_chars: int, below: int | None = None) -> Column:
-    """The keys under which lines of the same or a lesser length (less than ``below``) can find this one."""
+def segment_keys(line: Column, chars: Column, edits: int, min_chars: int, below: int | None = None) -> list[Column]:
+    """The keys of a line's own segments, and those under which lines of a lesser length (less than
+    ``below``) can find it; NULL where a place is outside the line."""
     found = []
     for less in range(edits + 1):
         length = chars - less
@@ -171,7 +170,7 @@ def probe_keys(line: Column, chars: Column, edits: int, min_chars: int, below: i
                 if below is not None:
                     inside = inside & (length < below)
                 found.append(F.when(inside, _key(length, k, line, at, size)))
-    return F.array(*found)  # NULL where a place is outside the line
+    return found
 
 
 def letter_counts(line: Column) -> Column:
@@ -243,33 +242,63 @@ def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"))
 
 
-def _near_lines(lines: DataFrame, firsts: DataFrame, edits: int | None) -> DataFrame:
+def _keys(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
+    """key, lid1: the keys of all lines; lines that occur again have them again."""
+    rows = lines.select("lid1", "line", F.length("line").alias("chars")).where(F.col("chars") >= min_chars)
+    line, chars = F.col("line"), F.col("chars")
+    if edits is not None:
+        found = F.array(*segment_keys(line, chars, edits, min_chars))
+        return rows.select("lid1", F.explode(found).alias("key")).where(F.col("key").isNotNull())
+    below = lambda bound: chars - allowed(chars) < bound  # noqa: E731 - can be near a line of fewer characters
+    short = F.array(*segment_keys(line, chars, 1, min_chars, SEVERAL))
+    none = F.array().cast("array<bigint>")
+    found = F.concat(F.when(chars <= SEVERAL, short).otherwise(none),
+                     F.when((chars >= SEVERAL) & below(WIDE), block_keys(line, chars, BLOCK, WIDE)).otherwise(none),
+                     F.when((chars >= WIDE) & below(LONG), block_keys(line, chars, WIDE_BLOCK, LONG)).otherwise(none),
+                     F.when(chars >= LONG, gram_keys(line, chars)).otherwise(none))
+    return rows.select("lid1", F.explode(found).alias("key")).where(F.col("key").isNotNull())
+
+
+def _broadcast(rows: DataFrame, bound: int) -> DataFrame:
+    """A written table as the small side of a join: broadcast for a checked number of rows, by shuffle beyond."""
+    return F.broadcast(rows) if rows.count() <= bound else rows
+
+
+def _pairs(members: DataFrame, edits: int | None) -> DataFrame:
+    """The pairs (a, b), each once, of lines that share a key and may be near by length and letters."""
+    crowded = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    crowded = materialise(crowded.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "crowded")
+    dealt = members.join(_broadcast(crowded, BROADCAST_LINES), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
+    # A unit is two parts of a key, or a part with itself; a line is on the left in some units and on the right in others.
+    left = dealt.select("key", F.col("part").alias("u"), F.explode(F.expr("sequence(part, parts - 1)")).alias("v"),
+                        F.col("lid1").alias("a"), F.col("letters").alias("la"), F.col("chars").alias("na"))
+    right = dealt.select("key", F.explode(F.expr("sequence(0, part)")).alias("u"), F.col("part").alias("v"),
+                         F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"))
+    shorter = F.least(F.col("na"), F.col("nb"))
+    least = F.lit(edits) if edits is not None else allowed(shorter)
+    met = left.join(right, ["key", "u", "v"]).where(
+        ((F.col("u") < F.col("v")) | (F.col("a") < F.col("b"))) & (F.abs(F.col("na") - F.col("nb")) <= least)
+        & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     """lid1, lid2 of the distinct lines that an earlier line is near."""
-    least = lambda a, b: F.lit(edits) if edits is not None else allowed(F.least(a, b))
-    # A key and a length class are one hash; a line probes with its own class and that of the shortest line near it.
-    classed = lambda key, kind: F.xxhash64(key, kind).alias("key")
-    own = F.lit(0) if edits is not None else length_class(F.col("chars"))
-    low = F.lit(0) if edits is not None else length_class(F.col("chars") - allowed(F.col("chars")))
-    index = firsts.select(F.explode(F.concat("index_keys", "both_keys")).alias("key"), own.alias("kind"), F.col("lid1").alias("a"),
-                          F.col("letters").alias("la"), F.col("chars").alias("na"))
-    index = index.select(classed("key", "kind"), "a", "la", "na")
-    probe = firsts.select(F.explode(F.concat("probe_keys", "both_keys")).alias("key"), F.array_distinct(F.array(own, low)).alias("kinds"),
-                          F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"))
-    probe = probe.where(F.col("key").isNotNull()).select("key", F.explode("kinds").alias("kind"), "b", "lb", "nb")
-    probe = probe.select(classed("key", "kind"), "b", "lb", "nb")
-    met = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b"))
-                     & (F.abs(F.col("na") - F.col("nb")) <= least(F.col("na"), F.col("nb")))
-                     & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least(F.col("na"), F.col("nb"))))
-    pairs = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    named = pairs.select(F.col("a").alias("lid1")).union(pairs.select(F.col("b").alias("lid1"))).distinct()
-    named = materialise(named, "ids")
-    if named.count() <= BROADCAST_LINES:  # a checked size; else by shuffle, with the same result
-        named = F.broadcast(named)
+    keys = _keys(lines, edits, min_chars)
+    shared = keys.groupBy("key").agg(F.min("lid1").alias("least"), F.max("lid1").alias("most"))
+    shared = materialise(shared.where(F.col("least") < F.col("most")).select("key"), "shared")
+    members = materialise(keys.join(_broadcast(shared, BROADCAST_LINES), "key").select("key", "lid1").distinct(), "members")
+    named = materialise(members.select("lid1").distinct(), "ids")
     by_letter = F.lit(True) if edits is not None else F.length("line") <= SEVERAL
-    texts = (lines.join(named, "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
-             .select("place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
-                     F.when(by_letter, F.split("line", "")).alias("chars")))
+    texts = lines.join(_broadcast(named, BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
+    texts = texts.select(
+        "place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
+        F.length("line").alias("n"), letter_counts(F.col("line")).alias("letters"),
+        F.when(by_letter, F.split("line", "")).alias("chars"))
     texts = materialise(texts, "texts")
+    sized = members.join(texts.select("lid1", "letters", F.col("n").alias("chars")).distinct(), "lid1")
+    pairs = materialise(_pairs(materialise(sized, "sized"), edits), "pairs")
     sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line", "chars")])
              for s in ("a", "b")]
     near = within(F.col("chars_a"), F.col("chars_b"), 1 if edits is None else edits)
@@ -286,17 +315,13 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min
     """k1, k2 and the line numbers that go, in order, of each document that loses lines."""
     lines = _lines(_documents(docs, id_col, text_col), id_col, text_col)
     lines = lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
-    own, met, both = line_keys(F.col("line"), F.col("chars"), edits, min_chars)
-    # The length comes out of the aggregate, so that no key counts the characters again.
     # The owner settles which document's line stays should places be the same.
-    firsts = lines.groupBy("line").agg(F.min("place").alias("first"), F.min_by("k1", "place").alias("owner"),
-                                       F.max(F.length("line")).alias("chars")).select(
-        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"), "first", "owner", "chars",
-        F.when(F.col("chars") >= min_chars, letter_counts(F.col("line"))).alias("letters"),
-        own.alias("index_keys"), met.alias("probe_keys"), both.alias("both_keys"))
-    firsts = materialise(firsts, "lines")
-    near = materialise(_near_lines(lines, firsts, edits).withColumn("near", F.lit(True)), "near")
-    known = firsts.select("lid1", "lid2", "first", "owner").join(near, ["lid1", "lid2"], "left")
+    firsts = lines.groupBy("lid1", "lid2").agg(
+        F.min("place").alias("first"), F.min_by("k1", "place").alias("owner"), F.count("*").alias("n"))
+    near = materialise(_near_lines(lines, edits, min_chars).withColumn("near", F.lit(True)), "near")
+    # Of a line that occurs once and is near no other nothing goes.
+    known = firsts.join(near, ["lid1", "lid2"], "left").where(F.col("near").isNotNull() | (F.col("n") > 1))
+    known = _broadcast(materialise(known.drop("n"), "known"), BROADCAST_LINES)
     gone = (lines.select("k1", "k2", "line_no", "place", "lid1", "lid2").join(known, ["lid1", "lid2"])
             .where(F.col("near").isNotNull() | (F.col("place") > F.col("first")) | (F.col("k1") != F.col("owner"))))
     return gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))

@@ -93,7 +93,7 @@ def _variants():
     r = rng(8)
     lines = []
     for n in [20, 64, 126, 127, 128, 129, 130, 191, 192, 200, 256, 300, 319, 400, 640, 1000, 1010, 1023, 1024, 1025, 1039, 1040,
-              1041, 1100, 2000]:
+              1041, 1100, 2000, 4030, 4095, 4096, 4160, 4161, 4500]:
         for _ in range(2):
             line = prose(r, n)[:n]
             most = max(1, n // 64)
@@ -148,3 +148,42 @@ def test_one_occurrence_stays_where_ids_tie(spark):
         None: [[], [0]], 7: [[], [0]], -2 ** 63: [[]], 2 ** 63 - 1: [[], [0]]}
     kept = "\n".join(r.text for r in L.clean(documents(spark, rows)).collect()).split("\n")
     assert kept.count(header) == kept.count("a shared line of number seven") == 1
+
+
+def test_rulers_measure_every_distance():
+    for marks in L.RULERS:
+        found = {abs(a - b) for a in marks for b in marks}
+        assert found == set(range(marks[-1] + 1))
+    for size, least, longest in ((L.BLOCK, L.SEVERAL, L.WIDE), (L.WIDE_BLOCK, L.WIDE, L.LONG)):
+        last = L._last(longest)
+        assert size - L.ruler(last)[-1] >= 20  # what is hashed of a block
+        for n in range(least, longest):
+            half = n // L.PER_EDIT // 2
+            assert half <= last and size * (half + 1) <= n // 2
+        longer = max(n for n in range(longest, 2 * longest) if n - n // L.PER_EDIT < longest)
+        assert longer // L.PER_EDIT // 2 <= last
+    edits = range(L.LONG // L.PER_EDIT, 10_000)
+    assert all(L.GRAM + L.WINDOW - 1 <= 63 * e // (e + 1) for e in edits)
+
+
+def test_a_crowded_key_is_dealt_out(spark, monkeypatch):
+    """Different lines that share half of them, many to a key: every near pair is met, in parts."""
+    monkeypatch.setattr(L, "CHUNK", 7)
+    r = rng(10)
+    head = prose(r, 40)[:46]
+    tails = [prose(r, 20)[:37] for _ in range(60)]
+    lines = [head + t for t in tails] + [head + mutate(t, 1, r) for t in tails[:25]] + [head + mutate(t, 3, r) for t in tails[:10]]
+    first = list(dict.fromkeys(lines))
+    near = {b for j, b in enumerate(first) for a in first[:j] if levenshtein(a, b) <= _allowed(a, b)}
+    got = L.dropped_lines(documents(spark, [(i, x) for i, x in enumerate(lines)])).orderBy("doc_id").collect()
+    assert len(near) >= 20
+    assert [x.n_dropped for x in got] == [int(x in near or lines.index(x) != n) for n, x in enumerate(lines)]
+
+
+def test_thousands_of_lines_share_a_half(spark):
+    r = rng(11)
+    head = "https://host.example/path/with/one/long/start/"
+    lines = [head + "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(37)) for _ in range(8000)]
+    lines[7000] = lines[5][:60] + "é" + lines[5][61:]
+    got = L.dropped_lines(documents(spark, [(n, "\n".join(lines[n::100])) for n in range(100)]))
+    assert {(r.doc_id, tuple(r.dropped)) for r in got.where("n_dropped > 0").collect()} == {(5, (0,))}
