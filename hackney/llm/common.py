@@ -9,7 +9,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 import hackney
 from hackney.session import scratch_path, table_path
@@ -34,6 +35,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, keys: list[str], value_col: str, size: int, group_col: str | None = None) -> DataFrame:
+    """At most ``size`` rows (group, value) a group: the distinct ``keys`` of the least hashes.
+
+    Rows equal in group and ``keys`` count once, so repeated ids or rows neither
+    fill nor empty the sample; rows with a NULL group or value take no part. A first
+    pass shuffles hashes alone, of which a task sends ``size`` a group on to the
+    ranking; one number a group reaches the driver. Values are shuffled for the
+    sample only.
+    """
+    group = F.col(group_col).cast("string") if group_col else F.lit("")
+    rows = rows.where(F.col(value_col).isNotNull()).select(
+        group.alias("group"), F.col(value_col).alias("value"), F.xxhash64(F.lit("sample"), *keys).alias("place"))
+    rows = rows.where(F.col("group").isNotNull())
+    order = Window.partitionBy("group").orderBy("place")
+    ends = {r["group"]: r["end"] for r in rows.select("group", "place").distinct()
+            .withColumn("n", F.row_number().over(order)).where(F.col("n") <= size)
+            .groupBy("group").agg(F.max("place").alias("end")).collect()}
+    if not ends:
+        return rows.select("group", "value").limit(0)
+    end = F.create_map(*[F.lit(x) for pair in sorted(ends.items()) for x in pair])
+    return (rows.where(F.col("place") <= F.element_at(end, F.col("group")))
+            .groupBy("group", "place").agg(F.min("value").alias("value")).select("group", "value"))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let the Python workers of ``spark`` import this package.
 

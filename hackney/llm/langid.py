@@ -7,8 +7,8 @@ ranks, or ``size`` if the language's profile lacks it; the language with the
 least sum is predicted, ties to the language first in order.
 
 Profiles are learned from a bounded sample of labelled documents: each
-language gives ``per_language`` of them in expectation (chosen by a hash of
-their id, each taken whole; a language with fewer gives all). What reaches the
+language gives at most ``per_language`` distinct pairs of id and text (those of
+the least hashes, each taken whole; a language with fewer gives all). What reaches the
 driver is ``size`` n-grams a language. Predictions use whole texts.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score
@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hackney.llm.common import bounded_sample, ship_package
+
 PROFILE_SIZE = 400
 DOCS_PER_LANGUAGE = 2000
 UNDETERMINED = "und"
 
 _BITS = 21  # a code point; three fit in a long
 _BLANK = 32
-_LEAST_HASH, _HASHES = -(2 ** 63), 2.0 ** 64
 
 Profiles = dict[str, tuple[np.ndarray, np.ndarray]]  # language -> codes in order, the rank of each
 
@@ -76,17 +77,9 @@ def held_out(id_col: str) -> Column:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           size: int = PROFILE_SIZE, per_language: int = DOCS_PER_LANGUAGE) -> Profiles:
     """The profile of every language that occurs in ``docs`` (labelled rows only are used)."""
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    # One number a language: languages are few whatever the documents.
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("lang"))
-              .agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
-                           for x in (lang, min(1.0, per_language / n))])
-    place = (F.xxhash64(id_col, F.lit("sample")).cast("double") - _LEAST_HASH) / _HASHES
-    sample = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                             place.alias("place")).where(F.col("place") < F.element_at(share, F.col("lang")))
+    ship_package(docs.sparkSession)
+    sample = (bounded_sample(docs, [id_col, text_col], text_col, per_language, lang_col)
+              .select(F.col("group").alias("lang"), F.col("value").alias("text")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,6 +120,7 @@ def distances(text: str, profiles: Profiles, size: int) -> np.ndarray | None:
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text",
              size: int = PROFILE_SIZE, keep: tuple[str, ...] = ()) -> DataFrame:
     """The id (and the columns of ``keep``) of every document with lang_pred and score."""
+    ship_package(docs.sparkSession)
     names = list(profiles)
     model = docs.sparkSession.sparkContext.broadcast(profiles)
 

@@ -1,5 +1,7 @@
 import zlib
 
+import pytest
+
 from hackney.llm import langid
 from hackney.llm.registry import QUERIES
 from tests.llm.helpers import documents
@@ -62,3 +64,15 @@ def test_cases(spark):
     assert all(r.lang_pred == "und" and r.score == 0 for r in langid.identify(docs, {}).collect())
     empty = documents(spark, [])
     assert langid.learn(empty) == {} and langid.identify(empty, {}).count() == 0
+
+
+@pytest.mark.parametrize("number", [None, 0, 3])
+def test_documents_that_share_an_id_teach(spark, number):
+    """The sample is drawn by id and text, at most ``per_language`` distinct ones, whatever the ids."""
+    rows = [(number, f"the house and the garden {i}", "en") for i in range(60)]
+    rows += [(number, f"das haus und der garten {i}", "de") for i in range(60)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = langid.learn(docs, per_language=20)
+    assert sorted(profiles) == ["de", "en"]
+    got = langid.identify(docs, profiles, keep=("lang",)).collect()
+    assert len(got) == 240 and all(r.lang_pred == r.lang for r in got)
