@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import (alignment, htmltext, langid, linededup, minhash, packing, secrets, sharding, spcodec, sphericalcaps,
-                         tokencount, topk, wordruns)
+from hackney.llm import (alignment, htmltext, langid, linededup, minhash, oracle, packing, secrets, sharding, spcodec,
+                         sphericalcaps, tokencount, topk, wordruns)
 from hackney.llm.common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -93,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": sharding.oracle("doc_id", "documents", sharding.SHARDS, sharding.TABLE_SIZE),
+    "op3_no_random_access_topk": oracle.TOP_K,
+    "op6_spherical_caps": oracle.SPHERICAL_CAPS,
+    "op7_superminhash": oracle.SUPERMINHASH,
 }

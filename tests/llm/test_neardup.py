@@ -20,6 +20,18 @@ def test_components_equal_union_find(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("nodes", [3, 40, 500_000])
+def test_components_with_hubs(spark, monkeypatch, nodes):
+    """A hub whose pairs meet it by broadcast, and others by shuffle, as beyond the bound on nodes."""
+    monkeypatch.setattr("hackney.llm.components.BROADCAST_NODES", nodes)
+    r = rng(11)
+    links = [(500, i) for i in range(0, 400, 2)] + [(r.randrange(600, 900), r.randrange(600, 900)) for _ in range(150)]
+    links += [(i, i + 1) for i in range(901, 930)] + [(500, 500), (2, 500), (500, 2)]
+    got = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = pairs_to_components({n for link in links for n in link}, links)
+    assert got == {n: c for n, c in want.items() if n != c}
+
+
 # -- vectors ------------------------------------------------------------------
 
 def _brute_vectors(vectors, cosine=0.95):
