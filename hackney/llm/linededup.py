@@ -22,9 +22,9 @@ edits are. Such a block stands at most k characters off in the other line. Both
 take substrings of a block at the marks of a sparse ruler, of which two are any
 distance up to k apart, so that a pair of marks meets; each substring ends within its
 block. Blocks have 32 characters, and 56 from lines of 1024 on. From 4096 characters on
-lines meet by the least hash in each window of 32 successive 28-grams instead: E edits
-leave a run of 59 characters unchanged, and with it a whole window. No pair is missed by
-either.
+lines meet by the 28-grams at the places whose number modulo 31 is one of six, of which
+two are any number apart: E edits leave a run of 58 characters unchanged, and in it,
+whatever its shift, a gram that both lines take. No pair is missed by either.
 
 Keys are made where the texts are read, twice, and never stored. The first time only
 (key, line hash) is grouped by key, for the keys that two different lines hold; most
@@ -32,12 +32,14 @@ keys end there. The second time the lines of those keys are listed. Keys of more
 ``CHUNK`` lines are dealt out: their lines fall in parts of about that size, and each
 pair of parts is a unit of its own in the join, so that no task has a whole key.
 
-The join's condition also compares the lines' lengths and their counts of ten
-letters, which E edits change by at most 2 E in sum; so variants of a line that
-share a key but differ more are not listed as pairs. Pairs for one number of edits
-are verified by a banded bit-parallel automaton: register e holds, a bit for each
-diagonal of the band, what e edits reach. Its band is fixed in the plan, so pairs
-whose edits follow their length go through Spark's own banded ``levenshtein``.
+The join's condition also compares the lines' lengths, their counts of ten
+letters, which E edits change by at most 2 E in sum, and for one edit their signatures,
+which bound the characters that both have at the start and at the end (all but one);
+so variants of a line that share a key but differ more are not listed as pairs. Pairs
+for one number of edits are verified by a banded bit-parallel automaton: register e
+holds, a bit for each diagonal of the band, what e edits reach. Its band is fixed in
+the plan, so pairs whose edits follow their length go through Spark's own banded
+``levenshtein``.
 
 Defined cases: NULL texts have no lines and stay NULL; blank lines are never
 compared and stay; lines shorter than ``min_chars`` are compared exactly only;
@@ -68,15 +70,17 @@ LETTERS = "etaionrshd"
 
 # Follow from PER_EDIT: from SEVERAL characters on 2 edits are allowed and more. The h + 1 blocks from an end of a
 # line with E edits, h half of E, lie in its half: BLOCK * (h + 1) <= 32 E, from WIDE characters on WIDE_BLOCK * (h + 1) <= 32 E.
-# From LONG on E edits leave a run of GRAM + WINDOW - 1 <= 63 E / (E + 1) characters.
+# From LONG on E edits leave a run of PERIOD + GRAM - 1 <= 63 E / (E + 1) characters.
 SEVERAL = 2 * PER_EDIT
 BLOCK, WIDE, WIDE_BLOCK = 32, 1024, 56
 LONG = 4096
 # Sparse rulers: any distance up to the last mark is one of two marks.
 RULERS = ((0,), (0, 1), (0, 1, 3), (0, 1, 4, 6), (0, 1, 2, 6, 9), (0, 1, 2, 6, 10, 13), (0, 1, 2, 3, 8, 13, 17),
           (0, 1, 2, 11, 15, 18, 21, 23), (0, 1, 2, 14, 18, 21, 24, 27, 29), (0, 1, 3, 6, 13, 20, 27, 31, 35, 36))
-GRAM, WINDOW = 28, 32
-PART = 64  # positions that are cut out of a long line at once
+# Residues modulo 31 of which two are any number apart (a perfect difference set); PERIOD + GRAM - 1 characters hold them all.
+COVER, PERIOD, GRAM = (0, 1, 3, 8, 12, 18), 31, 28
+BLANKS = " \t\r\f\v"
+SIDE, SIDES = 8, 15  # characters and number of the blocks of a line's signature from either end
 
 _LAST_ID = 2 ** 63 - 1
 
@@ -113,45 +117,34 @@ def _last(longest: int) -> int:
     return (longest + longest // PER_EDIT) // PER_EDIT // 2
 
 
-def block_keys(line: Column, chars: Column, size: int, longest: int) -> Column:
-    """The keys of the blocks of ``size`` characters from both ends of a line, where the shorter of two
-    lines that are near has fewer than ``longest``."""
-    last = _last(longest)
-    marks = F.array(*[F.array(*map(F.lit, ruler(k))) for k in range(last + 1)])
-    sizes = F.array(*[F.lit(size - ruler(k)[-1]) for k in range(last + 1)])
-    half = F.floor(allowed(chars) / 2).cast("int")
-
-    def of_end(blocks: Column, sign: int) -> Column:
-        # A block is cut out once, and its substrings out of it.
-        return F.flatten(F.transform(blocks, lambda block, k: F.transform(
-            F.get(marks, k), lambda mark: F.xxhash64(sign * (k + 1), F.substring(block, mark + 1, F.get(sizes, k))))))
-
-    def cut(k: Column, at: Column) -> Column:
-        return F.substring(line, at, F.lit(size))
-
-    first = F.transform(F.sequence(F.lit(0), half), lambda k: cut(k, k * size + 1))
-    final = F.transform(F.sequence(F.lit(0), half), lambda k: cut(k, chars - (k + 1) * size + 1))
-    return F.concat(of_end(first, 1), of_end(final, -1))
-
-
-def gram_keys(line: Column, chars: Column) -> Column:
-    """The least hash in each window of grams, a handful a hundred characters."""
-    last = chars - GRAM  # the place of the last gram, from 0
-
-    def part(at: Column) -> Column:
-        # A substring is found from the start of its text, so grams are cut out of short ones.
-        return _let(F.substring(line, at + 1, F.lit(PART + GRAM - 1)), lambda text: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(PART), last - at + 1)), lambda i: F.xxhash64(F.substring(text, i, F.lit(GRAM)))))
-
-    def least(hashes: Column) -> Column:
-        quarter = WINDOW // 4
-        quarters = F.transform(F.sequence(F.lit(1), F.size(hashes) - (quarter - 1)),
-                               lambda i: F.array_min(F.slice(hashes, i, F.lit(quarter))))
-        return _let(quarters, lambda m: F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size(m) - 3 * quarter - 1),
-            lambda i: F.least(*[F.get(m, i + n * quarter) for n in range(4)]))))
-
-    return _let(F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(PART)), part)), least)
+def place_keys(rows: DataFrame) -> DataFrame:
+    """lid1, key: the keys of blocks and grams of lines (lid1, line, chars) of ``SEVERAL`` characters and more."""
+    chars, size, block = F.col("chars"), F.col("size"), F.col("block")
+    below = lambda bound: chars - allowed(chars) < bound  # noqa: E731 - can be near a line of fewer characters
+    # A row for each way a line can meet others: by blocks of some size, or (size 0) by grams.
+    ways = F.array(F.when(below(WIDE), BLOCK), F.when((chars >= WIDE) & below(LONG), WIDE_BLOCK), F.when(chars >= LONG, 0))
+    lines = rows.select("lid1", "line", "chars", F.explode(ways).alias("size")).where(size.isNotNull())
+    # One pass cuts a long line into parts of PERIOD places that overlap; others stay whole.
+    part = f"(?s)(?=(.{{{GRAM},{PERIOD + GRAM - 1}}})).{{1,{PERIOD}}}"
+    parts = F.when(size == 0, F.regexp_extract_all("line", F.lit(part), 1)).otherwise(F.array("line"))
+    lines = lines.select("lid1", "chars", "size", F.explode(parts).alias("text"))
+    # A row a block, which is cut out once; block -1 - k is the k-th from the end.
+    half = F.when(size > 0, F.floor(allowed(chars) / 2).cast("int")).otherwise(0)
+    blocks = lines.select("*", F.explode(F.sequence(F.when(size > 0, -1 - half).otherwise(0), half)).alias("block"))
+    rulers = [ruler(k) for k in range(_last(LONG) + 1)]
+    k = F.when(block < 0, -1 - block).otherwise(block)
+    marks = F.get(F.array(*[F.array(*map(F.lit, r)) for r in rulers]), k)
+    taken = size - F.get(F.array(*[F.lit(r[-1]) for r in rulers]), k)
+    at = block * size + F.when(block < 0, chars).otherwise(0)
+    cut = blocks.select(
+        "lid1", "block", F.when(size == 0, F.col("text")).otherwise(F.substring("text", at + 1, size)).alias("text"),
+        F.when(size == 0, F.array(*map(F.lit, COVER))).otherwise(marks).alias("marks"),
+        F.when(size == 0, GRAM).otherwise(taken).alias("taken"))
+    found = []
+    for i in range(max(map(len, rulers))):
+        mark = F.get("marks", F.lit(i))
+        found.append(F.when(mark + F.col("taken") <= F.length("text"), F.xxhash64("block", F.substring("text", mark + 1, F.col("taken")))))
+    return cut.select("lid1", F.explode(F.array(*found)).alias("key")).where(F.col("key").isNotNull())
 
 
 def segment_keys(line: Column, chars: Column, edits: int, min_chars: int, below: int | None = None) -> list[Column]:
@@ -189,6 +182,23 @@ def counts_apart(a: Column, b: Column) -> Column:
     return reduce(add, [one(i) for i in range(len(LETTERS))])
 
 
+def signature(start: Column) -> Column:
+    """Four bits of the hash of each of the first ``SIDES`` blocks of ``SIDE`` characters, in a long."""
+    def bits(text: Column, k: Column) -> Column:
+        hashed = F.pmod(F.xxhash64(F.substring(text, k * SIDE + 1, F.lit(SIDE))), F.lit(16))
+        return F.call_function("shiftleft", hashed, 4 * k)
+
+    return _let(start, lambda text: F.aggregate(
+        F.sequence(F.lit(0), F.lit(SIDES - 1)), F.lit(0).cast("long"), lambda packed, k: packed + bits(text, k)))
+
+
+def alike(a: Column, b: Column) -> Column:
+    """An upper bound of the characters that two lines have in common from one end, given their signatures."""
+    differ = a.bitwiseXOR(b)
+    blocks = F.floor(F.bit_count(differ.bitwiseAND(-differ) - 1) / 4)  # the blocks before the first that differs
+    return F.when(differ == 0, 2 ** 31 - 1).otherwise(blocks * SIDE + (SIDE - 1))
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two lines, given as arrays of characters, are at most ``edits`` edits apart.
 
@@ -249,14 +259,9 @@ def _keys(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     if edits is not None:
         found = F.array(*segment_keys(line, chars, edits, min_chars))
         return rows.select("lid1", F.explode(found).alias("key")).where(F.col("key").isNotNull())
-    below = lambda bound: chars - allowed(chars) < bound  # noqa: E731 - can be near a line of fewer characters
     short = F.array(*segment_keys(line, chars, 1, min_chars, SEVERAL))
-    none = F.array().cast("array<bigint>")
-    found = F.concat(F.when(chars <= SEVERAL, short).otherwise(none),
-                     F.when((chars >= SEVERAL) & below(WIDE), block_keys(line, chars, BLOCK, WIDE)).otherwise(none),
-                     F.when((chars >= WIDE) & below(LONG), block_keys(line, chars, WIDE_BLOCK, LONG)).otherwise(none),
-                     F.when(chars >= LONG, gram_keys(line, chars)).otherwise(none))
-    return rows.select("lid1", F.explode(found).alias("key")).where(F.col("key").isNotNull())
+    short = rows.where(chars <= SEVERAL).select("lid1", F.explode(short).alias("key")).where(F.col("key").isNotNull())
+    return short.union(place_keys(rows.where(chars >= SEVERAL)))
 
 
 def _broadcast(rows: DataFrame, bound: int) -> DataFrame:
@@ -272,14 +277,18 @@ def _pairs(members: DataFrame, edits: int | None) -> DataFrame:
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
     # A unit is two parts of a key, or a part with itself; a line is on the left in some units and on the right in others.
     left = dealt.select("key", F.col("part").alias("u"), F.explode(F.expr("sequence(part, parts - 1)")).alias("v"),
-                        F.col("lid1").alias("a"), F.col("letters").alias("la"), F.col("chars").alias("na"))
+                        F.col("lid1").alias("a"), F.col("letters").alias("la"), F.col("chars").alias("na"),
+                        F.col("head").alias("ha"), F.col("tail").alias("ta"))
     right = dealt.select("key", F.explode(F.expr("sequence(0, part)")).alias("u"), F.col("part").alias("v"),
-                         F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"))
+                         F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"),
+                         F.col("head").alias("hb"), F.col("tail").alias("tb"))
     shorter = F.least(F.col("na"), F.col("nb"))
     least = F.lit(edits) if edits is not None else allowed(shorter)
+    # One edit leaves all but one character of the shorter line in what both have at the start and at the end.
+    one = (least != 1) | (alike(F.col("ha"), F.col("hb")) + alike(F.col("ta"), F.col("tb")) >= shorter - 1)
     met = left.join(right, ["key", "u", "v"]).where(
         ((F.col("u") < F.col("v")) | (F.col("a") < F.col("b"))) & (F.abs(F.col("na") - F.col("nb")) <= least)
-        & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least))
+        & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least) & one)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -290,18 +299,18 @@ def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFram
     shared = materialise(shared.where(F.col("least") < F.col("most")).select("key"), "shared")
     members = materialise(keys.join(_broadcast(shared, BROADCAST_LINES), "key").select("key", "lid1").distinct(), "members")
     named = materialise(members.select("lid1").distinct(), "ids")
-    by_letter = F.lit(True) if edits is not None else F.length("line") <= SEVERAL
     texts = lines.join(_broadcast(named, BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
+    side = F.lit(SIDE * SIDES)
     texts = texts.select(
         "place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
-        F.length("line").alias("n"), letter_counts(F.col("line")).alias("letters"),
-        F.when(by_letter, F.split("line", "")).alias("chars"))
+        F.length("line").alias("chars"), letter_counts(F.col("line")).alias("letters"),
+        signature(F.left("line", side)).alias("head"), signature(F.reverse(F.right("line", side))).alias("tail"))
     texts = materialise(texts, "texts")
-    sized = members.join(texts.select("lid1", "letters", F.col("n").alias("chars")).distinct(), "lid1")
+    sized = members.join(texts.select("lid1", "letters", "chars", "head", "tail").distinct(), "lid1")
     pairs = materialise(_pairs(materialise(sized, "sized"), edits), "pairs")
-    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line", "chars")])
+    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line")])
              for s in ("a", "b")]
-    near = within(F.col("chars_a"), F.col("chars_b"), 1 if edits is None else edits)
+    near = _let(F.split("line_a", ""), lambda a: _let(F.split("line_b", ""), lambda b: within(a, b, 1 if edits is None else edits)))
     if edits is None:
         most = allowed(F.least(F.length("line_a"), F.length("line_b")))
         near = F.when(most == 1, near).otherwise(F.call_function("levenshtein", "line_a", "line_b", most) >= 0)
@@ -314,7 +323,7 @@ def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFram
 def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min_chars: int) -> DataFrame:
     """k1, k2 and the line numbers that go, in order, of each document that loses lines."""
     lines = _lines(_documents(docs, id_col, text_col), id_col, text_col)
-    lines = lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
+    lines = lines.where(F.ltrim("line", F.lit(BLANKS)) != "")
     # The owner settles which document's line stays should places be the same.
     firsts = lines.groupBy("lid1", "lid2").agg(
         F.min("place").alias("first"), F.min_by("k1", "place").alias("owner"), F.count("*").alias("n"))
@@ -359,5 +368,5 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), stays), "\n")
     out = joined.withColumn("__text", F.when(some_go, kept).otherwise(F.col(text_col)))
     if drop_emptied:
-        out = out.where(~(some_go & (F.trim(F.translate("__text", "\t\r\n\f\v", "     ")) == "")))
+        out = out.where(~(some_go & (F.ltrim("__text", F.lit(BLANKS + "\n")) == "")))
     return out.select(*[F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -163,7 +163,7 @@ def test_rulers_measure_every_distance():
         longer = max(n for n in range(longest, 2 * longest) if n - n // L.PER_EDIT < longest)
         assert longer // L.PER_EDIT // 2 <= last
     edits = range(L.LONG // L.PER_EDIT, 10_000)
-    assert all(L.GRAM + L.WINDOW - 1 <= 63 * e // (e + 1) for e in edits)
+    assert all(L.GRAM + L.PERIOD - 1 <= 63 * e // (e + 1) for e in edits)
 
 
 def test_a_crowded_key_is_dealt_out(spark, monkeypatch):
@@ -187,3 +187,33 @@ def test_thousands_of_lines_share_a_half(spark):
     lines[7000] = lines[5][:60] + "é" + lines[5][61:]
     got = L.dropped_lines(documents(spark, [(n, "\n".join(lines[n::100])) for n in range(100)]))
     assert {(r.doc_id, tuple(r.dropped)) for r in got.where("n_dropped > 0").collect()} == {(5, (0,))}
+
+
+def test_signatures_never_part_lines_one_edit_apart(spark):
+    r = rng(11)
+    pairs = []
+    for _ in range(400):
+        a = "".join(r.choice("abcdé ") for _ in range(r.choice([16, 40, 90, 119, 121, 128, 135, 300])))
+        pairs.append((a, mutate(a, 1, r)))
+    ends = [F.left(F.col(c), F.lit(L.SIDE * L.SIDES)) for c in "ab"], [F.reverse(F.right(F.col(c), F.lit(L.SIDE * L.SIDES))) for c in "ab"]
+    common = [L.alike(L.signature(a), L.signature(b)).cast("long") for a, b in ends]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for row in df.select("a", "b", (common[0] + common[1]).alias("n"), common[0].alias("head")).collect():
+        same = next((i for i, (x, y) in enumerate(zip(row.a, row.b)) if x != y), min(len(row.a), len(row.b)))
+        assert row.head >= same
+        assert row.n >= min(len(row.a), len(row.b)) - 1
+
+
+def test_two_places_of_the_cover_are_any_number_apart(spark):
+    apart = {(a - b) % L.PERIOD for a in L.COVER for b in L.COVER}
+    assert apart == set(range(L.PERIOD))
+    # A run of PERIOD + GRAM - 1 equal characters is met whatever stands before it.
+    r = rng(12)
+    text = lambda n: "".join(r.choice("abcdefgh \r") for _ in range(n))
+    run = text(L.PERIOD + L.GRAM - 1)
+    rows = [(i, text(L.LONG + i) + run + text(40 + 3 * i)) for i in range(L.PERIOD + 1)]
+    lines = spark.createDataFrame(rows, "lid1 long, line string").withColumn("chars", F.length("line"))
+    keys = L.place_keys(lines.withColumn("chars", F.greatest("chars", F.lit(2 * L.LONG))))
+    held = keys.groupBy("key").agg(F.collect_set("lid1").alias("ids")).where(F.size("ids") > 1).collect()
+    met = {(a, b) for row in held for a in row.ids for b in row.ids}
+    assert met == {(a, b) for a, _ in rows for b, _ in rows}
