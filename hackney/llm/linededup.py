@@ -32,8 +32,16 @@ keys end there. The second time the lines of those keys are listed. Keys of more
 ``CHUNK`` lines are dealt out: their lines fall in parts of about that size, and each
 pair of parts is a unit of its own in the join, so that no task has a whole key.
 
-The join's condition also compares the lines' lengths, their counts of ten
-letters, which E edits change by at most 2 E in sum, and for one edit their signatures,
+One earlier line that is near settles a line. So a line is first compared with a few
+neighbours in each key (in its part), in an order that differs from key to key; only the
+lines that this leaves meet all earlier ones of their keys. Two lines of many keys meet
+once: for each of ``BINS`` classes of keys a line's least key goes along, and the first
+class in which both have the same one says by which key they meet (if there is none, by
+each they share).
+
+The join's condition also compares the lines' lengths, their counts of 29 letters and
+of all other characters, which E edits change by at most 2 E in sum, less what the
+lengths differ, and for one edit their signatures,
 which bound the characters that both have at the start and at the end (all but one);
 so variants of a line that share a key but differ more are not listed as pairs. Pairs
 for one number of edits are verified by a banded bit-parallel automaton: register e
@@ -55,7 +63,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hackney.llm.common import materialise
@@ -65,8 +73,14 @@ PER_EDIT = 64  # characters for which one edit is allowed
 BROADCAST_LINES = 1_000_000  # hashes of 8 bytes
 CHUNK = 512  # lines of a part of a crowded key
 
-# Fixed value: the letters whose counts are compared, six bits each.
-LETTERS = "etaionrshd"
+FEW = 16  # from so many allowed edits on a part of them is tried first
+NEIGHBOURS = 12  # lines of a key that a line is compared with first
+BINS = 8  # key classes of which a line's least keys are compared
+
+# The letters whose counts are compared, eight to a number; the last count is of all other characters.
+LETTERS = ("etaionrs", "hdlucmfg", "wypbvk .", ",-TSIA1")
+# Counts modulo 16, of which as many bits differ as they are apart on a circle of 16.
+CIRCLE = [2 ** n - 1 for n in range(9)] + [255 - (2 ** n - 1) for n in range(1, 8)]
 
 # Follow from PER_EDIT: from SEVERAL characters on 2 edits are allowed and more. The h + 1 blocks from an end of a
 # line with E edits, h half of E, lie in its half: BLOCK * (h + 1) <= 32 E, from WIDE characters on WIDE_BLOCK * (h + 1) <= 32 E.
@@ -166,20 +180,18 @@ def segment_keys(line: Column, chars: Column, edits: int, min_chars: int, below:
     return found
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts of ten letters, modulo 64, packed in a long."""
+def letter_counts(line: Column, chars: Column) -> list[Column]:
+    """Counts of 31 letters and of the other characters as places on a circle, packed in longs."""
     # Bytes tell as much as characters, the letters being ASCII, and need no pass over the line.
-    bare = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
-    return reduce(add, [F.shiftleft((n % 64).cast("long"), 6 * i) for i, n in enumerate(bare)])
+    bare = [[F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in group] for group in LETTERS]
+    bare[-1].append(chars - reduce(add, [n for group in bare for n in group]))
+    circle = F.array(*[F.lit(n).cast("long") for n in CIRCLE])
+    return [reduce(add, [F.shiftleft(F.get(circle, n % 16), 8 * i) for i, n in enumerate(group)]) for group in bare]
 
 
 def counts_apart(a: Column, b: Column) -> Column:
-    """A lower bound of how far the letter counts of two lines are apart, in sum."""
-    def one(i: int) -> Column:
-        apart = F.abs(F.shiftright(a, 6 * i).bitwiseAND(63) - F.shiftright(b, 6 * i).bitwiseAND(63))
-        return F.least(apart, 64 - apart)
-
-    return reduce(add, [one(i) for i in range(len(LETTERS))])
+    """A lower bound of how far eight counts of two lines are apart, in sum."""
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def signature(start: Column) -> Column:
@@ -269,27 +281,71 @@ def _broadcast(rows: DataFrame, bound: int) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= bound else rows
 
 
-def _pairs(members: DataFrame, edits: int | None) -> DataFrame:
-    """The pairs (a, b), each once, of lines that share a key and may be near by length and letters."""
-    crowded = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+def _dealt(sized: DataFrame) -> DataFrame:
+    """``sized`` with the number of parts of its key and the line's part."""
+    crowded = sized.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
     crowded = materialise(crowded.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "crowded")
-    dealt = members.join(_broadcast(crowded, BROADCAST_LINES), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
-    # A unit is two parts of a key, or a part with itself; a line is on the left in some units and on the right in others.
-    left = dealt.select("key", F.col("part").alias("u"), F.explode(F.expr("sequence(part, parts - 1)")).alias("v"),
-                        F.col("lid1").alias("a"), F.col("letters").alias("la"), F.col("chars").alias("na"),
-                        F.col("head").alias("ha"), F.col("tail").alias("ta"))
-    right = dealt.select("key", F.explode(F.expr("sequence(0, part)")).alias("u"), F.col("part").alias("v"),
-                         F.col("lid1").alias("b"), F.col("letters").alias("lb"), F.col("chars").alias("nb"),
-                         F.col("head").alias("hb"), F.col("tail").alias("tb"))
-    shorter = F.least(F.col("na"), F.col("nb"))
+    dealt = sized.join(_broadcast(crowded, BROADCAST_LINES), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
+
+
+def _may_be_near(a, b, edits: int | None) -> Column:
+    """Whether two lines may be near by length, letters and signatures; ``a`` and ``b`` give their columns."""
+    shorter, apart = F.least(a("chars"), b("chars")), F.abs(a("chars") - b("chars"))
     least = F.lit(edits) if edits is not None else allowed(shorter)
     # One edit leaves all but one character of the shorter line in what both have at the start and at the end.
-    one = (least != 1) | (alike(F.col("ha"), F.col("hb")) + alike(F.col("ta"), F.col("tb")) >= shorter - 1)
-    met = left.join(right, ["key", "u", "v"]).where(
-        ((F.col("u") < F.col("v")) | (F.col("a") < F.col("b"))) & (F.abs(F.col("na") - F.col("nb")) <= least)
-        & (counts_apart(F.col("la"), F.col("lb")) <= 2 * least) & one)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one = (least != 1) | (alike(a("head"), b("head")) + alike(a("tail"), b("tail")) >= shorter - 1)
+    # Every character is counted once: an edit changes two counts by one, or one and the length.
+    counts = [counts_apart(a(f"letters{i}"), b(f"letters{i}")) for i in range(len(LETTERS))]
+    return (apart <= least) & (reduce(add, counts) <= 2 * least - apart) & one
+
+
+def _neighbours(dealt: DataFrame, edits: int | None) -> DataFrame:
+    """Pairs (a, b), each once, of a line and the ``NEIGHBOURS`` before it in a part of a key.
+
+    The order is another one for each key, so a line of many keys has many neighbours.
+    """
+    carried = ["lid1", "chars", "head", "tail", *[f"letters{i}" for i in range(len(LETTERS))]]
+    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("key", "lid1"))
+    row = F.struct(*carried)
+    rows = dealt.select(*carried, F.array_compact(F.array(*[F.lag(row, n + 1).over(order) for n in range(NEIGHBOURS)])).alias("before"))
+    rows = rows.select(*carried, F.explode("before").alias("b"))
+    rows = rows.where((F.col("lid1") != F.col("b.lid1")) & _may_be_near(F.col, lambda c: F.col(f"b.{c}"), edits))
+    return rows.select(F.least("lid1", "b.lid1").alias("a"), F.greatest("lid1", "b.lid1").alias("b")).distinct()
+
+
+def _pairs(dealt: DataFrame, seekers: DataFrame, edits: int | None) -> DataFrame:
+    """The pairs (a, b), each once, of a line of ``seekers`` and an earlier one that share a key and may be near."""
+    columns = [c for c in dealt.columns if c not in ("key", "part", "parts")]
+    # A unit is two parts of a key, or a part with itself.
+    left = dealt.join(seekers, "lid1", "left_semi").select(
+        "key", F.col("part").alias("u"), F.explode(F.expr("sequence(0, parts - 1)")).alias("v"),
+        *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = dealt.select("key", F.explode(F.expr("sequence(0, parts - 1)")).alias("u"), F.col("part").alias("v"),
+                         *[F.col(c).alias(f"{c}_b") for c in columns])
+    a, b = (lambda c: F.col(f"{c}_a")), (lambda c: F.col(f"{c}_b"))
+    # Lines that have the least key of a class in common meet by that key only.
+    least = [F.when(a(f"least{i}") == b(f"least{i}"), a(f"least{i}")) for i in range(BINS)]
+    once = F.col("key") == F.coalesce(*least, F.col("key"))
+    # A double orders places well enough: where two are the same the pair is met from both sides.
+    met = left.join(right, ["key", "u", "v"]).where((a("lid1") != b("lid1")) & (a("order") >= b("order")) & _may_be_near(a, b, edits) & once)
+    return met.select(F.least(a("lid1"), b("lid1")).alias("a"), F.greatest(a("lid1"), b("lid1")).alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, edits: int | None) -> DataFrame:
+    """lid1, lid2 of the later lines of the pairs that are near."""
+    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line")])
+             for s in ("a", "b")]
+    near = _let(F.split("line_a", ""), lambda a: _let(F.split("line_b", ""), lambda b: within(a, b, 1 if edits is None else edits)))
+    if edits is None:
+        most = allowed(F.least(F.length("line_a"), F.length("line_b")))
+        distance = lambda bound: F.call_function("levenshtein", "line_a", "line_b", bound) >= 0
+        # The time grows with the bound: long lines are often much nearer than they may be.
+        near = F.when(most == 1, near).otherwise(F.when(most >= FEW, distance(F.floor(most / FEW).cast("int"))).otherwise(False) | distance(most))
+    close = pairs.join(sides[0], "a").join(sides[1], "b").where(near)
+    later = F.col("place_a") > F.col("place_b")
+    return close.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("lid1"),
+                        F.when(later, F.col("lid2_a")).otherwise(F.col("lid2_b")).alias("lid2")).distinct()
 
 
 def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
@@ -298,26 +354,25 @@ def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFram
     shared = keys.groupBy("key").agg(F.min("lid1").alias("least"), F.max("lid1").alias("most"))
     shared = materialise(shared.where(F.col("least") < F.col("most")).select("key"), "shared")
     members = materialise(keys.join(_broadcast(shared, BROADCAST_LINES), "key").select("key", "lid1").distinct(), "members")
-    named = materialise(members.select("lid1").distinct(), "ids")
-    texts = lines.join(_broadcast(named, BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
+    leasts = [F.min(F.when(F.pmod("key", F.lit(BINS)) == i, F.col("key"))).alias(f"least{i}") for i in range(BINS)]
+    named = materialise(members.groupBy("lid1").agg(*leasts), "ids")
+    texts = lines.join(_broadcast(named.select("lid1"), BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
     side = F.lit(SIDE * SIDES)
+    counts = letter_counts(F.col("line"), F.length("line"))
     texts = texts.select(
         "place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
-        F.length("line").alias("chars"), letter_counts(F.col("line")).alias("letters"),
+        F.length("line").alias("chars"), *[n.alias(f"letters{i}") for i, n in enumerate(counts)],
         signature(F.left("line", side)).alias("head"), signature(F.reverse(F.right("line", side))).alias("tail"))
     texts = materialise(texts, "texts")
-    sized = members.join(texts.select("lid1", "letters", "chars", "head", "tail").distinct(), "lid1")
-    pairs = materialise(_pairs(materialise(sized, "sized"), edits), "pairs")
-    sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line")])
-             for s in ("a", "b")]
-    near = _let(F.split("line_a", ""), lambda a: _let(F.split("line_b", ""), lambda b: within(a, b, 1 if edits is None else edits)))
-    if edits is None:
-        most = allowed(F.least(F.length("line_a"), F.length("line_b")))
-        near = F.when(most == 1, near).otherwise(F.call_function("levenshtein", "line_a", "line_b", most) >= 0)
-    close = pairs.join(sides[0], "a").join(sides[1], "b").where(near)
-    later = F.col("place_a") > F.col("place_b")
-    return close.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("lid1"),
-                        F.when(later, F.col("lid2_a")).otherwise(F.col("lid2_b")).alias("lid2")).distinct()
+    sized = members.join(texts.withColumn("order", F.col("place").cast("double")).drop("place", "line", "lid2").join(named, "lid1"), "lid1")
+    dealt = _dealt(materialise(sized, "sized"))
+    # One earlier line that is near settles a line; only those that no neighbour settles meet all others.
+    first = materialise(_neighbours(dealt, edits), "neighbours")
+    settled = materialise(_verified(first, texts, edits), "settled")
+    seekers = texts.join(settled, ["lid1", "lid2"], "left_anti").select("lid1").distinct()
+    pairs = _pairs(dealt, _broadcast(materialise(seekers, "seekers"), BROADCAST_LINES), edits)
+    pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+    return settled.union(_verified(pairs, texts, edits)).distinct()
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min_chars: int) -> DataFrame:

@@ -217,3 +217,35 @@ def test_two_places_of_the_cover_are_any_number_apart(spark):
     held = keys.groupBy("key").agg(F.collect_set("lid1").alias("ids")).where(F.size("ids") > 1).collect()
     met = {(a, b) for row in held for a in row.ids for b in row.ids}
     assert met == {(a, b) for a, _ in rows for b, _ in rows}
+
+
+def test_variants_of_a_line_do_not_meet_in_all_pairs(spark, monkeypatch):
+    """One earlier line that is near settles a line: the pairs grow with the lines, not with their square."""
+    rows, listed = L.materialise, {}
+
+    def counted(df, label):
+        listed[label] = rows(df, label)
+        return listed[label]
+
+    monkeypatch.setattr(L, "materialise", counted)
+    monkeypatch.setattr(L, "NEIGHBOURS", 2, raising=False)
+    r = rng(13)
+    line = prose(r, 200)[:640]
+    lines = list(dict.fromkeys(line[:at] + r.choice("xyz") + line[at + 1:] for at in range(320, 620)))
+    got = L.dropped_lines(documents(spark, list(enumerate(lines)))).orderBy("doc_id").collect()
+    assert [x.n_dropped for x in got] == [0] + [1] * (len(lines) - 1)
+    assert sum(listed[label].count() for label in ("neighbours", "pairs") if label in listed) <= len(lines) ** 2 / 4
+
+
+def test_letter_counts_never_part_lines_within_the_edits(spark):
+    r = rng(14)
+    pairs = []
+    for _ in range(300):
+        a = "".join(r.choice("abcdé zq.,ST1\U0001f600") for _ in range(r.choice([16, 90, 300, 900])))
+        n = r.randint(1, 12)
+        pairs.append((a, mutate(a, n, r), n))
+    pairs.append(("a" * 400, "a" * 400 + "b" * 40, 40))
+    counts = [L.letter_counts(F.col(c), F.length(c)) for c in "ab"]
+    apart = sum(L.counts_apart(x, y) for x, y in zip(*counts, strict=True))
+    for row in spark.createDataFrame(pairs, "a string, b string, n int").select("*", apart.alias("apart")).collect():
+        assert row.apart + abs(len(row.a) - len(row.b)) <= 2 * row.n, row
