@@ -39,7 +39,7 @@ _INPUTS: dict[tuple[str, str, str], str] = {}
 
 
 def _per_file(spark: SparkSession, sf_dir: str) -> int:
-    """Rows per derived input file: about one file per core, never a shuffle."""
+    """Rows per derived input file: about one file per core."""
     rows = fixtures.read_table(spark, sf_dir, "lineitem").count()  # Parquet footers
     return files.records_per_file(spark, rows)
 
@@ -66,8 +66,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def trips_csv(spark: SparkSession, sf_dir: str) -> str:
     """The trips fixture as a folder of header-led CSV files."""
-    return _derived_input(spark, sf_dir, "trips_csv", lambda p: files.write_csv(
-        fixtures.trips(spark, sf_dir), p, max_records_per_file=_per_file(spark, sf_dir)))
+    def write(path: str) -> str:
+        per_file = _per_file(spark, sf_dir)
+        return files.write_csv(fixtures.trips(spark, sf_dir, per_file), path, max_records_per_file=per_file)
+
+    return _derived_input(spark, sf_dir, "trips_csv", write)
 
 
 def zones_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -204,7 +207,7 @@ def _arriving_trips(spark: SparkSession, sf_dir: str) -> str:
     rows = fixtures.read_table(spark, sf_dir, "lineitem").count()  # Parquet footers
     per_file = min(_per_file(spark, sf_dir), max(1, -(-rows // STREAM_BATCHES)))
     return _derived_input(spark, sf_dir, "arriving", lambda p: files.write_parquet(
-        fixtures.trips(spark, sf_dir), p, max_records_per_file=per_file))
+        fixtures.trips(spark, sf_dir, _per_file(spark, sf_dir)), p, max_records_per_file=per_file))
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str,

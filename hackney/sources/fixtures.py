@@ -53,9 +53,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``trips`` fact view (zone-id + coordinate columns) over lineitem."""
+def spread_lineitem(spark: SparkSession, sf_dir: str, rows_per_task: int) -> DataFrame:
+    """lineitem for work that costs much a row, dealt anew where one task would read much more than its share.
+
+    A Parquet row group is read by one task, however large, and other splits of its file are empty.
+    How many rows a task has is told by the footers. The keys deal the rows, so none is sorted for it.
+    """
     lineitem = read_table(spark, sf_dir, "lineitem")
+    counts = lineitem.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    if not total or most <= 2 * rows_per_task:
+        return lineitem
+    return lineitem.repartition(-(-2 * total // rows_per_task), "l_orderkey", "l_linenumber")
+
+
+def trips(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None) -> DataFrame:
+    """The ``trips`` fact view (zone-id + coordinate columns) over lineitem, spread if ``rows_per_task`` is given."""
+    lineitem = read_table(spark, sf_dir, "lineitem") if rows_per_task is None else spread_lineitem(spark, sf_dir, rows_per_task)
     return spark.sql(TRIPS_SQL, lineitem=lineitem)
 
 
@@ -82,16 +96,16 @@ RAW_SHORT_FIELDS = 8
 RAW_REPEATED_HEADERS = 3  # extra header lines written as data
 
 
-def keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``trips`` plus the lineitem key (l_orderkey, l_linenumber) of each row."""
-    lineitem = read_table(spark, sf_dir, "lineitem")
+def keyed_trips(spark: SparkSession, sf_dir: str, rows_per_task: int | None = None) -> DataFrame:
+    """``trips`` plus the lineitem key (l_orderkey, l_linenumber) of each row, spread if ``rows_per_task`` is given."""
+    lineitem = read_table(spark, sf_dir, "lineitem") if rows_per_task is None else spread_lineitem(spark, sf_dir, rows_per_task)
     sql = TRIPS_SQL.replace("FROM {lineitem}", ", l_orderkey, l_linenumber\nFROM {lineitem}")
     return spark.sql(sql, lineitem=lineitem)
 
 
 def write_raw_trips(spark: SparkSession, sf_dir: str, path: str,
                     max_records_per_file: int | None = None) -> str:
-    """Render ``trips`` as header-led CSV text under ``path``, without a shuffle.
+    """Render ``trips`` as header-led CSV text under ``path``.
 
     Every output file starts with the header line (as Spark's CSV writer does
     for each part file); ``max_records_per_file`` cuts a task's output into
@@ -100,7 +114,7 @@ def write_raw_trips(spark: SparkSession, sf_dir: str, path: str,
     bad fields, short rows and rows that end before the fee.
     """
     header = ",".join(RAW_COLUMNS)
-    keyed = keyed_trips(spark, sf_dir)
+    keyed = keyed_trips(spark, sf_dir, max_records_per_file)
     parts = []
     for name in RAW_COLUMNS:
         # A TIMESTAMP_NTZ cast to text is 'yyyy-MM-dd HH:mm:ss' whatever the
@@ -142,7 +156,7 @@ NEW_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID", "DOL
 
 def write_mixed_trips(spark: SparkSession, sf_dir: str, path: str, fmt: str, max_records_per_file: int) -> str:
     """``trips`` in one folder: files of the coordinate layout and of the zone-id layout (CSV or Parquet)."""
-    keyed = keyed_trips(spark, sf_dir)
+    keyed = keyed_trips(spark, sf_dir, max_records_per_file)
     wide = {"VendorID": "bigint", "DOLocationID": "bigint", "PULocationID": "bigint"}
     new = [F.col(c).cast(wide.get(c, TRIPS[c].dataType)).alias("Airport_fee" if c == "airport_fee" else c)
            for c in NEW_COLUMNS]
@@ -181,7 +195,7 @@ def write_quoted_trips(spark: SparkSession, sf_dir: str, path: str, max_records_
     fields = [remark if c == "remark" else parts[c] for c in QUOTED_COLUMNS]
     line = (F.when(F.expr(RAW_SHORT_RULE), F.concat_ws(",", *fields[:QUOTED_SHORT_FIELDS]))
             .otherwise(F.concat_ws(",", *fields)))
-    (keyed_trips(spark, sf_dir).select(line.alias(",".join(QUOTED_COLUMNS))).write.mode("overwrite")
+    (keyed_trips(spark, sf_dir, max_records_per_file).select(line.alias(",".join(QUOTED_COLUMNS))).write.mode("overwrite")
      .options(header="true", sep="\u0001", quote="", escapeQuotes="false", maxRecordsPerFile=str(max_records_per_file))
      .csv(path))
     return path

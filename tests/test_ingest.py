@@ -215,3 +215,15 @@ def test_raw_text_round_trip_ignores_session_time_zone(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert res["ok"], res
+
+
+def test_derived_text_is_rendered_by_many_tasks_from_one_row_group(spark, tmp_path):
+    """A row group is one task's, however large; rendering its rows is dealt out, and gives the same rows."""
+    source, root = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet"), str(tmp_path / "one")
+    source.coalesce(1).write.parquet(f"{root}/lineitem.parquet")
+    path = fixtures.write_raw_trips(spark, root, str(tmp_path / "raw"), max_records_per_file=10_000)
+    names = spark.read.text(path).inputFiles()
+    assert len({name.rsplit("part-", 1)[1][:5] for name in names}) >= 8
+    plain = fixtures.write_raw_trips(spark, root, str(tmp_path / "plain"))
+    rows = lambda folder: spark.read.text(folder).where("value NOT LIKE 'VendorID,%'")
+    assert rows(path).exceptAll(rows(plain)).isEmpty() and rows(path).count() == rows(plain).count() == source.count()
