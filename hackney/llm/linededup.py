@@ -39,8 +39,8 @@ once: for each of ``BINS`` classes of keys a line's least key goes along, and th
 class in which both have the same one says by which key they meet (if there is none, by
 each they share).
 
-The join's condition also compares the lines' lengths, their counts of 29 letters and
-of all other characters, which E edits change by at most 2 E in sum, less what the
+The join's condition also compares the lines' lengths, their counts of 31 letters and
+of all other characters (modulo 16), which E edits change by at most 2 E in sum, less what the
 lengths differ, and for one edit their signatures,
 which bound the characters that both have at the start and at the end (all but one);
 so variants of a line that share a key but differ more are not listed as pairs. Pairs
