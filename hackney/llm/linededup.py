@@ -32,9 +32,11 @@ keys end there. The second time the lines of those keys are listed. Keys of more
 ``CHUNK`` lines are dealt out: their lines fall in parts of about that size, and each
 pair of parts is a unit of its own in the join, so that no task has a whole key.
 
-One earlier line that is near settles a line. So a line is first compared with a few
-neighbours in each key (in its part), in an order that differs from key to key; only the
-lines that this leaves meet all earlier ones of their keys. Two lines of many keys meet
+One earlier line that is near settles a line. So of a few neighbours in each key (in its
+part), in an order that differs from key to key, a line takes the earlier ones that its
+counts show as the nearest: it is compared with the first of them, then,
+as long as that settles nothing, with the next ones; only the lines that this leaves meet
+all earlier ones of their keys. Two lines of many keys meet
 once: for each of ``BINS`` classes of keys a line's least key goes along, and the first
 class in which both have the same one says by which key they meet (if there is none, by
 each they share).
@@ -74,7 +76,9 @@ BROADCAST_LINES = 1_000_000  # hashes of 8 bytes
 CHUNK = 512  # lines of a part of a crowded key
 
 FEW = 16  # from so many allowed edits on a part of them is tried first
-NEIGHBOURS = 12  # lines of a key that a line is compared with first
+NEIGHBOURS = 12  # lines of a key, on both sides of a line, that it may be compared with first
+TRIES = (0, 1, 8, 96)  # bounds of the rounds in which it is compared with those of all its keys
+STRIPS = (16384, 4096, 2048, 1024, 512, 256, 128, 64, 32, 16)  # characters that a pair may lose at an end, each once
 BINS = 8  # key classes of which a line's least keys are compared
 
 # The letters whose counts are compared, eight to a number; the last count is of all other characters.
@@ -289,29 +293,40 @@ def _dealt(sized: DataFrame) -> DataFrame:
     return dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
 
 
+def _least_apart(a, b) -> Column:
+    """A lower bound of twice the edits that two lines are apart; ``a`` and ``b`` give their columns."""
+    # Every character is counted once: an edit changes two counts by one, or one and the length.
+    return reduce(add, [counts_apart(a(f"letters{i}"), b(f"letters{i}")) for i in range(len(LETTERS))], F.abs(a("chars") - b("chars")))
+
+
 def _may_be_near(a, b, edits: int | None) -> Column:
     """Whether two lines may be near by length, letters and signatures; ``a`` and ``b`` give their columns."""
     shorter, apart = F.least(a("chars"), b("chars")), F.abs(a("chars") - b("chars"))
     least = F.lit(edits) if edits is not None else allowed(shorter)
     # One edit leaves all but one character of the shorter line in what both have at the start and at the end.
     one = (least != 1) | (alike(a("head"), b("head")) + alike(a("tail"), b("tail")) >= shorter - 1)
-    # Every character is counted once: an edit changes two counts by one, or one and the length.
-    counts = [counts_apart(a(f"letters{i}"), b(f"letters{i}")) for i in range(len(LETTERS))]
-    return (apart <= least) & (reduce(add, counts) <= 2 * least - apart) & one
+    return (apart <= least) & (_least_apart(a, b) <= 2 * least) & one
 
 
 def _neighbours(dealt: DataFrame, edits: int | None) -> DataFrame:
-    """Pairs (a, b), each once, of a line and the ``NEIGHBOURS`` before it in a part of a key.
+    """lid1, others: for each line the earlier ones that it is compared with first, the likeliest to be near in front.
 
-    The order is another one for each key, so a line of many keys has many neighbours.
+    In a part of a key a line sees the ``NEIGHBOURS`` around it, in one row. The order is another one for each key, so a line of
+    many keys has many neighbours; lines that have a class's least key in common stand together.
     """
-    carried = ["lid1", "chars", "head", "tail", *[f"letters{i}" for i in range(len(LETTERS))]]
-    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("key", "lid1"))
+    carried = ["lid1", "chars", "order", "head", "tail", *[f"letters{i}" for i in range(len(LETTERS))]]
+    least = F.get(F.array(*[f"least{i}" for i in range(BINS)]), F.pmod(F.xxhash64("key"), F.lit(BINS)).cast("int"))
+    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("key", least), F.xxhash64("key", "lid1"))
     row = F.struct(*carried)
-    rows = dealt.select(*carried, F.array_compact(F.array(*[F.lag(row, n + 1).over(order) for n in range(NEIGHBOURS)])).alias("before"))
-    rows = rows.select(*carried, F.explode("before").alias("b"))
-    rows = rows.where((F.col("lid1") != F.col("b.lid1")) & _may_be_near(F.col, lambda c: F.col(f"b.{c}"), edits))
-    return rows.select(F.least("lid1", "b.lid1").alias("a"), F.greatest("lid1", "b.lid1").alias("b")).distinct()
+    beside = F.array(*[side(row, n + 1).over(order) for n in range(NEIGHBOURS // 2) for side in (F.lag, F.lead)])
+    # Lines whose orders are the same double may be either way round.
+    earlier = lambda b: (b["order"] <= F.col("order")) & (b["lid1"] != F.col("lid1")) & _may_be_near(F.col, b.getField, edits)
+    taken = F.transform(F.filter("beside", earlier), lambda b: F.struct(_least_apart(F.col, b.getField).alias("apart"), b["lid1"].alias("other")))
+    # Of a very long line some of the keys are enough for this.
+    some = F.pmod(F.xxhash64(F.lit("some"), "key"), F.ceil(F.col("chars") / LONG)) == 0
+    rows = dealt.select("key", *carried, beside.alias("beside")).where(some).select("lid1", taken.alias("taken")).where(F.size("taken") > 0)
+    found = F.array_distinct(F.array_sort(F.flatten(F.collect_list("taken")))["other"])
+    return rows.groupBy("lid1").agg(F.slice(found, 1, TRIES[-1]).alias("others"))
 
 
 def _pairs(dealt: DataFrame, seekers: DataFrame, edits: int | None) -> DataFrame:
@@ -332,22 +347,47 @@ def _pairs(dealt: DataFrame, seekers: DataFrame, edits: int | None) -> DataFrame
     return met.select(F.least(a("lid1"), b("lid1")).alias("a"), F.greatest(a("lid1"), b("lid1")).alias("b")).distinct()
 
 
+def stripped(a: Column, b: Column) -> Column:
+    """Two lines as a struct, less what both have at the start and at the end, in steps of ``STRIPS``.
+
+    That leaves their distance as it is, and its time grows with the square of their length.
+    """
+    both = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    long = lambda p, size: (F.length(p["a"]) >= size) & (F.length(p["b"]) >= size)
+    sizes = F.array(*map(F.lit, STRIPS))
+    start = lambda p, size: F.when(
+        long(p, size) & (F.left(p["a"], size) == F.left(p["b"], size)), both(F.substr(p["a"], size + 1), F.substr(p["b"], size + 1))).otherwise(p)
+    end = lambda p, size: F.when(
+        long(p, size) & (F.right(p["a"], size) == F.right(p["b"], size)),
+        both(F.left(p["a"], F.length(p["a"]) - size), F.left(p["b"], F.length(p["b"]) - size))).otherwise(p)
+    return F.aggregate(sizes, F.aggregate(sizes, both(a, b), start), end)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int | None) -> DataFrame:
     """lid1, lid2 of the later lines of the pairs that are near."""
     sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line")])
              for s in ("a", "b")]
+    rows = pairs.join(sides[0], "a").join(sides[1], "b")
     near = _let(F.split("line_a", ""), lambda a: _let(F.split("line_b", ""), lambda b: within(a, b, 1 if edits is None else edits)))
     if edits is None:
         most = allowed(F.least(F.length("line_a"), F.length("line_b")))
-        distance = lambda bound: F.call_function("levenshtein", "line_a", "line_b", bound) >= 0
+        distance = lambda p, bound: F.call_function("levenshtein", p["a"], p["b"], bound) >= 0
         # The time grows with the bound: long lines are often much nearer than they may be.
-        near = F.when(most == 1, near).otherwise(F.when(most >= FEW, distance(F.floor(most / FEW).cast("int"))).otherwise(False) | distance(most))
-    close = pairs.join(sides[0], "a").join(sides[1], "b").where(near)
+        several = _let(stripped(F.col("line_a"), F.col("line_b")), lambda p: F.when(
+            most >= FEW, distance(p, F.floor(most / FEW).cast("int"))).otherwise(False) | distance(p, most))
+        near = F.when(most == 1, near).otherwise(several)
+    close = rows.where(near)
     later = F.col("place_a") > F.col("place_b")
     return close.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("lid1"),
                         F.when(later, F.col("lid2_a")).otherwise(F.col("lid2_b")).alias("lid2")).distinct()
 
 
+def _seekers(texts: DataFrame, near: DataFrame) -> DataFrame:
+    """lid1 of the lines that are not among those found ``near`` an earlier one."""
+    left = texts.join(near, ["lid1", "lid2"], "left_anti").select("lid1").distinct()
+    return _broadcast(materialise(left, "seekers"), BROADCAST_LINES)
+
+
 def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     """lid1, lid2 of the distinct lines that an earlier line is near."""
     keys = _keys(lines, edits, min_chars)
@@ -367,12 +407,17 @@ def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFram
     sized = members.join(texts.withColumn("order", F.col("place").cast("double")).drop("place", "line", "lid2").join(named, "lid1"), "lid1")
     dealt = _dealt(materialise(sized, "sized"))
     # One earlier line that is near settles a line; only those that no neighbour settles meet all others.
-    first = materialise(_neighbours(dealt, edits), "neighbours")
-    settled = materialise(_verified(first, texts, edits), "settled")
-    seekers = texts.join(settled, ["lid1", "lid2"], "left_anti").select("lid1").distinct()
-    pairs = _pairs(dealt, _broadcast(materialise(seekers, "seekers"), BROADCAST_LINES), edits)
-    pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    return settled.union(_verified(pairs, texts, edits)).distinct()
+    tries = materialise(_neighbours(dealt, edits), "neighbours")
+    near, met = None, None
+    for start, end in zip(TRIES, TRIES[1:]):
+        open_ = tries if near is None else tries.join(_seekers(texts, near), "lid1", "left_semi")
+        tried = open_.select("lid1", F.explode(F.slice("others", start + 1, end - start)).alias("other"))
+        tried = materialise(tried.select(F.least("lid1", "other").alias("a"), F.greatest("lid1", "other").alias("b")).distinct(), "tried")
+        settled = materialise(_verified(tried, texts, edits), "settled")
+        near, met = (settled, tried) if near is None else (near.union(settled), met.union(tried))
+    pairs = _pairs(dealt, _seekers(texts, near), edits)
+    pairs = materialise(pairs.join(met, ["a", "b"], "left_anti"), "pairs")
+    return near.union(_verified(pairs, texts, edits)).distinct()
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min_chars: int) -> DataFrame:

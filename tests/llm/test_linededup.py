@@ -249,3 +249,35 @@ def test_letter_counts_never_part_lines_within_the_edits(spark):
     apart = sum(L.counts_apart(x, y) for x, y in zip(*counts, strict=True))
     for row in spark.createDataFrame(pairs, "a string, b string, n int").select("*", apart.alias("apart")).collect():
         assert row.apart + abs(len(row.a) - len(row.b)) <= 2 * row.n, row
+
+
+def test_a_line_that_one_neighbour_settles_meets_no_other(spark, monkeypatch):
+    """The pairs that are compared are one a line where the likeliest neighbour is near, not one a neighbour and key."""
+    rows, met = L.materialise, []
+
+    def counted(df, label):
+        out = rows(df, label)
+        if out.columns == ["a", "b"]:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "materialise", counted)
+    r = rng(15)
+    line = prose(r, 200)[:640]
+    lines = list(dict.fromkeys(line[:at] + r.choice("xyz") + line[at + 1:] for at in range(320, 520)))
+    got = L.dropped_lines(documents(spark, list(enumerate(lines)))).orderBy("doc_id").collect()
+    assert [x.n_dropped for x in got] == [0] + [1] * (len(lines) - 1)
+    assert 0 < sum(met) <= len(lines)
+
+
+def test_common_ends_leave_the_distance_as_it_is(spark):
+    r = rng(16)
+    pairs = [("", ""), ("a" * 200, "a" * 200), ("a" * 200, "a" * 231), ("ab" * 40, "ab" * 41)]
+    for _ in range(200):
+        a = "".join(r.choice("abé\U0001f600") for _ in range(r.choice([15, 16, 64, 130, 300])))
+        pairs.append((a, mutate(a, r.randint(0, 4), r)))
+    p = L.stripped(F.col("a"), F.col("b"))
+    df = spark.createDataFrame(pairs, "a string, b string").select(F.levenshtein("a", "b").alias("whole"), p.alias("p"), "a")
+    got = df.select("whole", F.levenshtein("p.a", "p.b").alias("left"), F.length("p.a").alias("n"), F.length("a").alias("m")).collect()
+    assert all(x.whole == x.left for x in got)
+    assert sum(x.n for x in got) < sum(x.m for x in got) / 2
