@@ -41,7 +41,7 @@ once: for each of ``BINS`` classes of keys a line's least key goes along, and th
 class in which both have the same one says by which key they meet (if there is none, by
 each they share).
 
-The join's condition also compares the lines' lengths, their counts of 31 letters and
+The join's condition also compares the lines' lengths, their counts of 15 letters and
 of all other characters (modulo 16), which E edits change by at most 2 E in sum, less what the
 lengths differ, and for one edit their signatures,
 which bound the characters that both have at the start and at the end (all but one);
@@ -77,12 +77,12 @@ CHUNK = 512  # lines of a part of a crowded key
 
 FEW = 16  # from so many allowed edits on a part of them is tried first
 NEIGHBOURS = 12  # lines of a key, on both sides of a line, that it may be compared with first
-TRIES = (0, 1, 8, 96)  # bounds of the rounds in which it is compared with those of all its keys
+TRIES = (0, 1, 8, 2 ** 31 - 1)  # bounds of the rounds in which it is compared with those of all its keys
 STRIPS = (16384, 4096, 2048, 1024, 512, 256, 128, 64, 32, 16)  # characters that a pair may lose at an end, each once
 BINS = 8  # key classes of which a line's least keys are compared
 
 # The letters whose counts are compared, eight to a number; the last count is of all other characters.
-LETTERS = ("etaionrs", "hdlucmfg", "wypbvk .", ",-TSIA1")
+LETTERS = ("etaionrs", "hdlucmf")
 # Counts modulo 16, of which as many bits differ as they are apart on a circle of 16.
 CIRCLE = [2 ** n - 1 for n in range(9)] + [255 - (2 ** n - 1) for n in range(1, 8)]
 
@@ -92,6 +92,7 @@ CIRCLE = [2 ** n - 1 for n in range(9)] + [255 - (2 ** n - 1) for n in range(1,
 SEVERAL = 2 * PER_EDIT
 BLOCK, WIDE, WIDE_BLOCK = 32, 1024, 56
 LONG = 4096
+HALVES = -1  # in place of a block's size
 # Sparse rulers: any distance up to the last mark is one of two marks.
 RULERS = ((0,), (0, 1), (0, 1, 3), (0, 1, 4, 6), (0, 1, 2, 6, 9), (0, 1, 2, 6, 10, 13), (0, 1, 2, 3, 8, 13, 17),
           (0, 1, 2, 11, 15, 18, 21, 23), (0, 1, 2, 14, 18, 21, 24, 27, 29), (0, 1, 3, 6, 13, 20, 27, 31, 35, 36))
@@ -135,39 +136,45 @@ def _last(longest: int) -> int:
     return (longest + longest // PER_EDIT) // PER_EDIT // 2
 
 
-def place_keys(rows: DataFrame) -> DataFrame:
-    """lid1, key: the keys of blocks and grams of lines (lid1, line, chars) of ``SEVERAL`` characters and more."""
+def place_keys(rows: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """lid1, key: the keys of lines (lid1, line, chars): of halves for one edit, of blocks and grams for several."""
     chars, size, block = F.col("chars"), F.col("size"), F.col("block")
-    below = lambda bound: chars - allowed(chars) < bound  # noqa: E731 - can be near a line of fewer characters
-    # A row for each way a line can meet others: by blocks of some size, or (size 0) by grams.
-    ways = F.array(F.when(below(WIDE), BLOCK), F.when((chars >= WIDE) & below(LONG), WIDE_BLOCK), F.when(chars >= LONG, 0))
-    lines = rows.select("lid1", "line", "chars", F.explode(ways).alias("size")).where(size.isNotNull())
-    # One pass cuts a long line into parts of PERIOD places that overlap; others stay whole.
-    part = f"(?s)(?=(.{{{GRAM},{PERIOD + GRAM - 1}}})).{{1,{PERIOD}}}"
-    parts = F.when(size == 0, F.regexp_extract_all("line", F.lit(part), 1)).otherwise(F.array("line"))
-    lines = lines.select("lid1", "chars", "size", F.explode(parts).alias("text"))
-    # A row a block, which is cut out once; block -1 - k is the k-th from the end.
-    half = F.when(size > 0, F.floor(allowed(chars) / 2).cast("int")).otherwise(0)
-    blocks = lines.select("*", F.explode(F.sequence(F.when(size > 0, -1 - half).otherwise(0), half)).alias("block"))
+    below = lambda bound: chars - F.col("most") < bound  # noqa: E731 - can be near a line of fewer characters
+    # Four bytes a character, so that a piece is cut out wherever it stands without a walk to it.
+    lines = rows.select("lid1", "chars", F.encode("line", "UTF-32").alias("text"), allowed(chars).alias("most"))
+    # A row for each way a line can meet others: by halves, by blocks of some size, or (size 0) by grams.
+    ways = F.array(F.when(chars <= SEVERAL, HALVES), F.when((chars >= SEVERAL) & below(WIDE), BLOCK),
+                   F.when((chars >= WIDE) & below(LONG), WIDE_BLOCK), F.when(chars >= LONG, 0))
+    lines = lines.select("*", F.explode(ways).alias("size")).where(size.isNotNull())
+    # A row a half (two for the line's own length, two for one less), a block (-1 - k is the k-th from the end) or a period.
+    # Of E edits at most E // 2 are in the shorter line's first half, or at most (E - 1) // 2 in its second.
+    half = lambda n: F.shiftright(n, 1)
+    first = F.when(size > 0, -1 - half(F.col("most") - 1)).otherwise(0)
+    last = F.when(size > 0, half(F.col("most"))).when(size == 0, F.floor((chars - GRAM) / PERIOD).cast("int")).otherwise(3)
+    blocks = lines.select("*", F.explode(F.sequence(first, last)).alias("block"))
     rulers = [ruler(k) for k in range(_last(LONG) + 1)]
     k = F.when(block < 0, -1 - block).otherwise(block)
-    marks = F.get(F.array(*[F.array(*map(F.lit, r)) for r in rulers]), k)
-    taken = size - F.get(F.array(*[F.lit(r[-1]) for r in rulers]), k)
-    at = block * size + F.when(block < 0, chars).otherwise(0)
-    cut = blocks.select(
-        "lid1", "block", F.when(size == 0, F.col("text")).otherwise(F.substring("text", at + 1, size)).alias("text"),
-        F.when(size == 0, F.array(*map(F.lit, COVER))).otherwise(marks).alias("marks"),
-        F.when(size == 0, GRAM).otherwise(taken).alias("taken"))
-    found = []
-    for i in range(max(map(len, rulers))):
-        mark = F.get("marks", F.lit(i))
-        found.append(F.when(mark + F.col("taken") <= F.length("text"), F.xxhash64("block", F.substring("text", mark + 1, F.col("taken")))))
-    return cut.select("lid1", F.explode(F.array(*found)).alias("key")).where(F.col("key").isNotNull())
-
-
-def segment_keys(line: Column, chars: Column, edits: int, min_chars: int, below: int | None = None) -> list[Column]:
-    """The keys of a line's own segments, and those under which lines of a lesser length (less than
-    ``below``) can find it; NULL where a place is outside the line."""
+    numbers = lambda found: F.array(*map(F.lit, found))
+    marks = F.when(size > 0, F.get(F.array(*map(numbers, rulers)), k)).when(size == 0, numbers(COVER)).otherwise(numbers((0,)))
+    less, second = half(block), block % 2 == 1
+    length = chars - less
+    at = F.when(size > 0, block * size + F.when(block < 0, chars).otherwise(0)).when(size == 0, block * PERIOD)
+    at = at.otherwise(F.when(second, half(length) + less).otherwise(0))
+    taken = F.when(size > 0, size - F.get(numbers(r[-1] for r in rulers), k)).when(size == 0, GRAM)
+    taken = taken.otherwise(F.when(second, length - half(length)).otherwise(half(length)))
+    # Halves meet where the shorter line has the same length, blocks and halves by their number.
+    tag = F.when(size > 0, block).when(size == 0, 0).otherwise(length * 2 + F.when(second, 1).otherwise(0) + SEVERAL)
+    inside = (size != HALVES) | ((length >= min_chars) & (length < SEVERAL))
+    cut = blocks.where(inside).select("lid1", "text", tag.alias("tag"), at.alias("at"), taken.alias("taken"), marks.alias("marks"))
+    cut = cut.select("lid1", "text", "tag", "taken", "at", F.explode("marks").alias("mark"))
+    start, wide = F.col("at") + F.col("mark"), F.col("taken")
+    return cut.where((start + wide) * 4 <= F.octet_length("text")).select(
+        "lid1", F.xxhash64("tag", F.substring("text", start * 4 + 1, wide * 4)).alias("key"))
+
+
+def segment_keys(line: Column, chars: Column, edits: int, min_chars: int) -> list[Column]:
+    """The keys of a line's own segments, and those under which lines of a lesser length can find it;
+    NULL where a place is outside the line."""
     found = []
     for less in range(edits + 1):
         length = chars - less
@@ -178,14 +185,12 @@ def segment_keys(line: Column, chars: Column, edits: int, min_chars: int, below:
             for shift in range(first, last + 1):
                 at = start + shift
                 inside = (length >= min_chars) & (at >= 0) & (at + size <= chars)
-                if below is not None:
-                    inside = inside & (length < below)
                 found.append(F.when(inside, _key(length, k, line, at, size)))
     return found
 
 
 def letter_counts(line: Column, chars: Column) -> list[Column]:
-    """Counts of 31 letters and of the other characters as places on a circle, packed in longs."""
+    """Counts of 15 letters and of the other characters as places on a circle, packed in longs."""
     # Bytes tell as much as characters, the letters being ASCII, and need no pass over the line.
     bare = [[F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in group] for group in LETTERS]
     bare[-1].append(chars - reduce(add, [n for group in bare for n in group]))
@@ -253,21 +258,22 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _lines(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k1, k2, line_no, line, place (an order of all lines), lid1, lid2 (hashes of the line).
-
-    A place is id, line number and 32 bits of k2 in one number, which a hash aggregate can hold.
-    """
+    """k1, k2, id (NULL ids come last), line_no, line, lid1, lid2 (hashes of the line)."""
     rows = keyed.where(F.col(text_col).isNotNull()).select(
-        F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col(id_col).cast("long").alias("id"),
+        F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"),
         F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    place = (F.coalesce("id", F.lit(_LAST_ID)).cast("decimal(19,0)") * F.lit(2 ** 31).cast("decimal(10,0)")
-             + F.col("line_no").cast("decimal(10,0)")).cast("decimal(30,0)")
-    place = (place * F.lit(2 ** 32).cast("decimal(10,0)")
-             + F.pmod("k2", F.lit(2 ** 32)).cast("decimal(10,0)")).cast("decimal(38,0)")
-    return rows.select("k1", "k2", "line_no", "line", place.alias("place"),
+    return rows.select("k1", "k2", "id", "line_no", "line",
                        F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"))
 
 
+def _place() -> Column:
+    """An order of all lines: id, line number and 32 bits of k2 in one number, which a hash aggregate can hold."""
+    place = (F.col("id").cast("decimal(19,0)") * F.lit(2 ** 31).cast("decimal(10,0)")
+             + F.col("line_no").cast("decimal(10,0)")).cast("decimal(30,0)")
+    return (place * F.lit(2 ** 32).cast("decimal(10,0)")
+            + F.pmod("k2", F.lit(2 ** 32)).cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
 def _keys(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     """key, lid1: the keys of all lines; lines that occur again have them again."""
     rows = lines.select("lid1", "line", F.length("line").alias("chars")).where(F.col("chars") >= min_chars)
@@ -275,9 +281,7 @@ def _keys(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     if edits is not None:
         found = F.array(*segment_keys(line, chars, edits, min_chars))
         return rows.select("lid1", F.explode(found).alias("key")).where(F.col("key").isNotNull())
-    short = F.array(*segment_keys(line, chars, 1, min_chars, SEVERAL))
-    short = rows.where(chars <= SEVERAL).select("lid1", F.explode(short).alias("key")).where(F.col("key").isNotNull())
-    return short.union(place_keys(rows.where(chars >= SEVERAL)))
+    return place_keys(rows, min_chars)
 
 
 def _broadcast(rows: DataFrame, bound: int) -> DataFrame:
@@ -286,11 +290,12 @@ def _broadcast(rows: DataFrame, bound: int) -> DataFrame:
 
 
 def _dealt(sized: DataFrame) -> DataFrame:
-    """``sized`` with the number of parts of its key and the line's part."""
-    crowded = sized.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
-    crowded = materialise(crowded.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "crowded")
-    dealt = sized.join(_broadcast(crowded, BROADCAST_LINES), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    return dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.col("parts")).cast("int"))
+    """``sized`` with the number of parts of its key, NULL where a line's neighbours are all the others, and the line's part."""
+    most = NEIGHBOURS // 2 + 1  # lines of a key that all see each other
+    many = sized.where(F.col("rows") > most).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    many = materialise(many.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "crowded")
+    dealt = sized.join(_broadcast(many, BROADCAST_LINES), "key", "left")
+    return dealt.withColumn("part", F.pmod(F.xxhash64("lid1"), F.coalesce("parts", F.lit(1))).cast("int"))
 
 
 def _least_apart(a, b) -> Column:
@@ -312,26 +317,37 @@ def _neighbours(dealt: DataFrame, edits: int | None) -> DataFrame:
     """lid1, others: for each line the earlier ones that it is compared with first, the likeliest to be near in front.
 
     In a part of a key a line sees the ``NEIGHBOURS`` around it, in one row. The order is another one for each key, so a line of
-    many keys has many neighbours; lines that have a class's least key in common stand together.
+    many keys has many neighbours; lines that have a class's least key in common stand together. Of a key whose parts are NULL
+    these are all pairs.
     """
     carried = ["lid1", "chars", "order", "head", "tail", *[f"letters{i}" for i in range(len(LETTERS))]]
     least = F.get(F.array(*[f"least{i}" for i in range(BINS)]), F.pmod(F.xxhash64("key"), F.lit(BINS)).cast("int"))
-    order = Window.partitionBy("key", "part").orderBy(F.xxhash64("key", least), F.xxhash64("key", "lid1"))
-    row = F.struct(*carried)
-    beside = F.array(*[side(row, n + 1).over(order) for n in range(NEIGHBOURS // 2) for side in (F.lag, F.lead)])
     # Lines whose orders are the same double may be either way round.
-    earlier = lambda b: (b["order"] <= F.col("order")) & (b["lid1"] != F.col("lid1")) & _may_be_near(F.col, b.getField, edits)
-    taken = F.transform(F.filter("beside", earlier), lambda b: F.struct(_least_apart(F.col, b.getField).alias("apart"), b["lid1"].alias("other")))
-    # Of a very long line some of the keys are enough for this.
-    some = F.pmod(F.xxhash64(F.lit("some"), "key"), F.ceil(F.col("chars") / LONG)) == 0
-    rows = dealt.select("key", *carried, beside.alias("beside")).where(some).select("lid1", taken.alias("taken")).where(F.size("taken") > 0)
+    earlier = lambda b: b.isNotNull() & (b["order"] <= F.col("order")) & (b["lid1"] != F.col("lid1")) & _may_be_near(F.col, b.getField, edits)
+    # Of a very long line some of the keys of many lines are enough for this.
+    some = F.col("parts").isNull() | (F.pmod(F.xxhash64(F.lit("some"), "key"), F.ceil(F.col("chars") / LONG)) == 0)
+
+    def seen(dealt: DataFrame, reach: int) -> DataFrame:
+        order = Window.partitionBy("key", "part").orderBy(F.xxhash64("key", least), F.xxhash64("key", "lid1"))
+        row = F.struct(*carried)
+        beside = F.array(*[side(row, n + 1).over(order) for n in range(reach) for side in (F.lag, F.lead)])
+        taken = F.transform(F.filter("beside", earlier), lambda b: F.struct(_least_apart(F.col, b.getField).alias("apart"), b["lid1"].alias("other")))
+        rows = dealt.select("key", "parts", *carried, beside.alias("beside")).where(some)
+        return rows.select("lid1", taken.alias("taken")).where(F.size("taken") > 0)
+
+    # Most keys have two lines, of which each has the other beside it.
+    rows = seen(dealt.where(F.col("rows") == 2), 1).union(seen(dealt.where(F.col("rows") > 2), NEIGHBOURS // 2))
     found = F.array_distinct(F.array_sort(F.flatten(F.collect_list("taken")))["other"])
-    return rows.groupBy("lid1").agg(F.slice(found, 1, TRIES[-1]).alias("others"))
+    return rows.groupBy("lid1").agg(found.alias("others"))
 
 
 def _pairs(dealt: DataFrame, seekers: DataFrame, edits: int | None) -> DataFrame:
-    """The pairs (a, b), each once, of a line of ``seekers`` and an earlier one that share a key and may be near."""
-    columns = [c for c in dealt.columns if c not in ("key", "part", "parts")]
+    """The pairs (a, b), each once, of a line of ``seekers`` and an earlier one that may be near and share a key of several parts or one.
+
+    The pairs of the other keys are among the neighbours.
+    """
+    dealt = dealt.where(F.col("parts").isNotNull())
+    columns = [c for c in dealt.columns if c not in ("key", "rows", "part", "parts")]
     # A unit is two parts of a key, or a part with itself.
     left = dealt.join(seekers, "lid1", "left_semi").select(
         "key", F.col("part").alias("u"), F.explode(F.expr("sequence(0, parts - 1)")).alias("v"),
@@ -348,33 +364,45 @@ def _pairs(dealt: DataFrame, seekers: DataFrame, edits: int | None) -> DataFrame
 
 
 def stripped(a: Column, b: Column) -> Column:
-    """Two lines as a struct, less what both have at the start and at the end, in steps of ``STRIPS``.
+    """Two lines as a struct, less what both have at the start and at the end, in steps of ``STRIPS``, and reversed.
 
     That leaves their distance as it is, and its time grows with the square of their length.
     """
     both = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    long = lambda p, size: (F.length(p["a"]) >= size) & (F.length(p["b"]) >= size)
-    sizes = F.array(*map(F.lit, STRIPS))
-    start = lambda p, size: F.when(
+    # Bytes are counted at once, characters one by one. Two lines that differ have no more equal characters than the shorter.
+    long = lambda p, size: (F.octet_length(p["a"]) >= size) & (F.octet_length(p["b"]) >= size)
+    cut = lambda p, size: F.when(
         long(p, size) & (F.left(p["a"], size) == F.left(p["b"], size)), both(F.substr(p["a"], size + 1), F.substr(p["b"], size + 1))).otherwise(p)
-    end = lambda p, size: F.when(
-        long(p, size) & (F.right(p["a"], size) == F.right(p["b"], size)),
-        both(F.left(p["a"], F.length(p["a"]) - size), F.left(p["b"], F.length(p["b"]) - size))).otherwise(p)
-    return F.aggregate(sizes, F.aggregate(sizes, both(a, b), start), end)
+    sizes = F.array(*map(F.lit, STRIPS))
+    # The end is the start of the reversed lines, which are as far apart.
+    return _let(F.aggregate(sizes, both(a, b), cut), lambda p: F.aggregate(sizes, both(F.reverse(p["a"]), F.reverse(p["b"])), cut))
+
+
+def starts_near(p: Column, share: int, most: Column) -> Column:
+    """Whether the first one in ``share`` characters of two lines are as near as they must be in lines within ``most`` edits.
+
+    Where the edits put as many characters more in b's start as in a's, they put them less in its rest, or the lengths differ.
+    So they are as many, with those that cut the starts to one length, as ``most`` and what the lengths differ, at the most.
+    """
+    chars = F.floor(F.least(F.length(p["a"]), F.length(p["b"])) / share).cast("int")
+    bound = most + F.abs(F.length(p["a"]) - F.length(p["b"]))
+    return F.call_function("levenshtein", F.left(p["a"], chars), F.left(p["b"], chars), bound) >= 0
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int | None) -> DataFrame:
     """lid1, lid2 of the later lines of the pairs that are near."""
     sides = [texts.select(F.col("lid1").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("lid2", "place", "line")])
              for s in ("a", "b")]
-    rows = pairs.join(sides[0], "a").join(sides[1], "b")
+    # Of the texts only those of pairs are shuffled.
+    named = _broadcast(pairs, BROADCAST_LINES)
+    rows = sides[0].join(named, "a").join(sides[1].join(named.select("b").distinct(), "b", "left_semi"), "b")
     near = _let(F.split("line_a", ""), lambda a: _let(F.split("line_b", ""), lambda b: within(a, b, 1 if edits is None else edits)))
     if edits is None:
         most = allowed(F.least(F.length("line_a"), F.length("line_b")))
         distance = lambda p, bound: F.call_function("levenshtein", p["a"], p["b"], bound) >= 0
         # The time grows with the bound: long lines are often much nearer than they may be.
-        several = _let(stripped(F.col("line_a"), F.col("line_b")), lambda p: F.when(
-            most >= FEW, distance(p, F.floor(most / FEW).cast("int"))).otherwise(False) | distance(p, most))
+        several = _let(stripped(F.col("line_a"), F.col("line_b")), lambda p: F.when(most < FEW, distance(p, most)).otherwise(
+            distance(p, F.floor(most / FEW).cast("int")) | (starts_near(p, 8, most) & starts_near(p, 2, most) & distance(p, most))))
         near = F.when(most == 1, near).otherwise(several)
     close = rows.where(near)
     later = F.col("place_a") > F.col("place_b")
@@ -390,19 +418,24 @@ def _seekers(texts: DataFrame, near: DataFrame) -> DataFrame:
 
 def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFrame:
     """lid1, lid2 of the distinct lines that an earlier line is near."""
-    keys = _keys(lines, edits, min_chars)
-    shared = keys.groupBy("key").agg(F.min("lid1").alias("least"), F.max("lid1").alias("most"))
-    shared = materialise(shared.where(F.col("least") < F.col("most")).select("key"), "shared")
-    members = materialise(keys.join(_broadcast(shared, BROADCAST_LINES), "key").select("key", "lid1").distinct(), "members")
+    # A key and a hash are two numbers, which most keys hold once: grouping them before the shuffle would only cost time.
+    key = Window.partitionBy("key")
+    shared = _keys(lines, edits, min_chars).select(
+        "key", "lid1", F.min("lid1").over(key).alias("least"), F.max("lid1").over(key).alias("most"), F.count("*").over(key).alias("rows"))
+    shared = shared.where(F.col("least") < F.col("most"))
+    members = materialise(shared.select("key", "lid1", "rows").distinct(), "members")
     leasts = [F.min(F.when(F.pmod("key", F.lit(BINS)) == i, F.col("key"))).alias(f"least{i}") for i in range(BINS)]
     named = materialise(members.groupBy("lid1").agg(*leasts), "ids")
-    texts = lines.join(_broadcast(named.select("lid1"), BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min("place").alias("place"))
+    texts = lines.join(_broadcast(named.select("lid1"), BROADCAST_LINES), "lid1", "left_semi").groupBy("line").agg(F.min(_place()).alias("place"))
     side = F.lit(SIDE * SIDES)
     counts = letter_counts(F.col("line"), F.length("line"))
+    # Only lines that one edit is allowed for are compared by their signatures.
+    one = F.length("line") <= SEVERAL if edits is None else F.lit(edits == 1)
+    ends = F.left("line", side), F.reverse(F.right("line", side))
     texts = texts.select(
         "place", "line", F.xxhash64(F.lit(1), "line").alias("lid1"), F.xxhash64(F.lit(2), "line").alias("lid2"),
         F.length("line").alias("chars"), *[n.alias(f"letters{i}") for i, n in enumerate(counts)],
-        signature(F.left("line", side)).alias("head"), signature(F.reverse(F.right("line", side))).alias("tail"))
+        *[F.when(one, signature(end)).alias(name) for end, name in zip(ends, ("head", "tail"), strict=True)])
     texts = materialise(texts, "texts")
     sized = members.join(texts.withColumn("order", F.col("place").cast("double")).drop("place", "line", "lid2").join(named, "lid1"), "lid1")
     dealt = _dealt(materialise(sized, "sized"))
@@ -420,19 +453,42 @@ def _near_lines(lines: DataFrame, edits: int | None, min_chars: int) -> DataFram
     return near.union(_verified(pairs, texts, edits)).distinct()
 
 
+def _without_copies(lines: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``lines`` less the copies of lines that occur again, of the most frequent ones where not all may be broadcast.
+
+    What a copy is compared by the first occurrence has too; without copies no key is held by more rows than lines.
+    """
+    bits = F.length(F.bin("n"))
+    least, total = None, 0
+    for row in sorted(repeated.groupBy(bits.alias("bits")).agg(F.count("*").alias("lines")).collect(), reverse=True):
+        total += row["lines"]
+        if total > BROADCAST_LINES:
+            break
+        least = row["bits"]
+    if least is None:
+        return lines
+    frequent = F.broadcast(repeated.where(bits >= least).select("lid1", "lid2", "owner"))
+    return lines.join(frequent, ["lid1", "lid2"], "left").where(F.col("owner").isNull() | (F.col("owner") == _occurrence())).drop("owner")
+
+
+def _occurrence() -> Column:
+    """A document and a line number in one number."""
+    return F.xxhash64("k1", "line_no")
+
+
 def _dropped(docs: DataFrame, id_col: str, text_col: str, edits: int | None, min_chars: int) -> DataFrame:
     """k1, k2 and the line numbers that go, in order, of each document that loses lines."""
     lines = _lines(_documents(docs, id_col, text_col), id_col, text_col)
     lines = lines.where(F.ltrim("line", F.lit(BLANKS)) != "")
-    # The owner settles which document's line stays should places be the same.
-    firsts = lines.groupBy("lid1", "lid2").agg(
-        F.min("place").alias("first"), F.min_by("k1", "place").alias("owner"), F.count("*").alias("n"))
-    near = materialise(_near_lines(lines, edits, min_chars).withColumn("near", F.lit(True)), "near")
+    # The owner is the first occurrence, and settles which document's line stays should places be the same.
+    repeated = lines.groupBy("lid1", "lid2").agg(F.min_by(_occurrence(), _place()).alias("owner"), F.count("*").alias("n"))
+    repeated = materialise(repeated.where(F.col("n") > 1), "repeated")
+    near = materialise(_near_lines(_without_copies(lines, repeated), edits, min_chars).withColumn("near", F.lit(True)), "near")
     # Of a line that occurs once and is near no other nothing goes.
-    known = firsts.join(near, ["lid1", "lid2"], "left").where(F.col("near").isNotNull() | (F.col("n") > 1))
-    known = _broadcast(materialise(known.drop("n"), "known"), BROADCAST_LINES)
-    gone = (lines.select("k1", "k2", "line_no", "place", "lid1", "lid2").join(known, ["lid1", "lid2"])
-            .where(F.col("near").isNotNull() | (F.col("place") > F.col("first")) | (F.col("k1") != F.col("owner"))))
+    known = repeated.drop("n").join(near, ["lid1", "lid2"], "full")
+    known = _broadcast(materialise(known, "known"), BROADCAST_LINES)
+    gone = (lines.select("k1", "k2", "line_no", "lid1", "lid2").join(known, ["lid1", "lid2"])
+            .where(F.col("near").isNotNull() | (F.col("owner") != _occurrence())))
     return gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 

@@ -281,3 +281,69 @@ def test_common_ends_leave_the_distance_as_it_is(spark):
     got = df.select("whole", F.levenshtein("p.a", "p.b").alias("left"), F.length("p.a").alias("n"), F.length("a").alias("m")).collect()
     assert all(x.whole == x.left for x in got)
     assert sum(x.n for x in got) < sum(x.m for x in got) / 2
+
+
+def test_the_keys_of_a_text_are_made_once(spark, monkeypatch):
+    """The keys of the first occurrence of a line are enough, and one pass over the texts."""
+    rows, calls = L.place_keys, []
+
+    def counted(lines, *args):
+        out = rows(lines, *args)
+        calls.append((lines.count(), out))
+        return out
+
+    monkeypatch.setattr(L, "place_keys", counted)
+    r = rng(17)
+    lines = [prose(r, 60)[:300] for _ in range(20)]
+    docs = documents(spark, [(i, "\n".join(lines)) for i in range(30)])
+    got = L.dropped_lines(docs).orderBy("doc_id").collect()
+    assert [x.n_dropped for x in got] == [0] + [20] * 29
+    assert sum(n for n, _ in calls) <= 20
+    plan = calls[0][1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("posexplode") <= 1
+
+
+def test_keys_of_an_even_number_of_edits(spark):
+    """E edits need E + 1 blocks, not E + 2; lines that share one that may stand there meet."""
+    r = rng(18)
+    lines = [(n, prose(r, n)[:n]) for n in (150, 200, 300, 400, 1500)]
+    keys = L.place_keys(spark.createDataFrame(lines, "lid1 long, line string").withColumn("chars", F.length("line")))
+    marks = lambda last: sum(len(L.ruler(k)) for k in range(last + 1))
+    want = {n: marks(n // 64 // 2) + marks((n // 64 - 1) // 2) for n, _ in lines}
+    assert {x.lid1: x["count"] for x in keys.groupBy("lid1").count().collect()} == want
+
+
+def test_pairs_of_a_small_key_are_not_met_again(spark, monkeypatch):
+    """Lines that share keys with few lines each are compared among their neighbours alone, and all of them are."""
+    rows, listed = L.materialise, {}
+
+    def counted(df, label):
+        listed[label] = rows(df, label)
+        return listed[label]
+
+    monkeypatch.setattr(L, "materialise", counted)
+    r = rng(19)
+    lines = []
+    for _ in range(30):
+        line = prose(r, 100)[:400]
+        lines += [line, *[line[:at] + "#" + line[at + 1:] for at in r.sample(range(400), 4)], line[:200] + prose(r, 60)[:200]]
+    first = list(dict.fromkeys(lines))
+    near = {b for j, b in enumerate(first) for a in first[:j] if abs(len(a) - len(b)) <= 6 and _close(a, b, _allowed(a, b))}
+    got = L.dropped_lines(documents(spark, list(enumerate(lines)))).orderBy("doc_id").collect()
+    assert [x.n_dropped for x in got] == [int(x in near or lines.index(x) != n) for n, x in enumerate(lines)]
+    assert len(near) == 120 and listed["pairs"].count() == 0 and listed["crowded"].count() == 0
+
+
+def test_starts_are_near_in_lines_within_the_edits(spark):
+    r = rng(20)
+    pairs = []
+    for _ in range(400):
+        a = "".join(r.choice("abé\U0001f600") for _ in range(r.choice([8, 16, 64, 130])))
+        b = mutate(a, r.randint(0, 12), r)
+        cut = r.randint(0, 5)
+        pairs += [(a, b), (a[cut:], b), ("x" * cut + a, b[:len(b) - cut])]
+    p = F.struct("a", "b")
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("most", F.levenshtein("a", "b"))
+    assert df.where(~L.starts_near(p, 2, F.col("most")) | ~L.starts_near(p, 8, F.col("most"))).count() == 0
+    far = spark.createDataFrame([("a" * 400, "b" * 400)], "a string, b string")
+    assert far.where(L.starts_near(p, 8, F.lit(20))).count() == 0
