@@ -26,9 +26,8 @@ lines meet by the 28-grams at the places whose number modulo 31 is one of six, o
 two are any number apart: E edits leave a run of 58 characters unchanged, and in it,
 whatever its shift, a gram that both lines take. No pair is missed by either.
 
-Keys are made where the texts are read, twice, and never stored. The first time only
-(key, line hash) is grouped by key, for the keys that two different lines hold; most
-keys end there. The second time the lines of those keys are listed. Keys of more than
+Keys are made once, of the first occurrences of lines (of the most frequent ones, where not all
+may be broadcast), and shuffled with the line hash alone; those that two different lines hold stay. Keys of more than
 ``CHUNK`` lines are dealt out: their lines fall in parts of about that size, and each
 pair of parts is a unit of its own in the join, so that no task has a whole key.
 
